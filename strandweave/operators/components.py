@@ -17,7 +17,7 @@ def _with_minimum(edges: DataFrame, lowest) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     return (
-        _with_minimum(both, F.least(F.min("v"), F.first("u")))
+        _with_minimum(both, F.least(F.min("v"), F.col("u")))
         .where("v > u")
         .select(F.col("v").alias("u"), F.col("m").alias("v"))
         .distinct()
