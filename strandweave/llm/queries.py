@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandweave.llm import quality_rules
+from strandweave.llm import quality_rules, simhash
 from strandweave.llm.common import table
 
 
@@ -14,8 +14,12 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=4, shingle=4)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules,)}
+    return {f.__name__: f for f in (op3_quality_rules, op4_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
