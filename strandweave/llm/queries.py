@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandweave.llm import quality_rules, simhash
+from strandweave.llm import embedding_dedup, quality_rules, simhash
 from strandweave.llm.common import table
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -19,7 +23,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_rules, op4_simhash)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op3_quality_rules, op4_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
