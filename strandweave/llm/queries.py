@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import embedding_dedup, line_dedup, mixing, quality_rules, simhash
+from strandweave.llm import embedding_dedup, line_dedup, mixing, pii, quality_rules, simhash
 from strandweave.llm.common import table
 
 
@@ -27,12 +27,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"), F.round("probability", 6).alias("probability"), "kept")
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op3_quality_rules, op4_simhash, op5_mixing, op9_line_dedup)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op9_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
