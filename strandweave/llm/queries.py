@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import embedding_dedup, line_dedup, mixing, pii, quality_rules, simhash
+from strandweave.llm import embedding_dedup, license_scan, line_dedup, mixing, pii, quality_rules, simhash
 from strandweave.llm.common import table
 
 
@@ -31,12 +31,16 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op9_line_dedup)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op9_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
