@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import embedding_dedup, license_scan, line_dedup, mixing, pii, quality_rules, simhash
+from strandweave.llm import embedding_dedup, license_scan, line_dedup, mixing, pii, quality_rules, sentencepiece, simhash
 from strandweave.llm.common import table
 
 
@@ -35,12 +35,18 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of every text, and whether decoding them gives the text again."""
+    coded = sentencepiece.decode(sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.col("decoded").eqNullSafe(F.col("text")).alias("same"), "ids")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op9_line_dedup)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op8_sentencepiece, op9_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
