@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import embedding_dedup, license_scan, line_dedup, mixing, pii, quality_rules, sentencepiece, simhash
+from strandweave.llm import embedding_dedup, license_scan, line_dedup, mixing, pii, quality_rules, sentencepiece, simhash, url_filter
 from strandweave.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op8_sentencepiece, op9_line_dedup)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_url_filter, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op8_sentencepiece, op9_line_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
