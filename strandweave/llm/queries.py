@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import embedding_dedup, license_scan, line_dedup, mixing, pii, quality_rules, sentencepiece, simhash, url_filter
+from strandweave.llm import compression_quality, embedding_dedup, license_scan, line_dedup, mixing, pii, quality_rules, sentencepiece, simhash, url_filter
 from strandweave.llm.common import table
 
 
@@ -49,8 +49,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
+def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op2_url_filter, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op8_sentencepiece, op9_line_dedup)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_url_filter, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op8_sentencepiece, op9_line_dedup, op10_compression_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

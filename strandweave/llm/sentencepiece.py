@@ -19,13 +19,13 @@ Ids, repeated rows and other columns pass through; an empty table gives an empty
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 MARK = "▁"
 UNKNOWN = 10.0
@@ -248,11 +248,14 @@ class Model:
         return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
 def load(name: str) -> Model:
-    """The model shipped with the job under ``name``."""
-    with open(SparkFiles.get(name), "rb") as f:
-        return Model(f.read())
+    """The model shipped with the job under ``name``; a worker process reads it once for all its tasks."""
+    held = sys.__dict__.setdefault("_strandweave_models", {})
+    path = SparkFiles.get(name)
+    if path not in held:
+        with open(path, "rb") as f:
+            held[path] = Model(f.read())
+    return held[path]
 
 
 def ship(spark: SparkSession, path: str = MODEL) -> str:
@@ -265,7 +268,7 @@ def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out_col:
     """``docs`` with ``out_col``: the text's ids as array<int>."""
     name = ship(docs.sparkSession, path)
     others = [c for c in docs.columns if c != out_col]
-    schema = docs.select(*[docs[f"`{c}`"] for c in others]).schema.add(out_col, "array<int>")
+    schema = docs.select(*[docs[f"`{c}`"] for c in others]).schema.add(out_col, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(name)
@@ -281,7 +284,7 @@ def decode(rows: DataFrame, path: str = MODEL, ids_col: str = "ids", out_col: st
     """``rows`` with ``out_col``: the ids' text."""
     name = ship(rows.sparkSession, path)
     others = [c for c in rows.columns if c != out_col]
-    schema = rows.select(*[rows[f"`{c}`"] for c in others]).schema.add(out_col, "string")
+    schema = rows.select(*[rows[f"`{c}`"] for c in others]).schema.add(out_col, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(name)
