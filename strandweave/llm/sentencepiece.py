@@ -29,10 +29,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 MARK = "▁"
 UNKNOWN = 10.0
-REMEMBER = 400_000
+REMEMBER = 200_000
 #: Stands for a marker that is part of a text; no word is empty.
 LITERAL = ""
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
+#: Rows of a batch that are Python objects at a time.
+ROWS = 1000
 #: Words are handled in slices of about this many characters.
 SLICE = 1 << 21
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -86,12 +88,8 @@ class Trie:
         self.longest = max(map(len, pieces), default=0)
 
 
-class Model:
-    """Pieces with log scores, read from a serialised model.
-
-    A unigram model's scores are used as they are. A merge model has ranks instead of scores; a piece of rank
-    r gets log(1 / (r + 1)), the log probability of rank r under Zipf's law up to a constant.
-    """
+class Decoder:
+    """The text of each id of a serialised model."""
 
     def __init__(self, raw: bytes):
         import sentencepiece
@@ -99,21 +97,41 @@ class Model:
         sp = sentencepiece.SentencePieceProcessor(model_proto=raw)
         size = sp.get_piece_size()
         self.pieces = [sp.id_to_piece(i) for i in range(size)]
-        usual = [i for i in range(size) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
-        given = np.array([sp.get_score(i) for i in usual])
-        ranked = len(given) > 1 and given.min() <= -(len(given) - 1) and np.array_equal(given, np.round(given))
-        self.scores = -np.log1p(-given) if ranked else given
-        self.ids = np.array(usual, np.int32)
         self.byte_ids = [-1] * 256
         for i in range(size):
             if sp.is_byte(i):
                 self.byte_ids[int(self.pieces[i][3:5], 16)] = i
         if min(self.byte_ids) < 0:
             raise ValueError("the model has no byte pieces to fall back to")
-        self.trie = Trie([self.pieces[i].encode() for i in usual])
+        self.usual = [i for i in range(size) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
+        self.given = np.array([sp.get_score(i) for i in self.usual])
+        self.text_of = [b""] * size
+        for i in self.usual:
+            self.text_of[i] = self.pieces[i].replace(MARK, " ").encode()
+        for n, b in enumerate(self.byte_ids):
+            self.text_of[b] = bytes([n])
+
+    def decode(self, ids) -> str:
+        """The text of ids; control pieces are skipped, the marker before the text is dropped."""
+        raw = b"".join(map(self.text_of.__getitem__, ids))
+        return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+
+
+class Model(Decoder):
+    """Pieces with log scores, read from a serialised model.
+
+    A unigram model's scores are used as they are. A merge model has ranks instead of scores; a piece of rank
+    r gets log(1 / (r + 1)), the log probability of rank r under Zipf's law up to a constant.
+    """
+
+    def __init__(self, raw: bytes):
+        super().__init__(raw)
+        given = self.given
+        ranked = len(given) > 1 and given.min() <= -(len(given) - 1) and np.array_equal(given, np.round(given))
+        self.scores = -np.log1p(-given) if ranked else given
+        self.ids = np.array(self.usual, np.int32)
+        self.trie = Trie([self.pieces[i].encode() for i in self.usual])
         self.unknown = float(self.scores.min()) - UNKNOWN
-        self.text_of = {i: self.pieces[i].replace(MARK, " ").encode() for i in usual} | {b: bytes([n]) for n, b in enumerate(self.byte_ids)}
-        self.text_of = [self.text_of.get(i, b"") for i in range(size)]
         self.literal = np.array([self.byte_ids[b] for b in MARK.encode()], np.int32).tobytes()
         self.known: dict[str, bytes] = {LITERAL: self.literal}
 
@@ -242,20 +260,21 @@ class Model:
             out[i] = np.frombuffer(b"".join(parts), np.int32)
         return out
 
-    def decode(self, ids) -> str:
-        """The text of ids; control pieces are skipped, the marker before the text is dropped."""
-        raw = b"".join(map(self.text_of.__getitem__, ids))
-        return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
-
 
-def load(name: str) -> Model:
+def load(name: str, kind: type = Model):
     """The model shipped with the job under ``name``; a worker process reads it once for all its tasks."""
     held = sys.__dict__.setdefault("_strandweave_models", {})
-    path = SparkFiles.get(name)
-    if path not in held:
-        with open(path, "rb") as f:
-            held[path] = Model(f.read())
-    return held[path]
+    key = SparkFiles.get(name), kind.__name__
+    if key not in held:
+        with open(key[0], "rb") as f:
+            held[key] = kind(f.read())
+    return held[key]
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
 
 
 def ship(spark: SparkSession, path: str = MODEL) -> str:
@@ -272,7 +291,7 @@ def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(name)
-        for batch in batches:
+        for batch in _parts(batches):
             at = batch.schema.get_field_index(text_col)
             ids = model.encode(batch.column(at).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*others, out_col])
@@ -287,12 +306,12 @@ def decode(rows: DataFrame, path: str = MODEL, ids_col: str = "ids", out_col: st
     schema = rows.select(*[rows[f"`{c}`"] for c in others]).schema.add(out_col, T.StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = load(name)
-        for batch in batches:
+        decoder = load(name, Decoder)
+        for batch in _parts(batches):
             at = batch.schema.get_field_index(ids_col)
             lists = batch.column(at)
             flat, ends, null = lists.values.to_numpy(), lists.offsets.to_numpy(), lists.is_null().to_pylist()
-            texts = [None if null[i] else model.decode(flat[ends[i] : ends[i + 1]].tolist()) for i in range(len(null))]
+            texts = [None if null[i] else decoder.decode(flat[ends[i] : ends[i + 1]].tolist()) for i in range(len(null))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*others, out_col])
 
     return rows.select(*[rows[f"`{c}`"] for c in others]).mapInArrow(run, schema)
