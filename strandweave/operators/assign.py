@@ -206,13 +206,16 @@ def rule_unidirectional(state: State, preferred: DataFrame) -> State:
     return replace(state, claims=state.claims.join(sure, keys, "left_anti").select(*CLAIM), knaves=add_knaves(state.knaves, losers))
 
 
-def rule_trimmable(claims: DataFrame, trim: DataFrame) -> DataFrame:
+def rule_trimmable(claims: DataFrame, trim: DataFrame, compat: bool = False) -> DataFrame:
     """ASG-10. A single path with untrimmable claims wins its dispute; then untrimmable claims beat the fully
-    trimmable ones they overlap."""
+    trimmable ones they overlap. ``compat``: every path with untrimmable claims in one direction drives out all
+    others, as the original statement reads, so that two such paths empty the dispute."""
     keys = ["path_id", "path_edge_idx", "is_forward", "match_idx"]
     marked = claims.join(trim, keys)
     fixed = marked.where("start_trimmable = 0 AND end_trimmable = 0")
     sole = fixed.groupBy("ref_id", "path_id").agg(F.count_distinct("is_forward").alias("ways")).where("ways = 1")
+    if not compat:
+        sole = sole.join(sole.groupBy("ref_id").count().where("count = 1").select("ref_id"), "ref_id")
     lost = claims.join(sole.select("ref_id", F.col("path_id").alias("winner")), "ref_id").where("path_id <> winner").select("ref_id", "path_id").distinct()
     left = claims.join(lost, ["ref_id", "path_id"], "left_anti").select(*CLAIM)
     again = left.join(trim, keys)

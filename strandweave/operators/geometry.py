@@ -16,7 +16,7 @@ RAD = math.pi / 180
 def haversine(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Great-circle distance in km."""
     a = F.pow(F.sin((y2 - y1) * RAD / 2), 2) + F.cos(y1 * RAD) * F.cos(y2 * RAD) * F.pow(F.sin((x2 - x1) * RAD / 2), 2)
-    return F.lit(2 * EARTH_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    return F.when(a.isNotNull(), F.lit(2 * EARTH_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(a))))
 
 
 def bearing(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
@@ -42,7 +42,7 @@ def line_lengths(v: DataFrame) -> DataFrame:
 
 def clean_vertices(v: DataFrame, digits: int = 6) -> DataFrame:
     """GEO-2. Rounded vertices without immediate repeats, numbered anew."""
-    r = v.withColumns({"x": F.round("x", digits), "y": F.round("y", digits)})
+    r = v.withColumns({"x": F.round("x", digits) + 0.0, "y": F.round("y", digits) + 0.0})
     moved = F.coalesce((F.col("x") != F.lag("x").over(_line())) | (F.col("y") != F.lag("y").over(_line())), F.lit(True))
     return r.withColumn("__moved", moved).where("__moved").withColumn("pt_idx", F.row_number().over(_line()) - 1).drop("__moved")
 

@@ -80,16 +80,19 @@ def inputs(name: str) -> list[str]:
     return [t for t in dict.fromkeys(re.findall(r"\{(\w+)\}", SQL[name])) if t != "base"]
 
 
-def ctes(*names: str) -> str:
-    """The definitions of the named tables and all they read, as the head of a DuckDB query."""
+def ctes(*names: str, more: dict[str, str] | None = None) -> str:
+    """The definitions of the named tables (or of ``more``) and all they read, as the head of a DuckDB query."""
+    known = SQL | (more or {})
     order: list[str] = []
 
     def need(name: str) -> None:
-        if name in SQL and name not in order:
-            for t in inputs(name):
+        if name in known and name not in order:
+            for t in re.findall(r"\{(\w+)\}", known[name]):
                 need(t)
             order.append(name)
 
     for name in names:
         need(name)
-    return "WITH " + ",\n".join(f"{name} AS (" + re.sub(r"\{(\w+)\}", lambda m: "1" if m[1] == "base" else m[1], SQL[name]) + ")" for name in order)
+    if not order:
+        return ""
+    return "WITH " + ",\n".join(f"{n} AS (" + re.sub(r"\{(\w+)\}", lambda m: "1" if m[1] == "base" else m[1], known[n]) + ")" for n in order)
