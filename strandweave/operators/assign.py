@@ -98,8 +98,8 @@ def first_wins(existing: DataFrame | None, new: DataFrame, keys: list[str], orde
 
 
 def award(awards: DataFrame, new: DataFrame) -> DataFrame:
-    """Awards held first, then new ones; a reference gives an edge, a start and an end only once each."""
-    order = ["path_id", "path_edge_idx", "is_forward", "match_idx", "section_start", "section_end"]
+    """Awards held first, then new ones by step; a reference gives an edge, a start and an end only once each."""
+    order = ["step", "path_id", "path_edge_idx", "is_forward", "match_idx", "section_start", "section_end"]
     chosen = first_wins(None, new, ["ref_id", "edge_id"], order)
     chosen = first_wins(None, chosen, ["ref_id", "section_start"], order)
     chosen = first_wins(None, chosen, ["ref_id", "section_end"], order).select(*SECTION)
@@ -108,31 +108,38 @@ def award(awards: DataFrame, new: DataFrame) -> DataFrame:
     return awards.unionByName(chosen)
 
 
-def settle_once(claims: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One step of ASG-5: (claims to award, claims left)."""
-    parties = dispute_party_counts(claims).where("n_parties = 1").select("ref_id")
-    others = claims.select("ref_id", "edge_id", "section_start", "section_end").distinct()
-    a, b = claims.alias("a"), others.alias("b")
-    contested = a.join(b, (F.col("a.ref_id") == F.col("b.ref_id")) & (F.col("a.edge_id") != F.col("b.edge_id")) & _touching("a", "b"), "left_semi")
-    alone = contested.join(parties, "ref_id", "left_semi")
-    left = contested.join(parties, "ref_id", "left_anti")
-    free = claims.join(contested, CLAIM, "left_anti")
-    return free.unionByName(alone), left
+def settle_once(claims: DataFrame) -> DataFrame:
+    """One step of ASG-5: the claims with ``won``: the dispute has one party, or no other edge overlaps the claim."""
+    parties = dispute_party_counts(claims)
+    sections = claims.select("ref_id", "edge_id", "section_start", "section_end").distinct()
+    a, b = sections.alias("a"), sections.alias("b")
+    contested = a.join(b, (F.col("a.ref_id") == F.col("b.ref_id")) & (F.col("a.edge_id") != F.col("b.edge_id")) & _touching("a", "b"), "left_semi").withColumn("contested", F.lit(True))
+    marked = claims.join(contested, ["ref_id", "edge_id", "section_start", "section_end"], "left").join(parties, "ref_id")
+    return marked.select(*CLAIM, (F.col("contested").isNull() | (F.col("n_parties") == 1)).alias("won"))
 
 
 def settle(state: State, most: int = 50) -> State:
-    """ASG-5. Award disputes with one party and claims that no other edge overlaps, until none is left to award."""
-    before = None
-    for _ in range(most):
-        won, left = settle_once(state.claims)
-        awards, claims = cut(award(state.awards, won), "awards"), cut(left, "claims")
-        release(state.awards, state.claims)
-        state = replace(state, awards=awards, claims=claims)
-        now = claims.count()
-        if now == before or not now:
-            return state
-        before = now
-    raise RuntimeError(f"disputes did not settle in {most} steps")
+    """ASG-5. Award disputes with one party and claims that no other edge overlaps, until none is left to award.
+
+    Each step writes one table, its claims with their outcome; the awards are made once, in the order of steps.
+    """
+    claims, won, tables = state.claims, None, []
+    for step in range(most):
+        judged = cut(settle_once(claims), "judged")
+        tables.append(judged)
+        gained = judged.where("won").count()
+        if not gained:
+            break
+        part = judged.where("won").select(*CLAIM, F.lit(step).alias("step"))
+        won = part if won is None else won.unionByName(part)
+        claims = judged.where("NOT won").select(*CLAIM)
+    else:
+        raise RuntimeError(f"disputes did not settle in {most} steps")
+    if won is None:
+        return state
+    settled = replace(state, awards=cut(award(state.awards, won), "awards"), claims=cut(claims, "claims"))
+    release(*tables, state.awards, state.claims)
+    return settled
 
 
 def coordinate_containment(points: DataFrame, edges: DataFrame) -> DataFrame:
@@ -289,7 +296,9 @@ def resolve(chosen: DataFrame, path_edges: DataFrame, candidates: DataFrame, pre
 
     def step(new: State | DataFrame) -> State:
         new = new if isinstance(new, State) else replace(state, claims=new)
-        return settle(replace(new, claims=cut(new.claims, "claims"), knaves=cut(new.knaves, "knaves")))
+        written = replace(new, claims=cut(new.claims, "claims"), knaves=new.knaves if new.knaves is state.knaves else cut(new.knaves, "knaves"))
+        # a rule that removes no claim leaves nothing new to settle
+        return written if written.claims.count() == state.claims.count() else settle(written)
 
     if coincident is not None and not centerline:
         state = step(rule_is_primary(state, coincident))
