@@ -65,7 +65,7 @@ def consolidate_sections(df: DataFrame, strict: bool = False) -> DataFrame:
         order = Window.partitionBy(*keys).orderBy("section_start", "section_end")
         reach = F.max("section_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
         fresh = F.coalesce(F.col("section_start") - reach > TOUCH_KM, F.lit(True)).cast("int")
-        islands = df.withColumn("__new", fresh).withColumn("__island", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        islands = df.select(*keys, "section_start", "section_end").distinct().withColumn("__new", fresh).withColumn("__island", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         merged = islands.groupBy(*keys, "__island").agg(F.min("section_start").alias("section_start"), F.max("section_end").alias("section_end")).drop("__island")
     else:
         merged = df.groupBy(*keys).agg(F.min("section_start").alias("section_start"), F.max("section_end").alias("section_end"))

@@ -13,7 +13,7 @@ LIB = {
     "consolidated": """SELECT a.* FROM {hull} a WHERE NOT EXISTS (SELECT 1 FROM {hull} b WHERE a.ref_id = b.ref_id AND a.edge_id = b.edge_id AND a.section_start < b.section_end AND b.section_start < a.section_end
     AND (((a.section_start <> b.section_start OR a.section_end <> b.section_end) AND ROUND(a.section_end - a.section_start, 9) <= ROUND(b.section_end - b.section_start, 9))
       OR (a.section_start = b.section_start AND a.section_end = b.section_end AND b.is_forward > a.is_forward)))""",
-    "reached": """SELECT ref_id, edge_id, is_forward, section_start, section_end, MAX(section_end) OVER (PARTITION BY ref_id, edge_id, is_forward ORDER BY section_start, section_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {claims}""",
+    "reached": """SELECT ref_id, edge_id, is_forward, section_start, section_end, MAX(section_end) OVER (PARTITION BY ref_id, edge_id, is_forward ORDER BY section_start, section_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM (SELECT DISTINCT ref_id, edge_id, is_forward, section_start, section_end FROM {claims})""",
     "islands": """SELECT *, SUM(CASE WHEN reach IS NULL OR section_start - reach > 1e-5 THEN 1 ELSE 0 END) OVER (PARTITION BY ref_id, edge_id, is_forward ORDER BY section_start, section_end ROWS UNBOUNDED PRECEDING) AS island FROM {reached}""",
     "pieces_strict": """SELECT ref_id, edge_id, is_forward, MIN(section_start) AS section_start, MAX(section_end) AS section_end FROM {islands} GROUP BY ref_id, edge_id, is_forward, island""",
     "last_idx": """SELECT path_id, MAX(path_edge_idx) AS last_idx, arg_max(edge_id, path_edge_idx) AS last_edge FROM {path_edges} GROUP BY path_id""",
