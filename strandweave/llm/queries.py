@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import compression_quality, embedding_dedup, license_scan, line_dedup, mixing, pii, quality_rules, sentencepiece, simhash, url_filter
+from strandweave.llm import compression_quality, embedding_dedup, license_scan, line_dedup, mixing, oracles, pii, quality_rules, sentencepiece, simhash, url_filter
 from strandweave.llm.common import table
 
 
@@ -58,4 +58,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
