@@ -120,13 +120,13 @@ def test_raking_meets_the_marginals(spark):
     draw = random.Random(1)
     rows = [(i, "w " * draw.randrange(10, 60), draw.choice(["a", "a", "a", "b"]), draw.choice(["en", "en", "fr"])) for i in range(600)] + [(1000, None, None, None), (None, "w w", "a", "en")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
-    mixed = mixing.mix(docs, budget=0.5, source_target={"a": 0.5, "b": 0.5}, lang_target={"en": 0.5, "fr": 0.5}).cache()
+    mixed = mixing.mix(docs, budget=0.25, source_target={"a": 0.5, "b": 0.5}, lang_target={"en": 0.5, "fr": 0.5}).cache()
     expected = {r["__source"]: r["t"] for r in mixed.selectExpr("__source", "__tokens * probability AS x").groupBy("__source").agg({"x": "sum"}).withColumnRenamed("sum(x)", "t").collect()}
     assert expected["a"] == pytest.approx(expected["b"], rel=0.01)
     total = mixed.selectExpr("sum(__tokens)", "sum(__tokens * probability)").first()
-    assert total[1] == pytest.approx(total[0] * 0.5, rel=0.01)
+    assert total[1] == pytest.approx(total[0] * 0.25, rel=0.01)
     assert mixed.count() == len(rows)
-    again = mixing.mix(docs, budget=0.5, source_target={"a": 0.5, "b": 0.5}, lang_target={"en": 0.5, "fr": 0.5})
+    again = mixing.mix(docs, budget=0.25, source_target={"a": 0.5, "b": 0.5}, lang_target={"en": 0.5, "fr": 0.5})
     assert {(r.doc_id, r.kept) for r in again.collect()} == {(r.doc_id, r.kept) for r in mixed.collect()}
     assert mixing.mixed_documents(docs.limit(0)).isEmpty()
     assert mixing.mixed_documents(docs).columns == docs.columns
