@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 MARK = "▁"
 UNKNOWN = 10.0
-REMEMBER = 200_000
+REMEMBER = 150_000
 #: Stands for a marker that is part of a text; no word is empty.
 LITERAL = ""
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
@@ -283,18 +283,25 @@ def ship(spark: SparkSession, path: str = MODEL) -> str:
     return path.rsplit("/", 1)[-1]
 
 
-def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """``docs`` with ``out_col``: the text's ids as array<int>."""
+def encode(docs: DataFrame, path: str = MODEL, text_col: str = "text", out_col: str = "ids", same_col: str | None = None) -> DataFrame:
+    """``docs`` with ``out_col``: the text's ids as array<int>; ``same_col``: whether decoding them gives the text again."""
     name = ship(docs.sparkSession, path)
-    others = [c for c in docs.columns if c != out_col]
-    schema = docs.select(*[docs[f"`{c}`"] for c in others]).schema.add(out_col, T.ArrayType(T.IntegerType()))
+    added = [c for c in (same_col, out_col) if c]
+    others = [c for c in docs.columns if c not in added]
+    schema = docs.select(*[docs[f"`{c}`"] for c in others]).schema
+    if same_col:
+        schema = schema.add(same_col, T.BooleanType())
+    schema = schema.add(out_col, T.ArrayType(T.IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(name)
         for batch in _parts(batches):
-            at = batch.schema.get_field_index(text_col)
-            ids = model.encode(batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*others, out_col])
+            texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            ids = model.encode(texts)
+            more = [pa.array(ids, pa.list_(pa.int32()))]
+            if same_col:
+                more.insert(0, pa.array([i is None or model.decode(i.tolist()) == t for i, t in zip(ids, texts, strict=True)]))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*others, *added])
 
     return docs.select(*[docs[f"`{c}`"] for c in others]).mapInArrow(run, schema)
 

@@ -198,9 +198,9 @@ def test_round_trip(spark, pieces):
 
     texts = [None, "", " ", "  two  spaces ", "▁ marker ▁▁x", "tab\tline\n\r", "字😀é" * 50, "word " * 200_000, "x" * 30_000, "\x00"]
     docs = spark.createDataFrame([(i, t, "i") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
-    coded = sentencepiece.encode(docs)
+    coded = sentencepiece.encode(docs, same_col="same")
     rows = {r.doc_id: r for r in sentencepiece.decode(coded).collect()}
-    assert [rows[i].decoded for i in range(len(texts))] == texts
+    assert [rows[i].decoded for i in range(len(texts))] == texts and all(r.same for r in rows.values())
     lib = library.SentencePieceProcessor(model_file=sentencepiece.MODEL)
     for i in (3, 5, 6):
         assert lib.decode(rows[i].ids) == texts[i]
