@@ -249,8 +249,8 @@ def infer_distance_unit(v: DataFrame) -> DataFrame:
     from the measured ones, as root mean square over the line's length."""
     m = measured(v)
     devs = [F.sqrt(F.avg(F.pow(F.col("dist") * k - F.col("at_km"), 2))).alias(u) for u, k in UNITS.items()]
-    held = m.groupBy("line_id").agg(F.max("at_km").alias("km"), *devs)
-    each = held.select("line_id", F.explode(F.array(*[F.struct(F.try_divide(u, "km").alias("deviation"), F.lit(i).alias("n"), F.lit(u).alias("unit")) for i, u in enumerate(UNITS)])).alias("e"))
+    held = m.groupBy("line_id").agg(F.max("at_km").alias("line_km"), *devs)
+    each = held.select("line_id", F.explode(F.array(*[F.struct(F.try_divide(u, "line_km").alias("deviation"), F.lit(i).alias("n"), F.lit(u).alias("unit")) for i, u in enumerate(UNITS)])).alias("e"))
     return each.groupBy("line_id").agg(F.min("e").alias("e")).select("line_id", "e.unit", "e.deviation")
 
 
