@@ -212,7 +212,7 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "sequentiality": (("ends", "lens"), f", e AS (SELECT * FROM ends JOIN lens USING (line_id)), j AS (SELECT a.line_id AS a_id, b.line_id AS b_id, a.length_km AS ak, b.length_km AS bk, {deg('b.x1', 'b.y1', 'b.x2', 'b.y2')} - {deg('a.x1', 'a.y1', 'a.x2', 'a.y2')} AS t, {km('a.x2', 'a.y2', 'b.x1', 'b.y1')} AS g, {deg('a.x2', 'a.y2', 'b.x1', 'b.y1')} AS gb FROM e a JOIN e b ON b.line_id = a.line_id + 1) "
       "SELECT a_id, b_id, ROUND(ak + 1e-9, 4) AS a_km, ROUND(bk + 1e-9, 4) AS b_km, ROUND(CASE WHEN t > 180 THEN t - 360 WHEN t < -180 THEN t + 360 ELSE t END + 1e-9, 4) AS turn, ROUND(g + 1e-9, 4) AS gap_km, ROUND(gb + 1e-9, 4) AS gap_bearing FROM j"),
     "nearest_nodes": (("nodes",), f"SELECT point_id, target_id, rank, ROUND(d + 1e-9, 5) AS dist_km FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d, target_id) AS rank FROM (SELECT a.node_id AS point_id, b.node_id AS target_id, {km('(a.lon + 0.0003)', '(a.lat + 0.0002)', 'b.lon', 'b.lat')} AS d FROM nodes a CROSS JOIN nodes b WHERE a.node_id % 20 = 0)) WHERE rank <= 4"),
-    "compact_layers": (("ref_segments", "edges"), "SELECT 'shst' AS layer, CAST(COALESCE(road_class, 6) AS VARCHAR) AS code, COUNT(*) AS n FROM ref_segments GROUP BY ALL UNION ALL SELECT 'npmrds', target_map_id, COUNT(*) FROM edges GROUP BY ALL"),
+    "compact_layers": (("ref_segments", "edges"), "SELECT 'base' AS layer, CAST(COALESCE(road_class, 6) AS VARCHAR) AS code, COUNT(*) AS n FROM ref_segments GROUP BY ALL UNION ALL SELECT 'segments', target_map_id, COUNT(*) FROM edges GROUP BY ALL"),
     "component_sizes": (("way_nodes",), "SELECT MIN(way_id) AS component, COUNT(*) + 1 AS n FROM way_nodes WHERE node_idx = 0 GROUP BY node_id"),
 }
 

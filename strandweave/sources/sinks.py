@@ -20,7 +20,7 @@ def tile_hint(code: Column, table: dict[int, tuple[str, int | None]]) -> Column:
 
 def terse_segment(df: DataFrame) -> DataFrame:
     """SNK-5. The short names of a conflation segment's columns."""
-    return df.select(F.col("segment_id").alias("id"), F.col("ref_id").alias("shst"), F.col("osm.edge_id").alias("osm"), F.col("osm.is_forward").alias("osm_fwd"), F.col("ris.edge_id").alias("ris"), F.col("tmc.edge_id").alias("tmc"), F.col("road_class").alias("n"), F.col("highway").alias("h"), F.col("federal_direction").alias("dir"))
+    return df.select(F.col("segment_id").alias("id"), F.col("ref_id").alias("ref"), F.col("osm.edge_id").alias("osm"), F.col("osm.is_forward").alias("osm_fwd"), F.col("ris.edge_id").alias("ris"), F.col("tmc.edge_id").alias("tmc"), F.col("road_class").alias("n"), F.col("highway").alias("h"), F.col("federal_direction").alias("dir"))
 
 
 def with_layer(df: DataFrame, key: str, code: Column, table: dict, properties: list[str]) -> DataFrame:
@@ -121,8 +121,8 @@ def intersection_layer(nodes: DataFrame, refs: DataFrame) -> DataFrame:
 
 def compact_layers(refs: DataFrame, edges: DataFrame) -> DataFrame:
     """SNK-14. (layer, id, code): references with their class (6 if absent), edges with their code."""
-    a = refs.select(F.lit("shst").alias("layer"), F.xxhash64("ref_id").alias("id"), F.coalesce("road_class", F.lit(6)).cast("string").alias("code"))
-    return a.unionByName(edges.select(F.lit("npmrds").alias("layer"), F.xxhash64("edge_id").alias("id"), F.col("target_map_id").alias("code")))
+    a = refs.select(F.lit("base").alias("layer"), F.xxhash64("ref_id").alias("id"), F.coalesce("road_class", F.lit(6)).cast("string").alias("code"))
+    return a.unionByName(edges.select(F.lit("segments").alias("layer"), F.xxhash64("edge_id").alias("id"), F.col("target_map_id").alias("code")))
 
 
 def path_lines(vertices: DataFrame) -> DataFrame:
