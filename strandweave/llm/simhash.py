@@ -36,11 +36,11 @@ BUCKET = 4096
 CHUNK = 1 << 16
 
 
-def text_fingerprint(text: str | None, shingle: int) -> bytes:
-    """The 8 bytes, most significant first: bit b is set if it is set in over half the shingles' hashes."""
+def shingle_chunks(text: str | None, shingle: int) -> Iterator[np.ndarray]:
+    """The hashes of a text's shingles in order, a row of 8 bytes each, ``CHUNK`` at a time; none without words."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return bytes(8)
+        return
     joined = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -48,12 +48,19 @@ def text_fingerprint(text: str | None, shingle: int) -> bytes:
         starts, ends = starts[: len(tokens) - shingle + 1], ends[shingle - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
-    counts, digest = np.zeros(64, np.int64), xxhash.xxh64_digest
+    digest = xxhash.xxh64_digest
     for at in range(0, len(starts), CHUNK):
         spans = zip(starts[at : at + CHUNK].tolist(), ends[at : at + CHUNK].tolist(), strict=True)
-        hashes = np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in spans]), np.uint8)
-        counts += np.unpackbits(hashes.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return np.packbits(2 * counts > len(starts)).tobytes()
+        yield np.frombuffer(b"".join([digest(joined[a:b], SEED) for a, b in spans]), np.uint8).reshape(-1, 8)
+
+
+def text_fingerprint(text: str | None, shingle: int) -> bytes:
+    """The 8 bytes, most significant first: bit b is set if it is set in over half the shingles' hashes."""
+    counts, n = np.zeros(64, np.int64), 0
+    for hashes in shingle_chunks(text, shingle):
+        counts += np.unpackbits(hashes, axis=1).sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+    return np.packbits(2 * counts > n).tobytes()
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
