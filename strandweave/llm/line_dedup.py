@@ -1,16 +1,19 @@
 """Line deduplication by a log-template tree.
 
 A line's path in the tree has a fixed depth: its number of tokens, then its first ``depth`` tokens; digits
-anywhere in a token are a variable field. Lines in one leaf form a template with the leaf's most frequent
-line (earliest on ties) if at least ``similarity`` of their tokens equal that line's, position by position,
-so other fields that vary are generalised too; a line less similar is a template of its own. A template that
-occurs in more than one document is dropped from all but the first document (smallest id) that holds it.
-
-Lines move between tasks as 64-bit hashes and a sketch of one character a token, in which unlike tokens look
-equal once in 94; texts are joined with their own drops once. All native; copies of a line are combined before
-any shuffle of their statistics.
-
-Lines of fewer than ``min_tokens`` tokens, blank ones among them, are always kept. Null or empty texts have
+anywhere in a token are a variable field. Within a leaf the most frequent line (earliest on ties) is a template;
+lines of which at least ``similarity`` of the tokens equal it, position by position, join it, so other fields
+that vary are generalised too. The most frequent of the lines left is the next template, and so on until every
+line has one. A template that occurs in more than one document is dropped from all but the first document
+(smallest id) that holds it.
+
+Lines move between tasks as 64-bit hashes and a sketch of one character a token. Two lines alike enough differ
+in so few tokens that one of a fixed number of stretches is equal in both: only lines that share a stretch with
+another of their leaf are compared. The first templates of all leaves are taken round by round; what they leave
+is compared pairwise within the stretches, and templates are then the lines that no template before them is like.
+All native; copies of a line are combined before any shuffle of their statistics.
+
+Lines of fewer than ``min_tokens`` tokens and blank ones are always kept. Null or empty texts have
 no lines to drop and stay as they are. Rows with a null id count as one document, smaller than all others;
 rows that repeat an id are the same document, and each is filtered alike. Empty tables give empty results.
 All other columns pass through under their names.
@@ -22,6 +25,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from strandweave.plans.cut import cut, release
 
+#: Templates of a leaf that are taken one after another before the lines left are compared pairwise.
+ROUNDS = 3
+
 
 def normal(text: Column) -> Column:
     """One space between the tokens of a line, runs of digits as variable fields, lines as they are."""
@@ -46,7 +52,47 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens:
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     forms = docs.select(key.alias("k"), F.explode(F.split(normal(F.col(text_col)), "\n")).alias("form")).select("k", F.trim("form").alias("form"))
     n = F.size(_tokens(F.col("form")))
-    return forms.where(n >= min_tokens).select("k", F.xxhash64(n, F.substring_index("form", " ", depth)).alias("leaf"), F.xxhash64("form").alias("line"), "form")
+    return forms.where((n >= min_tokens) & (F.col("form") != "")).select("k", F.xxhash64(n, F.substring_index("form", " ", depth)).alias("leaf"), F.xxhash64("form").alias("line"), "form")
+
+
+def _stretches(tokens: Column, leaf: Column, depth: int, similarity: float) -> Column:
+    """Keys of the stretches that the tokens after the first ``depth`` are split into: one more than may differ,
+    so two lines of a leaf that are alike enough agree in one at least."""
+    m = F.size(tokens)
+    rest, parts = F.greatest(m - depth, F.lit(0)), m - F.ceil(similarity * m).cast("int") + 1
+    edge = lambda i: F.floor(i * rest / parts).cast("int")
+    return F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.xxhash64(leaf, i, F.slice(tokens, edge(i) + depth + 1, edge(i + 1) - edge(i))))
+
+
+def _alike(a: str, b: str, similarity: float) -> Column:
+    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x)) >= similarity * F.size(a)
+
+
+def _templates(lines: DataFrame, depth: int, similarity: float) -> DataFrame:
+    """(leaf, line, model): the template that each of ``lines`` (leaf, line, n, first, tokens) joins, itself if none."""
+    order = lambda side="": F.struct(F.col(f"n{side}"), (F.lit(-1) - F.col(f"first{side}")).alias("first"), F.col(f"line{side}"))
+    found, left = None, lines
+    for _ in range(ROUNDS):
+        best = left.groupBy("leaf").agg(F.max_by(F.struct(F.col("line").alias("model"), F.col("tokens").alias("body")), order()).alias("m")).select("leaf", "m.*")
+        tried = cut(left.join(best, "leaf").withColumn("joins", _alike("tokens", "body", similarity)), "tried")
+        took = tried.where("joins").select("leaf", "line", "model")
+        found = took if found is None else found.unionByName(took)
+        left = tried.where("NOT joins").drop("model", "body", "joins")
+        if left.isEmpty():
+            return found
+    keyed = left.withColumn("key", F.explode(_stretches(F.col("tokens"), F.col("leaf"), depth, similarity)))
+    other = keyed.select("key", *[F.col(c).alias(f"{c}_2") for c in left.columns])
+    apart = keyed.join(other, "key").where((order() > order("_2")) & (F.col("leaf") == F.col("leaf_2")) & _alike("tokens", "tokens_2", similarity))
+    pairs = cut(apart.select("leaf", "line", order().alias("rank"), F.col("line_2").alias("later")).distinct(), "pairs")
+    while not pairs.isEmpty():
+        # lines that no line still open comes before are templates; all that are like one of them are settled
+        heads = pairs.select("leaf", "line").distinct().join(pairs.select("leaf", F.col("later").alias("line")), ["leaf", "line"], "left_anti")
+        took = cut(pairs.join(heads, ["leaf", "line"], "left_semi").groupBy("leaf", "later").agg(F.max_by("line", "rank").alias("model")).withColumnRenamed("later", "line"), "took")
+        found = found.unionByName(took)
+        settled = took.select("leaf", "line")
+        rest = pairs.join(heads, ["leaf", "line"], "left_anti").join(settled, ["leaf", "line"], "left_anti")
+        pairs = cut(rest.join(settled.withColumnRenamed("line", "later"), ["leaf", "later"], "left_anti").select(*pairs.columns), "pairs")
+    return found
 
 
 def recurring_lines(docs: DataFrame, depth: int = 4, similarity: float = 0.8, min_tokens: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -54,14 +100,14 @@ def recurring_lines(docs: DataFrame, depth: int = 4, similarity: float = 0.8, mi
     met = _lines(docs, id_col, text_col, depth, min_tokens)
     sketched = met.select("k", "leaf", "line", _sketch(F.col("form")).alias("sketch"))
     forms = cut(sketched.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.min("k").alias("first"), F.max("k").alias("last"), F.any_value("sketch").alias("sketch")), "forms")
-    # leaves whose lines differ: their tokens decide which lines share the leaf's template
-    order = F.struct("n", F.lit(-1) - F.col("first"), "line")
-    mixed = forms.groupBy("leaf").agg(F.count("*").alias("forms"), F.max(order)["line"].alias("model"), F.min("first").alias("lo"), F.max("last").alias("hi")).where("forms > 1 AND lo <> hi").select("leaf", "model")
-    mixed = cut(mixed, "mixed")
-    models = forms.join(mixed.withColumnRenamed("model", "line"), ["leaf", "line"], "left_semi").select("leaf", F.col("sketch").alias("model"))
-    same = F.size(F.filter(F.zip_with(F.split("sketch", ""), F.split("model", ""), lambda a, b: a == b), lambda x: x))
-    members = forms.join(models, "leaf").where(same >= similarity * F.length("sketch")).select("leaf", "line", F.lit(0).cast("long").alias("shared"))
-    named = cut(forms.drop("sketch").join(members, ["leaf", "line"], "left").withColumn("template", F.coalesce("shared", "line")).drop("shared"), "templates")
+    # leaves whose lines differ: their tokens decide which lines share a template
+    mixed = forms.groupBy("leaf").agg(F.count("*").alias("forms"), F.min("first").alias("lo"), F.max("last").alias("hi")).where("forms > 1 AND lo <> hi").select("leaf")
+    rivals = cut(forms.join(cut(mixed, "mixed"), "leaf").select("leaf", "line", "n", "first", "sketch"), "rivals")
+    keyed = rivals.select("leaf", "line", F.explode(_stretches(F.split("sketch", ""), F.col("leaf"), depth, similarity)).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("lines")).where("lines > 1").select("key")
+    near = rivals.join(keyed.join(shared, "key").select("leaf", "line").distinct(), ["leaf", "line"], "left_semi")
+    members = _templates(cut(near.withColumn("tokens", F.split("sketch", "")).drop("sketch"), "near"), depth, similarity)
+    named = cut(forms.drop("sketch").join(members, ["leaf", "line"], "left").withColumn("template", F.coalesce("model", "line")).drop("model"), "templates")
     often = named.groupBy("leaf", "template").agg(F.min("first").alias("keeper"), F.max("last").alias("last")).where("keeper <> last")
     gone = cut(named.join(often.drop("last"), ["leaf", "template"]).select("leaf", "line", "keeper"), "gone")
     release(forms)
@@ -74,6 +120,7 @@ def line_dedup(docs: DataFrame, depth: int = 4, similarity: float = 0.8, min_tok
     text = docs[f"`{text_col}`"]
     joined = docs.join(gone, F.coalesce(docs[f"`{id_col}`"].cast("long"), F.lit(-(1 << 63))) == F.col("__k"), "left")
     lines = F.split(text, "\n")
+    # a blank line is never among those that go
     goes = lambda form: F.array_contains("__gone", F.xxhash64(F.trim(form))) & (F.size(_tokens(F.trim(form))) >= min_tokens)
     verdicts = F.zip_with(lines, F.split(normal(text), "\n"), lambda raw, form: F.when(~goes(form), raw))
     left = F.when(F.col("__gone").isNull(), lines).otherwise(F.filter(verdicts, lambda x: x.isNotNull()))

@@ -46,7 +46,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"), min_tokens=1).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

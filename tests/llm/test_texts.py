@@ -116,6 +116,51 @@ def test_lines(spark):
     assert line_dedup.line_dedup(twice.limit(0)).isEmpty()
 
 
+def greedy(lines, similarity=0.8):
+    """The template of each (tokens, n, first) of one leaf, taken one after another."""
+    templates = []
+    for tokens in sorted(lines, key=lambda t: (-lines[t][0], lines[t][1])):
+        like = [t for t in templates if sum(a == b for a, b in zip(t, tokens, strict=True)) >= similarity * len(tokens)]
+        templates += [] if like else [tokens]
+    return templates
+
+
+def test_every_family_of_a_leaf_is_found(spark):
+    """Five families share a leaf; each variant but the first document's goes, and lines like no other stay."""
+    heads = ["one two three four", "see all the news"]
+    family = lambda h, f, i: f"{heads[h]} " + " ".join(f"{f}{c}" for c in "abcde") + f" v{chr(97 + i)}"
+    rows, alone = [], []
+    for i in range(6):
+        for h in (0, 1):
+            for f in "pqrst":
+                rows.append((len(rows) + 1, family(h, f, i), i == 0))
+        alone.append((1000 + i, f"{heads[0]} " + " ".join(f"{chr(97 + i)}z{c}" for c in "abcdef"), True))
+    out = {r.doc_id: r.n_dropped for r in line_dedup.line_dedup(spark.createDataFrame([r[:2] for r in rows + alone], "doc_id long, text string")).collect()}
+    assert all((out[i] == 0) == first for i, _, first in rows + alone)
+
+
+def test_templates_equal_taking_them_one_by_one(spark):
+    draw = random.Random(4)
+    lines = {}
+    while len(lines) < 60:
+        tokens = ("a", "b", "c", "d", *(draw.choice("xy") for _ in range(6)))
+        lines.setdefault(tokens, (draw.randrange(1, 4), len(lines)))
+    rows = [(1, i, n, first, list(t)) for i, (t, (n, first)) in enumerate(lines.items())]
+    found = line_dedup._templates(spark.createDataFrame(rows, "leaf long, line long, n long, first long, tokens array<string>"), 4, 0.8).collect()
+    model = {r.line: r.model for r in found}
+    assert len(model) == len(found)
+    assert {model.get(i, i) for i in range(60)} == {list(lines).index(t) for t in greedy(lines)}
+
+
+def test_short_lines_go_and_blank_ones_stay(spark, tmp_path):
+    from strandweave.llm import queries
+
+    rows = [(1, "All rights reserved.\n\nfirst own"), (2, "second own\n\nAll rights reserved.\n版权所有"), (3, "版权所有\n \nthird")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    out = {r.doc_id: r.text for r in queries.op9_line_dedup(spark, str(tmp_path)).collect()}
+    assert out == {1: rows[0][1], 2: "second own\n\n版权所有", 3: " \nthird"}
+
+
 def test_raking_meets_the_marginals(spark):
     draw = random.Random(1)
     rows = [(i, "w " * draw.randrange(10, 60), draw.choice(["a", "a", "a", "b"]), draw.choice(["en", "en", "fr"])) for i in range(600)] + [(1000, None, None, None), (None, "w w", "a", "en")]
