@@ -7,7 +7,9 @@ that vary are generalised too. The most frequent of the lines left is the next t
 line has one. A template that occurs in more than one document is dropped from all but the first document
 (smallest id) that holds it.
 
-Lines move between tasks as 64-bit hashes and a sketch of one character a token. Two lines alike enough differ
+Lines move between tasks as 64-bit hashes and a sketch of one character a token, in which unlike tokens look
+equal once in 94; lines that the sketch cannot tell apart are fetched again from a document that holds them,
+and 64-bit hashes of their tokens decide. Two lines alike enough differ
 in so few tokens that one of a fixed number of stretches is equal in both: only lines that share a stretch with
 another of their leaf are compared. The first templates of all leaves are taken round by round; what they leave
 is compared pairwise within the stretches, and templates are then the lines that no template before them is like.
@@ -105,8 +107,12 @@ def recurring_lines(docs: DataFrame, depth: int = 4, similarity: float = 0.8, mi
     rivals = cut(forms.join(cut(mixed, "mixed"), "leaf").select("leaf", "line", "n", "first", "sketch"), "rivals")
     keyed = rivals.select("leaf", "line", F.explode(_stretches(F.split("sketch", ""), F.col("leaf"), depth, similarity)).alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("lines")).where("lines > 1").select("key")
-    near = rivals.join(keyed.join(shared, "key").select("leaf", "line").distinct(), ["leaf", "line"], "left_semi")
-    members = _templates(cut(near.withColumn("tokens", F.split("sketch", "")).drop("sketch"), "near"), depth, similarity)
+    near = cut(rivals.drop("sketch").join(keyed.join(shared, "key").select("leaf", "line").distinct(), ["leaf", "line"], "left_semi"), "near")
+    holders = cut(near.select(F.col("first").alias("__first")).distinct(), "holders")
+    held = docs.join(holders, F.coalesce(docs[f"`{id_col}`"].cast("long"), F.lit(-(1 << 63))) == F.col("__first"), "left_semi")
+    texts = _lines(held, id_col, text_col, depth, min_tokens).join(near.select("leaf", "line"), ["leaf", "line"], "left_semi").groupBy("leaf", "line").agg(F.any_value("form").alias("form"))
+    hashes = F.transform(_tokens(F.col("form")), lambda t: F.xxhash64(t))
+    members = _templates(cut(near.join(texts, ["leaf", "line"]).withColumn("tokens", hashes).drop("form"), "tokens"), depth, similarity)
     named = cut(forms.drop("sketch").join(members, ["leaf", "line"], "left").withColumn("template", F.coalesce("model", "line")).drop("model"), "templates")
     often = named.groupBy("leaf", "template").agg(F.min("first").alias("keeper"), F.max("last").alias("last")).where("keeper <> last")
     gone = cut(named.join(often.drop("last"), ["leaf", "template"]).select("leaf", "line", "keeper"), "gone")

@@ -161,6 +161,20 @@ def test_short_lines_go_and_blank_ones_stay(spark, tmp_path):
     assert out == {1: rows[0][1], 2: "second own\n\n版权所有", 3: " \nthird"}
 
 
+def test_tokens_that_look_equal_in_the_sketch_are_told_apart(spark):
+    from pyspark.sql import functions as F
+
+    words = [f"{chr(97 + i)}{chr(97 + j)}" for i in range(26) for j in range(26)]
+    marks = {}
+    for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", line_dedup._sketch(F.col("w")).alias("mark")).collect():
+        marks.setdefault(r.mark, []).append(r.w)
+    x, y = next(m for m in marks.values() if len(m) > 1)[:2]
+    line = "one two three four five six seven {} {} {}"
+    rows = [(1, line.format(x, "this", "that")), (2, line.format(y, "some", "other"))]
+    out = {r.doc_id: r.text for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out == dict(rows)
+
+
 def test_raking_meets_the_marginals(spark):
     draw = random.Random(1)
     rows = [(i, "w " * draw.randrange(10, 60), draw.choice(["a", "a", "a", "b"]), draw.choice(["en", "en", "fr"])) for i in range(600)] + [(1000, None, None, None), (None, "w w", "a", "en")]
