@@ -1,13 +1,14 @@
 """License scans by a positional rare-token index.
 
 Templates (word sequences with mandatory key phrases) are indexed by word and position. The vocabulary's
-document frequencies over the whole corpus give each word's IDF; of a file's licence words, the ``top``
-rarest are looked up. A posting of template t at position p met at word w of the file votes for "t starts at
-w - p"; votes are summed by (file, template, start). The candidate's words are then compared in place, and the
-match counts if the IDF-weighted share of equal words reaches ``threshold`` and each key phrase stands there.
-
-All native. Words so common that over ``max_share`` of the files hold them are no lookup keys; they still
-count in the comparison. The index is broadcast: its size is that of the templates, which are a parameter of
+document frequencies over the whole corpus give each word's IDF. A template's lookup words are its rarest ones,
+as many as weigh more than the share that a match may lack: no match is without all of them, however common
+they are. A posting of template t at position p met at word w of the file proposes "t starts at w - p". The
+candidate's words are then compared in place, and the match counts if the IDF-weighted share of equal words
+reaches ``threshold`` and each key phrase stands there. Where every file holds all of a template's words, they
+weigh the same.
+
+All native. The index is broadcast: its size is that of the templates, which are a parameter of
 some dozens of short texts, and not of the data. Files without lookup words are never exploded.
 
 A null text is empty: no words, no labels, score 0. A null id is kept. Repeated rows give repeated rows.
@@ -67,8 +68,20 @@ def document_frequencies(rows: DataFrame, vocabulary: list[str]) -> tuple[int, d
     return rows.count(), counts
 
 
-def scan(docs: DataFrame, templates: dict | None = None, top: int = 4, threshold: float = 0.8, max_share: float = 0.05, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, places (base: label, start), matches (method: label, start, score)."""
+def lookups(weights: list[float], threshold: float) -> list[int]:
+    """Positions of a template, heaviest first, that together weigh more than a match may lack."""
+    room, out = (1 - threshold) * sum(weights) * (1 + 1e-9), []
+    for p in sorted(range(len(weights)), key=lambda p: (-weights[p], p)):
+        if sum(weights[q] for q in out) <= room:
+            out.append(p)
+    return out
+
+
+def scan(docs: DataFrame, templates: dict | None = None, threshold: float = 0.8, max_share: float = 0.05, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_words, places (base: label, start), matches (method: label, start, score).
+
+    ``max_share`` is taken for older callers and changes nothing: common words are looked up too.
+    """
     templates = TEMPLATES if templates is None else templates
     spark = docs.sparkSession
     texts = {label: text.split() for label, (text, _) in templates.items()}
@@ -79,7 +92,9 @@ def scan(docs: DataFrame, templates: dict | None = None, top: int = 4, threshold
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     n_files, counts = document_frequencies(rows.select(scan_words(F.col("text")).alias("w")), vocabulary)
     idf = {w: math.log((1 + n_files) / (1 + counts.get(w, 0))) for w in vocabulary}
-    keys = [w for w in vocabulary if counts.get(w, 0) <= max_share * n_files]
+    weights = {label: [idf[x] for x in t] if any(idf[x] > 0 for x in t) else [1.0] * len(t) for label, t in texts.items()}
+    entries = [(t[p], label, p) for label, t in texts.items() for p in lookups(weights[label], threshold)]
+    keys = sorted({word for word, _, _ in entries})
 
     w = F.col("w")
     place = lambda label, phrase: F.transform(_starts(w, phrase), lambda i: F.struct(F.lit(label).alias("label"), i.alias("start")))
@@ -90,14 +105,12 @@ def scan(docs: DataFrame, templates: dict | None = None, top: int = 4, threshold
     rare = F.array_intersect("w", F.array(*[F.lit(k) for k in keys])) if keys else F.expr("array()").cast("array<string>")
     every = every.select("doc_id", "mark", "w", F.size("w").cast("long").alias("n_words"), F.when(F.col("hinted"), base).otherwise(no_place).alias("places"), rare.alias("rare"))
 
-    # each candidate file's rarest licence words, at all their positions
-    weigh = F.create_map(*[F.lit(x) for k in (keys or [""]) for x in (k, float(idf.get(k, 0.0)))])
-    chosen = F.transform(F.slice(F.sort_array(F.transform("rare", lambda r: F.struct((-F.element_at(weigh, r)).alias("cost"), r.alias("word")))), 1, top), lambda s: s["word"])
-    files = cut(every.where(F.size("rare") > 0).select("doc_id", "mark", "w", chosen.alias("chosen")).dropDuplicates(["doc_id", "mark"]), "files")
-    hits = files.select("doc_id", "mark", "chosen", F.posexplode("w").alias("pos", "word")).where(F.array_contains("chosen", F.col("word"))).drop("chosen")
-    postings = spark.createDataFrame([(word, label, p, idf[word]) for label, t in texts.items() for p, word in enumerate(t)], "word string, label string, at int, idf double")
-    votes = hits.join(F.broadcast(postings), "word").groupBy("doc_id", "mark", "label", (F.col("pos") - F.col("at")).alias("start")).agg(F.sum("idf").alias("votes"))
-    bodies = spark.createDataFrame([(label, t, [idf[x] for x in t], [k for k in templates[label][1]]) for label, t in texts.items()], "label string, body array<string>, idfs array<double>, phrases array<string>")
+    # where the lookup words of each candidate file stand
+    files = cut(every.where(F.size("rare") > 0).select("doc_id", "mark", "w").dropDuplicates(["doc_id", "mark"]), "files")
+    hits = files.select("doc_id", "mark", F.posexplode("w").alias("pos", "word")).where(F.col("word").isin(keys))
+    postings = spark.createDataFrame(entries, "word string, label string, at int")
+    votes = hits.join(F.broadcast(postings), "word").select("doc_id", "mark", "label", (F.col("pos") - F.col("at")).alias("start")).distinct()
+    bodies = spark.createDataFrame([(label, t, weights[label], [k for k in templates[label][1]]) for label, t in texts.items()], "label string, body array<string>, idfs array<double>, phrases array<string>")
     aligned = votes.join(F.broadcast(bodies), "label").join(files.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "w"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")))
     equal = F.transform("body", lambda b, i: F.coalesce((F.col("start") + i >= 0) & (F.get("w", F.col("start") + i) == b), F.lit(False)))
     got = F.aggregate(F.zip_with(equal, "idfs", lambda e, x: F.when(e, x).otherwise(0.0)), F.lit(0.0), lambda a, x: a + x)

@@ -103,6 +103,15 @@ def test_licences(spark):
     assert got[6].labels == "apache-2.0" and got[7].labels == "" and got[100].labels == ""
 
 
+def test_licences_of_common_words_and_of_many_in_a_file(spark):
+    few = spark.createDataFrame([(i, "Released under the MIT License.") for i in range(3)], "doc_id long, text string")
+    assert {(r.labels, r.score) for r in license_scan.digest(license_scan.scan(few)).collect()} == {("mit-name", 1.0)}
+    every = ". ".join(text for text, _ in license_scan.TEMPLATES.values())
+    rows = [(i, f"plain text number {i} about nothing") for i in range(60)] + [(100 + i, "released under the mit license") for i in range(30)] + [(200, every)]
+    got = {r.doc_id: r.labels for r in license_scan.digest(license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert got[1] == "" and got[100] == "mit-name" and set(license_scan.TEMPLATES) <= set(got[200].split(","))
+
+
 def test_lines(spark):
     boiler = "Posted by the admin on day {} of the year"
     rows = [(1, "own line of the first doc\n" + boiler.format(1)), (2, boiler.format(22) + "\nanother line in the second doc"), (3, "Accept all cookies to read Alpha on this site today\nx"), (4, "x\nAccept all cookies to read Beta on this site today"), (5, None), (6, ""), (None, boiler.format(3))]
