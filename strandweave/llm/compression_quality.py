@@ -4,8 +4,9 @@ Two zstandard dictionaries are trained on labelled texts, one of each quality. A
 the difference of the two sizes, normalised by the larger, and the two sizes per byte are turned into a
 probability by a logistic model of second degree, fitted on labelled texts that trained neither dictionary.
 
-Fitting takes at most ``per_class`` labelled rows of each class (those with the smallest hash of the id), a
-bound that does not grow with the corpus, in the driver; the dictionaries (``DICTIONARY`` bytes each at most)
+Fitting takes at most ``per_class`` labelled ids of each class (those with the smallest hash of the id), one text
+each (the least in order where rows repeat an id) and of it the first ``SAMPLE`` characters, in the driver, a
+bound in rows and bytes that does not grow with the corpus; the dictionaries (``DICTIONARY`` bytes each at most)
 and the coefficients go to the tasks with the function, and every whole text is scored where it lies. Ids,
 languages, sources and labels are no inputs of a score.
 
@@ -26,6 +27,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 DICTIONARY = 32 << 10
 LEVEL = 3
+#: Characters of a text that teach, so at most 2 x ``per_class`` x ``SAMPLE`` reach the driver; scores are of whole texts.
+SAMPLE = 16_384
 
 
 @dataclass
@@ -109,7 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, id_col: str =
         part = known.where(F.col("__label") == label).orderBy(F.xxhash64("__id"), "__id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen.distinct()), "__id")  # at most 2 x per_class ids
-    rows = texts.select("__label", "__text", F.xxhash64("__id").alias("__order")).collect()
+    sample = texts.groupBy("__label", "__id").agg(F.min(F.substring("__text", 1, SAMPLE)).alias("__text"))
+    rows = sample.select("__label", "__text", F.xxhash64("__id").alias("__order")).collect()
     rows.sort(key=lambda r: (r["__order"], r["__text"] or ""))
     return fit_texts(*([r["__text"] or "" for r in rows if r["__label"] == label] for label in (1, 0)))
 

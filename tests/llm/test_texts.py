@@ -229,6 +229,14 @@ def test_scores_tell_held_out_texts_apart(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_one_bounded_text_an_id_teaches(spark, monkeypatch):
+    taught = []
+    monkeypatch.setattr(compression_quality, "fit_texts", lambda good, bad: taught.extend([good, bad]))
+    docs = spark.createDataFrame([(1, "b"), (1, "a" * 40_000), (1, None)] * 20 + [(3, "c"), (4, None)], "doc_id long, text string")
+    compression_quality.fit(docs, spark.createDataFrame([(1, 1), (3, 0), (4, 0)], "doc_id long, quality int").where(~compression_quality.held_out()))
+    assert taught[0] == ["a" * compression_quality.SAMPLE] and sorted(taught[1]) == ["", "c"]
+
+
 @pytest.fixture(scope="module")
 def pieces():
     with open(sentencepiece.MODEL, "rb") as f:
