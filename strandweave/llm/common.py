@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 #: ASCII white space; a word is a run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
+#: A term is a run of letters, digits and characters beyond ASCII.
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +32,10 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, SPACE), lambda w: w != "")
 
 
+def terms(text: Column) -> Column:
+    return F.filter(F.split(text, GAP), lambda w: w != "")
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -73,36 +73,40 @@ SELECT doc_id, len(ws) AS n_words, COALESCE(n_base, 0) AS n_base, first_word, la
   LEFT JOIN (SELECT rid, MAX(score) AS score FROM found GROUP BY rid) USING (rid)"""
 
 
-def op6(threshold: float = 0.8, support: int = 20, near: int = 5, reach: int = 160) -> str:
-    """Matches placed by the text between them, then PMI of the words around them against IC."""
+def op6(threshold: float = 0.8, z: float = 3.0, near: int = 5) -> str:
+    """Matches placed by the text between them, then PMI of the terms around them against IC."""
     digits = "regexp_replace(m, '[^0-9]', '', 'g')"
     luhn = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: CASE WHEN i % 2 = 1 THEN CAST(substr(reverse({digits}), i, 1) AS INT) WHEN CAST(substr(reverse({digits}), i, 1) AS INT) > 4 THEN 2 * CAST(substr(reverse({digits}), i, 1) AS INT) - 9 ELSE 2 * CAST(substr(reverse({digits}), i, 1) AS INT) END)) % 10 = 0"
+    bits = "list_sum(list_transform(list_distinct(string_split(m, '')), lambda c: -((length(m) - length(replace(m, c, ''))) / length(m)) * log2((length(m) - length(replace(m, c, ''))) / length(m))))"
     kinds = (
         ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "TRUE"),
         ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "list_bool_and(list_transform(string_split(m, '.'), lambda x: length(ltrim(x, '0')) <= 3 AND COALESCE(TRY_CAST(ltrim(x, '0') AS INT), 0) <= 255))"),
         ("card", r"[0-9]([\x20-]?[0-9])+", f"length({digits}) BETWEEN 13 AND 19 AND {luhn}"),
         ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({digits}) BETWEEN 9 AND 15"),
+        ("secret", r"[A-Za-z0-9_+=-]{20,}", f"regexp_matches(m, '[0-9].*[0-9].*[0-9]') AND regexp_matches(m, '[A-Za-z].*[A-Za-z].*[A-Za-z]') AND ROUND({bits}, 9) >= 3"),
     )
     placed = " UNION ALL ".join(
         f"SELECT rid, {n} AS ord, '{kind}' AS kind, e - length(m) AS s, e FROM (SELECT rid, m, SUM(length(g) + length(m)) OVER (PARTITION BY rid ORDER BY i) AS e FROM (SELECT rid, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g, generate_subscripts(ms, 1) AS i FROM (SELECT rid, regexp_extract_all(t, '{pattern}') AS ms, regexp_split_to_array(t, '{pattern}') AS gs FROM d WHERE regexp_matches(t, '{pattern}')))) WHERE {sound}"
         for n, (kind, pattern, sound) in enumerate(kinds)
     )
-    word = r"[^\x20\x09-\x0D]+"
-    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    return rf"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, COALESCE(text, '') AS t, md5(COALESCE(text, '')) AS mark FROM documents),
-spans AS MATERIALIZED ({placed}),
-sides AS (SELECT rid, kind, s, greatest(s - {reach}, 0) AS off, t[greatest(s - {reach}, 0)::BIGINT + 1 : s::BIGINT] AS side, TRUE AS before FROM spans JOIN d USING (rid) UNION ALL SELECT rid, kind, s, e, t[e::BIGINT + 1 : e::BIGINT + {reach}], FALSE FROM spans JOIN d USING (rid)),
-parts AS (SELECT *, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g, generate_subscripts(ms, 1) AS i FROM (SELECT *, row_number() OVER () AS sid, regexp_extract_all(side, '{word}') AS ms, regexp_split_to_array(side, '{word}') AS gs FROM sides)),
-met AS (SELECT rid, kind, {lower.format("m")} AS term, e - length(m) AS s, e FROM (SELECT *, off + SUM(length(g) + length(m)) OVER (PARTITION BY sid ORDER BY i) AS e FROM parts) WHERE CASE WHEN before THEN i > len(ms) - {near} ELSE i <= {near} END),
-free AS MATERIALIZED (SELECT DISTINCT doc_id, mark, kind, term, s, e FROM met a JOIN d USING (rid) WHERE NOT EXISTS (SELECT 1 FROM spans b WHERE b.rid = a.rid AND b.s < a.e AND a.s < b.e)),
-joint AS (SELECT kind, term, COUNT(*) AS n_joint FROM (SELECT DISTINCT doc_id, mark, kind, term FROM free) GROUP BY ALL HAVING COUNT(*) >= {support}),
-seen AS (SELECT term, COUNT(*) AS n_term FROM (SELECT unnest(list_distinct(regexp_extract_all({lower.format("t")}, '{word}'))) AS term FROM d) GROUP BY term),
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    lower = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    share = f"(n_joint::DOUBLE / n_term + {z * z} / (2 * n_term) - {z} * sqrt(n_joint::DOUBLE * (n_term - n_joint) / (n_term::DOUBLE * n_term * n_term) + {z * z} / (4 * n_term::DOUBLE * n_term))) / (1 + {z * z} / n_term)"
+    return rf"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, COALESCE(text, '') AS t, {lower} AS low FROM documents),
+spans AS MATERIALIZED (SELECT rid, ord, kind, s::BIGINT AS s, e::BIGINT AS e FROM ({placed})),
+numbered AS MATERIALIZED (SELECT rid, kind, s, e, SUM(fresh) OVER (PARTITION BY rid ORDER BY s, e, ord ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT *, CASE WHEN COALESCE(s >= MAX(e) OVER (PARTITION BY rid ORDER BY s, e, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TRUE) THEN 1 ELSE 0 END AS fresh FROM spans)),
+places AS (SELECT rid, k, MIN(s) AS s, MAX(e) AS e FROM numbered GROUP BY rid, k),
+pieces AS (SELECT rid, k, e AS spot, lead(s) OVER (PARTITION BY rid ORDER BY k) AS stop FROM (FROM places UNION ALL SELECT rid, 0, 0, 0 FROM d)),
+parts AS (SELECT rid, k, spot, regexp_extract_all(p, '{term}') AS ms, regexp_split_to_array(p, '{term}') AS gs FROM (SELECT rid, k, spot, substr(low, spot + 1, COALESCE(stop, length(low)) - spot) AS p FROM pieces JOIN d USING (rid))),
+toks AS MATERIALIZED (SELECT rid, k, m AS term, length(m) AS size, spot + SUM(length(g) + length(m)) OVER (PARTITION BY rid, k ORDER BY i) AS e, row_number() OVER (PARTITION BY rid ORDER BY k, i) AS n FROM (SELECT rid, k, spot, unnest(ms) AS m, unnest(gs[1:len(ms)]) AS g, generate_subscripts(ms, 1) AS i FROM parts)),
+ahead AS (SELECT rid, k, COALESCE(SUM(len(ms)) OVER (PARTITION BY rid ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_before FROM parts),
+joint AS (SELECT kind, term, COUNT(*) AS n_joint FROM (SELECT DISTINCT rid, kind, term FROM numbered JOIN ahead USING (rid, k) JOIN toks USING (rid) WHERE n > n_before - {near} AND n <= n_before + {near}) GROUP BY ALL),
+seen AS (SELECT term, COUNT(DISTINCT rid) AS n_term FROM toks GROUP BY term),
 kinds AS (SELECT kind, COUNT(DISTINCT rid) AS n_kind FROM spans GROUP BY kind), total AS (SELECT COUNT(*) AS n FROM d),
-said AS (SELECT kind, term FROM joint JOIN seen USING (term) JOIN kinds USING (kind) CROSS JOIN total WHERE n > n_kind AND log2(n_joint::DOUBLE * n / (n_term::DOUBLE * n_kind)) / log2(n::DOUBLE / n_kind) >= {threshold}),
-terms AS (SELECT doc_id, mark, string_agg('term:' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, e) AS spelt, COUNT(*) AS n_terms FROM (SELECT DISTINCT doc_id, mark, s, e FROM free JOIN said USING (kind, term)) GROUP BY ALL),
-base AS (SELECT rid, string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY ord, s) AS spelt, {", ".join(f"COUNT(*) FILTER (kind = '{k[0]}') AS n_{k[0]}" for k in kinds)} FROM spans GROUP BY rid)
-SELECT d.doc_id, {", ".join(f"COALESCE(n_{k[0]}, 0) AS n_{k[0]}" for k in kinds)}, sha256(COALESCE(base.spelt, '')) AS base_sha256, COALESCE(base.spelt, '') || COALESCE(',' || terms.spelt, '') AS spans, COALESCE(n_terms, 0) AS n_terms
-  FROM d LEFT JOIN base USING (rid) LEFT JOIN terms ON terms.mark = d.mark AND terms.doc_id IS NOT DISTINCT FROM d.doc_id AND base.spelt IS NOT NULL"""
+said AS (SELECT DISTINCT term FROM joint JOIN seen USING (term) JOIN kinds USING (kind) CROSS JOIN total WHERE n > n_kind AND 1 + log2({share}) / log2(n::DOUBLE / n_kind) >= {threshold}),
+terms AS (SELECT rid, string_agg('term:' || (e - size)::BIGINT || ':' || e::BIGINT, ',' ORDER BY e) AS spelt, COUNT(*) AS n_term FROM toks JOIN said USING (term) GROUP BY rid),
+base AS (SELECT rid, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY ord, s) FILTER (ord < 4) AS spelt, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s) FILTER (ord = 4) AS secrets, {", ".join(f"COUNT(*) FILTER (kind = '{k[0]}') AS n_{k[0]}" for k in kinds)}, COUNT(*) AS n_spans FROM spans GROUP BY rid)
+SELECT d.doc_id, {", ".join(f"COALESCE(n_{k[0]}, 0) AS n_{k[0]}" for k in kinds)}, sha256(COALESCE(base.spelt, '')) AS base_sha256, concat_ws(',', base.spelt, secrets, terms.spelt) AS spans, COALESCE(n_term, 0) AS n_term, COALESCE(n_spans, 0) + COALESCE(n_term, 0) AS n_spans FROM d LEFT JOIN base USING (rid) LEFT JOIN terms USING (rid)"""
 
 
 SQL = {"op3_quality_rules": OP3, "op5_mixing": op5(), "op6_pii": op6(), "op7_license_scan": op7()}

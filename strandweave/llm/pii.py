@@ -1,15 +1,20 @@
 """Personal data: base patterns, then information-theoretic sanitisation of the terms that give it away.
 
-Base spans are the leftmost non-overlapping matches of four patterns. The method then asks which terms of the
-text around them disclose them: for a kind e of entity and a term t, both counted in documents over the whole
-corpus, PMI(t; e) = log2(P(t near e) / (P(t) P(e))) is compared with the information of the entity,
-IC(e) = -log2 P(e). A term is disclosing if PMI / IC reaches ``threshold`` (1: it always stands beside such an
-entity) and it was seen beside it in ``support`` documents; its occurrences beside an entity become spans of
-kind ``term``. :func:`sanitised` generalises entities and terms to their kind or removes them.
+Base spans are the leftmost non-overlapping matches of four patterns. The method protects a fifth kind besides,
+``secret``: runs of twenty characters or more that mix letters and digits and whose characters hold at least
+three bits each, as keys and tokens do. It then asks which terms disclose that such an entity is there. A term is
+a run of letters, digits or characters beyond ASCII outside of all entities, A-Z lower-cased. With documents as
+the unit of all counts, p the share of a term's documents in which it stands within five terms of an entity of
+kind e, and IC(e) = -log2 P(e) the information of the entity, PMI(t; e) = IC(e) + log2 p. Chance is kept out by
+taking for p the lower end of its Wilson interval at ``z`` standard deviations, so that no support has to be set:
+the fewer documents a term is in, the less it is believed. A term is disclosing if PMI / IC reaches
+``threshold`` (1: it never stands elsewhere), and then all its places in all texts become spans of kind
+``term``. :func:`sanitised` generalises entities and terms to their kind or removes them.
 
 All native. Only documents with entities are exploded to the few terms around them; the corpus counts of terms
-are summed map-side before they meet the candidates, so frequent terms stay one row a task. No pattern can
-backtrack over a run: repeated groups are possessive and start only where a run starts.
+are summed map-side before they meet the candidates, so frequent terms stay one row a task; texts meet the
+disclosing terms by an equi-join of their distinct terms. No pattern can backtrack over a run: repeated groups
+are possessive and start only where a run starts.
 
 A null text is empty: no spans. A null id is kept. Repeated rows give repeated rows and count each. Empty
 tables give empty results; columns besides the id and the text are ignored.
@@ -19,8 +24,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strandweave.llm.common import SPACE, let, lower_ascii, whole_text, words
-from strandweave.plans.cut import cut
+from strandweave.llm.common import TERM, let, lower_ascii, terms, whole_text
+from strandweave.plans.cut import cut, release
 
 KINDS = ("email", "ip", "card", "phone")
 #: Each pattern finds what the plain one finds: possessive where nothing could be given back, and begun only
@@ -30,10 +35,13 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "secret": r"(?<![A-Za-z0-9_+=-])[A-Za-z0-9_+=-]{20,}+",
 }
 PART = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
-#: Terms on either side of an entity that count as near it, and the characters they are looked for in.
-NEAR, REACH = 5, 160
+#: Terms on either side of an entity that count as near it.
+NEAR = 5
+#: Bits that each character of a secret holds at least, by the frequencies of its own characters.
+BITS = 3.0
 
 
 def _digits(match: Column) -> Column:
@@ -49,6 +57,13 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), add) % 10 == 0
 
 
+def _bits(match: Column) -> Column:
+    """Shannon's entropy of the characters."""
+    n = F.length(match)
+    share = lambda c: (n - F.length(F.replace(match, c, F.lit("")))) / n
+    return F.aggregate(F.array_distinct(F.split(match, "")), F.lit(0.0), lambda acc, c: F.when(c == "", acc).otherwise(acc - share(c) * F.log2(share(c))))
+
+
 def _sound(kind: str, match: Column) -> Column:
     if kind == "email":
         return F.lit(True)
@@ -56,6 +71,8 @@ def _sound(kind: str, match: Column) -> Column:
         return match.rlike(PART)
     if kind == "phone":
         return F.length(_digits(match)).between(9, 15)
+    if kind == "secret":
+        return match.rlike("[0-9].*[0-9].*[0-9]") & match.rlike("[A-Za-z].*[A-Za-z].*[A-Za-z]") & (F.round(_bits(match), 9) >= BITS)
     return let(_digits(match), lambda d: F.when(F.length(d).between(13, 19), _luhn(d)).otherwise(F.lit(False)))
 
 
@@ -81,97 +98,126 @@ def _spans(kind: str, text: Column) -> Column:
     return F.when(hint, let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(F.size(m) > 0, place(m)).otherwise(none))).otherwise(none)
 
 
-def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, spans: base spans by kind as listed, then start."""
+def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, mark (hash of the text, which tells texts of one id apart), text, base (spans by kind as listed, then start), secrets."""
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
-    return rows.select("doc_id", "text", F.concat(*[_spans(kind, F.col("text")) for kind in KINDS]).alias("spans"))
+    return rows.select("doc_id", F.xxhash64("text").alias("mark"), "text", F.concat(*[_spans(kind, F.col("text")) for kind in KINDS]).alias("base"), _spans("secret", F.col("text")).alias("secrets"))
 
 
-def _terms(side: Column, offset: Column, last: bool) -> Column:
-    """The words of a stretch nearest to the entity, as (term, start, end); offset is where the stretch starts."""
-    pattern = r"[^\x20\x09-\x0D]+"
+def _entities() -> Column:
+    """Places of entities in order, overlapping ones as one with all their kinds."""
+    spans = F.array_sort(F.transform(F.concat("base", "secrets"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.array(s["kind"]).alias("kinds"))))
+    none = F.expr("array()").cast("array<struct<start:int,end:int,kinds:array<string>>>")
 
-    def place(found: Column) -> Column:
-        gaps = F.slice(F.split(side, pattern, -1), 1, F.size(found))
-        both = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("m")))
-        empty = F.struct(offset.cast("int").alias("at"), F.expr("array()").cast("array<struct<term:string,start:int,end:int>>").alias("out"))
+    def step(acc: Column, s: Column) -> Column:
+        last = F.element_at(acc, -1)
+        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), F.concat(last["kinds"], s["kinds"]).alias("kinds"))
+        return F.when((F.size(acc) > 0) & (s["start"] < F.get(acc, F.size(acc) - 1)["end"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(wider))).otherwise(F.concat(acc, F.array(s)))
 
-        def step(acc: Column, x: Column) -> Column:
-            start = acc["at"] + x["gap"]
-            end = start + F.length(x["m"])
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(lower_ascii(x["m"]).alias("term"), start.alias("start"), end.alias("end")))).alias("out"))
+    return F.aggregate(spans, none, lambda acc, s: F.when(F.size(acc) == 0, F.array(s)).otherwise(step(acc, s)))
+
+
+def _pieces(text: Column, places: Column) -> Column:
+    """What stands before, between and after the entities, as (at, text)."""
 
-        every = F.aggregate(both, empty, step, lambda acc: acc["out"])
-        return F.reverse(F.slice(F.reverse(every), 1, NEAR)) if last else F.slice(every, 1, NEAR)
+    def piece(i: Column) -> Column:
+        start = F.when(i == 0, F.lit(0)).otherwise(F.get(places, i - 1)["end"])
+        end = F.coalesce(F.get(places, i)["start"], F.length(text))
+        return F.struct(start.alias("at"), F.substring(text, start + 1, end - start).alias("text"))
 
-    return let(F.regexp_extract_all(side, F.lit(pattern), F.lit(0)), place)
+    return F.transform(F.sequence(F.lit(0), F.size(places)), piece)
+
+
+def _own_terms() -> Column:
+    """A text's terms in order, those of its entities left out: one array a piece."""
+    whole = F.array(terms(lower_ascii(F.col("text"))))
+    parts = lambda places: F.transform(_pieces(lower_ascii(F.col("text")), places), lambda p: terms(p["text"]))
+    return F.when(F.size("base") + F.size("secrets") == 0, whole).otherwise(let(_entities(), parts))
 
 
 def _surroundings(found: DataFrame) -> DataFrame:
-    """(doc_id, mark, kind, term, start, end) of the terms near each entity; mark tells texts of one id apart."""
-    spans = found.select("doc_id", F.xxhash64("text").alias("mark"), "text", "spans", F.explode("spans").alias("e"))
-    reach = F.greatest(F.col("e.start") - REACH, F.lit(0))
-    before = F.substring("text", reach + 1, F.col("e.start") - reach)
-    after = F.substring("text", F.col("e.end") + 1, F.lit(REACH))
-    both = F.concat(_terms(before, reach, True), _terms(after, F.col("e.end"), False))
-    # a word that an entity is part of is no term of its own
-    free = F.filter(both, lambda t: ~F.exists("spans", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return spans.select("doc_id", "mark", F.col("e.kind").alias("kind"), F.explode(free).alias("t")).select("doc_id", "mark", "kind", "t.*")
-
-
-def disclosing_terms(docs: DataFrame, found: DataFrame, near: DataFrame, threshold: float, support: int, text_col: str = "text") -> DataFrame:
-    """(kind, term, ratio) of the terms whose co-occurrence exceeds the threshold."""
-    joint = cut(near.select("doc_id", "mark", "kind", "term").distinct().groupBy("kind", "term").agg(F.count("*").alias("n_joint")).where(F.col("n_joint") >= support), "joint")
-    each = docs.select(F.explode(F.array_distinct(words(lower_ascii(whole_text(text_col))))).alias("term"))
-    seen = each.groupBy("term").agg(F.count("*").alias("n_term"))
-    entities = found.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["kind"]))).alias("kind")).groupBy("kind").agg(F.count("*").alias("n_kind"))
-    total = docs.agg(F.count("*").alias("n"))
-    pmi, information = F.log2(F.expr("double(n_joint) * n / (double(n_term) * n_kind)")), F.log2(F.expr("double(n) / n_kind"))
-    return (
-        joint.join(seen, "term")
-        .join(F.broadcast(entities), "kind")
-        .crossJoin(F.broadcast(total))
-        .select("kind", "term", F.when(information > 0, pmi / information).otherwise(F.lit(0.0)).alias("ratio"))
-        .where(F.col("ratio") >= threshold)
-    )
+    """(kind, term) of the terms near each document's entities, once a document."""
+    parts = found.select(_entities().alias("places"), _own_terms().alias("parts"))
+    counted = F.aggregate("parts", F.expr("array(0)"), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.size(p))))
+    flat = parts.select("places", F.flatten("parts").alias("terms"), counted.alias("before"))
+
+    def near(place: Column, i: Column) -> Column:
+        n = F.get("before", i + 1)  # terms before the entity
+        first = F.greatest(n - NEAR, F.lit(0))
+        return F.flatten(F.transform(F.array_distinct(place["kinds"]), lambda k: F.transform(F.slice("terms", first + 1, n - first + NEAR), lambda t: F.struct(k.alias("kind"), t.alias("term")))))
+
+    return flat.select(F.explode(F.array_distinct(F.flatten(F.transform("places", near)))).alias("e")).select("e.*")
+
+
+def disclosing_terms(found: DataFrame, threshold: float, z: float) -> DataFrame:
+    """(kind, term, ratio) of the terms of ``found`` whose co-occurrence reaches the threshold."""
+    private = cut(found.where(F.size("base") + F.size("secrets") > 0), "private")
+    joint = cut(_surroundings(private).groupBy("kind", "term").agg(F.count("*").alias("n_joint")), "joint")
+    entities = cut(private.select(F.explode(F.array_distinct(F.transform(F.concat("base", "secrets"), lambda s: s["kind"]))).alias("kind")).groupBy("kind").agg(F.count("*").alias("n_kind")), "kinds")
+    seen = found.select(F.explode(F.array_distinct(F.flatten(_own_terms()))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
+    total = found.agg(F.count("*").alias("n"))
+    share = F.expr(f"(double(n_joint) / n_term + {z * z} / (2.0D * n_term) - {z} * sqrt(double(n_joint) * (n_term - n_joint) / (double(n_term) * n_term * n_term) + {z * z} / (4.0D * n_term * n_term))) / (1 + {z * z} / n_term)")
+    information = F.log2(F.expr("double(n) / n_kind"))
+    # at most five kinds, and one total
+    rated = joint.join(seen, "term").join(F.broadcast(entities), "kind").crossJoin(F.broadcast(total)).select("kind", "term", F.when(information > 0, 1 + F.log2(share) / information).otherwise(F.lit(0.0)).alias("ratio"))
+    said = cut(rated.where(F.col("ratio") >= threshold), "disclosing")
+    release(private, joint, entities)
+    return said
+
+
+def _placed(hits: Column) -> Column:
+    """Where the terms of ``hits`` stand in the text, entities left out."""
+    none = F.expr("array()").cast("array<struct<kind:string,start:int,end:int>>")
+
+    def places(piece: Column) -> Column:
+        def within(found: Column) -> Column:
+            gaps = F.slice(F.split(piece["text"], TERM, -1), 1, F.size(found))
+            both = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("m")))
 
+            def step(acc: Column, x: Column) -> Column:
+                start = acc["at"] + x["gap"]
+                end = start + F.length(x["m"])
+                span = F.struct(F.lit("term").alias("kind"), start.alias("start"), end.alias("end"))
+                return F.struct(end.alias("at"), F.when(F.array_contains(hits, lower_ascii(x["m"])), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-def personal_data(docs: DataFrame, threshold: float = 0.8, support: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, base (array of spans), terms (array of term spans), mark (hash of the text): one row a document."""
-    every = base_spans(docs, id_col, text_col)
-    found = cut(every.where(F.size("spans") > 0), "entities")
-    near = cut(_surroundings(found), "near")
-    terms = disclosing_terms(docs, found, near, threshold, support, text_col)
-    marked = near.join(terms.select("kind", "term"), ["kind", "term"], "left_semi").groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("terms"))
-    base = found.select("doc_id", F.xxhash64("text").alias("mark"), F.col("spans").alias("base"))
-    # texts without entities have no terms: they take no part in the join
-    hit = base.join(marked.withColumnsRenamed({"doc_id": "__id", "mark": "__mark"}), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")), "left").select("doc_id", "mark", "base", "terms")
-    none = every.where(F.size("spans") == 0).select("doc_id", F.xxhash64("text").alias("mark"), F.col("spans").alias("base"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("terms"))
-    return hit.unionByName(none)
+            return F.aggregate(both, F.struct(piece["at"].alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+        return let(F.regexp_extract_all(piece["text"], F.lit(TERM), F.lit(0)), within)
+
+    return F.flatten(F.transform(let(_entities(), lambda e: _pieces(F.col("text"), e)), places))
+
+
+def personal_data(docs: DataFrame, threshold: float = 0.8, z: float = 3.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, mark, base (spans), extra (the method's spans): one row a document."""
+    every = found_spans(docs, id_col, text_col)
+    said = disclosing_terms(every, threshold, z).select("term").distinct()
+    if said.isEmpty():
+        return every.select("doc_id", "mark", "base", F.col("secrets").alias("extra"))
+    met = every.select("doc_id", "mark", F.explode(F.array_distinct(F.flatten(_own_terms()))).alias("term")).join(said, "term")
+    hits = cut(met.groupBy(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).agg(F.collect_set("term").alias("hits")), "hits")
+    joined = every.join(hits, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")), "left")
+    return joined.select("doc_id", "mark", "base", F.when(F.col("hits").isNull(), F.col("secrets")).otherwise(F.concat("secrets", _placed(F.col("hits")))).alias("extra"))
 
 
 def digest(found: DataFrame) -> DataFrame:
     """Counts, the hash of the base spans and all spans as text."""
     spelt = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-    terms = F.transform(F.coalesce("terms", F.expr("array()").cast("array<struct<start:int,end:int>>")), lambda t: F.struct(F.lit("term").alias("kind"), t["start"].alias("start"), t["end"].alias("end")))
-    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    count = lambda spans, kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select(
         "doc_id",
-        *[count(kind) for kind in KINDS],
+        *[count("base", kind) for kind in KINDS],
         F.sha2(spelt(F.col("base")), 256).alias("base_sha256"),
-        spelt(F.concat("base", terms)).alias("spans"),
-        F.size(terms).cast("long").alias("n_terms"),
+        spelt(F.concat("base", "extra")).alias("spans"),
+        count("extra", "secret"),
+        count("extra", "term"),
+        F.size(F.concat("base", "extra")).cast("long").alias("n_spans"),
     )
 
 
 def sanitised(docs: DataFrame, found: DataFrame, mode: str = "generalise", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with entities and disclosing terms replaced by ``<kind>`` or, with mode ``remove``, cut out."""
-    none = F.expr("array()").cast("array<struct<start:int,end:int>>")
-    every = F.concat(
-        F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))),
-        F.transform(F.coalesce("terms", none), lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lit("term").alias("kind"))),
-    )
-    cuts = found.where(F.size("base") > 0).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.sort_array(every).alias("__cuts")).distinct()
+    every = F.transform(F.concat("base", "extra"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    cuts = found.where(F.size("base") + F.size("extra") > 0).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.sort_array(every).alias("__cuts")).distinct()
     text = docs[f"`{text_col}`"]
     joined = docs.join(cuts, docs[f"`{id_col}`"].eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__mark")), "left")
 
