@@ -9,8 +9,10 @@ in a text travels as bytes.
 
 No piece holds a marker after another character, so words are independent: each word is segmented once per
 task and remembered, all new words of a batch in step with each other as arrays (trie steps and the dynamic
-programme run over all words at once). The memory is cleared when it reaches ``REMEMBER`` words, and texts are
-taken word by word, so a task's memory does not grow with its input.
+programme run over all words at once). A word of more than ``LONG`` bytes, as in a script without spaces, has a
+table of its own: the trie runs over a stretch of its positions at once, and the programme over the pieces found.
+The memory is cleared when it reaches ``REMEMBER`` words, long words are not kept in it, and texts are taken some
+words at a time, so a task's memory does not grow with its input but with its longest word (16 bytes a byte).
 
 Equal sums go to the longer last piece. A null text has null ids and decodes to null; an empty one has none.
 Ids, repeated rows and other columns pass through; an empty table gives an empty result.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import re
 import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +38,11 @@ LITERAL = ""
 WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Rows of a batch that are Python objects at a time.
 ROWS = 1000
-#: Words are handled in slices of about this many characters.
+#: Words are handled in slices of about this many characters; a slice ends where a word does.
 SLICE = 1 << 21
+BORDER = re.compile("(?<! ) ")
+#: Bytes from which a word has its own table, and positions that the trie runs over at a time there.
+LONG, STRETCH = 256, 1 << 14
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -194,6 +200,41 @@ class Model(Decoder):
             out[w] = np.array(ids, np.int32).tobytes()
         return out
 
+    def segment_long(self, word: bytes) -> bytes:
+        """The best ids (packed) of one long word."""
+        trie, n = self.trie, len(word)
+        flat = np.frombuffer(word + bytes(trie.longest + 8), np.uint8).astype(np.int64)
+        best, back, which = array("d", [-np.inf]) * (n + 1), array("i", [0]) * (n + 1), array("i", [-1]) * (n + 1)
+        best[0] = 0.0
+        for first in range(0, n, STRETCH):
+            at = np.arange(first, min(n, first + STRETCH))
+            lead = flat[at]
+            at, lead = at[lead & 0xC0 != 0x80], lead[lead & 0xC0 != 0x80]
+            sizes = np.minimum(np.where(lead < 0x80, 1, np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4))), n - at)
+            found = [(at, sizes, np.full(len(at), -1), np.full(len(at), self.unknown))]
+            live, state = at, np.zeros(len(at), np.int64)
+            for depth in range(trie.longest):
+                ahead = live + depth < n
+                live, state = live[ahead], state[ahead]
+                following = trie.base[state] + flat[live + depth]
+                good = (trie.base[state] > 0) & (trie.check[following] == state)
+                live, state = live[good], following[good]
+                piece = trie.leaf[state]
+                ends = piece >= 0
+                found.append((live[ends], np.full(int(ends.sum()), depth + 1), piece[ends], self.scores[piece[ends]]))
+            starts, sizes, pieces, scores = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(starts, kind="stable")
+            for s, size, piece, score in zip(starts[order].tolist(), sizes[order].tolist(), pieces[order].tolist(), scores[order].tolist(), strict=True):
+                total, end = best[s] + score, s + size
+                if total > best[end] or (total == best[end] and size > back[end] and total > -np.inf):
+                    best[end], back[end], which[end] = total, size, piece
+        ids, at = array("i"), n
+        while at:
+            size, piece = back[at], which[at]
+            ids.extend([int(self.ids[piece])] if piece >= 0 else [self.byte_ids[b] for b in reversed(word[at - size : at])])
+            at -= size
+        return np.array(ids, np.int32)[::-1].tobytes()
+
     @staticmethod
     def _better(best, back, which, rows, at, size, piece, score) -> None:
         end = at + size
@@ -220,12 +261,16 @@ class Model(Decoder):
                 yield [LITERAL]
                 continue
             lead = MARK if i == 0 and text else ""
-            for at in range(0, max(1, len(piece)), SLICE):
-                # a slice ends within a word only if its last word is cut there, which costs no round trip
-                found = WORDS.findall(lead + piece[at : at + SLICE].replace(" ", MARK))
+            at = 0
+            while True:
+                border = BORDER.search(piece, at + SLICE)
+                end = border.start() if border else len(piece)
+                found = WORDS.findall(lead + piece[at:end].replace(" ", MARK))
                 if found:
                     yield found
-                lead = ""
+                if end == len(piece):
+                    break
+                at, lead = end, ""
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Each text's ids. New words are learnt from about a slice of text at a time."""
@@ -239,10 +284,12 @@ class Model(Decoder):
             if len(self.known) + len(fresh) > REMEMBER:
                 self.known = {LITERAL: self.literal}
                 fresh = set().union(*[found for _, found in held]) - {LITERAL}
-            if fresh:
-                self._learn(list(fresh))
+            raw = {w: w.encode("utf-8", "surrogatepass") for w in fresh if len(w) > LONG // 4}
+            long = {w: self.segment_long(b) for w, b in raw.items() if len(b) > LONG}
+            if len(fresh) > len(long):
+                self._learn([w for w in fresh if w not in long])
             for i, found in held:
-                ids[i].append(b"".join(map(self.known.__getitem__, found)))
+                ids[i].append(b"".join([self.known[w] if w in self.known else long[w] for w in found] if long else map(self.known.__getitem__, found)))
             held.clear()
 
         for i, text in enumerate(texts):
