@@ -1,13 +1,21 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Documents fall into cells of source, language and topic. The cells' token weights are raked in turn to the
-target shares of the three marginals, ``rounds`` times. A cell's raked weight over its tokens is its factor;
-a document is kept with probability min(1, rate x factor), the rate found so that the expected tokens are
-``budget`` of all tokens: cells whose probability reaches 1 are full, and the rest share what is left. The
-draw is a fixed hash of the id, so a run repeats itself and tasks may be retried.
+Documents fall into cells of source, language and topic. Each cell's expected tokens are raked in turn to the
+targets of the three marginals, ``rounds`` times, under the bound that no cell can give more tokens than it has:
+a cell that is full stays full while its marginal is short, and the others share what is missing. A document is
+kept with the probability of its cell, its expected tokens over its tokens. The draw is a fixed hash of the id,
+so a run repeats itself and tasks may be retried. ``residual`` reports what is left: the largest difference of a
+marginal's expected share from its target.
 
-Targets are shares by value; without them, a marginal's observed shares to the power ``temper``, which damps
-what is large. Only the cells' sums are shuffled (map-side combined), never texts; a hot source is one row.
+Targets are shares by value. Where they are given, ``budget`` (the share of all tokens to keep) is lowered to
+what the scarcest value allows. Where not, a marginal's targets are its observed shares to the power ``temper``,
+which damps what is large, but no value is asked for more than (3 + budget) / 4 of what it has.
+
+A topic is the seed word that a text holds most often (the first in order on ties), or ``other``. Seed words are
+taken from the corpus: the ``topics`` words of at least ``SEED_LENGTH`` characters that stand in the most
+documents but in at most ``SEED_SHARE`` of them.
+
+Only the cells' sums and word counts are shuffled (map-side combined), never texts; a hot source is one row.
 
 Null source, language or text count as ''. A null id draws as ''. Repeated rows share one draw. Values that a
 given target lacks get weight 0. Empty tables give empty results. Other columns pass through.
@@ -17,73 +25,100 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strandweave.llm.common import whole_text
+from strandweave.llm.common import let, lower_ascii, whole_text, words
 from strandweave.plans.cut import cut, release
 
-MARGINALS = ("__source", "__lang", "__topic")
+MARGINALS = ("source", "lang", "topic")
+SEED_LENGTH, SEED_SHARE = 5, 0.05
+FULL = 1 - 1e-12
 
 
-def topic(text: Column) -> Column:
-    """A coarse topic from the text alone."""
-    return (
-        F.when(text.contains("icense") | text.contains("eserved"), "notice")
-        .when(text.contains("@"), "contact")
-        .when(text.contains(" | "), "list")
-        .when(F.length(text) < 400, "short")
-        .otherwise("prose")
-    )
+def seed_words(texts: DataFrame, topics: int) -> list[str]:
+    """At most ``topics`` words of (text): a list whose length is a parameter."""
+    long = F.filter(words(lower_ascii(F.col("text"))), lambda w: F.length(w) >= SEED_LENGTH)
+    seen = texts.select(F.explode(F.array_distinct(long)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return [r["word"] for r in seen.where(F.col("n") <= SEED_SHARE * texts.count()).orderBy(F.desc("n"), "word").limit(topics).collect()]
+
+
+def _celled(rows: DataFrame, seeds: list[str]) -> DataFrame:
+    """``rows`` (text, source, lang and others) with topic and tokens."""
+    found = words(lower_ascii(F.col("text")))
+
+    def topic(hits: Column) -> Column:
+        counts = F.array(*[F.struct((F.size(F.array_remove(hits, s)) - F.size(hits)).alias("n"), F.lit(s).alias("word")) for s in seeds])
+        return F.when(F.size(hits) == 0, "other").otherwise(F.array_min(counts)["word"])
+
+    told = (lambda w: let(F.filter(w, lambda x: x.isin(seeds)), topic)) if seeds else (lambda w: F.lit("other"))
+    both = let(found, lambda w: F.struct(F.size(w).cast("long").alias("tokens"), told(w).alias("topic")))
+    return rows.withColumn("said", both).select(*[c for c in rows.columns if c != "text"], "said.topic", "said.tokens")
+
+
+def feasible_budget(cells: DataFrame, given: dict[str, dict[str, float] | None], budget: float) -> float:
+    """The budget, or what the scarcest value of the given targets allows."""
+    total = cells.agg(F.sum("tokens")).first()[0]
+    for marginal, target in given.items():
+        if target is not None and total:
+            wanted = _shares(target, marginal)
+            seen = cells.groupBy(marginal).agg(F.sum("tokens").alias("t")).where("t > 0").withColumn("share", wanted)
+            whole = seen.agg(F.sum("share")).first()[0]
+            least = seen.where("share > 0").agg(F.min(F.col("t") / F.col("share"))).first()[0]
+            budget = min(budget, (least or 0.0) * (whole or 0.0) / total)
+    return budget
 
 
-def _celled(docs: DataFrame, source_col: str, lang_col: str, text_col: str) -> DataFrame:
-    text = whole_text(text_col)
-    return docs.withColumns({
-        "__source": F.coalesce(F.col(source_col), F.lit("")),
-        "__lang": F.coalesce(F.col(lang_col), F.lit("")),
-        "__topic": topic(text),
-        "__tokens": F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long"),
-    })
+def _shares(target: dict[str, float], marginal: str) -> Column:
+    return F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in target.items() for x in kv]), F.col(marginal)), F.lit(0.0)).cast("double")
 
 
-def _targets(cells: DataFrame, marginal: str, given: dict[str, float] | None, temper: float) -> DataFrame:
-    """(value, target), targets summing to 1 over the values that occur."""
-    seen = cells.groupBy(marginal).agg(F.sum("tokens").alias("t")).where("t > 0")
+def _targets(cells: DataFrame, marginal: str, given: dict[str, float] | None, temper: float, budget: float, fills: int = 8) -> DataFrame:
+    """(value, target): expected tokens, ``budget`` of all in sum, over the values that occur."""
+    seen = cells.groupBy(marginal).agg(F.sum("tokens").cast("double").alias("t")).where("t > 0")
+    raw = cut(seen.select(marginal, "t", (F.pow("t", F.lit(temper)) if given is None else _shares(given, marginal)).alias("raw")), "raw")
+    first = raw.agg(F.sum("t").alias("t"), F.sum("raw").alias("raw")).first()
+    want = budget * (first["t"] or 0.0)
+    rate = want / first["raw"] if first["raw"] else 0.0
+    most = F.col("t") * ((3 + budget) / 4)
     if given is not None:
-        share = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in given.items() for x in kv]), F.col(marginal)), F.lit(0.0))
-    else:
-        share = F.pow(F.col("t").cast("double"), F.lit(temper))
-    raw = seen.select(marginal, share.cast("double").alias("raw"))
-    return raw.crossJoin(F.broadcast(raw.agg(F.sum("raw").alias("all")))).select(marginal, F.expr("raw / all").alias("target"))
+        return raw.select(marginal, (F.col("raw") * rate).alias("target"))
+    for _ in range(fills):
+        over = F.col("raw") * rate >= most
+        row = raw.agg(F.sum(F.when(over, most).otherwise(0.0)).alias("held"), F.sum(F.when(over, 0.0).otherwise(F.col("raw"))).alias("rest")).first()
+        following = (want - row["held"]) / row["rest"] if row["rest"] else rate
+        if following <= rate:
+            break
+        rate = following
+    return raw.select(marginal, F.least(F.col("raw") * rate, most).alias("target"))
+
 
+def _scaled(cells: DataFrame, marginal: str, target: DataFrame) -> DataFrame:
+    """One marginal raked: down by one factor; up by a factor for the cells that are not full yet."""
+    sums = cells.groupBy(marginal).agg(F.sum("weight").alias("sum"), F.sum(F.when(F.col("weight") >= F.col("tokens") * FULL, F.col("weight")).otherwise(0.0)).alias("full"))
+    scale = sums.join(target, marginal).select(marginal, F.expr("CASE WHEN sum > 0 AND target <= sum THEN target / sum END").alias("down"), F.expr("CASE WHEN target > sum AND sum > full THEN (target - full) / (sum - full) END").alias("up"))
+    raised = F.when(F.col("weight") < F.col("tokens") * FULL, F.least(F.col("tokens").cast("double"), F.col("weight") * F.col("up"))).otherwise(F.col("weight"))
+    weight = F.when(F.col("down").isNotNull(), F.col("weight") * F.col("down")).when(F.col("up").isNotNull(), raised).otherwise(F.col("weight"))
+    return cells.join(scale, marginal, "left").withColumn("weight", weight).drop("down", "up")
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 8) -> DataFrame:
-    """``cells`` (marginals, tokens) with ``weight``: shares of the mix, raked to the targets."""
-    state = cut(cells.withColumn("weight", F.col("tokens").cast("double")), "cells")
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, rounds: int = 16) -> DataFrame:
+    """``cells`` (marginals, tokens) with ``weight``: expected tokens, at most the tokens there are."""
+    state = cut(cells.withColumn("weight", F.col("tokens") * F.lit(float(budget))), "cells")
     for _ in range(rounds):
         fitted = state
         for marginal, target in targets.items():
-            sums = fitted.groupBy(marginal).agg(F.sum("weight").alias("sum")).where("sum > 0")
-            scale = sums.join(target, marginal).select(marginal, F.expr("target / sum").alias("scale"))
-            fitted = fitted.join(scale, marginal, "left").withColumn("weight", F.col("weight") * F.coalesce("scale", F.lit(0.0))).drop("scale")
+            fitted = _scaled(fitted, marginal, target)
         following = cut(fitted, "cells")
         release(state)
         state = following
     return state
 
 
-def probabilities(raked: DataFrame, budget: float, rounds: int = 20) -> DataFrame:
-    """``raked`` with ``probability``; each round fills the cells that the last rate lifted to 1 or more."""
-    factored = raked.withColumn("factor", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(0.0)))
-    rate = None
-    for _ in range(rounds):
-        full = F.lit(False) if rate is None else F.col("factor") * rate >= 1
-        row = factored.agg(F.sum("tokens").alias("all"), F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("rest")).first()
-        if not row["all"] or not row["rest"]:
-            break
-        following = max(0.0, (budget * row["all"] - row["full"]) / row["rest"])
-        if rate is not None and following <= rate:
-            break
-        rate = following
-    return factored.withColumn("probability", F.least(F.lit(1.0), F.col("factor") * F.lit(rate or 0.0)))
+def residual(raked: DataFrame, targets: dict[str, DataFrame]) -> float:
+    """The largest difference of a marginal's share of the mix from its target."""
+    total, worst = raked.agg(F.sum("weight")).first()[0], 0.0
+    for marginal, target in targets.items():
+        away = raked.groupBy(marginal).agg(F.sum("weight").alias("sum")).join(target, marginal).agg(F.max(F.abs(F.col("sum") - F.col("target")))).first()[0]
+        worst = max(worst, (away or 0.0) / total if total else 0.0)
+    return worst
 
 
 def draw(id_col: str, seed: int) -> Column:
@@ -95,8 +130,9 @@ def draw(id_col: str, seed: int) -> Column:
 def mix(
     docs: DataFrame,
     budget: float = 0.8,
-    temper: float = 0.7,
-    rounds: int = 8,
+    temper: float = 0.85,
+    rounds: int = 16,
+    topics: int = 12,
     seed: int = 3,
     source_target: dict[str, float] | None = None,
     lang_target: dict[str, float] | None = None,
@@ -106,18 +142,29 @@ def mix(
     lang_col: str = "lang",
     text_col: str = "text",
 ) -> DataFrame:
-    """``docs`` with __source, __lang, __topic, __tokens, probability and kept."""
-    rows = _celled(docs, source_col, lang_col, text_col)
-    cells = cut(rows.groupBy(*MARGINALS).agg(F.sum("__tokens").alias("tokens")), "cells")
+    """row (struct of the columns of ``docs``), source, lang, topic, tokens, probability, residual and kept."""
+    named = docs.select(
+        F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+        docs[f"`{id_col}`"].alias("id"),
+        whole_text(f"`{text_col}`").alias("text"),
+        F.coalesce(docs[f"`{source_col}`"], F.lit("")).alias("source"),
+        F.coalesce(docs[f"`{lang_col}`"], F.lit("")).alias("lang"),
+    )
+    seeds = seed_words(named.select("text"), topics)
+    rows = _celled(named, seeds)
+    cells = cut(rows.groupBy(*MARGINALS).agg(F.sum("tokens").alias("tokens")), "cells")
     given = dict(zip(MARGINALS, (source_target, lang_target, topic_target), strict=True))
-    targets = {m: cut(_targets(cells, m, given[m], temper), "target") for m in MARGINALS}
-    judged = cut(probabilities(rake(cells, targets, rounds), budget).select(*MARGINALS, "probability"), "probabilities")
-    return rows.join(judged, list(MARGINALS), "left").withColumn("kept", draw(id_col, seed) < F.coalesce("probability", F.lit(0.0)))
+    budget = feasible_budget(cells, given, budget)
+    targets = {m: cut(_targets(cells, m, given[m], temper, budget), "target") for m in MARGINALS}
+    raked = rake(cells, targets, budget, rounds)
+    share = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(F.lit(0.0))
+    judged = cut(raked.select(*MARGINALS, share.alias("probability")), "probabilities")
+    left = residual(raked, targets)
+    release(cells, raked, *targets.values())
+    joined = rows.join(judged, list(MARGINALS), "left")
+    return joined.select("row", *MARGINALS, "tokens", "probability", F.lit(left).alias("residual"), (draw("id", seed) < F.coalesce("probability", F.lit(0.0))).alias("kept"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the draw keeps, with their own columns."""
-    whole = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("__row")
-    names = {"id_col": "doc_id", "source_col": "source", "lang_col": "lang", "text_col": "text"} | {k: v for k, v in options.items() if k.endswith("_col")}
-    narrowed = docs.select(whole, *[docs[f"`{v}`"].alias(f"__{k}") for k, v in names.items()])
-    return mix(narrowed, **options | {k: f"__{k}" for k in names}).where("kept").select("__row.*")
+    return mix(docs, **options).where("kept").select("row.*")

@@ -21,28 +21,36 @@ b AS (SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_rep
 SELECT *, bits & 3 <> 0 AS base_failed, bits = 0 AS kept FROM b"""
 
 
-def op5(rounds: int = 8, fills: int = 20, budget: float = 0.8, temper: float = 0.7, seed: int = 3) -> str:
-    """The raking unrolled: three scalings a round, then the rate that fills the budget."""
+def op5(rounds: int = 16, fills: int = 8, budget: float = 0.8, temper: float = 0.85, topics: int = 12, seed: int = 3) -> str:
+    """The raking unrolled: three bounded scalings a round, towards targets that no value is too scarce for."""
     marginals = ("source", "lang", "topic")
+    full, most = 1 - 1e-12, (3 + budget) / 4
     ctes = [
-        r"""d AS MATERIALIZED (SELECT doc_id, COALESCE(source, '') AS source, COALESCE(lang, '') AS lang, len(regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+')) AS tokens,
-    CASE WHEN contains(COALESCE(text, ''), 'icense') OR contains(COALESCE(text, ''), 'eserved') THEN 'notice' WHEN contains(COALESCE(text, ''), '@') THEN 'contact' WHEN contains(COALESCE(text, ''), ' | ') THEN 'list' WHEN length(COALESCE(text, '')) < 400 THEN 'short' ELSE 'prose' END AS topic FROM documents)""",
-        "w0 AS MATERIALIZED (SELECT source, lang, topic, SUM(tokens) AS tokens, SUM(tokens)::DOUBLE AS weight FROM d GROUP BY ALL)",
+        r"""w AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, COALESCE(source, '') AS source, COALESCE(lang, '') AS lang, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents)""",
+        f"seeds AS MATERIALIZED (SELECT x AS word FROM (SELECT unnest(list_distinct(ws)) AS x FROM w) WHERE length(x) >= 5 GROUP BY x HAVING COUNT(*) <= 0.05 * (SELECT COUNT(*) FROM w) ORDER BY COUNT(*) DESC, x LIMIT {topics})",
+        "told AS (SELECT rid, word, row_number() OVER (PARTITION BY rid ORDER BY COUNT(*) DESC, word) AS place FROM (SELECT rid, unnest(ws) AS word FROM w) JOIN seeds USING (word) GROUP BY rid, word)",
+        "d AS MATERIALIZED (SELECT doc_id, source, lang, len(ws) AS tokens, COALESCE(word, 'other') AS topic FROM w LEFT JOIN (SELECT rid, word FROM told WHERE place = 1) USING (rid))",
+        f"w0 AS MATERIALIZED (SELECT source, lang, topic, SUM(tokens) AS tokens, SUM(tokens) * {budget}::DOUBLE AS weight FROM d GROUP BY ALL)",
     ]
     for m in marginals:
-        ctes.append(f"t_{m} AS MATERIALIZED (SELECT {m}, raw / SUM(raw) OVER () AS target FROM (SELECT {m}, pow(SUM(tokens)::DOUBLE, {temper}) AS raw FROM w0 GROUP BY {m} HAVING SUM(tokens) > 0))")
+        ctes.append(f"s_{m} AS MATERIALIZED (SELECT {m}, SUM(tokens)::DOUBLE AS t, pow(SUM(tokens)::DOUBLE, {temper}) AS raw FROM w0 GROUP BY {m} HAVING SUM(tokens) > 0)")
+        ctes.append(f"c_{m}0 AS MATERIALIZED (SELECT SUM(t) * {budget}::DOUBLE / SUM(raw) AS rate FROM s_{m})")
+        for k in range(fills):
+            ctes.append(f"c_{m}{k + 1} AS MATERIALIZED (SELECT greatest(any_value(rate), (SUM(t) * {budget}::DOUBLE - SUM(CASE WHEN raw * rate >= t * {most}::DOUBLE THEN t * {most}::DOUBLE ELSE 0 END)) / NULLIF(SUM(CASE WHEN raw * rate >= t * {most}::DOUBLE THEN 0 ELSE raw END), 0)) AS rate FROM s_{m} CROSS JOIN c_{m}{k})")
+        ctes.append(f"t_{m} AS MATERIALIZED (SELECT {m}, least(raw * rate, t * {most}::DOUBLE) AS target FROM s_{m} CROSS JOIN c_{m}{fills})")
     step = 0
     for _ in range(rounds):
         for m in marginals:
-            ctes.append(f"w{step + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, weight * COALESCE(scale, 0) AS weight FROM w{step} LEFT JOIN (SELECT {m}, target / s AS scale FROM (SELECT {m}, SUM(weight) AS s FROM w{step} GROUP BY {m} HAVING SUM(weight) > 0) JOIN t_{m} USING ({m})) USING ({m}))")
+            ctes.append(
+                f"w{step + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, CASE WHEN s > 0 AND target <= s THEN weight * (target / s) WHEN target > s AND s > f AND weight < tokens * {full!r}::DOUBLE THEN least(tokens::DOUBLE, weight * ((target - f) / (s - f))) ELSE weight END AS weight"
+                f" FROM w{step} LEFT JOIN (SELECT {m}, SUM(weight) AS s, SUM(CASE WHEN weight >= tokens * {full!r}::DOUBLE THEN weight ELSE 0 END) AS f, any_value(target) AS target FROM w{step} JOIN t_{m} USING ({m}) GROUP BY {m}) USING ({m}))"
+            )
             step += 1
-    ctes.append(f"f AS MATERIALIZED (SELECT *, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS factor FROM w{step})")
-    ctes.append(f"r0 AS MATERIALIZED (SELECT {budget} * SUM(tokens) / SUM(weight) AS rate FROM f)")
-    for k in range(fills):
-        ctes.append(f"r{k + 1} AS MATERIALIZED (SELECT greatest(any_value(rate), COALESCE(({budget} * SUM(tokens) - COALESCE(SUM(tokens) FILTER (factor * rate >= 1), 0)) / NULLIF(SUM(weight) FILTER (factor * rate < 1), 0), 0)) AS rate FROM f CROSS JOIN r{k})")
-    ctes.append(f"p AS MATERIALIZED (SELECT source, lang, topic, least(1, factor * rate) AS probability FROM f CROSS JOIN r{fills})")
+    ctes.append(f"p AS MATERIALIZED (SELECT source, lang, topic, CASE WHEN tokens > 0 THEN weight / tokens ELSE 0 END AS probability FROM w{step})")
+    away = " UNION ALL ".join(f"SELECT ABS(SUM(weight) - any_value(target)) AS x FROM w{step} JOIN t_{m} USING ({m}) GROUP BY {m}" for m in marginals)
+    ctes.append(f"r AS (SELECT ROUND(MAX(x) / (SELECT SUM(weight) FROM w{step}), 4) AS residual FROM ({away}))")
     draw = f"('0x' || substr(md5('{seed}:' || COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 8))::UBIGINT / 4294967296"
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, source, lang, topic, tokens, ROUND(probability, 6) AS probability, {draw} < probability AS kept FROM d JOIN p USING (source, lang, topic)"
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, source, lang, topic, tokens, ROUND(probability, 6) AS probability, residual, {draw} < probability AS kept FROM d JOIN p USING (source, lang, topic) CROSS JOIN r"
 
 
 def op7(top: int = 4, threshold: float = 0.8, max_share: float = 0.05) -> str:

@@ -28,7 +28,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", F.col("__source").alias("source"), F.col("__lang").alias("lang"), F.col("__topic").alias("topic"), F.col("__tokens").alias("tokens"), F.round("probability", 6).alias("probability"), "kept")
+    return mixed.select("row.doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), F.round("residual", 4).alias("residual"), "kept")
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
