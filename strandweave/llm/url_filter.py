@@ -8,10 +8,12 @@ url is matched by an inverted index: a rule is filed under its rarest token, so
 filed under tokens it has, and the remaining tokens are checked in place. The most confident, then best
 supported rule decides; without any, the verdict is ``default``.
 
-All native: Spark ML's FP-growth and DataFrame operations. Mining sees one transaction for each distinct
-combination of tokens that its minimum support could use, and identifiers are generalised to ``#``. At most
-1/support tokens can be frequent and a rule has at most ``longest`` of them, so the rules have a bound that
-the data do not move; beyond ``MOST_RULES`` they are joined by shuffle instead of broadcast.
+All native: Spark ML's FP-growth and DataFrame operations. Every labelled url is a transaction, and identifiers
+are generalised to ``#``. A token that stands with one verdict only makes a rule by itself, and any longer rule
+with it is superfluous; mining sees the other tokens of enough support. FP-growth has no limit to the length of
+its sets, so where a url has more than ``WIDE`` such tokens the sets are counted level by level to ``longest``
+instead, which gives the same rules. At most (tokens a url) / support tokens can be frequent, whatever the number
+of urls; beyond ``MOST_RULES`` the rules are joined by shuffle instead of broadcast.
 
 A null url, or one without ``://``, has an empty host and path: no seed rule fits it and it has no tokens, so
 it gets ``default``. A null id is kept, repeated rows stay, an empty table gives an empty result; columns
@@ -20,6 +22,8 @@ besides the id and the url are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -30,6 +34,8 @@ from strandweave.plans.cut import cut
 SEEDS = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 VERDICT = "verdict:"
 MOST_RULES = 20_000
+#: Tokens of a url up to which FP-growth mines all combinations.
+WIDE = 12
 
 
 def host_of(url: Column) -> Column:
@@ -59,16 +65,48 @@ def tokens(url: Column) -> Column:
     return F.when(F.col("host") == "", F.expr("array()").cast("array<string>")).otherwise(F.array_distinct(F.concat(suffixes, parts, names)))
 
 
-def mine(labelled: DataFrame, support: float, confidence: float, longest: int) -> DataFrame:
-    """(antecedent, verdict, confidence, support): rules from (tokens, seed), superfluous ones removed."""
-    items = labelled.select(F.concat("tokens", F.array(F.concat(F.lit(VERDICT), F.col("seed")))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
-    rules = model.associationRules.where(F.element_at("consequent", 1).startswith(VERDICT) & (F.size("antecedent") <= longest)).select(
+def _fp_growth(items: DataFrame, support: float, confidence: float, longest: int) -> DataFrame:
+    baskets = items.select(F.concat("tokens", F.array(F.concat(F.lit(VERDICT), F.col("seed")))).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
+    return model.associationRules.where(F.element_at("consequent", 1).startswith(VERDICT) & (F.size("antecedent") <= longest)).select(
         F.array_sort("antecedent").alias("antecedent"),
         F.substring(F.element_at("consequent", 1), len(VERDICT) + 1, 99).alias("verdict"),
         "confidence",
         "support",
     ).where(~F.exists("antecedent", lambda t: t.startswith(VERDICT)))
+
+
+def _level_wise(items: DataFrame, support: float, confidence: float, longest: int) -> DataFrame:
+    """The rules of :func:`_fp_growth` by growing frequent sets a token at a time."""
+    n = items.count()
+    sets = cut(items.where(F.size("tokens") > 0).groupBy(F.array_sort("tokens").alias("tokens"), "seed").agg(F.count("*").alias("weight")), "sets")
+    grown, rules = sets.select("tokens", "seed", "weight", F.posexplode("tokens").alias("at", "token")).withColumn("antecedent", F.array("token")).drop("token"), None
+    for level in range(longest):
+        held = cut(grown, "grown")
+        counts = cut(held.groupBy("antecedent", "seed").agg(F.sum("weight").alias("both")), "counts")
+        whole = counts.groupBy("antecedent").agg(F.sum("both").alias("all"), F.max("both").alias("most"))
+        sure = counts.join(whole, "antecedent").where((F.col("both") >= math.ceil(support * n)) & (F.col("both") / F.col("all") >= confidence))
+        found = sure.select("antecedent", F.col("seed").alias("verdict"), (F.col("both") / F.col("all")).alias("confidence"), (F.col("both") / F.lit(n)).alias("support"))
+        rules = found if rules is None else rules.unionByName(found)
+        open_ = held.join(whole.where(F.col("most") >= math.ceil(support * n)).select("antecedent"), "antecedent", "left_semi")
+        following = open_.select("antecedent", "tokens", "seed", "weight", F.explode(F.expr("CASE WHEN at + 1 < size(tokens) THEN sequence(at + 1, size(tokens) - 1) ELSE array() END")).alias("at"))
+        grown = following.select("tokens", "seed", "weight", "at", F.concat("antecedent", F.array(F.get("tokens", F.col("at")))).alias("antecedent"))
+    return rules
+
+
+def mine(labelled: DataFrame, support: float, confidence: float, longest: int, wide: int = WIDE) -> DataFrame:
+    """(antecedent, verdict, confidence, support): rules from (tokens, seed), superfluous ones removed."""
+    n = labelled.count()
+    each = labelled.select(F.explode(F.array_distinct("tokens")).alias("token"), "seed").groupBy("token", "seed").agg(F.count("*").alias("both"))
+    counts = each.groupBy("token").agg(F.sum("both").alias("all"), F.max("both").alias("most"), F.max_by("seed", "both").alias("verdict"))
+    frequent = cut(counts.where(F.col("most") >= max(1, math.ceil(support * n))), "frequent")
+    rules = frequent.where(F.col("all") == F.col("most")).select(F.array("token").alias("antecedent"), "verdict", F.lit(1.0).alias("confidence"), (F.col("most") / F.lit(n)).alias("support"))
+    # as many as the urls' tokens over the support, at most
+    mixed = [r["token"] for r in frequent.where("all > most").orderBy("token").collect()]
+    if mixed:
+        items = cut(labelled.select(F.array_intersect("tokens", F.array(*[F.lit(t) for t in mixed])).alias("tokens"), "seed"), "items")
+        by = _fp_growth if items.agg(F.max(F.size("tokens"))).first()[0] <= wide else _level_wise
+        rules = rules.unionByName(by(items, support, confidence, longest))
     rules = cut(rules, "rules")
     # a rule is superfluous if one of its tokens fewer says the same at least as surely; filed by first token
     shorter = rules.select(F.col("antecedent").alias("less"), F.col("verdict").alias("said"), F.col("confidence").alias("sure"), F.explode("antecedent").alias("token"))
