@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -299,3 +300,61 @@ def test_trie_holds_exactly_its_pieces():
 
     assert all(find(w) == i for i, w in enumerate(words))
     assert all(find(w + b"z") == -1 for w in words)
+
+
+def brute_rules(rows, support, confidence, longest):
+    """Every set of tokens and verdict that is sure enough, without those that a smaller set makes superfluous."""
+    from itertools import combinations
+
+    seen, least = {}, -(-support * len(rows) // 1)
+    for tokens, verdict in rows:
+        for k in range(1, longest + 1):
+            for combo in combinations(sorted(tokens), k):
+                seen.setdefault(combo, Counter())[verdict] += 1
+    sure = {(c, v): n / sum(by.values()) for c, by in seen.items() for v, n in by.items() if n >= least and n / sum(by.values()) >= confidence}
+    return {(c, v) for (c, v), p in sure.items() if not any(w == v and set(d) < set(c) and q >= p for (d, w), q in sure.items())}
+
+
+def test_mined_rules_equal_brute_force(spark):
+    draw = random.Random(6)
+    rows = []
+    for _ in range(300):
+        tokens = {t for t in "abcdefg" if draw.random() < 0.5}
+        rows.append((tokens, "block" if "a" in tokens and ("b" in tokens or draw.random() < 0.05) else "allow"))
+    df = spark.createDataFrame([(sorted(t), v) for t, v in rows], "tokens array<string>, seed string")
+    want = brute_rules(rows, 0.02, 0.9, 4)
+    for wide in (12, 0):  # by FP-growth, and level by level
+        assert {(tuple(r.antecedent), r.verdict) for r in url_filter.mine(df, 0.02, 0.9, 4, wide=wide).collect()} == want
+    assert any(len(c) > 1 for c, _ in want)
+
+
+def test_urls_equal_brute_force(spark):
+    """Seeds, then the surest rule whose tokens all occur; very long urls, repeats and a url with very many names."""
+    draw = random.Random(7)
+    rows = []
+    for i in range(400):
+        host = draw.choice(["a.net", "example.net", "b.org", "c.dev", "example.com"])
+        rows.append((i, f"https://{host}/{draw.choice(['en', 'de', 'fr', 'x'])}/{i}?" + "&".join(f"{n}=1" for n in "pqr" if draw.random() < 0.5)))
+    rows += [(1000, "https://a.net/" + "y/" * 20_000), (1001, "https://a.net/?" + "&".join(f"n{i}=1" for i in range(40)))] * 6
+    df = spark.createDataFrame(rows, "page_id long, url string")
+    judged = url_filter.seeded(df.select("page_id", "url", url_filter.host_of(df.url).alias("host"), url_filter.path_of(df.url).alias("path"))).withColumn("tokens", url_filter.tokens(df.url)).collect()
+    labelled = [(set(r.tokens), r.seed) for r in judged if r.seed]
+    short = [(t if len(t) < 30 else {x for x in t if not x.startswith("query:n")}, v) for t, v in labelled]  # those are of one verdict
+    counts = Counter()
+    by = {}
+    for t, v in labelled:
+        for x in t:
+            by.setdefault(x, Counter())[v] += 1
+    rules = brute_rules(short, 0.01, 0.9, 4) | {((x,), next(iter(c))) for x, c in by.items() if len(c) == 1 and sum(c.values()) >= 0.01 * len(labelled)}
+    share = lambda c, v: (n := sum(set(c) <= t and w == v for t, w in labelled)) and (n / sum(set(c) <= t for t, _ in labelled), n / len(labelled))
+    rated = [(*share(c, v), len(c), v, c) for c, v in rules]
+    got = {r.page_id: r for r in url_filter.filter_urls(df).collect()}
+    for r in judged:
+        if not r.seed:
+            fitting = [x for x in rated if set(x[4]) <= set(r.tokens)]
+            best = max(fitting) if fitting else None
+            assert (got[r.page_id].verdict, got[r.page_id].mined) == ((best[3], " ".join(best[4])) if best else ("allow", None))
+            counts["mined" if best else "none"] += 1
+        else:
+            assert got[r.page_id].verdict == r.seed and got[r.page_id].mined is None
+    assert counts["mined"] > 20
