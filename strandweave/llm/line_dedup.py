@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from strandweave.llm.common import let
 from strandweave.plans.cut import cut, release
 
 #: Templates of a leaf that are taken one after another before the lines left are compared pairwise.
@@ -49,21 +50,30 @@ def _sketch(form: Column) -> Column:
     return F.array_join(F.transform(_tokens(form), lambda t: F.char(F.lit(33) + F.pmod(F.hash(t), F.lit(94)))), "")
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, depth: int, min_tokens: int) -> DataFrame:
-    """(k, leaf, line, form) of each line that is long enough; form is the normal text."""
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    forms = docs.select(key.alias("k"), F.explode(F.split(normal(F.col(text_col)), "\n")).alias("form")).select("k", F.trim("form").alias("form"))
-    n = F.size(_tokens(F.col("form")))
-    return forms.where((n >= min_tokens) & (F.col("form") != "")).select("k", F.xxhash64(n, F.substring_index("form", " ", depth)).alias("leaf"), F.xxhash64("form").alias("line"), "form")
+def _forms(texts: DataFrame, min_tokens: int) -> DataFrame:
+    """(k, line, form) of each line of (k, text) that is long enough; form is the normal text."""
+    forms = texts.select("k", F.explode(F.split(normal(F.col("text")), "\n")).alias("form")).select("k", F.trim("form").alias("form")).where("form <> ''")
+    if min_tokens > 1:
+        forms = forms.where(_size(F.col("form")) >= min_tokens)
+    return forms.select("k", F.xxhash64("form").alias("line"), "form")
+
+
+def _size(form: Column) -> Column:
+    """Tokens of a normal line that is not empty."""
+    return F.length(form) - F.length(F.replace(form, F.lit(" "), F.lit(""))) + 1
 
 
 def _stretches(tokens: Column, leaf: Column, depth: int, similarity: float) -> Column:
     """Keys of the stretches that the tokens after the first ``depth`` are split into: one more than may differ,
     so two lines of a leaf that are alike enough agree in one at least."""
-    m = F.size(tokens)
-    rest, parts = F.greatest(m - depth, F.lit(0)), m - F.ceil(similarity * m).cast("int") + 1
-    edge = lambda i: F.floor(i * rest / parts).cast("int")
-    return F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.xxhash64(leaf, i, F.slice(tokens, edge(i) + depth + 1, edge(i + 1) - edge(i))))
+
+    def keys(t: Column) -> Column:
+        m = F.size(t)
+        rest, parts = F.greatest(m - depth, F.lit(0)), m - F.ceil(similarity * m).cast("int") + 1
+        edge = lambda i: F.floor(i * rest / parts).cast("int")
+        return F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.xxhash64(leaf, i, F.slice(t, edge(i) + depth + 1, edge(i + 1) - edge(i))))
+
+    return let(tokens, keys)
 
 
 def _alike(a: str, b: str, similarity: float) -> Column:
@@ -97,39 +107,47 @@ def _templates(lines: DataFrame, depth: int, similarity: float) -> DataFrame:
     return found
 
 
+def _texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    return docs.select(F.coalesce(docs[f"`{id_col}`"].cast("long"), F.lit(-(1 << 63))).alias("k"), docs[f"`{text_col}`"].alias("text"), *more)
+
+
 def recurring_lines(docs: DataFrame, depth: int = 4, similarity: float = 0.8, min_tokens: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(k, lines): for each document key the hashes of the lines that go."""
-    met = _lines(docs, id_col, text_col, depth, min_tokens)
-    sketched = met.select("k", "leaf", "line", _sketch(F.col("form")).alias("sketch"))
+    texts = _texts(docs, id_col, text_col)
+    met = _forms(texts, min_tokens)
+    sketched = met.select("k", F.xxhash64(_size(F.col("form")), F.substring_index("form", " ", depth)).alias("leaf"), "line", _sketch(F.col("form")).alias("sketch"))
     forms = cut(sketched.groupBy("leaf", "line").agg(F.count("*").alias("n"), F.min("k").alias("first"), F.max("k").alias("last"), F.any_value("sketch").alias("sketch")), "forms")
     # leaves whose lines differ: their tokens decide which lines share a template
-    mixed = forms.groupBy("leaf").agg(F.count("*").alias("forms"), F.min("first").alias("lo"), F.max("last").alias("hi")).where("forms > 1 AND lo <> hi").select("leaf")
-    rivals = cut(forms.join(cut(mixed, "mixed"), "leaf").select("leaf", "line", "n", "first", "sketch"), "rivals")
-    keyed = rivals.select("leaf", "line", F.explode(_stretches(F.split("sketch", ""), F.col("leaf"), depth, similarity)).alias("key"))
+    mixed = cut(forms.groupBy("leaf").agg(F.count("*").alias("forms"), F.min("first").alias("lo"), F.max("last").alias("hi")).where("forms > 1 AND lo <> hi").select("leaf"), "mixed")
+    rivals = cut(forms.join(mixed, "leaf").select("leaf", "line", "n", "first", "sketch"), "rivals")
+    keyed = cut(rivals.select("line", F.explode(_stretches(F.split("sketch", ""), F.col("leaf"), depth, similarity)).alias("key")), "keyed")
     shared = keyed.groupBy("key").agg(F.count("*").alias("lines")).where("lines > 1").select("key")
-    near = cut(rivals.drop("sketch").join(keyed.join(shared, "key").select("leaf", "line").distinct(), ["leaf", "line"], "left_semi"), "near")
-    holders = cut(near.select(F.col("first").alias("__first")).distinct(), "holders")
-    held = docs.join(holders, F.coalesce(docs[f"`{id_col}`"].cast("long"), F.lit(-(1 << 63))) == F.col("__first"), "left_semi")
-    texts = _lines(held, id_col, text_col, depth, min_tokens).join(near.select("leaf", "line"), ["leaf", "line"], "left_semi").groupBy("leaf", "line").agg(F.any_value("form").alias("form"))
+    near = cut(rivals.drop("sketch").join(keyed.join(shared, "key").select("line").distinct(), "line", "left_semi"), "near")
+    holders = cut(near.select(F.col("first").alias("k")).distinct(), "holders")
+    held = _forms(texts.join(holders, "k", "left_semi"), min_tokens).join(near.select("line"), "line", "left_semi").groupBy("line").agg(F.any_value("form").alias("form"))
     hashes = F.transform(_tokens(F.col("form")), lambda t: F.xxhash64(t))
-    members = _templates(cut(near.join(texts, ["leaf", "line"]).withColumn("tokens", hashes).drop("form"), "tokens"), depth, similarity)
+    open_lines = cut(near.join(held, "line").withColumn("tokens", hashes).drop("form"), "tokens")
+    members = _templates(open_lines, depth, similarity)
     named = cut(forms.drop("sketch").join(members, ["leaf", "line"], "left").withColumn("template", F.coalesce("model", "line")).drop("model"), "templates")
     often = named.groupBy("leaf", "template").agg(F.min("first").alias("keeper"), F.max("last").alias("last")).where("keeper <> last")
-    gone = cut(named.join(often.drop("last"), ["leaf", "template"]).select("leaf", "line", "keeper"), "gone")
-    release(forms)
-    return met.select("k", "leaf", "line").join(gone, ["leaf", "line"]).where("k <> keeper").groupBy("k").agg(F.collect_set("line").alias("lines"))
+    gone = cut(named.join(often.drop("last"), ["leaf", "template"]).select("line", "keeper"), "gone")
+    release(forms, mixed, rivals, keyed, near, holders, open_lines, named)
+    return met.select("k", "line").join(gone, "line").where("k <> keeper").groupBy("k").agg(F.collect_set("line").alias("lines"))
 
 
 def line_dedup(docs: DataFrame, depth: int = 4, similarity: float = 0.8, min_tokens: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the text filtered, plus n_lines and n_dropped (replaced if ``docs`` has such columns)."""
-    gone = recurring_lines(docs, depth, similarity, min_tokens, id_col, text_col).select(F.col("k").alias("__k"), F.col("lines").alias("__gone"))
-    text = docs[f"`{text_col}`"]
-    joined = docs.join(gone, F.coalesce(docs[f"`{id_col}`"].cast("long"), F.lit(-(1 << 63))) == F.col("__k"), "left")
-    lines = F.split(text, "\n")
+    added = ("n_lines", "n_dropped")
+    others = [c for c in docs.columns if c not in added]
+    gone = recurring_lines(docs, depth, similarity, min_tokens, id_col, text_col)
+    rows = _texts(docs, id_col, text_col, F.struct(*[docs[f"`{c}`"] for c in others if c != text_col], F.lit(1).alias("any")).alias("others"))
+    joined = rows.join(gone.withColumnRenamed("lines", "gone"), "k", "left")
+    text, lines = F.col("text"), F.split("text", "\n")
     # a blank line is never among those that go
-    goes = lambda form: F.array_contains("__gone", F.xxhash64(F.trim(form))) & (F.size(_tokens(F.trim(form))) >= min_tokens)
+    goes = lambda form: F.array_contains("gone", F.xxhash64(F.trim(form)))
     verdicts = F.zip_with(lines, F.split(normal(text), "\n"), lambda raw, form: F.when(~goes(form), raw))
-    left = F.when(F.col("__gone").isNull(), lines).otherwise(F.filter(verdicts, lambda x: x.isNotNull()))
-    kept = joined.withColumn("__left", left)
-    n_lines, n_left = F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long"), F.when(text.isNull(), 0).otherwise(F.size("__left")).cast("long")
-    return kept.withColumns({"n_lines": n_lines, "n_dropped": n_lines - n_left, text_col: F.when(F.col("__gone").isNull(), text).otherwise(F.array_join("__left", "\n"))}).drop("__k", "__gone", "__left")
+    left = F.when(F.col("gone").isNull(), lines).otherwise(F.filter(verdicts, lambda x: x.isNotNull()))
+    judged = joined.select("gone", "text", "others", left.alias("left"))
+    n_lines, n_left = F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long"), F.when(text.isNull(), 0).otherwise(F.size("left")).cast("long")
+    kept = {text_col: F.when(F.col("gone").isNull(), text).otherwise(F.array_join("left", "\n"))}
+    return judged.select(*[kept.get(c, F.col(f"others.`{c}`")).alias(c) for c in others], n_lines.alias("n_lines"), (n_lines - n_left).alias("n_dropped"))
