@@ -1,8 +1,9 @@
 """Quality scores from compression: how much better a text compresses with good than with bad examples at hand.
 
-Two zstandard dictionaries are trained on labelled texts, one of each quality. A text is compressed with each;
-the difference of the two sizes, normalised by the larger, and the two sizes per byte are turned into a
-probability by a logistic model of second degree, fitted on labelled texts that trained neither dictionary.
+Two zstandard dictionaries are trained on labelled texts, one of each quality. A text is compressed with each,
+``BLOCK`` bytes at a time so that a long text leans on the dictionary throughout and not on itself; the difference
+of the two sizes by the bytes of the text is the only input of the score, so neither length nor repetition can
+decide. A logistic curve in it, fitted on labelled texts that trained neither dictionary, makes it a probability.
 
 Fitting takes at most ``per_class`` labelled ids of each class (those with the smallest hash of the id), one text
 each (the least in order where rows repeat an id) and of it the first ``SAMPLE`` characters, in the driver, a
@@ -25,8 +26,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-DICTIONARY = 32 << 10
-LEVEL = 3
+DICTIONARY = 112 << 10
+LEVEL, BLOCK = 3, 1024
 #: Characters of a text that teach, so at most 2 x ``per_class`` x ``SAMPLE`` reach the driver; scores are of whole texts.
 SAMPLE = 16_384
 
@@ -35,10 +36,8 @@ SAMPLE = 16_384
 class Model:
     good: bytes
     bad: bytes
-    mean: np.ndarray
-    scale: np.ndarray
-    weights: np.ndarray
-    prior: float
+    slope: float
+    intercept: float
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -52,29 +51,28 @@ class Sizes:
     def __init__(self, good: bytes, bad: bytes):
         self.by = [zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(d), write_checksum=False, write_content_size=False, write_dict_id=False) for d in (good, bad)]
 
-    def features(self, texts: list[str | None]) -> np.ndarray:
-        rows = np.empty((len(texts), 4))
+    def differences(self, texts: list[str | None]) -> np.ndarray:
+        """Bytes that the good dictionary saves over the bad one, by the bytes of each text; 0 for empty ones."""
+        out = np.zeros(len(texts))
         for i, text in enumerate(texts):
             raw = (text or "").encode("utf-8", "surrogatepass")
-            good, bad = (len(c.compress(raw)) for c in self.by)
-            rows[i] = (bad - good) / max(good, bad), np.log(good / (len(raw) + 1)), np.log(bad / (len(raw) + 1)), np.log(len(raw) + 1)
-        pairs = [rows[:, i] * rows[:, j] for i in range(4) for j in range(i, 4)]
-        return np.column_stack([rows, *pairs])
+            good, bad = (sum(len(c.compress(raw[at : at + BLOCK])) for at in range(0, len(raw), BLOCK)) for c in self.by)
+            out[i] = (bad - good) / max(1, len(raw))
+        return out
 
 
 def _dictionary(texts: list[str]) -> bytes:
-    samples = [t.encode("utf-8", "surrogatepass") for t in texts if t]
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts if t]
     try:
-        return zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
+        return zstandard.train_dictionary(DICTIONARY, [r[at : at + BLOCK] for r in raw for at in range(0, len(r), BLOCK)]).as_bytes()
     except zstandard.ZstdError:  # too few examples to train on: they are the dictionary themselves
-        return b"".join(samples)[-DICTIONARY:] or b"\0" * 8
+        return b"".join(raw)[-DICTIONARY:] or b"\0" * 8
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Newton steps, halved until they lower the penalised loss."""
-    z, w = np.column_stack([np.ones(len(x)), x]), np.zeros(x.shape[1] + 1)
-    penalty = np.full(len(w), ridge)
-    penalty[0] = 1e-6
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
+    """Slope and intercept by Newton steps, halved until they lower the penalised loss."""
+    spread = float(np.abs(x).mean()) or 1.0
+    z, w, penalty = np.column_stack([x / spread, np.ones(len(x))]), np.zeros(2), np.array([ridge, 1e-6])
 
     def loss(v: np.ndarray) -> float:
         m = z @ v
@@ -89,7 +87,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
         w = w - part * step
         if np.abs(part * step).max() < 1e-8:
             break
-    return w
+    return float(w[0] / spread), float(w[1])
 
 
 def fit_texts(good: list[str], bad: list[str]) -> Model:
@@ -98,10 +96,8 @@ def fit_texts(good: list[str], bad: list[str]) -> Model:
     a, b = _dictionary(good[::2]), _dictionary(bad[::2])
     rest, y = good[1::2] + bad[1::2], np.array([1.0] * len(good[1::2]) + [0.0] * len(bad[1::2]))
     if len(set(y.tolist())) < 2:
-        return Model(a, b, np.zeros(14), np.ones(14), np.array([np.log((prior + 1e-6) / (1 - prior + 1e-6))] + [0.0] * 14), prior)
-    x = Sizes(a, b).features(rest)
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    return Model(a, b, mean, scale, _logistic((x - mean) / scale, y), prior)
+        return Model(a, b, 0.0, float(np.log((prior + 1e-6) / (1 - prior + 1e-6))))
+    return Model(a, b, *_logistic(Sizes(a, b).differences(rest), y))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
@@ -124,8 +120,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(model.good, model.bad)
         for batch in batches:
-            x = (sizes.features(batch.column(2).to_pylist()) - model.mean) / model.scale
-            p = 1 / (1 + np.exp(-np.clip(model.weights[0] + x @ model.weights[1:], -40, 40)))
+            p = 1 / (1 + np.exp(-np.clip(model.intercept + model.slope * sizes.differences(batch.column(2).to_pylist()), -40, 40)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p)], names=["doc_id", "held_out", "score"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
