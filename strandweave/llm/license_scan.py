@@ -8,8 +8,9 @@ candidate's words are then compared in place, and the match counts if the IDF-we
 reaches ``threshold`` and each key phrase stands there. Where every file holds all of a template's words, they
 weigh the same.
 
-All native. The index is broadcast: its size is that of the templates, which are a parameter of
-some dozens of short texts, and not of the data. Files without lookup words are never exploded.
+All native, and two passes over the texts: one counts the templates' words, the other looks them up and compares
+within the row, so no text and no position is shuffled. The index is part of the plan: its size is that of the
+templates, which are a parameter of some dozens of short texts, and not of the data.
 
 A null text is empty: no words, no labels, score 0. A null id is kept. Repeated rows give repeated rows.
 Empty tables give empty results; columns besides the id and the text are ignored.
@@ -23,7 +24,6 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strandweave.llm.common import let, lower_ascii, whole_text
-from strandweave.plans.cut import cut
 
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -77,59 +77,64 @@ def lookups(weights: list[float], threshold: float) -> list[int]:
     return out
 
 
-def scan(docs: DataFrame, templates: dict | None = None, threshold: float = 0.8, max_share: float = 0.05, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, places (base: label, start), matches (method: label, start, score).
+def _matches(w: Column, texts: dict[str, list[str]], weights: dict[str, list[float]], templates: dict, threshold: float) -> Column:
+    """The templates found in the words ``w`` as (label, start, score), in order."""
+    labels = list(texts)
+    entries: dict[str, list[tuple[int, int]]] = {}
+    for number, label in enumerate(labels):
+        for p in lookups(weights[label], threshold):
+            entries.setdefault(texts[label][p], []).append((number, p))
+    none = F.expr("array()").cast("array<struct<label:string,start:int,score:double>>")
+    if not entries:
+        return none
+    # a proposal is one number: the template above, the start below, from 2^31 so that it may be negative
+    index = F.create_map(*[x for word, spots in entries.items() for x in (F.lit(word), F.array(*[F.lit((n << 33) + (1 << 31) - p) for n, p in spots]))])
+    bodies = F.array(*[F.struct(F.lit(label).alias("label"), F.array(*map(F.lit, texts[label])).alias("body"), F.array(*map(F.lit, weights[label])).alias("weights"), F.array(*[F.lit(f" {k} ") for k in templates[label][1]]).alias("phrases")) for label in labels])
+    hits = F.filter(F.transform(w, lambda x, i: F.when(x.isin(list(entries)), F.struct(x.alias("word"), i.alias("at")))), lambda x: x.isNotNull())
+    proposals = F.array_distinct(F.flatten(F.transform(hits, lambda h: F.transform(F.element_at(index, h["word"]), lambda e: e + h["at"]))))
 
-    ``max_share`` is taken for older callers and changes nothing: common words are looked up too.
-    """
+    def judged(v: Column) -> Column:
+        start = (v.bitwiseAND(F.lit((1 << 33) - 1)) - (1 << 31)).cast("int")
+
+        def compared(t: Column) -> Column:
+            got = F.aggregate(F.zip_with(F.transform(t["body"], lambda b, i: F.coalesce((start + i >= 0) & (F.get(w, start + i) == b), F.lit(False))), t["weights"], lambda e, x: F.when(e, x).otherwise(0.0)), F.lit(0.0), lambda a, x: a + x)
+            full = F.aggregate(t["weights"], F.lit(0.0), lambda a, x: a + x)
+            stretch = F.concat(F.lit(" "), F.array_join(F.slice(w, F.greatest(start, F.lit(0)) + 1, F.size(t["body"]) + F.least(start, F.lit(0))), " "), F.lit(" "))
+            return F.struct(t["label"].alias("label"), start.alias("start"), F.round(got / full, 9).alias("score"), F.forall(t["phrases"], lambda k: stretch.contains(k)).alias("keyed"))
+
+        return let(F.get(bodies, F.shiftright(v, 33).cast("int")), compared)
+
+    scored = F.filter(F.transform(proposals, judged), lambda m: (m["score"] >= threshold) & m["keyed"])
+    return F.when(F.size(hits) == 0, none).otherwise(F.array_sort(F.transform(scored, lambda m: F.struct(m["label"].alias("label"), m["start"].alias("start"), m["score"].alias("score")))))
+
+
+def scan(docs: DataFrame, templates: dict | None = None, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_words, places (base: label, start), matches (method: label, start, score)."""
     templates = TEMPLATES if templates is None else templates
-    spark = docs.sparkSession
     texts = {label: text.split() for label, (text, _) in templates.items()}
     vocabulary = sorted({w for text in texts.values() for w in text})
-    text = whole_text(text_col)
-    # licence words decide which texts are split at all; every text's words are counted
-    base_hint = "|".join(re.escape(max(phrase.split(), key=len)) for phrase in PHRASES)
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     n_files, counts = document_frequencies(rows.select(scan_words(F.col("text")).alias("w")), vocabulary)
     idf = {w: math.log((1 + n_files) / (1 + counts.get(w, 0))) for w in vocabulary}
     weights = {label: [idf[x] for x in t] if any(idf[x] > 0 for x in t) else [1.0] * len(t) for label, t in texts.items()}
-    entries = [(t[p], label, p) for label, t in texts.items() for p in lookups(weights[label], threshold)]
-    keys = sorted({word for word, _, _ in entries})
 
-    w = F.col("w")
-    place = lambda label, phrase: F.transform(_starts(w, phrase), lambda i: F.struct(F.lit(label).alias("label"), i.alias("start")))
     no_place = F.expr("array()").cast("array<struct<label:string,start:int>>")
-    hinted = F.lower("text").rlike(base_hint)
-    base = F.concat(*[place(label, phrase) for phrase, label in PHRASES.items()])
-    every = rows.select("doc_id", F.xxhash64("text").alias("mark"), hinted.alias("hinted"), scan_words(F.col("text")).alias("w"))
-    rare = F.array_intersect("w", F.array(*[F.lit(k) for k in keys])) if keys else F.expr("array()").cast("array<string>")
-    every = every.select("doc_id", "mark", "w", F.size("w").cast("long").alias("n_words"), F.when(F.col("hinted"), base).otherwise(no_place).alias("places"), rare.alias("rare"))
-
-    # where the lookup words of each candidate file stand
-    files = cut(every.where(F.size("rare") > 0).select("doc_id", "mark", "w").dropDuplicates(["doc_id", "mark"]), "files")
-    hits = files.select("doc_id", "mark", F.posexplode("w").alias("pos", "word")).where(F.col("word").isin(keys))
-    postings = spark.createDataFrame(entries, "word string, label string, at int")
-    votes = hits.join(F.broadcast(postings), "word").select("doc_id", "mark", "label", (F.col("pos") - F.col("at")).alias("start")).distinct()
-    bodies = spark.createDataFrame([(label, t, weights[label], [k for k in templates[label][1]]) for label, t in texts.items()], "label string, body array<string>, idfs array<double>, phrases array<string>")
-    aligned = votes.join(F.broadcast(bodies), "label").join(files.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "w"), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")))
-    equal = F.transform("body", lambda b, i: F.coalesce((F.col("start") + i >= 0) & (F.get("w", F.col("start") + i) == b), F.lit(False)))
-    got = F.aggregate(F.zip_with(equal, "idfs", lambda e, x: F.when(e, x).otherwise(0.0)), F.lit(0.0), lambda a, x: a + x)
-    full = F.aggregate("idfs", F.lit(0.0), lambda a, x: a + x)
-    stretch = F.concat(F.lit(" "), F.array_join(F.slice("w", F.greatest(F.col("start"), F.lit(0)) + 1, F.size("body")), " "), F.lit(" "))
-    keyed = F.forall("phrases", lambda k: stretch.contains(F.concat(F.lit(" "), k, F.lit(" "))))
-    scored = aligned.select("doc_id", "mark", "label", "start", F.when(full > 0, got / full).otherwise(0.0).alias("score"), keyed.alias("keyed")).where((F.col("score") >= threshold) & F.col("keyed"))
-    matches = scored.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set(F.struct("label", "start", "score"))).alias("matches")).withColumnsRenamed({"doc_id": "__id", "mark": "__mark"})
-    slim = every.select("doc_id", "mark", "n_words", "places", (F.size("rare") > 0).alias("candidate"))
-    none = F.lit(None).cast("array<struct<label:string,start:int,score:double>>")
-    joined = slim.where("candidate").join(matches, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark")), "left").select("doc_id", "n_words", "places", "matches")
-    return joined.unionByName(slim.where("NOT candidate").select("doc_id", "n_words", "places", none.alias("matches")))
+    # texts without the longest word of a phrase hold no phrase
+    hinted = F.lower("text").rlike("|".join(re.escape(max(phrase.split(), key=len)) for phrase in PHRASES))
+
+    def found(w: Column) -> Column:
+        place = lambda label, phrase: F.transform(_starts(w, phrase), lambda i: F.struct(F.lit(label).alias("label"), i.alias("start")))
+        places = F.when(hinted, F.concat(*[place(label, phrase) for phrase, label in PHRASES.items()])).otherwise(no_place)
+        return F.struct(F.size(w).cast("long").alias("n_words"), places.alias("places"), _matches(w, texts, weights, templates, threshold).alias("matches"))
+
+    return rows.select("doc_id", let(scan_words(F.col("text")), found).alias("f")).select("doc_id", "f.n_words", "f.places", "f.matches")
 
 
 def digest(found: DataFrame) -> DataFrame:
     """Counts and labels: the base's, and those of base and method together."""
     starts = F.transform("places", lambda p: p["start"])
     own = F.transform("places", lambda p: p["label"])
-    method = F.transform(F.coalesce("matches", F.expr("array()").cast("array<struct<label:string,start:int,score:double>>")), lambda m: m["label"])
+    method = F.transform("matches", lambda m: m["label"])
     spelt = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     return found.select(
         "doc_id",

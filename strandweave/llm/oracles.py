@@ -53,8 +53,8 @@ def op5(rounds: int = 16, fills: int = 8, budget: float = 0.8, temper: float = 0
     return "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, source, lang, topic, tokens, ROUND(probability, 6) AS probability, residual, {draw} < probability AS kept FROM d JOIN p USING (source, lang, topic) CROSS JOIN r"
 
 
-def op7(top: int = 4, threshold: float = 0.8, max_share: float = 0.05) -> str:
-    """Phrases by neighbouring words; templates by the votes of each file's rarest words, compared in place."""
+def op7(threshold: float = 0.8) -> str:
+    """Phrases by neighbouring words; templates wherever one of their rarest words proposes a start, compared in place."""
     from strandweave.llm.license_scan import PHRASES, TEMPLATES
 
     quote = lambda x: "'" + x + "'"
@@ -68,13 +68,14 @@ k AS (SELECT rid, i, x, lead(x, 1) OVER o AS x1, lead(x, 2) OVER o AS x2 FROM u
 b AS ({base}),
 post(label, word, spot) AS (VALUES {postings}), need(label, phrase) AS (VALUES {phrases}),
 n AS (SELECT COUNT(*) AS n FROM d),
-freq AS (SELECT word, ln((1 + n) / (1 + COALESCE(c, 0))) AS idf, COALESCE(c, 0) <= {max_share} * n AS is_key FROM (SELECT DISTINCT word FROM post) LEFT JOIN (SELECT x AS word, COUNT(DISTINCT rid) AS c FROM u GROUP BY x) USING (word) CROSS JOIN n),
-chosen AS (SELECT rid, word FROM (SELECT DISTINCT rid, x AS word FROM u) JOIN freq USING (word) WHERE is_key QUALIFY row_number() OVER (PARTITION BY rid ORDER BY idf DESC, word) <= {top}),
-starts AS (SELECT DISTINCT u.rid, label, i - spot AS start FROM u JOIN chosen c ON c.rid = u.rid AND c.word = u.x JOIN post p ON p.word = u.x),
-sized AS (SELECT label, COUNT(*) AS size, SUM(idf) AS whole FROM post JOIN freq USING (word) GROUP BY label),
-got AS (SELECT s.rid, s.label, s.start, SUM(CASE WHEN u.x = p.word THEN idf ELSE 0 END) AS got, ' ' || string_agg(u.x, ' ' ORDER BY u.i) || ' ' AS stretch
-  FROM starts s JOIN post p USING (label) JOIN freq f ON f.word = p.word JOIN u ON u.rid = s.rid AND u.i = s.start + p.spot GROUP BY s.rid, s.label, s.start),
-found AS (SELECT rid, label, got / whole AS score FROM got g JOIN sized USING (label) WHERE got / whole >= {threshold} AND NOT EXISTS (SELECT 1 FROM need WHERE need.label = g.label AND NOT contains(g.stretch, need.phrase)))
+freq AS (SELECT word, ln((1 + n) / (1 + COALESCE(c, 0))) AS idf FROM (SELECT DISTINCT word FROM post) LEFT JOIN (SELECT x AS word, COUNT(DISTINCT rid) AS c FROM u GROUP BY x) USING (word) CROSS JOIN n),
+heavy AS MATERIALIZED (SELECT label, word, spot, CASE WHEN MAX(idf) OVER (PARTITION BY label) > 0 THEN idf ELSE 1 END AS weight FROM post JOIN freq USING (word)),
+chosen AS (SELECT label, word, spot FROM (SELECT *, SUM(weight) OVER (PARTITION BY label) AS whole, SUM(weight) OVER (PARTITION BY label ORDER BY weight DESC, spot ROWS UNBOUNDED PRECEDING) - weight AS before FROM heavy) WHERE before <= {1 - threshold} * whole * (1 + 1e-9)),
+starts AS (SELECT DISTINCT rid, label, i - spot AS start FROM u JOIN chosen ON word = x),
+sized AS (SELECT label, SUM(weight) AS whole FROM heavy GROUP BY label),
+got AS (SELECT s.rid, s.label, s.start, SUM(CASE WHEN u.x = p.word THEN weight ELSE 0 END) AS got, ' ' || string_agg(u.x, ' ' ORDER BY u.i) || ' ' AS stretch
+  FROM starts s JOIN heavy p USING (label) JOIN u ON u.rid = s.rid AND u.i = s.start + p.spot GROUP BY s.rid, s.label, s.start),
+found AS (SELECT rid, label, ROUND(got / whole, 9) AS score FROM got g JOIN sized USING (label) WHERE ROUND(got / whole, 9) >= {threshold} AND NOT EXISTS (SELECT 1 FROM need WHERE need.label = g.label AND NOT contains(g.stretch, need.phrase)))
 SELECT doc_id, len(ws) AS n_words, COALESCE(n_base, 0) AS n_base, first_word, last_word, COALESCE(base_labels, '') AS base_labels, COALESCE(labels, '') AS labels, ROUND(least(COALESCE(score, 0), 1), 6) AS score FROM d
   LEFT JOIN (SELECT rid, COUNT(*) AS n_base, MIN(i) AS first_word, MAX(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY rid) USING (rid)
   LEFT JOIN (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT rid, label FROM b UNION ALL SELECT rid, label FROM found) GROUP BY rid) USING (rid)
