@@ -95,7 +95,7 @@ def test_licences(spark):
     rows = [(1, "Licensed under CC BY-NC 4.0."), (2, "This work is licensed under the GNU General Public License, version 3."), (3, "All rights reserved. ALL RIGHTS RESERVED"), (4, None), (5, ""), (6, "the Licensed under the Apache License, Version 2.0 x"), (7, "general public mention of a license")]
     docs = spark.createDataFrame([(*r, "x") for r in rows + filler + rows[:1]], "doc_id long, text string, labels string")
     got = {}
-    for r in license_scan.digest(license_scan.scan(docs, max_share=0.2)).collect():
+    for r in license_scan.digest(license_scan.scan(docs)).collect():
         assert got.setdefault(r.doc_id, r) == r
     assert (got[1].base_labels, got[1].labels, got[1].n_base) == ("cc-by", "cc-by,cc-by-nc-4.0", 1)
     assert (got[2].labels, got[2].first_word, got[2].n_words) == ("gpl,gpl-3.0", 7, 12)
