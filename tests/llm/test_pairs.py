@@ -44,6 +44,20 @@ def test_embeddings_equal_brute_force(spark):
         assert (got[o[0]].n_links, got[o[0]].component_id) == (0, o[0])
 
 
+def test_embeddings_with_repeated_and_missing_ids(spark):
+    v = [1.0, 2.0, 3.0]
+    rows = [(5, v), (5, v), (7, [2.0, 4.0, 6.01]), (None, v), (None, None)]
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), passes=2).collect()), key=str)
+    assert got == [(5, 2, 5, True), (5, 2, 5, True), (7, 2, 5, False), (None, 0, None, False), (None, 0, None, False)]
+
+
+def test_passes_follow_the_number_of_vectors():
+    """The pairs that random keys bring together among rows of two sizes, against the stated recall."""
+    assert embedding_dedup.passes_for(10, 2048, 512, 0.995) == embedding_dedup.LEAST
+    some = [embedding_dedup.passes_for(10**k, 2048, 512, 0.995) for k in (5, 6, 7, 8)]
+    assert some == sorted(some) and some[0] < some[-1]
+
+
 def test_embeddings_of_an_empty_table(spark):
     assert embedding_dedup.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>"), passes=2).isEmpty()
 
