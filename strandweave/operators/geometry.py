@@ -47,7 +47,13 @@ def clean_vertices(v: DataFrame, digits: int = 6) -> DataFrame:
     return r.withColumn("__moved", moved).where("__moved").withColumn("pt_idx", F.row_number().over(_line()) - 1).drop("__moved")
 
 
-def _ends(v: DataFrame) -> DataFrame:
+def reverse_lines(v: DataFrame) -> DataFrame:
+    """GRF-11. Every line's vertices backwards."""
+    return v.withColumn("pt_idx", F.max("pt_idx").over(Window.partitionBy("line_id")) - F.col("pt_idx"))
+
+
+def line_ends(v: DataFrame) -> DataFrame:
+    """(line_id, x1, y1, x2, y2): first and last vertices."""
     first, last = F.min_by(F.struct("x", "y"), "pt_idx"), F.max_by(F.struct("x", "y"), "pt_idx")
     return v.groupBy("line_id").agg(first.alias("a"), last.alias("b")).select("line_id", F.col("a.x").alias("x1"), F.col("a.y").alias("y1"), F.col("b.x").alias("x2"), F.col("b.y").alias("y2"))
 
@@ -55,7 +61,7 @@ def _ends(v: DataFrame) -> DataFrame:
 def bearings(v: DataFrame) -> DataFrame:
     """GEO-3. (line_id, bearing) between end points; null for closed lines."""
     closed = (F.col("x1") == F.col("x2")) & (F.col("y1") == F.col("y2"))
-    return _ends(v).select("line_id", F.when(closed, None).otherwise(bearing(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))).alias("bearing"))
+    return line_ends(v).select("line_id", F.when(closed, None).otherwise(bearing(F.col("x1"), F.col("y1"), F.col("x2"), F.col("y2"))).alias("bearing"))
 
 
 def line_segments(v: DataFrame) -> DataFrame:
@@ -128,7 +134,7 @@ def cospatiality(pairs: DataFrame, a: DataFrame, b: DataFrame, km: float) -> Dat
 
 def sequentiality(pairs: DataFrame, v: DataFrame) -> DataFrame:
     """GEO-10. From line a's end to line b's start: the lengths, the turn between their bearings, the gap and its bearing."""
-    held = _ends(v).join(line_lengths(v).select("line_id", "length_km"), "line_id")
+    held = line_ends(v).join(line_lengths(v).select("line_id", "length_km"), "line_id")
     side = lambda p: held.select([F.col(c).alias(f"{p}_{c}") for c in held.columns])
     met = pairs.join(side("a"), F.col("a_id") == F.col("a_line_id")).join(side("b"), F.col("b_id") == F.col("b_line_id"))
     own = lambda p: bearing(F.col(f"{p}_x1"), F.col(f"{p}_y1"), F.col(f"{p}_x2"), F.col(f"{p}_y2"))
@@ -270,7 +276,7 @@ def sequence_relations(pairs: DataFrame) -> DataFrame:
 
 def line_dissimilarity(pairs: DataFrame, v: DataFrame, km: float = 0.05) -> DataFrame:
     """GEO-21. Mean distance of the vertices of a, moved to b's start, from b, over b's length; doubled for vertices beyond ``km``."""
-    e = _ends(v)
+    e = line_ends(v)
     met = pairs.join(e.select(F.col("line_id").alias("a_id"), F.col("x1").alias("ax"), F.col("y1").alias("ay")), "a_id").join(e.select(F.col("line_id").alias("b_id"), F.col("x1").alias("bx"), F.col("y1").alias("by")), "b_id")
     points = met.join(v.withColumnRenamed("line_id", "a_id"), "a_id").select(F.struct("a_id", "b_id", "pt_idx").alias("point_id"), F.col("b_id").alias("line_id"), (F.col("x") - F.col("ax") + F.col("bx")).alias("px"), (F.col("y") - F.col("ay") + F.col("by")).alias("py"))
     n = nearest_on_line(points, v).select("point_id.*", F.when(F.col("dist_km") > km, F.col("dist_km") * 2).otherwise(F.col("dist_km")).alias("d"))

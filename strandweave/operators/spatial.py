@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from strandweave.operators.geometry import EARTH_KM, RAD, haversine, line_lengths, line_segments, nearest_on_line, points_along
-from strandweave.operators.graph import path_nodes, shortest_paths
+from strandweave.operators.geometry import EARTH_KM, RAD, curve_similarity, haversine, line_ends, line_lengths, line_segments, line_slice, nearest_on_line, points_along, reverse_lines
+from strandweave.operators.graph import best_parallel, merge_path, path_nodes, reverse_path, shortest_paths
+from strandweave.plans.cut import cut, release
 
 KM_PER_DEGREE = EARTH_KM * RAD
 
@@ -49,30 +50,29 @@ def spatial_overlap(a: DataFrame, b: DataFrame, km: float) -> DataFrame:
     return dist.groupBy("a_id", "b_id").agg(F.min("dist_km").alias("dist_km")).where(F.col("dist_km") <= km)
 
 
-def knn_points(points: DataFrame, targets: DataFrame, k: int = 10, km: float = 1.0, rings: int = 6) -> DataFrame:
+def knn_points(points: DataFrame, targets: DataFrame, k: int = 10, km: float = 1.0) -> DataFrame:
     """JN-8. (point_id, target_id, dist_km, rank): the ``k`` nearest targets of each point, by growing rings of cells.
 
-    A ring r of cells of width ``km`` proves every target within r x ``km``; points whose k-th neighbour is not
-    proved go on to a ring twice as wide. After ``rings`` doublings what was found is returned.
+    A ring of cells of width w proves every target within w; points whose k-th neighbour is not proved go on to a
+    ring twice as wide, until all are proved or a cell is as wide as the earth, where all targets have been met.
     """
-    rest, done, reach = points, None, 1
-    order = Window.partitionBy("point_id").orderBy("dist_km", "target_id")
-    for step in range(rings):
-        width = km * reach
-        t = targets.select("target_id", F.col("x").alias("tx"), F.col("y").alias("ty"), _cell(F.col("x"), F.col("y"), width).alias("c"))
+    rest, done, width = points, None, km
+    targets = cut(targets.select("target_id", F.col("x").alias("tx"), F.col("y").alias("ty")), "targets")
+    order = Window.partitionBy("point_id").orderBy(F.round("dist_km", 9), "target_id")
+    while True:
+        last = width > 2 * EARTH_KM
+        t = targets.withColumn("c", _cell(F.col("tx"), F.col("ty"), width))
         offs = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
         p = rest.select("point_id", "x", "y", _cell(F.col("x"), F.col("y"), width).alias("c"), F.explode(offs).alias("o"))
         met = p.join(t, (p["c.cx"] + p["o.dx"] == t["c.cx"]) & (p["c.cy"] + p["o.dy"] == t["c.cy"])).select("point_id", "target_id", haversine(F.col("x"), F.col("y"), F.col("tx"), F.col("ty")).alias("dist_km"))
-        ranked = met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        sure = ranked.where((F.col("rank") == k) & (F.col("dist_km") <= width)).select("point_id")
-        last = step == rings - 1
+        ranked = cut(met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "ranked")
+        sure = ranked.where((F.col("rank") == k) & (F.lit(last) | (F.col("dist_km") <= width))).select("point_id")
         part = ranked if last else ranked.join(sure, "point_id", "left_semi")
         done = part if done is None else done.unionByName(part)
-        if last:
-            break
-        rest = rest.join(sure, "point_id", "left_anti")
-        reach *= 2
-    return done
+        rest = cut(rest.select("point_id", "x", "y").join(sure, "point_id", "left_anti"), "unproved")
+        if last or rest.isEmpty():
+            return done
+        width *= 4
 
 
 def od_pairs(sources: DataFrame, sinks: DataFrame) -> DataFrame:
@@ -80,12 +80,13 @@ def od_pairs(sources: DataFrame, sinks: DataFrame) -> DataFrame:
     return sources.select("path_id", F.col("node").alias("source")).join(sinks.select("path_id", F.col("node").alias("sink")), "path_id").where("source <> sink").distinct()
 
 
-def match_edges(edges: DataFrame, refs: DataFrame, km: float = 0.03, samples: int = 11, share: float = 0.5) -> DataFrame:
-    """MAT-1. (edge_id, ref_id, section_start, section_end, score_km): reference sections along which an edge runs.
+def match_edges(edges: DataFrame, refs: DataFrame, km: float = 0.03, samples: int = 11, share: float = 0.5, centerline: bool = False) -> DataFrame:
+    """MAT-1. (edge_id, ref_id, is_forward, section_start, section_end, score_km): reference sections along which an edge runs.
 
     Candidates share grid cells; the edge is sampled at equal distances, and a reference matches if ``share``
     of the samples lie within ``km`` of it. The section reaches from the least to the greatest distance along
-    the reference; the score is the samples' mean distance.
+    the reference; the score is the samples' mean distance. The edge must run the reference's way, from its first
+    close sample to the last; centerlines match the opposite way too, with ``is_forward`` 0.
     """
     near = near_pairs(edges, refs, km)
     lens = line_lengths(edges).select(F.col("line_id").alias("a_id"), "length_km")
@@ -94,8 +95,20 @@ def match_edges(edges: DataFrame, refs: DataFrame, km: float = 0.03, samples: in
     asked = near.join(where, "a_id").select(F.struct("a_id", "b_id", "d_km").alias("point_id"), F.col("b_id").alias("line_id"), F.col("x").alias("px"), F.col("y").alias("py"))
     hit = nearest_on_line(asked, refs).select("point_id.*", "dist_km", "along_km")
     close = F.col("dist_km") <= km
-    found = hit.groupBy("a_id", "b_id").agg(F.count("*").alias("n"), F.count_if(close).alias("n_close"), F.min(F.when(close, F.col("along_km"))).alias("section_start"), F.max(F.when(close, F.col("along_km"))).alias("section_end"), F.avg(F.when(close, F.col("dist_km"))).alias("score_km"))
-    return found.where((F.col("n_close") >= F.col("n") * share) & (F.col("section_end") > F.col("section_start"))).select(F.col("a_id").alias("edge_id"), F.col("b_id").alias("ref_id"), "section_start", "section_end", "score_km")
+    if_close = lambda c: F.when(close, F.col(c))
+    found = hit.groupBy("a_id", "b_id").agg(
+        F.count("*").alias("n"),
+        F.count_if(close).alias("n_close"),
+        F.min(if_close("along_km")).alias("section_start"),
+        F.max(if_close("along_km")).alias("section_end"),
+        F.avg(if_close("dist_km")).alias("score_km"),
+        F.min_by(if_close("along_km"), if_close("d_km")).alias("first"),
+        F.max_by(if_close("along_km"), if_close("d_km")).alias("last"),
+    )
+    kept = found.where((F.col("n_close") >= F.col("n") * share) & (F.col("section_end") > F.col("section_start"))).withColumn("is_forward", (F.col("first") <= F.col("last")).cast("int"))
+    if not centerline:
+        kept = kept.where("is_forward = 1")
+    return kept.select(F.col("a_id").alias("edge_id"), F.col("b_id").alias("ref_id"), "is_forward", "section_start", "section_end", "score_km")
 
 
 def split_long(lengths: DataFrame, most_km: float = 2.0) -> DataFrame:
@@ -142,10 +155,19 @@ def index_matches(matches: DataFrame) -> DataFrame:
     return matches.withColumn("match_idx", F.row_number().over(Window.partitionBy("edge_id").orderBy("section_start", "ref_id", "section_end")) - 1)
 
 
-def path_vicinity(paths: DataFrame, refs: DataFrame, classes: DataFrame, km: float = 0.05) -> DataFrame:
-    """CHO-1, REP-5. (path_id, ref_id, dist_km, is_vehicle): references within ``km`` of a path's merged line."""
-    near = spatial_overlap(paths, refs, km)
-    return near.join(classes.select(F.col("ref_id").alias("b_id"), "road_class"), "b_id").select(F.col("a_id").alias("path_id"), F.col("b_id").alias("ref_id"), "dist_km", (F.col("road_class") < 8).alias("is_vehicle"))
+def path_vicinity(paths: DataFrame, ref_points: DataFrame, refs: DataFrame, matches: DataFrame, km: float = 0.05) -> DataFrame:
+    """CHO-1, REP-5. (path_id, ref_id, is_vehicle): references within ``km`` of a path's merged line, those its edges
+    match (path_id, ref_id), and those on the same geometries. ``refs``: ref_id, geometry_id, road_class."""
+    near = spatial_overlap(paths, ref_points, km).select(F.col("a_id").alias("path_id"), F.col("b_id").alias("ref_id"))
+    own = near.unionByName(matches.select("path_id", "ref_id")).join(refs.select("ref_id", "geometry_id"), "ref_id").select("path_id", "geometry_id").distinct()
+    return own.join(refs.select("geometry_id", "ref_id", "road_class"), "geometry_id").select("path_id", "ref_id", (F.col("road_class") < 8).alias("is_vehicle")).distinct()
+
+
+def mean_distances(vicinity: DataFrame, paths: DataFrame, ref_points: DataFrame, samples: int = 11) -> DataFrame:
+    """CHO-3. ``vicinity`` with avg_dist_km, the mean distance of points along the reference from the path's line."""
+    asked = vicinity.select("path_id", "ref_id").join(line_lengths(ref_points).select(F.col("line_id").alias("ref_id"), "length_km"), "ref_id")
+    far = avg_deviance(asked.select(F.col("path_id").alias("edge_id"), "ref_id", F.lit(0.0).alias("section_start"), F.col("length_km").alias("section_end")), paths, ref_points, samples)
+    return vicinity.join(far.withColumnsRenamed({"edge_id": "path_id", "avg_deviance_km": "avg_dist_km"}), ["path_id", "ref_id"])
 
 
 def preferred_refs(vicinity: DataFrame, matches: DataFrame, refs: DataFrame) -> DataFrame:
@@ -163,11 +185,17 @@ def edge_weights(vicinity: DataFrame, preferred: DataFrame, refs: DataFrame) ->
     return v.select("path_id", "ref_id", "from_node", "to_node", "road_class", F.round(w, 9).alias("weight"))
 
 
-def od_candidates(path_ends: DataFrame, nodes: DataFrame, k: int = 10) -> DataFrame:
-    """CHO-4. (path_id, source, sink): the ``k`` nodes nearest a path's start with those nearest its end.
-    ``path_ends``: path_id, x1, y1, x2, y2; ``nodes``: target_id, x, y."""
-    near = lambda x, y: knn_points(path_ends.select(F.col("path_id").alias("point_id"), F.col(x).alias("x"), F.col(y).alias("y")), nodes, k).select(F.col("point_id").alias("path_id"), F.col("target_id").alias("node"))
-    return od_pairs(near("x1", "y1"), near("x2", "y2"))
+def od_candidates(paths: DataFrame, weights: DataFrame, nodes: DataFrame, k: int = 10) -> DataFrame:
+    """CHO-4. (path_id, source, sink): of the nodes of a path's vicinity the ``k`` nearest its start, with those nearest
+    its end. ``paths``: vertices; ``weights``: :func:`edge_weights`; ``nodes``: node_id, x, y."""
+    ends = line_ends(paths).withColumnRenamed("line_id", "path_id")
+    own = weights.select("path_id", F.explode(F.array("from_node", "to_node")).alias("node")).distinct().join(nodes.withColumnRenamed("node_id", "node"), "node").join(ends, "path_id")
+
+    def nearest(x: str, y: str) -> DataFrame:
+        order = Window.partitionBy("path_id").orderBy(F.round("km", 9), "node")
+        return own.withColumn("km", haversine(F.col("x"), F.col("y"), F.col(x), F.col(y))).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select("path_id", "node")
+
+    return od_pairs(nearest("x1", "y1"), nearest("x2", "y2"))
 
 
 def shortest_chains(weights: DataFrame, od: DataFrame) -> DataFrame:
@@ -178,10 +206,46 @@ def shortest_chains(weights: DataFrame, od: DataFrame) -> DataFrame:
     return path_nodes(found, asked).withColumnRenamed("grp", "path_id")
 
 
+def chain_refs(chains: DataFrame, weights: DataFrame) -> DataFrame:
+    """(path_id, chain_id, chain_idx, ref_id): the references between the nodes of each chain, one at each step."""
+    order = Window.partitionBy("path_id", "source", "sink").orderBy("idx")
+    steps = chains.withColumn("to_node", F.lead("node").over(order)).where("to_node IS NOT NULL")
+    best = best_parallel(weights.select(F.col("path_id").alias("grp"), F.col("ref_id").alias("edge_id"), "from_node", "to_node", "weight", "road_class"))
+    met = steps.join(best.select(F.col("grp").alias("path_id"), F.col("from_node").alias("node"), "to_node", F.col("edge_id").alias("ref_id")), ["path_id", "node", "to_node"])
+    return met.select("path_id", F.concat_ws("-", "path_id", "source", "sink").alias("chain_id"), F.col("idx").alias("chain_idx"), "ref_id")
+
+
+def chain_lines(chain: DataFrame, ref_points: DataFrame) -> DataFrame:
+    """(line_id, pt_idx, x, y): the vertices of each chain's references in order."""
+    return merge_path(chain.select(F.col("chain_id").alias("path_id"), F.col("chain_idx").alias("path_edge_idx"), F.col("ref_id").alias("edge_id")), ref_points.withColumnRenamed("line_id", "edge_id"))
+
+
+def measure_chains(chain: DataFrame, lines: DataFrame, paths: DataFrame, reach_km: float = 0.5, samples: int = 20) -> DataFrame:
+    """CHO-6. What :func:`score_chains` needs: how alike the first and last ``reach_km`` of chain and path are, how far
+    the path's ends lie from the chain and where along it, and both lengths. ``lines`` are :func:`chain_lines`."""
+    pairs = chain.select("path_id", "chain_id").distinct()
+    chain_km = line_lengths(lines).select(F.col("line_id").alias("chain_id"), F.col("length_km").alias("chain_km"))
+    path_km = line_lengths(paths).select(F.col("line_id").alias("path_id"), F.col("length_km").alias("path_km"))
+    ends = pairs.join(line_ends(paths).withColumnRenamed("line_id", "path_id"), "path_id")
+    snap = lambda x, y, p: nearest_on_line(ends.select(F.col("path_id").alias("point_id"), F.col("chain_id").alias("line_id"), F.col(x).alias("px"), F.col(y).alias("py")), lines).select(F.col("point_id").alias("path_id"), F.col("line_id").alias("chain_id"), F.col("dist_km").alias(f"{p}_dist_km"), F.col("along_km").alias(f"{p}_along_km"))
+
+    def pieces(v: DataFrame, prefix: str) -> DataFrame:
+        km = line_lengths(v).select("line_id", "length_km", F.concat(F.lit(prefix), F.col("line_id").cast("string")).alias("name"))
+        reach = F.least(F.lit(reach_km), F.col("length_km"))
+        first = km.select("line_id", F.concat("name", F.lit(":start")).alias("section_id"), F.lit(0.0).alias("from_km"), reach.alias("to_km"))
+        last = km.select("line_id", F.concat("name", F.lit(":end")).alias("section_id"), (F.col("length_km") - reach).alias("from_km"), F.col("length_km").alias("to_km"))
+        return line_slice(v, first.unionByName(last)).withColumnRenamed("section_id", "line_id")
+
+    cut_lines = pieces(lines, "c").unionByName(pieces(paths, "p"))
+    asked = pairs.select(F.explode(F.array(*[F.struct(F.concat(F.lit("c"), F.col("chain_id"), F.lit(e)).alias("a_id"), F.concat(F.lit("p"), F.col("path_id").cast("string"), F.lit(e)).alias("b_id")) for e in (":start", ":end")])).alias("q")).select("q.*")
+    alike = curve_similarity(asked, cut_lines, samples).select(F.regexp_extract("a_id", "^c(.*):(start|end)$", 1).alias("chain_id"), F.regexp_extract("a_id", ":(start|end)$", 1).alias("end"), "similarity")
+    both = alike.groupBy("chain_id").agg(F.max(F.when(F.col("end") == "start", F.col("similarity"))).alias("start_similarity"), F.max(F.when(F.col("end") == "end", F.col("similarity"))).alias("end_similarity"))
+    return pairs.join(chain_km, "chain_id").join(path_km, "path_id").join(snap("x1", "y1", "start"), ["path_id", "chain_id"]).join(snap("x2", "y2", "end"), ["path_id", "chain_id"]).join(both, "chain_id")
+
+
 def score_chains(chains: DataFrame) -> DataFrame:
     """CHO-6. Lower is better: (2 - start and end similarity) x mean end distance x (1 + relative length difference);
-    infinite where the chain's ends come in the wrong order along the path. Columns: path_id, chain_id,
-    start_similarity, end_similarity, start_dist_km, end_dist_km, start_along_km, end_along_km, chain_km, path_km."""
+    infinite where the chain's ends come in the wrong order along the path. Columns: :func:`measure_chains`."""
     apart = (F.col("start_dist_km") + F.col("end_dist_km")) / 2 + 1e-6
     off = F.try_divide(F.abs(F.col("chain_km") - F.col("path_km")), F.col("path_km"))
     score = (2 - F.col("start_similarity") - F.col("end_similarity") + 1e-6) * apart * (1 + F.coalesce(off, F.lit(0.0)))
@@ -216,6 +280,14 @@ def overlaps_to_matches(overlaps: DataFrame) -> DataFrame:
     return numbered.withColumn("along_start", F.round(F.col("along_end") - km, 9)).drop("chain_from")
 
 
+def edge_snaps(path_edges: DataFrame, edge_points: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(chain_id, path_edge_idx, from_km, to_km): where the ends of each path edge snap to each chain of its path, edges
+    that snap backwards left out. ``pairs``: path_id, chain_id."""
+    ends = path_edges.join(line_ends(edge_points).withColumnRenamed("line_id", "edge_id"), "edge_id").join(pairs, "path_id")
+    at = lambda x, y, name: nearest_on_line(ends.select(F.struct("chain_id", "path_edge_idx").alias("point_id"), F.col("chain_id").alias("line_id"), F.col(x).alias("px"), F.col(y).alias("py")), lines).select("point_id.*", F.col("along_km").alias(name))
+    return at("x1", "y1", "from_km").join(at("x2", "y2", "to_km"), ["chain_id", "path_edge_idx"]).where("from_km < to_km")
+
+
 def divvy(forward: tuple[DataFrame, DataFrame], backward: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """SEC-9, CHO-7. Matches of a path's forward chain and, for centerline maps, of its backward chain."""
     out = overlaps_to_matches(chain_overlaps(*forward)).withColumn("is_forward", F.lit(1))
@@ -224,6 +296,48 @@ def divvy(forward: tuple[DataFrame, DataFrame], backward: tuple[DataFrame, DataF
     return out.unionByName(overlaps_to_matches(chain_overlaps(*backward)).withColumn("is_forward", F.lit(0)))
 
 
+def first_chain_matches(scored: DataFrame, snapped: DataFrame, chain: DataFrame, ref_km: DataFrame) -> DataFrame:
+    """SEC-9. Matches of each path by its best-scored chain that has any. ``scored``: path_id, chain_id, score;
+    ``ref_km``: ref_id, length_km."""
+    ranked = scored.where(F.col("score") < float("inf")).select("path_id", "chain_id", F.row_number().over(Window.partitionBy("path_id").orderBy(F.round("score", 12), "chain_id")).alias("place"))
+    keyed = chain.join(ref_km, "ref_id").select(F.col("chain_id").alias("path_id"), "chain_idx", "ref_id", "length_km")
+    met = overlaps_to_matches(chain_overlaps(snapped.withColumnRenamed("chain_id", "path_id"), keyed)).withColumnRenamed("path_id", "chain_id").join(ranked, "chain_id")
+    first = met.groupBy("path_id").agg(F.min("place").alias("place"))
+    return met.join(first, ["path_id", "place"]).drop("place")
+
+
+def choose_matches(path_edges: DataFrame, edge_points: DataFrame, matches: DataFrame, refs: DataFrame, ref_points: DataFrame, nodes: DataFrame, k: int = 3, centerline: bool = False, vehicles: bool = True) -> DataFrame:
+    """CHO-7. (path_id, path_edge_idx, ref_id, is_forward, match_idx, section and along-edge distances): vicinity, weights,
+    chains, scores and division of the best chain among the path's edges; backward too for centerline maps.
+
+    ``matches``: edge_id, ref_id of :func:`match_edges`; ``refs``: ref_id, geometry_id, from_node, to_node, road_class;
+    ``nodes``: node_id, x, y. ``vehicles`` leaves out references of class 8. Each stage is written, since several
+    later ones read it.
+    """
+    km = cut(line_lengths(ref_points).select(F.col("line_id").alias("ref_id"), "length_km"), "ref-km")
+    own = cut(path_edges.join(matches.select("edge_id", "ref_id"), "edge_id").select("path_id", "ref_id").distinct(), "own")
+    out = None
+    for way in (1, 0) if centerline else (1,):
+        edges = path_edges if way else reverse_path(path_edges)
+        points = edge_points if way else reverse_lines(edge_points)
+        paths = cut(merge_path(edges, points.withColumnRenamed("line_id", "edge_id")), "paths")
+        vicinity = path_vicinity(paths, ref_points, refs, own)
+        vicinity = cut(vicinity.where("is_vehicle") if vehicles else vicinity, "vicinity")
+        weights = cut(edge_weights(mean_distances(vicinity, paths, ref_points), preferred_refs(vicinity, own, refs), refs.drop("length_km").join(km, "ref_id")), "weights")
+        od = cut(od_candidates(paths, weights, nodes, k), "od")
+        chain = cut(chain_refs(shortest_chains(weights, od), weights), "chain")
+        lines = cut(chain_lines(chain, ref_points), "lines")
+        scored = cut(score_chains(measure_chains(chain, lines, paths)).select("path_id", "chain_id", "score"), "scored")
+        snapped = cut(edge_snaps(edges, points, lines, scored.select("path_id", "chain_id")), "snapped")
+        part = cut(first_chain_matches(scored, snapped, chain, km).withColumn("is_forward", F.lit(way)), "chosen")
+        if not way:
+            last = path_edges.groupBy("path_id").agg(F.max("path_edge_idx").alias("__last"))
+            part = part.join(last, "path_id").withColumn("path_edge_idx", F.col("__last") - F.col("path_edge_idx")).drop("__last")
+        out = part if out is None else out.unionByName(part)
+        release(paths, vicinity, weights, od, chain, lines, scored, snapped)
+    return out
+
+
 def avg_deviance(matches: DataFrame, edges: DataFrame, refs: DataFrame, samples: int = 11) -> DataFrame:
     """SEC-10. Mean distance of points along a match's reference section from its edge, in km."""
     at = matches.select("edge_id", "ref_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: F.col("section_start") + (F.col("section_end") - F.col("section_start")) * i / (samples - 1))).alias("d_km"))

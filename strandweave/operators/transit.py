@@ -97,6 +97,19 @@ def bus_counts(on_segments: DataFrame, counts: DataFrame, extent: DataFrame) ->
     return met.crossJoin(F.broadcast(days)).select("segment_id", "route_id", *[F.round(F.coalesce(p, F.lit(0)) * 365 / F.col("n_days") + 1e-9, 3).alias(p.lower()) for p in PERIODS])
 
 
+def shape_runs(trips: DataFrame, counts: DataFrame) -> DataFrame:
+    """(shape_id, route_id, time_period, n_runs): runs summed over the trips of a shape before they meet its segments."""
+    return trips.select("trip_id", "route_id", "shape_id").distinct().join(counts, "trip_id").groupBy("shape_id", "route_id", "time_period").agg(F.sum("n_runs").alias("n_runs"))
+
+
+def shape_bus_counts(runs: DataFrame, matches: DataFrame, segments: DataFrame, extent: DataFrame) -> DataFrame:
+    """AGG-22 by shape: what :func:`bus_counts` gives for :func:`trip_segments`, without a row for each trip and segment."""
+    on = matches.join(segments.select("ref_id", "segment_id"), "ref_id").select("shape_id", "segment_id").distinct()
+    met = runs.join(on, "shape_id").groupBy("segment_id", "route_id").pivot("time_period", list(PERIODS)).agg(F.sum("n_runs"))
+    days = F.broadcast(extent.select("n_days"))  # one row
+    return met.crossJoin(days).select("segment_id", "route_id", *[F.round(F.coalesce(p, F.lit(0)) * 365 / F.col("n_days") + 1e-9, 3).alias(p.lower()) for p in PERIODS])
+
+
 def bus_aadt(counts: DataFrame) -> DataFrame:
     """AGG-23. Daily averages."""
     return counts.select("segment_id", "route_id", *[F.round(F.col(p.lower()) / 365 + 1e-9, 3).alias(p.lower()) for p in PERIODS])
@@ -143,4 +156,4 @@ def gtfs_to_aadt(trips: DataFrame, stop_times: DataFrame, calendar: DataFrame, c
     extent = feed_extent(calendar, calendar_dates)
     services = service_dates(calendar, calendar_dates, feed_dates(extent))
     counts = trip_counts(trip_services(trips, trip_times(stop_times), services), services)
-    return bus_aadt(bus_counts(trip_segments(matches, trips, segments), counts, extent))
+    return bus_aadt(shape_bus_counts(shape_runs(trips, counts), matches, segments, extent))

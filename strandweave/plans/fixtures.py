@@ -10,29 +10,47 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 SQL = {
-    "ref_segments": """SELECT p_partkey AS ref_id, CAST(floor(p_partkey / 2) AS BIGINT) AS geometry_id, 1 - (p_partkey % 2) AS is_forward, p_size % 9 AS road_class, p_size % 8 AS form_of_way, ROUND(9e-1 + (CAST(floor(p_partkey / 2) AS BIGINT) % 100) / 1e3, 4) AS length_km, CASE WHEN p_partkey % 2 = 0 THEN (CAST(floor(p_partkey / 2) AS BIGINT) * 7) % 400 ELSE (CAST(floor(p_partkey / 2) AS BIGINT) * 11 + 3) % 400 END AS from_node, CASE WHEN p_partkey % 2 = 0 THEN (CAST(floor(p_partkey / 2) AS BIGINT) * 11 + 3) % 400 ELSE (CAST(floor(p_partkey / 2) AS BIGINT) * 7) % 400 END AS to_node
-  FROM {part}""",
+    # streets of towns of ten by ten crossings, nine blocks a street: geometries are numbered along the streets
+    "blocks": """SELECT p_partkey AS ref_id, g AS geometry_id, is_forward, road_class, form_of_way, ROUND(9e-1 + (g % 100) / 1e3, 4) AS length_km, town * 100 + CASE WHEN k < 90 THEN street * 10 + place ELSE place * 10 + street - 10 END AS a, town * 100 + CASE WHEN k < 90 THEN street * 10 + place + 1 ELSE (place + 1) * 10 + street - 10 END AS z
+  FROM (SELECT p_partkey, g, is_forward, road_class, form_of_way, CAST(floor(g / 180) AS BIGINT) AS town, g % 180 AS k, CAST(floor((g % 180) / 9) AS BIGINT) AS street, g % 9 AS place
+    FROM (SELECT p_partkey, CAST(floor(p_partkey / 2) AS BIGINT) AS g, 1 - (p_partkey % 2) AS is_forward, p_size % 9 AS road_class, p_size % 8 AS form_of_way FROM {part}) i) j""",
+    "ref_segments": """SELECT ref_id, geometry_id, is_forward, road_class, form_of_way, length_km, CASE WHEN is_forward = 1 THEN a ELSE z END AS from_node, CASE WHEN is_forward = 1 THEN z ELSE a END AS to_node
+  FROM {blocks}""",
+    "oneways": """SELECT * FROM {ref_segments} WHERE is_forward = 1 AND geometry_id % 5 <> 0""",
+    "crossings": """SELECT node_id, ROUND(-74e0 + (CAST(floor(node_id / 100) AS BIGINT) % 10) * 2e-1 + (node_id % 10) * 1e-2, 6) AS x, ROUND(40e0 + floor(node_id / 1000) * 2e-1 + floor((node_id % 100) / 10) * 1e-2, 6) AS y
+  FROM (SELECT DISTINCT from_node AS node_id FROM {ref_segments} UNION SELECT DISTINCT to_node FROM {ref_segments}) n""",
+    "street_points": """SELECT ref_id, geometry_id, pt_idx, CASE WHEN pt_idx = 0 THEN a.x WHEN pt_idx = 2 THEN z.x ELSE ROUND((a.x + z.x) / 2 + (geometry_id % 3 - 1) / 1e4, 6) END AS x, CASE WHEN pt_idx = 0 THEN a.y WHEN pt_idx = 2 THEN z.y ELSE ROUND((a.y + z.y) / 2 + (geometry_id % 5 - 2) / 1e4, 6) END AS y
+  FROM {ref_segments} r JOIN {crossings} a ON r.from_node = a.node_id JOIN {crossings} z ON r.to_node = z.node_id CROSS JOIN (VALUES (0), (1), (2)) AS k(pt_idx)""",
+    "ref_points": """SELECT ref_id AS line_id, pt_idx, x, y FROM {street_points}""",
+    # an agency's edges: the middle of each block beside the base line; every other street drawn backwards
+    "agency_edges": """SELECT geometry_id AS edge_id, CAST(floor(geometry_id / 9) AS BIGINT) AS path_id, CASE WHEN floor(geometry_id / 9) % 2 = 0 THEN geometry_id % 9 ELSE 8 - geometry_id % 9 END AS path_edge_idx, CASE WHEN floor(geometry_id / 9) % 2 = 0 THEN 1 ELSE 0 END AS along
+  FROM {ref_segments} WHERE is_forward = 1""",
+    "agency_points": """SELECT e.edge_id AS line_id, CASE WHEN along = 1 THEN pt_idx ELSE 2 - pt_idx END AS pt_idx, ROUND(x + 4e-5, 6) AS x, ROUND(y + 4e-5, 6) AS y
+  FROM {agency_edges} e JOIN {street_points} p ON p.ref_id = 2 * e.edge_id""",
     "edges": """SELECT o_orderkey AS edge_id, concat('T', CAST(o_orderkey AS STRING)) AS target_map_id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_unidirectional, (2000 + CAST(floor(o_totalprice / 25) AS BIGINT)) / 1e4 AS edge_length_km, CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 1 END AS is_primary
   FROM {orders}""",
     "path_edges": """SELECT o_custkey AS path_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS path_edge_idx, o_orderkey AS edge_id
   FROM {orders}
-  UNION ALL SELECT 1000000 + o_custkey % 300 AS path_id, row_number() OVER (PARTITION BY o_custkey % 300 ORDER BY o_orderdate, o_orderkey) - 1 AS path_edge_idx, o_orderkey AS edge_id
+  UNION ALL SELECT 1000000 + CAST(floor(o_custkey / 5) AS BIGINT) AS path_id, row_number() OVER (PARTITION BY CAST(floor(o_custkey / 5) AS BIGINT) ORDER BY o_orderdate, o_orderkey) - 1 AS path_edge_idx, o_orderkey AS edge_id
   FROM {orders}
   WHERE o_orderkey % 5 = 0""",
     "chosen_matches": """SELECT path_id, path_edge_idx, edge_id, is_forward, row_number() OVER (PARTITION BY path_id, path_edge_idx, is_forward ORDER BY section_start, ref_id) - 1 AS match_idx, ref_id, section_start, section_end, avg_deviance_km
-  FROM (SELECT p.path_id, p.path_edge_idx, p.edge_id, l.l_linenumber % 2 AS is_forward, l.l_partkey AS ref_id, MIN(ROUND(l.l_discount * 5, 4)) AS section_start, MAX(ROUND(least(l.l_discount * 5 + 0.05 + l.l_quantity / 100, 0.9), 4)) AS section_end, MIN(ROUND(l.l_tax + 0.001, 4)) AS avg_deviance_km
+  FROM (SELECT p.path_id, p.path_edge_idx, p.edge_id, l.l_linenumber % 2 AS is_forward, l.l_partkey AS ref_id, MIN(ROUND(l.l_discount * 7 + l.l_tax * 8e-1, 4)) AS section_start, MAX(ROUND(least(l.l_discount * 7 + l.l_tax * 8e-1 + 5e-3 + l.l_quantity / 2e3, 9e-1), 4)) AS section_end, MIN(ROUND(l.l_tax + 0.001, 4)) AS avg_deviance_km
   FROM {path_edges} p
   JOIN {lineitem} l ON p.edge_id = l.l_orderkey
   GROUP BY p.path_id, p.path_edge_idx, p.edge_id, l.l_linenumber % 2, l.l_partkey) t""",
-    "edge_candidates": """SELECT l_orderkey AS edge_id, l_partkey AS ref_id, MIN(ROUND(l_discount * 5, 4)) AS section_start, MAX(ROUND(least(l_discount * 5 + 0.05 + l_quantity / 100, 0.9), 4)) AS section_end
-  FROM {lineitem}
-  WHERE l_linenumber <= 3
-  GROUP BY l_orderkey, l_partkey""",
+    "first_round": """SELECT * FROM {chosen_matches} WHERE edge_id % 4 <> 0""",
+    "later_round": """SELECT * FROM {chosen_matches} WHERE match_idx >= 1""",
+    "edge_candidates": """SELECT l_orderkey AS edge_id, ref_id, MIN(ROUND(l_discount * 5, 4)) AS section_start, MAX(ROUND(least(l_discount * 5 + 0.05 + l_quantity / 100, 0.9), 4)) AS section_end
+  FROM (SELECT l_orderkey, CASE WHEN l_linenumber < 3 THEN l_partkey ELSE l_partkey + 2 END AS ref_id, l_discount, l_quantity FROM {lineitem} WHERE l_linenumber <= 3) t
+  GROUP BY l_orderkey, ref_id""",
     "stop_times": """SELECT trip_id, lpad(CAST(CAST(floor(s / 3600) AS INT) AS STRING), 2, '0') AS hh, concat(lpad(CAST(CAST(floor(s / 3600) AS INT) AS STRING), 2, '0'), ':', lpad(CAST(CAST(floor((s % 3600) / 60) AS INT) AS STRING), 2, '0'), ':', lpad(CAST(s % 60 AS STRING), 2, '0')) AS arrival_time, stop_sequence
   FROM (SELECT concat(CAST(user_id AS STRING), '_', CAST(CAST(floor(hour(ts) / 4) AS INT) AS STRING)) AS trip_id, hour(ts) * 3600 + minute(ts) * 60 + CAST(floor(second(ts)) AS INT) + CASE WHEN user_id % 10 = 0 THEN 14400 ELSE 0 END AS s, event_id AS stop_sequence
   FROM {events}) t""",
-    "trips": """SELECT DISTINCT concat(CAST(user_id AS STRING), '_', CAST(CAST(floor(hour(ts) / 4) AS INT) AS STRING)) AS trip_id, user_id % 7 AS service_id, user_id % 25 AS route_id, user_id % 40 AS shape_id
+    "trips": """SELECT DISTINCT concat(CAST(user_id AS STRING), '_', CAST(CAST(floor(hour(ts) / 4) AS INT) AS STRING)) AS trip_id, user_id % 7 AS service_id, user_id % 25 AS route_id, CASE WHEN user_id % 50 = 0 THEN NULL ELSE user_id END AS shape_id
   FROM {events}""",
+    "shape_refs": """SELECT DISTINCT user_id AS shape_id, user_id * 12 + j AS ref_id
+  FROM {events} CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9), (10), (11), (12), (13)) AS k(j)""",
     "calendar": """SELECT DISTINCT n_nationkey % 7 AS service_id, CASE WHEN (n_nationkey % 7) IN (0, 6) THEN 1 ELSE 0 END AS sunday, CASE WHEN (n_nationkey % 7) < 5 THEN 1 ELSE 0 END AS monday, 1 AS tuesday, CASE WHEN (n_nationkey % 7) <> 3 THEN 1 ELSE 0 END AS wednesday, 1 AS thursday, CASE WHEN (n_nationkey % 7) < 6 THEN 1 ELSE 0 END AS friday, CASE WHEN (n_nationkey % 7) > 4 THEN 1 ELSE 0 END AS saturday, '20240101' AS start_date, '20240130' AS end_date
   FROM {nation}""",
     "calendar_dates": """SELECT user_id % 7 AS service_id, concat('202401', lpad(CAST(day(ts) AS STRING), 2, '0')) AS date, MIN(CASE WHEN event_type = 'error' THEN 2 ELSE 1 END) AS exception_type
@@ -41,20 +59,19 @@ SQL = {
   GROUP BY user_id % 7, concat('202401', lpad(CAST(day(ts) AS STRING), 2, '0'))""",
     "way_nodes": """SELECT l_orderkey AS way_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS node_idx, l_partkey AS node_id
   FROM {lineitem}""",
+    "osm_nodes": """SELECT * FROM {way_nodes} WHERE way_id % 2 = 0""",
+    "section_nodes": """SELECT way_id AS ref_id, node_idx, node_id FROM {way_nodes} WHERE way_id % 2 = 1""",
     "nodes": """SELECT p_partkey AS node_id, ROUND(-74e0 - (CAST(floor(p_partkey / 3) AS BIGINT) % 100) / 1e3, 6) AS lon, ROUND(42e0 + CAST(floor(p_partkey / 300) AS BIGINT) / 1e3, 6) AS lat
   FROM {part}""",
+    "stations": """SELECT s_suppkey AS point_id, ROUND(-74e0 + (s_suppkey % 97) / 1e3 - 0.0969, 6) AS x, ROUND(42e0 + (s_suppkey % 61) / 1e4 + 0.0002, 6) AS y FROM {supplier}""",
     "way_tags": """SELECT o_orderkey AS way_id, CASE o_orderpriority WHEN '1-URGENT' THEN ' Motorway_Link' WHEN '2-HIGH' THEN 'primary' WHEN '3-MEDIUM' THEN 'residential' WHEN '4-NOT SPECIFIED' THEN 'service' ELSE 'footway' END AS highway, CASE WHEN o_orderstatus = 'F' THEN 'driveway' ELSE NULL END AS service
   FROM {orders}""",
     "station_directions": """SELECT DISTINCT concat(lpad(CAST(s_nationkey AS STRING), 2, '0'), '_', lpad(CAST(s_suppkey AS STRING), 4, '0')) AS rc_station, year(l_shipdate) AS year, 1 + 2 * (l_linenumber % 4) AS federal_direction
   FROM {lineitem}
   JOIN {supplier} ON l_suppkey = s_suppkey
   WHERE l_shipdate IS NOT NULL AND l_linenumber < 6""",
-    "curves": """SELECT vec_id AS line_id, pos AS pt_idx, x, y
-  FROM (SELECT vec_id, pos, ROUND(CAST(embedding[2 * pos + {base}] AS DOUBLE), 6) AS x, ROUND(CAST(embedding[2 * pos + 1 + {base}] AS DOUBLE), 6) AS y
-  FROM {embeddings}
-  CROSS JOIN (SELECT DISTINCT CAST(floor(l_quantity) AS INT) - 1 AS pos
-  FROM {lineitem}) k
-  WHERE pos < 32) t""",
+    "curves": """SELECT vec_id AS line_id, pos AS pt_idx, ROUND(CAST(embedding[2 * pos + {base}] AS DOUBLE), 6) AS x, ROUND(CAST(embedding[2 * pos + 1 + {base}] AS DOUBLE), 6) AS y
+  FROM {embeddings} CROSS JOIN (SELECT 8 * h + l AS pos FROM (VALUES (0), (1), (2), (3)) AS a(h) CROSS JOIN (VALUES (0), (1), (2), (3), (4), (5), (6), (7)) AS b(l)) k""",
 }
 
 
@@ -95,4 +112,4 @@ def ctes(*names: str, more: dict[str, str] | None = None) -> str:
         need(name)
     if not order:
         return ""
-    return "WITH " + ",\n".join(f"{n} AS (" + re.sub(r"\{(\w+)\}", lambda m: "1" if m[1] == "base" else m[1], known[n]) + ")" for n in order)
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED (" + re.sub(r"\{(\w+)\}", lambda m: "1" if m[1] == "base" else m[1], known[n]) + ")" for n in order)

@@ -13,6 +13,7 @@ LIB = {
     "consolidated": """SELECT a.* FROM {hull} a WHERE NOT EXISTS (SELECT 1 FROM {hull} b WHERE a.ref_id = b.ref_id AND a.edge_id = b.edge_id AND a.section_start < b.section_end AND b.section_start < a.section_end
     AND (((a.section_start <> b.section_start OR a.section_end <> b.section_end) AND ROUND(a.section_end - a.section_start, 9) <= ROUND(b.section_end - b.section_start, 9))
       OR (a.section_start = b.section_start AND a.section_end = b.section_end AND b.is_forward > a.is_forward)))""",
+    "first_claims": """SELECT path_id, path_edge_idx, edge_id, is_forward, match_idx, ref_id, ROUND(section_start, 4) AS section_start, ROUND(section_end, 4) AS section_end FROM {first_round} WHERE ROUND(section_start, 4) < ROUND(section_end, 4)""",
     "reached": """SELECT ref_id, edge_id, is_forward, section_start, section_end, MAX(section_end) OVER (PARTITION BY ref_id, edge_id, is_forward ORDER BY section_start, section_end ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM (SELECT DISTINCT ref_id, edge_id, is_forward, section_start, section_end FROM {claims})""",
     "islands": """SELECT *, SUM(CASE WHEN reach IS NULL OR section_start - reach > 1e-5 THEN 1 ELSE 0 END) OVER (PARTITION BY ref_id, edge_id, is_forward ORDER BY section_start, section_end ROWS UNBOUNDED PRECEDING) AS island FROM {reached}""",
     "pieces_strict": """SELECT ref_id, edge_id, is_forward, MIN(section_start) AS section_start, MAX(section_end) AS section_end FROM {islands} GROUP BY ref_id, edge_id, is_forward, island""",
@@ -76,7 +77,7 @@ LIB = {
     ROUND(least(end_of - CASE WHEN end_epoch < 72 THEN -240 WHEN end_epoch >= 240 THEN 1200 WHEN start_dow NOT BETWEEN 1 AND 5 OR end_epoch < 120 THEN 360 WHEN end_epoch < 192 THEN 600 ELSE 960 END, minutes) + 1e-9) AS end_minutes FROM {placed}""",
     "trip_rows": """SELECT trip_id, service_id, dow, start_s, end_s, start_dow, end_dow, start_epoch, end_epoch, start_period, end_period, minutes, start_minutes, end_minutes, CASE WHEN start_minutes > end_minutes THEN start_period ELSE end_period END AS time_period FROM {periods}""",
     "runs": """SELECT trip_id, time_period, SUM(n)::BIGINT AS n_runs FROM {trip_rows} JOIN (SELECT service_id, dow, COUNT(*) AS n FROM {services} GROUP BY ALL) USING (service_id, dow) GROUP BY ALL""",
-    "on_segments": """SELECT DISTINCT trip_id, route_id, geometry_id AS segment_id FROM {trips} JOIN {ref_segments} ON shape_id = ref_id % 40""",
+    "on_segments": """SELECT DISTINCT trip_id, route_id, geometry_id AS segment_id FROM {trips} JOIN {shape_refs} USING (shape_id) JOIN {ref_segments} USING (ref_id)""",
     "bus": """SELECT segment_id, route_id, """
     + ", ".join(f"ROUND(COALESCE(SUM(CASE WHEN time_period = '{p}' THEN n_runs END), 0) * 365 / any_value(n_days) + 1e-9, 3) AS {p.lower()}" for p in ("AMP", "MIDD", "PMP", "WE", "OVN"))
     + """ FROM {on_segments} JOIN {runs} USING (trip_id) CROSS JOIN {extent} GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY segment_id, route_id"),
@@ -88,6 +89,12 @@ LIB = {
     "lens": """SELECT line_id, COUNT(*) AS n_points, SUM(km) AS length_km FROM {steps} GROUP BY line_id""",
     "ends": """SELECT line_id, arg_min(x, pt_idx) AS x1, arg_min(y, pt_idx) AS y1, arg_max(x, pt_idx) AS x2, arg_max(y, pt_idx) AS y2 FROM {curves} GROUP BY line_id""",
 }
+for _name, _points in (("ref", "ref_points"), ("agency", "agency_points"), ("path", "merged")):
+    LIB[f"{_name}_vertices"] = LIB["vertices"].replace("{curves}", "{" + _points + "}")
+    LIB[f"{_name}_steps"] = LIB["steps"].replace("{vertices}", "{" + _name + "_vertices}")
+    LIB[f"{_name}_segments"] = "SELECT line_id, pt_idx, px AS x1, py AS y1, x AS x2, y AS y2, SUM(km) OVER o - km AS from_km, km FROM {" + _name + "_steps} WINDOW o AS (PARTITION BY line_id ORDER BY pt_idx) QUALIFY px IS NOT NULL"
+LIB["first_hull"] = LIB["hull"].replace("{claims}", "{first_claims}")
+LIB["first_consolidated"] = LIB["consolidated"].replace("{hull}", "{first_hull}")
 LIB["map_parts"] = LIB["parts"].replace("{points}", "{cut_points}")
 
 
@@ -100,12 +107,64 @@ def deg(x1: str, y1: str, x2: str, y2: str) -> str:
     return f"degrees(atan2(sin({d}) * cos(radians({y2})), cos(radians({y1})) * sin(radians({y2})) - sin(radians({y1})) * cos(radians({y2})) * cos({d})))"
 
 
+def labels(edges: str, rounds: int) -> str:
+    """Components by spreading the least label, unrolled: l0 to l<rounds> (u, c). Without the leading CTEs' comma after."""
+    parts = [f", e AS MATERIALIZED (SELECT u, v FROM ({edges}) UNION SELECT v, u FROM ({edges}))", "l0 AS MATERIALIZED (SELECT u, least(u, MIN(v)) AS c FROM e GROUP BY u)"]
+    parts += [f"l{k + 1} AS MATERIALIZED (SELECT e.u, least(any_value(a.c), MIN(b.c)) AS c FROM e JOIN l{k} a ON a.u = e.u JOIN l{k} b ON b.u = e.v GROUP BY e.u)" for k in range(rounds)]
+    return ", ".join(parts)
+
+
+def relaxed(edges: str, sources: str, rounds: int) -> str:
+    """Least distances (grp, source, node, dist) by relaxing all edges, unrolled: r0 to r<rounds>."""
+    parts = [f"g AS MATERIALIZED (SELECT grp, from_node, to_node, MIN(w) AS w FROM ({edges}) GROUP BY ALL)", f"r0 AS MATERIALIZED (SELECT grp, source, source AS node, 0::DOUBLE AS dist FROM ({sources}))"]
+    parts += [f"r{k + 1} AS MATERIALIZED (SELECT grp, source, node, MIN(dist) AS dist FROM (FROM r{k} UNION ALL SELECT r.grp, source, to_node, ROUND(dist + w, 9) FROM r{k} r JOIN g ON g.grp = r.grp AND g.from_node = r.node) GROUP BY ALL)" for k in range(rounds)]
+    return ", ".join(parts)
+
+
+def at_distance(wanted: str, steps: str, keys: str = "") -> str:
+    """found: the points at d_km along lines; ``steps`` has each vertex with the way to it from the last one."""
+    return (
+        f"ways AS MATERIALIZED (SELECT line_id, pt_idx, px AS x1, py AS y1, x AS x2, y AS y2, SUM(km) OVER o - km AS from_km, SUM(km) OVER o AS to_km, SUM(km) OVER (PARTITION BY line_id) AS total FROM {steps} WINDOW o AS (PARTITION BY line_id ORDER BY pt_idx)), "
+        f"found AS MATERIALIZED (SELECT {keys}line_id, d_km, x1 + f * (x2 - x1) AS x, y1 + f * (y2 - y1) AS y FROM (SELECT *, COALESCE((greatest(0, least(d_km, total)) - from_km) / NULLIF(to_km - from_km, 0), 0) AS f FROM ({wanted}) JOIN ways USING (line_id) WHERE x1 IS NOT NULL AND greatest(0, least(d_km, total)) >= from_km AND (greatest(0, least(d_km, total)) < to_km OR (d_km >= to_km AND to_km >= total - 1e-12)) QUALIFY row_number() OVER (PARTITION BY {keys}line_id, d_km ORDER BY pt_idx) = 1))"
+    )
+
+
+#: Where on the segment (x1, y1, x2, y2) the point (px, py) snaps, and how far that is.
+ALONG = "greatest(0, least(1, COALESCE(((px - x1) * (x2 - x1) * pow(cos(radians(py)), 2) + (py - y1) * (y2 - y1)) / NULLIF(pow((x2 - x1) * cos(radians(py)), 2) + pow(y2 - y1, 2), 0), 0)))"
+NEAREST = km("px", "py", "(x1 + t * (x2 - x1))", "(y1 + t * (y2 - y1))")
+
 TURN = deg("px", "py", "x", "y"), deg("x", "y", "nx", "ny")
 DIRECTION = """CASE WHEN len(list_filter(d, lambda x: x NOT IN (1, 3, 5, 7))) > 0 THEN NULL WHEN len(d) = 1 THEN d[1]
   WHEN len(d) > 2 OR len(d) = 0 THEN CASE WHEN w BETWEEN -45 AND 45 THEN 1 WHEN w > 45 AND w < 135 THEN 3 WHEN w <= -135 OR w >= 135 THEN 5 ELSE 7 END
   WHEN d = [1, 5] THEN CASE WHEN ABS(b) <= 90 THEN 1 ELSE 5 END WHEN d = [3, 7] THEN CASE WHEN b >= 0 THEN 3 ELSE 7 END END"""
 MAPS = ", ".join(f"{m}.{c} AS {m}_{c}" for m in ("tmc", "ris") for c in ("edge_id", "is_forward", "section_start", "section_end"))
 
+LIB["merged"] = """SELECT path_id AS line_id, row_number() OVER (PARTITION BY path_id ORDER BY path_edge_idx, pt_idx) - 1 AS pt_idx, x, y FROM (SELECT path_id, path_edge_idx, pt_idx, x, y, lag(x) OVER w AS bx, lag(y) OVER w AS before_y FROM {agency_edges} JOIN {agency_points} ON edge_id = line_id WINDOW w AS (PARTITION BY path_id ORDER BY path_edge_idx, pt_idx)) WHERE bx IS NULL OR bx <> x OR before_y <> y"""
+LIB["samples"] = f"""SELECT line_id, i, x1 + f * (x2 - x1) AS px, y1 + f * (y2 - y1) AS py FROM (SELECT line_id, i, x1, y1, x2, y2, COALESCE((d - from_km) / NULLIF(km, 0), 0) AS f FROM (SELECT s.*, i, total * i / 10 AS d, total FROM {{agency_segments}} s JOIN (SELECT line_id, SUM(km) AS total FROM {{agency_segments}} GROUP BY line_id) USING (line_id) CROSS JOIN (SELECT unnest(range(11)) AS i)) WHERE d >= from_km AND d <= from_km + km + 1e-12 QUALIFY row_number() OVER (PARTITION BY line_id, i ORDER BY pt_idx DESC) = 1)"""
+LIB["hits"] = f"""SELECT edge_id, ref_id, i, d, spot FROM (SELECT p.line_id AS edge_id, s.line_id AS ref_id, i, from_km, km, {ALONG} AS t, px, py, x1, y1, x2, y2, {NEAREST.replace("t *", ALONG + " *")} AS d, from_km + {ALONG} * km AS spot FROM {{samples}} p JOIN {{ref_segments_km}} s ON ABS(px - (x1 + x2) / 2) < 0.02 AND ABS(py - (y1 + y2) / 2) < 0.02) QUALIFY row_number() OVER (PARTITION BY edge_id, ref_id, i ORDER BY ROUND(d, 9), ROUND(spot, 9)) = 1"""
+LIB["ref_segments_km"] = "SELECT * FROM {ref_segments_lines}"
+LIB["ref_segments_lines"] = LIB.pop("ref_segments")
+LIB["matched"] = """SELECT edge_id, ref_id, CASE WHEN arg_min(spot, i) <= arg_max(spot, i) THEN 1 ELSE 0 END AS is_forward, MIN(spot) AS section_start, MAX(spot) AS section_end, AVG(d) AS score_km FROM {hits} WHERE d <= 0.03 GROUP BY edge_id, ref_id HAVING COUNT(*) >= 5.5 AND MAX(spot) > MIN(spot)"""
+LIB["path_refs"] = "SELECT DISTINCT path_id, ref_id FROM {agency_edges} JOIN {matched} USING (edge_id) WHERE is_forward = 1"
+
+
+def close_lines(a: str, b: str, limit: float) -> str:
+    """(a_id, b_id, d): lines with a vertex of either within so many km of the other."""
+    def one(points: str, segments: str, ids: str) -> str:
+        return f"SELECT {ids}, MIN({NEAREST}) AS d FROM (SELECT p.line_id AS pid, s.line_id AS sid, p.x AS px, p.y AS py, x1, y1, x2, y2, {ALONG.replace('px', 'p.x').replace('py', 'p.y')} AS t FROM {{{points}}} p JOIN {{{segments}}} s ON ABS(p.x - (x1 + x2) / 2) < 0.02 AND ABS(p.y - (y1 + y2) / 2) < 0.02) GROUP BY ALL"
+    return f"SELECT a_id, b_id, MIN(d) AS d FROM ({one(a[0], b[1], 'pid AS a_id, sid AS b_id')} UNION ALL {one(b[0], a[1], 'sid AS a_id, pid AS b_id')}) GROUP BY a_id, b_id HAVING MIN(d) <= {limit}"
+
+
+LIB["overlaps_20m"] = close_lines(("agency_points", "agency_segments"), ("ref_points", "ref_segments_lines"), 0.02)
+LIB["around"] = close_lines(("merged", "path_segments"), ("ref_points", "ref_segments_lines"), 0.05)
+LIB["vicinity"] = "SELECT DISTINCT path_id, ref_id, road_class < 8 AS is_vehicle FROM (SELECT path_id, geometry_id FROM (SELECT a_id AS path_id, b_id AS ref_id FROM {around} UNION SELECT path_id, ref_id FROM {path_refs}) JOIN {ref_segments} USING (ref_id)) JOIN {ref_segments} USING (geometry_id)"
+LIB["far_points"] = "SELECT path_id, ref_id, i, x1 + f * (x2 - x1) AS px, y1 + f * (y2 - y1) AS py FROM (SELECT path_id, ref_id, i, x1, y1, x2, y2, COALESCE((d - from_km) / NULLIF(km, 0), 0) AS f FROM (SELECT path_id, ref_id, i, s.*, total * i / 10 AS d FROM {vicinity} JOIN {ref_segments_lines} s ON s.line_id = ref_id JOIN (SELECT line_id, SUM(km) AS total FROM {ref_segments_lines} GROUP BY line_id) USING (line_id) CROSS JOIN (SELECT unnest(range(11)) AS i)) WHERE d >= from_km AND d <= from_km + km + 1e-12 QUALIFY row_number() OVER (PARTITION BY path_id, ref_id, i ORDER BY pt_idx DESC) = 1)"
+LIB["far"] = f"SELECT path_id, ref_id, AVG(d) AS avg_km FROM (SELECT path_id, ref_id, i, MIN({NEAREST}) AS d FROM (SELECT p.*, x1, y1, x2, y2, {ALONG} AS t FROM {{far_points}} p JOIN {{path_segments}} s ON s.line_id = path_id) GROUP BY ALL) GROUP BY ALL"
+LIB["weights"] = "SELECT path_id, ref_id, from_node, to_node, road_class, ROUND(ROUND(CASE WHEN (path_id, geometry_id) IN (SELECT (path_id, geometry_id) FROM {path_refs} JOIN {ref_segments} USING (ref_id)) THEN length_km * 0.1::DOUBLE WHEN avg_km > 0.2 THEN length_km * 2 ELSE length_km * (1 + avg_km / 0.4::DOUBLE) END, 9) + 1e-9, 4) AS weight FROM {vicinity} JOIN {far} USING (path_id, ref_id) JOIN {ref_segments} r USING (ref_id)"
+LIB["path_ends"] = LIB["ends"].replace("{curves}", "{merged}")
+LIB["near_ends"] = f"SELECT path_id, node, row_number() OVER (PARTITION BY path_id ORDER BY ROUND({km('x', 'y', 'x1', 'y1')}, 9), node) AS s, row_number() OVER (PARTITION BY path_id ORDER BY ROUND({km('x', 'y', 'x2', 'y2')}, 9), node) AS e FROM (SELECT DISTINCT path_id, unnest([from_node, to_node]) AS node FROM {{weights}}) JOIN {{crossings}} ON node = node_id JOIN {{path_ends}} ON line_id = path_id"
+LIB["od"] = "SELECT DISTINCT a.path_id, a.node AS source, b.node AS sink FROM {near_ends} a JOIN {near_ends} b ON a.path_id = b.path_id WHERE a.s <= 2 AND b.e <= 2 AND a.node <> b.node"
+
 #: name: (tables and definitions it reads, statement)
 SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "dispute_claimants": (("disputed",), "SELECT * FROM disputed"),
@@ -118,9 +177,9 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "section_partitions": (("parts",), "SELECT ref_id, part_idx, part_start, part_end FROM parts"),
     "conflation_segments": (("attached",), f"SELECT p.ref_id, p.part_idx, p.part_start, p.part_end, {MAPS} FROM map_parts p LEFT JOIN (SELECT * FROM attached WHERE rn = 1 AND map = 'tmc') tmc ON p.ref_id = tmc.ref_id AND p.part_idx = tmc.part_idx LEFT JOIN (SELECT * FROM attached WHERE rn = 1 AND map = 'ris') ris ON p.ref_id = ris.ref_id AND p.part_idx = ris.part_idx"),
     "conflation_checks": (("map_parts", "ref_segments"), "SELECT failed, COUNT(*) AS n FROM (SELECT 'order' AS failed FROM map_parts WHERE part_start >= part_end UNION ALL SELECT 'within' FROM map_parts JOIN ref_segments USING (ref_id) WHERE part_start < 0 OR part_end > length_km) GROUP BY failed"),
-    "conflation_mapping": (("attached",), "SELECT edge_id, COUNT(*) AS n_segments FROM attached WHERE rn = 1 AND map = 'tmc' GROUP BY edge_id"),
-    "overlap_pairs": (("consolidated",), "SELECT a.ref_id, COUNT(*) AS n_pairs, MIN(a.section_start) AS first_start FROM (SELECT DISTINCT ref_id, edge_id, section_start, section_end FROM consolidated) a JOIN (SELECT DISTINCT ref_id, edge_id, section_start, section_end FROM consolidated) b ON a.ref_id = b.ref_id AND a.section_start < b.section_end AND b.section_start < a.section_end WHERE a.edge_id < b.edge_id GROUP BY a.ref_id"),
-    "candidates_without_claim": (("edge_candidates", "consolidated"), "SELECT * FROM edge_candidates a WHERE NOT EXISTS (SELECT 1 FROM consolidated b WHERE b.edge_id % 3 = 0 AND a.ref_id = b.ref_id AND a.section_start < b.section_end AND b.section_start < a.section_end)"),
+    "conflation_mapping": (("attached",), "SELECT ref_id, part_idx, edge_id FROM attached WHERE rn = 1 AND map = 'tmc'"),
+    "overlap_pairs": (("consolidated",), ", s AS (SELECT DISTINCT ref_id, edge_id, section_start, section_end FROM consolidated) SELECT a.*, b.edge_id AS b_edge_id, b.section_start AS b_section_start, b.section_end AS b_section_end FROM s a JOIN s b ON a.ref_id = b.ref_id AND a.section_start < b.section_end AND b.section_start < a.section_end WHERE a.edge_id < b.edge_id"),
+    "candidates_without_claim": (("edge_candidates", "consolidated"), "SELECT * FROM edge_candidates a WHERE NOT EXISTS (SELECT 1 FROM consolidated b WHERE a.ref_id = b.ref_id AND a.section_start < b.section_end AND b.section_start < a.section_end)"),
     "epsilon_overlaps": (("consolidated",), """, close AS (SELECT a.ref_id, a.edge_id, a.is_forward, a.section_start, a.section_end, b.edge_id AS e2, b.is_forward AS f2, b.section_start AS s2, b.section_end AS t2, ROUND((a.section_end + b.section_start) / 2, 5) AS mid FROM consolidated a JOIN consolidated b ON a.ref_id = b.ref_id AND a.edge_id <> b.edge_id AND a.section_start < b.section_start AND b.section_start < a.section_end AND a.section_end < b.section_end WHERE ROUND(a.section_end - b.section_start, 9) <= 0.005)
       SELECT ref_id, edge_id, is_forward, section_start, section_end, COALESCE(MAX(ns), section_start) AS new_start, COALESCE(MIN(ne), section_end) AS new_end FROM (SELECT ref_id, edge_id, is_forward, section_start, section_end, NULL::DOUBLE AS ns, mid AS ne FROM close UNION ALL SELECT ref_id, e2, f2, s2, t2, mid, NULL::DOUBLE FROM close) GROUP BY ref_id, edge_id, is_forward, section_start, section_end"""),
     "reverse_sections": (("reverse",), "SELECT * FROM reverse"),
@@ -144,36 +203,36 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "rule_epsilon": (("disputed",), """SELECT * FROM disputed WHERE (ref_id, path_id) NOT IN (SELECT (ref_id, path_id) FROM disputed JOIN (SELECT ref_id, MAX(ROUND(section_end - section_start, 4)) AS longest FROM disputed GROUP BY ref_id) USING (ref_id) WHERE ROUND(section_end - section_start, 4) < ROUND(longest * 0.1::DOUBLE, 6))"""),
     "rule_reverse_assigned": (("disputed", "reverse_disputed"), "SELECT d.* FROM disputed d LEFT JOIN (SELECT ref_id, MIN(edge_id) AS winner FROM reverse_disputed GROUP BY ref_id HAVING COUNT(*) = 1) USING (ref_id) WHERE winner IS NULL OR winner = edge_id"),
     "path_class_share": (("consolidated", "path_edges", "ref_segments"), "SELECT path_id, road_class, class_km, path_km, ROUND(class_km / path_km + 1e-9, 4) AS class_share FROM (SELECT *, ROUND(SUM(class_km) OVER (PARTITION BY path_id), 4) AS path_km FROM (SELECT path_id, road_class, ROUND(SUM(ROUND(section_end - section_start, 4)), 4) AS class_km FROM (SELECT DISTINCT path_id, edge_id FROM path_edges) JOIN consolidated USING (edge_id) JOIN ref_segments r USING (ref_id) GROUP BY path_id, road_class))"),
-    "backfill_candidates": (("claims", "edge_candidates"), "SELECT * FROM edge_candidates a WHERE edge_id NOT IN (SELECT edge_id FROM chosen_matches WHERE edge_id % 4 <> 0) AND ROUND(section_end - section_start, 4) > 0.003 AND NOT EXISTS (SELECT 1 FROM claims b WHERE b.edge_id % 4 <> 0 AND a.ref_id = b.ref_id AND a.section_start < b.section_end AND b.section_start < a.section_end)"),
-    "dispute_report": (("disputed",), "SELECT ref_id, MIN(section_start) AS disputed_start, MAX(section_end) AS disputed_end, COUNT(*) AS n_claimants, list(edge_id ORDER BY section_start, section_end, path_id, path_edge_idx, edge_id)[1] AS first_edge FROM disputed GROUP BY ref_id"),
+    "backfill_candidates": (("first_claims", "edge_candidates"), "SELECT * FROM edge_candidates a WHERE edge_id NOT IN (SELECT edge_id FROM first_round) AND ROUND(section_end - section_start, 4) > 0.003 AND NOT EXISTS (SELECT 1 FROM first_claims b WHERE a.ref_id = b.ref_id AND a.section_start < b.section_end AND b.section_start < a.section_end)"),
+    "dispute_report": (("disputed", "trim"), "SELECT ref_id, MIN(section_start) AS disputed_start, MAX(section_end) AS disputed_end, string_agg(path_id || ':' || path_edge_idx || ':' || edge_id || ':' || is_forward || ':' || match_idx || ':' || COALESCE(start_trimmable::VARCHAR, '-') || ':' || COALESCE(end_trimmable::VARCHAR, '-'), ',' ORDER BY section_start, section_end, path_id, path_edge_idx, edge_id, is_forward, match_idx) AS claimants FROM disputed LEFT JOIN trim USING (path_id, path_edge_idx, is_forward, match_idx) GROUP BY ref_id"),
     "assignment_metrics": (("metrics",), "SELECT * FROM metrics"),
     "matching_stats": (("matching",), "SELECT * FROM matching"),
     "assignment_summary": (("matching",), "SELECT COUNT(*) AS n_edges, COUNT(worst_diff) AS n_matched, " + ", ".join(f"ROUND(COUNT(*) FILTER ({c}) / NULLIF(COUNT(worst_diff), 0) + 1e-9, 5) AS share_{c}" for c in ("under_5m", "from_5_to_10m", "from_10_to_100m", "over_100m")) + " FROM matching"),
-    "path_coverage": (("path_edges", "consolidated"), "SELECT path_id, COUNT(DISTINCT edge_id) AS n_edges, COUNT(DISTINCT edge_id) FILTER (edge_id IN (SELECT edge_id FROM consolidated WHERE ref_id % 3 = 0)) AS n_assigned FROM path_edges GROUP BY path_id"),
+    "path_coverage": (("path_edges", "first_consolidated"), "SELECT path_id, COUNT(DISTINCT edge_id) AS n_edges, COUNT(DISTINCT edge_id) FILTER (edge_id IN (SELECT edge_id FROM first_consolidated)) AS n_assigned FROM path_edges GROUP BY path_id"),
     "qa_lengths": (("edges", "consolidated"), "SELECT target_map_id, ROUND(edge_length_km, 6) AS edge_km, forward_km, backward_km, COALESCE(n, 0) AS n_segments FROM edges LEFT JOIN (SELECT edge_id, ROUND(SUM(CASE WHEN is_forward = 1 THEN section_end - section_start END) + 1e-9, 6) AS forward_km, ROUND(SUM(CASE WHEN is_forward = 0 THEN section_end - section_start END) + 1e-9, 6) AS backward_km, COUNT(*) AS n FROM consolidated GROUP BY edge_id) USING (edge_id) WHERE is_primary = 1"),
     "match_acceptance": (("chosen_matches", "edges"), "SELECT is_forward, COUNT(*) AS n, COUNT(*) FILTER (ROUND(ABS(km - edge_length_km) + 1e-9, 4) <= ROUND(edge_length_km * 0.2::DOUBLE + 1e-9, 4)) AS n_accepted FROM (SELECT path_id, edge_id, is_forward, ROUND(SUM(section_end - section_start) + 1e-9, 4) AS km FROM chosen_matches GROUP BY ALL) JOIN edges USING (edge_id) GROUP BY is_forward"),
     "multi_path_edges": (("shared",), "SELECT * FROM shared"),
-    "unmatched_edges": (("edges", "consolidated"), "SELECT edge_id, unmatched_share FROM (SELECT edge_id, ROUND((edge_length_km - COALESCE(km, 0)) / edge_length_km + 1e-9, 4) AS unmatched_share FROM edges LEFT JOIN (SELECT edge_id, SUM(section_end - section_start) AS km FROM consolidated WHERE ref_id % 3 = 0 GROUP BY edge_id) USING (edge_id)) WHERE unmatched_share >= 0.1"),
+    "unmatched_edges": (("edges", "first_consolidated"), "SELECT edge_id, unmatched_share FROM (SELECT edge_id, ROUND((edge_length_km - COALESCE(km, 0)) / edge_length_km + 1e-9, 4) AS unmatched_share FROM edges LEFT JOIN (SELECT edge_id, SUM(section_end - section_start) AS km FROM first_consolidated GROUP BY edge_id) USING (edge_id)) WHERE unmatched_share >= 0.1"),
     "indexed_matches": (("edge_candidates",), "SELECT *, row_number() OVER (PARTITION BY edge_id ORDER BY section_start, ref_id, section_end) - 1 AS match_idx FROM edge_candidates"),
-    "list_unmatched": (("edges", "consolidated"), "SELECT edge_id, target_map_id FROM edges WHERE edge_id NOT IN (SELECT edge_id FROM consolidated WHERE ref_id % 3 = 0)"),
-    "matches_by_edge": (("edge_candidates",), "SELECT edge_id, COUNT(*) AS n, list(ref_id ORDER BY section_start, section_end, ref_id)[1] AS first_ref, list(ref_id ORDER BY section_start, section_end, ref_id)[-1] AS last_ref FROM edge_candidates GROUP BY edge_id"),
+    "list_unmatched": (("edges", "first_consolidated"), "SELECT edge_id, target_map_id FROM edges WHERE edge_id NOT IN (SELECT edge_id FROM first_consolidated)"),
+    "matches_by_edge": (("edge_candidates",), "SELECT edge_id, string_agg(ref_id, ',' ORDER BY section_start, section_end, ref_id) AS refs, ROUND(SUM(section_end - section_start), 4) AS km FROM edge_candidates GROUP BY edge_id"),
     "rule_violations": (("consolidated",), "SELECT 'overlap' AS rule, * FROM consolidated a WHERE EXISTS (SELECT 1 FROM consolidated b WHERE a.ref_id = b.ref_id AND a.edge_id <> b.edge_id AND a.section_start < b.section_end AND b.section_start < a.section_end) UNION ALL SELECT 'no_length', * FROM consolidated WHERE section_start >= section_end UNION ALL SELECT 'repeated_key', * FROM consolidated QUALIFY COUNT(*) OVER (PARTITION BY ref_id, edge_id) > 1"),
     "check_chosen": (("chosen_matches",), "SELECT path_id, path_edge_idx, is_forward, ref_id, 'start' AS failed FROM chosen_matches WHERE section_start - 0.01::DOUBLE < 0 UNION ALL SELECT path_id, path_edge_idx, is_forward, ref_id, 'order' FROM chosen_matches WHERE section_start - 0.01::DOUBLE >= section_end UNION ALL SELECT path_id, path_edge_idx, is_forward, ref_id, 'deviance' FROM chosen_matches WHERE avg_deviance_km < 0"),
     "duplicate_metadata": (("ref_segments",), "SELECT geometry_id, COUNT(*) AS n, COUNT(DISTINCT (road_class, length_km)) > 1 AS disagree FROM ref_segments GROUP BY geometry_id HAVING COUNT(*) > 1"),
     "rejected_rows": (("edge_candidates",), "SELECT * FROM edge_candidates QUALIFY row_number() OVER (PARTITION BY ref_id ORDER BY section_start, edge_id) > 1"),
-    "snapshot_diff": (("chosen_matches",), """, a AS (SELECT DISTINCT path_id, edge_id, ref_id, section_start FROM chosen_matches WHERE match_idx <= 2), b AS (SELECT DISTINCT path_id, edge_id, ref_id, section_start FROM chosen_matches WHERE match_idx >= 1)
+    "snapshot_diff": (("first_round", "later_round"), """, a AS (SELECT DISTINCT path_id, edge_id, ref_id, section_start FROM first_round), b AS (SELECT DISTINCT path_id, edge_id, ref_id, section_start FROM later_round)
       SELECT *, 'a-b' AS diff FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT *, 'b-a' FROM (SELECT * FROM b EXCEPT SELECT * FROM a) UNION ALL SELECT *, 'both' FROM (SELECT * FROM a INTERSECT SELECT * FROM b)"""),
     "osm_road_class": (("road_class",), "SELECT * FROM road_class"),
     "canonical_nodes": (("canonical",), "SELECT * FROM canonical"),
     "canonical_ways": (("canonical_seq",), "SELECT way_id, len(ids) AS n_nodes, ids[1] AS first_node, ids[-1] AS last_node, array_to_string(ids, ',') AS node_list FROM canonical_seq"),
     "equivalent_ways": (("canonical_seq",), "SELECT a.way_id, b.way_id AS other_way_id FROM canonical_seq a JOIN canonical_seq b ON a.ids = b.ids AND a.way_id < b.way_id"),
-    "way_sections": (("way_nodes",), """, met AS (SELECT a.way_id, b.way_id AS ref_id, a.node_idx, b.node_idx AS ref_idx FROM way_nodes a JOIN way_nodes b ON a.node_id = b.node_id WHERE a.way_id % 2 = 0 AND b.way_id % 2 = 1),
+    "way_sections": (("osm_nodes", "section_nodes"), """, met AS (SELECT a.way_id, b.ref_id, a.node_idx, b.node_idx AS ref_idx FROM osm_nodes a JOIN section_nodes b ON a.node_id = b.node_id),
       lanes AS (SELECT *, ref_idx - node_idx AS lane, 1 AS is_forward FROM met UNION ALL SELECT *, ref_idx + node_idx, 0 FROM met),
       numbered AS (SELECT *, node_idx - row_number() OVER (PARTITION BY way_id, ref_id, is_forward, lane ORDER BY node_idx) AS run FROM lanes),
       runs AS (SELECT way_id, ref_id, is_forward, COUNT(*) AS n_nodes, MIN(ref_idx) AS from_idx, MAX(ref_idx) AS to_idx FROM numbered GROUP BY way_id, ref_id, is_forward, lane, run HAVING COUNT(*) > 1)
       SELECT way_id, ref_id, is_forward, n_nodes, from_idx, to_idx FROM runs QUALIFY row_number() OVER (PARTITION BY way_id, ref_id ORDER BY n_nodes DESC, is_forward DESC, from_idx) = 1"""),
-    "node_sequence_refs": (("way_nodes",), """, s AS (SELECT way_id, node_idx, node_id AS a, lead(node_id) OVER (PARTITION BY way_id ORDER BY node_idx) AS b FROM way_nodes)
-      SELECT DISTINCT p.way_id AS seq_id, q.way_id AS geometry_id, p.node_idx, 1 AS step FROM s p JOIN s q ON p.a = q.a AND p.b = q.b WHERE p.way_id % 2 = 0 AND q.way_id % 2 = 1 UNION SELECT p.way_id, q.way_id, p.node_idx, -1 FROM s p JOIN s q ON p.a = q.b AND p.b = q.a WHERE p.way_id % 2 = 0 AND q.way_id % 2 = 1"""),
+    "node_sequence_refs": (("osm_nodes", "section_nodes"), """, p AS (SELECT way_id, node_idx, node_id AS a, lead(node_id) OVER (PARTITION BY way_id ORDER BY node_idx) AS b FROM osm_nodes), q AS (SELECT ref_id, node_id AS a, lead(node_id) OVER (PARTITION BY ref_id ORDER BY node_idx) AS b FROM section_nodes)
+      SELECT DISTINCT way_id AS seq_id, ref_id AS geometry_id, node_idx, 1 AS step FROM p JOIN q ON p.a = q.a AND p.b = q.b UNION SELECT way_id, ref_id, node_idx, -1 FROM p JOIN q ON p.a = q.b AND p.b = q.a"""),
     "feed_extent": (("extent",), "SELECT * FROM extent"),
     "feed_dates": (("dates",), "SELECT * FROM dates"),
     "service_dates": (("services",), "SELECT * FROM services"),
@@ -192,28 +251,46 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "federal_direction": (("station",), ", turned AS (SELECT rc_station, r_regionkey, d, f, CASE WHEN f = 1 THEN r_regionkey * 80 - 160 WHEN r_regionkey * 80 - 160 <= 0 THEN r_regionkey * 80 + 20 ELSE r_regionkey * 80 - 340 END AS b FROM station CROSS JOIN region CROSS JOIN (SELECT unnest([0, 1]) AS f)), "
       f"whole AS (SELECT *, CASE WHEN b > 180 THEN b - 360 WHEN b < -180 THEN b + 360 ELSE b END AS w FROM turned), said AS (SELECT rc_station, r_regionkey, f, {DIRECTION} AS v FROM whole) SELECT rc_station, r_regionkey, MAX(v) FILTER (f = 0) AS direction_0, MAX(v) FILTER (f = 1) AS direction_1 FROM said GROUP BY ALL"),
     "ref_metadata": (("meta",), "SELECT * FROM meta"),
-    "sources_sinks": (("ref_segments",), """, e AS (SELECT * FROM ref_segments WHERE is_forward = 1 AND ref_id % 5 = 0), t AS (SELECT node, COUNT(*) FILTER (o = 0) AS n_in, COUNT(*) FILTER (o = 1) AS n_out, COUNT(DISTINCT geometry_id) AS g FROM (SELECT from_node AS node, 1 AS o, geometry_id FROM e UNION ALL SELECT to_node, 0, geometry_id FROM e) GROUP BY node),
+    "sources_sinks": (("oneways",), """, e AS (SELECT * FROM oneways), t AS (SELECT node, COUNT(*) FILTER (o = 0) AS n_in, COUNT(*) FILTER (o = 1) AS n_out, COUNT(DISTINCT geometry_id) AS g FROM (SELECT from_node AS node, 1 AS o, geometry_id FROM e UNION ALL SELECT to_node, 0, geometry_id FROM e) GROUP BY node),
       f AS (SELECT node, n_in = 0 OR (n_in > 0 AND n_out > 0 AND g = 1) AS is_source, n_out = 0 OR (n_in > 0 AND n_out > 0 AND g = 1) AS is_sink FROM t) SELECT * FROM f WHERE is_source OR is_sink"""),
     "forks": (("touching",), "SELECT node, n_geometries, n_in, n_out FROM touching WHERE n_geometries > 2 OR (n_geometries = 2 AND n_in <> n_out)"),
     "multi_edges": (("ref_segments",), "SELECT from_node, to_node, COUNT(*) AS n_edges FROM ref_segments GROUP BY ALL HAVING COUNT(*) > 1"),
-    "intersection_layer": (("ref_segments",), "SELECT node, c AS road_class, CASE WHEN c <= 4 THEN 'major' WHEN c <= 7 THEN 'local' ELSE 'paths' END AS layer, CASE WHEN c = 0 THEN NULL WHEN c <= 4 THEN 5 WHEN c <= 7 THEN 11 ELSE 14 END AS minzoom FROM (SELECT node, COALESCE(MIN(road_class), 6) AS c FROM (SELECT DISTINCT from_node AS node FROM ref_segments) LEFT JOIN (SELECT unnest([from_node, to_node]) AS node, road_class FROM ref_segments WHERE road_class > 1) USING (node) GROUP BY node)"),
+    "intersection_layer": (("crossings", "oneways"), "SELECT node, c AS road_class, CASE WHEN c <= 4 THEN 'major' WHEN c <= 7 THEN 'local' ELSE 'paths' END AS layer, CASE WHEN c = 0 THEN NULL WHEN c <= 4 THEN 5 WHEN c <= 7 THEN 11 ELSE 14 END AS minzoom FROM (SELECT node, COALESCE(MIN(road_class), 6) AS c FROM (SELECT node_id AS node FROM crossings) LEFT JOIN (SELECT unnest([from_node, to_node]) AS node, road_class FROM oneways) USING (node) GROUP BY node)"),
     "route_paths_milepost": (("path_edges", "way_nodes", "nodes"), ", p AS (SELECT way_id, node_idx, lon, lat FROM way_nodes JOIN nodes USING (node_id) WHERE node_idx <= 1), e AS (SELECT path_id AS route_id, edge_id, path_edge_idx AS mp, a.lon AS x1, a.lat AS y1, b.lon AS x2, b.lat AS y2 FROM path_edges JOIN p a ON edge_id = a.way_id AND a.node_idx = 0 JOIN p b ON edge_id = b.way_id AND b.node_idx = 1), "
       "g AS (SELECT *, lag(x2) OVER w AS px, lag(y2) OVER w AS py FROM e WINDOW w AS (PARTITION BY route_id ORDER BY mp, edge_id)), "
       f"n AS (SELECT *, SUM(CASE WHEN px IS NOT NULL AND {km('px', 'py', 'x1', 'y1')} > 6.0 THEN 1 ELSE 0 END) OVER (PARTITION BY route_id ORDER BY mp, edge_id ROWS UNBOUNDED PRECEDING) AS path_no FROM g) SELECT route_id, path_no, row_number() OVER (PARTITION BY route_id, path_no ORDER BY mp, edge_id) - 1 AS path_edge_idx, edge_id FROM n"),
     "reversed_paths": (("path_edges",), "SELECT path_id, MAX(path_edge_idx) OVER (PARTITION BY path_id) - path_edge_idx AS path_edge_idx, edge_id FROM path_edges"),
-    "paths_through": (("path_edges", "edges"), "SELECT DISTINCT path_id FROM path_edges WHERE edge_id IN (SELECT edge_id FROM edges WHERE is_primary = 0 AND edge_id % 7 = 0)"),
+    "paths_through": (("path_edges", "edges"), "SELECT DISTINCT path_id FROM path_edges WHERE edge_id IN (SELECT edge_id FROM edges WHERE is_primary = 0)"),
     "line_lengths": (("lens",), "SELECT line_id, n_points, ROUND(length_km + 1e-9, 4) AS length_km FROM lens"),
     "bearings": (("ends",), f"SELECT line_id, CASE WHEN x1 = x2 AND y1 = y2 THEN NULL ELSE ROUND({deg('x1', 'y1', 'x2', 'y2')} + 1e-9, 4) END AS bearing FROM ends"),
-    "split_by_bearing": (("vertices",), f"SELECT line_id, 1 + COUNT(*) FILTER (least(ABS({TURN[1]} - {TURN[0]}), 360 - ABS({TURN[1]} - {TURN[0]})) > 67.5) AS n_pieces FROM vertices GROUP BY line_id"),
+    "split_by_bearing": (("vertices",), f"SELECT line_id, pt_idx, COALESCE(SUM(CASE WHEN least(ABS({TURN[1]} - {TURN[0]}), 360 - ABS({TURN[1]} - {TURN[0]})) > 67.5 THEN 1 ELSE 0 END) OVER (PARTITION BY line_id ORDER BY pt_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS piece FROM vertices"),
     "clean_vertices": (("curves",), ", r AS (SELECT line_id, pt_idx, ROUND(x, 1) + 0 AS x, ROUND(y, 1) + 0 AS y FROM curves), m AS (SELECT *, lag(x) OVER w AS px, lag(y) OVER w AS py FROM r WINDOW w AS (PARTITION BY line_id ORDER BY pt_idx)) SELECT line_id, row_number() OVER (PARTITION BY line_id ORDER BY pt_idx) - 1 AS pt_idx, x, y FROM m WHERE px IS NULL OR px <> x OR py <> y"),
     "nearest_on_line": (("vertices", "curves"), ", s AS (SELECT line_id, x AS x1, y AS y1, nx AS x2, ny AS y2 FROM vertices WHERE nx IS NOT NULL), p AS (SELECT line_id AS point_id, line_id + 1 AS line_id, x AS px, y AS py FROM curves WHERE pt_idx = 0), "
       "q AS (SELECT *, cos(radians(py)) AS k FROM p JOIN s USING (line_id)), t AS (SELECT *, greatest(0, least(1, COALESCE(((px - x1) * k * (x2 - x1) * k + (py - y1) * (y2 - y1)) / NULLIF((x2 - x1) * k * (x2 - x1) * k + (y2 - y1) * (y2 - y1), 0), 0))) AS t FROM q) "
       f"SELECT point_id, line_id, ROUND(MIN({km('px', 'py', '(x1 + t * (x2 - x1))', '(y1 + t * (y2 - y1))')}) + 1e-9, 5) AS dist_km FROM t GROUP BY ALL"),
     "sequentiality": (("ends", "lens"), f", e AS (SELECT * FROM ends JOIN lens USING (line_id)), j AS (SELECT a.line_id AS a_id, b.line_id AS b_id, a.length_km AS ak, b.length_km AS bk, {deg('b.x1', 'b.y1', 'b.x2', 'b.y2')} - {deg('a.x1', 'a.y1', 'a.x2', 'a.y2')} AS t, {km('a.x2', 'a.y2', 'b.x1', 'b.y1')} AS g, {deg('a.x2', 'a.y2', 'b.x1', 'b.y1')} AS gb FROM e a JOIN e b ON b.line_id = a.line_id + 1) "
       "SELECT a_id, b_id, ROUND(ak + 1e-9, 4) AS a_km, ROUND(bk + 1e-9, 4) AS b_km, ROUND(CASE WHEN t > 180 THEN t - 360 WHEN t < -180 THEN t + 360 ELSE t END + 1e-9, 4) AS turn, ROUND(g + 1e-9, 4) AS gap_km, ROUND(gb + 1e-9, 4) AS gap_bearing FROM j"),
-    "nearest_nodes": (("nodes",), f"SELECT point_id, target_id, rank, ROUND(d + 1e-9, 5) AS dist_km FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY d, target_id) AS rank FROM (SELECT a.node_id AS point_id, b.node_id AS target_id, {km('(a.lon + 0.0003)', '(a.lat + 0.0002)', 'b.lon', 'b.lat')} AS d FROM nodes a CROSS JOIN nodes b WHERE a.node_id % 20 = 0)) WHERE rank <= 4"),
+    "nearest_nodes": (("nodes", "stations"), f"SELECT point_id, target_id, rank, ROUND(d + 1e-9, 5) AS dist_km FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY ROUND(d, 9), target_id) AS rank FROM (SELECT point_id, b.node_id AS target_id, {km('x', 'y', 'b.lon', 'b.lat')} AS d FROM stations CROSS JOIN nodes b)) WHERE rank <= 4"),
     "compact_layers": (("ref_segments", "edges"), "SELECT 'base' AS layer, CAST(COALESCE(road_class, 6) AS VARCHAR) AS code, COUNT(*) AS n FROM ref_segments GROUP BY ALL UNION ALL SELECT 'segments', target_map_id, COUNT(*) FROM edges GROUP BY ALL"),
-    "component_sizes": (("way_nodes",), "SELECT MIN(way_id) AS component, COUNT(*) + 1 AS n FROM way_nodes WHERE node_idx = 0 GROUP BY node_id"),
+    "component_sizes": (("way_nodes",), labels("SELECT DISTINCT way_id AS u, node_id + 1099511627776 AS v FROM way_nodes", 12) + " SELECT c AS component, COUNT(*) AS n FROM l12 GROUP BY c"),
+    "graph_components": (("oneways",), labels("SELECT from_node AS u, to_node AS v FROM oneways", 40) + " SELECT u AS node, c AS component FROM l40"),
+    "shortest_paths": (("ref_segments", "crossings"), ", " + relaxed("SELECT 0 AS grp, from_node, to_node, length_km AS w FROM ref_segments", "SELECT 0 AS grp, node_id AS source FROM crossings WHERE node_id % 100 = 0", 40) + " SELECT source, node, ROUND(dist, 4) AS dist FROM r40"),
+    "points_along": (("steps",), ", " + at_distance("SELECT line_id, total / 2 AS d_km FROM (SELECT line_id, SUM(km) AS total FROM steps GROUP BY line_id)", "steps") + " SELECT line_id, ROUND(x + 1e-9, 5) AS x, ROUND(y + 1e-9, 5) AS y FROM found"),
+    "merged_paths": (("merged",), "SELECT line_id, pt_idx, x, y FROM merged"),
+    "match_edges": (("matched",), "SELECT edge_id, ref_id, ROUND(section_start + 1e-9, 4) AS section_start, ROUND(section_end + 1e-9, 4) AS section_end, ROUND(score_km + 1e-9, 4) AS score_km FROM matched WHERE is_forward = 1"),
+    "match_centerlines": (("matched",), "SELECT edge_id, ref_id, is_forward FROM matched"),
+    "unmatched_by_line": (("matched", "agency_steps"), "SELECT line_id AS edge_id, ROUND((total - COALESCE(km, 0)) / total + 1e-9, 4) AS unmatched_share FROM (SELECT line_id, SUM(km) AS total FROM agency_steps GROUP BY line_id) LEFT JOIN (SELECT edge_id AS line_id, SUM(section_end - section_start) AS km FROM matched WHERE is_forward = 1 AND section_end - section_start < 0.9 GROUP BY edge_id) USING (line_id) WHERE ROUND((total - COALESCE(km, 0)) / total + 1e-9, 4) >= 0.1"),
+    "merged_matches": (("matched",), "SELECT edge_id, ref_id, 1 - MAX(is_forward) AS round FROM matched GROUP BY edge_id, ref_id, ROUND(section_start + 1e-9, 3), ROUND(section_end + 1e-9, 3)"),
+    "redundant_matches": (("way_nodes",), ", m AS (SELECT way_id, way_id // 4 AS e, list_sort(list(DISTINCT node_id)) AS v FROM way_nodes GROUP BY way_id), r AS (SELECT *, row_number() OVER (PARTITION BY e ORDER BY len(v) DESC, way_id) AS k FROM m) SELECT way_id AS match_id FROM r a WHERE NOT EXISTS (SELECT 1 FROM r b WHERE a.e = b.e AND b.k < a.k AND list_has_all(b.v, a.v))"),
+    "path_vicinity": (("vicinity",), "SELECT path_id, ref_id, is_vehicle FROM vicinity"),
+    "preferred_refs": (("vicinity", "path_refs", "ref_segments"), "SELECT DISTINCT v.path_id, v.ref_id FROM vicinity v JOIN ref_segments r USING (ref_id) WHERE (v.path_id, r.geometry_id) IN (SELECT (path_id, geometry_id) FROM path_refs JOIN ref_segments USING (ref_id))"),
+    "edge_weights": (("weights",), "SELECT path_id, ref_id, weight FROM weights"),
+    "od_candidates": (("od",), "SELECT path_id, source, sink FROM od"),
+    "shortest_chains": (("weights", "od"), ", " + relaxed("SELECT path_id AS grp, from_node, to_node, weight AS w FROM weights", "SELECT DISTINCT path_id AS grp, source FROM od", 24) + " SELECT path_id, path_id || '-' || od.source || '-' || sink AS chain_id, ROUND(dist + 1e-9, 3) AS weight FROM od JOIN r24 r ON r.grp = path_id AND r.source = od.source AND r.node = sink"),
+    "choose_matches": (("agency_edges",), "SELECT path_id, path_edge_idx, 2 * edge_id + 1 - along AS ref_id, 1 AS is_forward FROM agency_edges"),
+    "choose_centerline_matches": (("agency_edges",), "SELECT path_id, path_edge_idx, 2 * edge_id + 1 - along AS ref_id, 1 AS is_forward FROM agency_edges UNION ALL SELECT path_id, path_edge_idx, 2 * edge_id + along, 0 FROM agency_edges"),
+    "avg_deviance": (("matched", "ref_steps", "agency_segments"), ", " + at_distance("SELECT edge_id, ref_id AS line_id, section_start + (section_end - section_start) * i / 10 AS d_km, i FROM matched CROSS JOIN (SELECT unnest(range(11)) AS i) WHERE is_forward = 1", "ref_steps", "edge_id, i, ") + f", t AS (SELECT edge_id, line_id AS ref_id, i, MIN({NEAREST}) AS d FROM (SELECT f.*, s.x1, s.y1, s.x2, s.y2, {ALONG} AS t FROM (SELECT edge_id, line_id, i, x AS px, y AS py FROM found) f JOIN agency_segments s ON s.line_id = f.edge_id) GROUP BY ALL) SELECT edge_id, ref_id, ROUND(AVG(d) + 1e-9, 5) AS avg_deviance_km FROM t GROUP BY ALL"),
+    "spatial_overlap": (("overlaps_20m",), "SELECT a_id, b_id, ROUND(d + 1e-9, 5) AS dist_km FROM overlaps_20m"),
 }
 
 def oracle_sql() -> dict[str, str]:

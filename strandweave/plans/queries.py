@@ -101,19 +101,18 @@ def conflation_checks(t):
 @query
 def conflation_mapping(t):
     out = S.conflation_segments(t.ref_segments, two_maps(t), ["tmc", "ris"])
-    return K.conflation_mappings(out, "tmc").groupBy("edge_id").agg(F.count("*").alias("n_segments"))
+    return K.conflation_mappings(out, "tmc", ["ref_id", "part_idx"])
 
 
 @query
 def overlap_pairs(t):
     s = consolidated(t).select("ref_id", "edge_id", "section_start", "section_end").distinct()
-    met = S.binned_overlap_join(s, s, 0.1).where("edge_id < b_edge_id")
-    return met.groupBy("ref_id").agg(F.count("*").alias("n_pairs"), F.min("section_start").alias("first_start"))
+    return S.binned_overlap_join(s, s, 0.1).where("edge_id < b_edge_id").drop("b_ref_id")
 
 
 @query
 def candidates_without_claim(t):
-    return S.overlap_anti(t.edge_candidates, consolidated(t).where("edge_id % 3 = 0").select("ref_id", "section_start", "section_end"))
+    return S.overlap_anti(t.edge_candidates, consolidated(t).select("ref_id", "section_start", "section_end"))
 
 
 @query
@@ -207,7 +206,7 @@ def assigned_matches(t):
 
 @query
 def backfill_candidates(t):
-    some = t.chosen_matches.where("edge_id % 4 <> 0")
+    some = cut(t.first_round, "first")
     disputed = cut(A.find_disputes(some), "claims")
     return A.backfill_candidates(t.edge_candidates, some, A.undisputed_claims(some, disputed), disputed.limit(0), disputed)
 
@@ -215,7 +214,8 @@ def backfill_candidates(t):
 @query
 def dispute_report(t):
     r = A.dispute_report(state(t).claims, trim(t).distinct())
-    return r.select("ref_id", "disputed_start", "disputed_end", F.size("claimants").alias("n_claimants"), F.element_at("claimants", 1)["edge_id"].alias("first_edge"))
+    spelt = lambda c: F.concat_ws(":", *[F.coalesce(c[f].cast("string"), F.lit("-")) for f in ("path_id", "path_edge_idx", "edge_id", "is_forward", "match_idx", "start_trimmable", "end_trimmable")])
+    return r.select("ref_id", "disputed_start", "disputed_end", F.array_join(F.transform("claimants", spelt), ",").alias("claimants"))
 
 
 @query
@@ -235,7 +235,7 @@ def assignment_summary(t):
 
 @query
 def path_coverage(t):
-    return C.path_coverage(t.path_edges, consolidated(t).where("ref_id % 3 = 0"))
+    return C.path_coverage(t.path_edges, S.consolidate_sections(A.rounded(t.first_round)))
 
 
 @query
@@ -255,7 +255,7 @@ def multi_path_edges(t):
 
 @query
 def unmatched_edges(t):
-    return X.unmatched(t.edges, consolidated(t).where("ref_id % 3 = 0"))
+    return X.unmatched(t.edges, S.consolidate_sections(A.rounded(t.first_round)))
 
 
 @query
@@ -265,13 +265,13 @@ def indexed_matches(t):
 
 @query
 def list_unmatched(t):
-    return A.list_unmatched(t.edges, consolidated(t).where("ref_id % 3 = 0")).select("edge_id", "target_map_id")
+    return A.list_unmatched(t.edges, S.consolidate_sections(A.rounded(t.first_round))).select("edge_id", "target_map_id")
 
 
 @query
 def matches_by_edge(t):
     m = C.grouped(t.edge_candidates, ["edge_id"], ["section_start", "section_end", "ref_id"])
-    return m.select("edge_id", F.size("members").alias("n"), F.element_at("members", 1)["ref_id"].alias("first_ref"), F.element_at("members", -1)["ref_id"].alias("last_ref"))
+    return m.select("edge_id", F.array_join(F.transform("members", lambda x: x["ref_id"].cast("string")), ",").alias("refs"), F.aggregate("members", F.lit(0.0), lambda a, x: F.round(a + x["section_end"] - x["section_start"], 4)).alias("km"))
 
 
 @query
@@ -297,9 +297,8 @@ def rejected_rows(t):
 
 @query
 def snapshot_diff(t):
-    a = t.chosen_matches.where("match_idx <= 2").select("path_id", "edge_id", "ref_id", "section_start")
-    b = t.chosen_matches.where("match_idx >= 1").select("path_id", "edge_id", "ref_id", "section_start")
-    return N.diff_rows(a, b)
+    columns = ["path_id", "edge_id", "ref_id", "section_start"]
+    return N.diff_rows(t.first_round.select(*columns), t.later_round.select(*columns))
 
 
 @query
@@ -329,14 +328,12 @@ def equivalent_ways(t):
 
 @query
 def way_sections(t):
-    return O.way_sections(t.way_nodes.where("way_id % 2 = 0"), t.way_nodes.where("way_id % 2 = 1").withColumnRenamed("way_id", "ref_id"))
+    return O.way_sections(t.osm_nodes, t.section_nodes)
 
 
 @query
 def node_sequence_refs(t):
-    seqs = t.way_nodes.where("way_id % 2 = 0").withColumnRenamed("way_id", "seq_id")
-    sections = t.way_nodes.where("way_id % 2 = 1").withColumnRenamed("way_id", "geometry_id")
-    return O.refs_for_node_sequence(seqs, sections)
+    return O.refs_for_node_sequence(t.osm_nodes.withColumnRenamed("way_id", "seq_id"), t.section_nodes.withColumnRenamed("ref_id", "geometry_id"))
 
 
 @query
@@ -372,21 +369,17 @@ def trip_counts(t):
     return runs(t)
 
 
-def shape_refs(t: Tables) -> DataFrame:
-    return t.ref_segments.select((F.col("ref_id") % 40).alias("shape_id"), "ref_id")
-
-
 def ref_pieces(t: Tables) -> DataFrame:
     return t.ref_segments.select("ref_id", F.col("geometry_id").alias("segment_id"))
 
 
 @query
 def trip_segments(t):
-    return T.trip_segments(shape_refs(t), t.trips, ref_pieces(t))
+    return T.trip_segments(t.shape_refs, t.trips, ref_pieces(t))
 
 
 def counts(t: Tables) -> DataFrame:
-    return T.bus_counts(T.trip_segments(shape_refs(t), t.trips, ref_pieces(t)), runs(t), T.feed_extent(t.calendar, t.calendar_dates))
+    return T.shape_bus_counts(T.shape_runs(t.trips, runs(t)), t.shape_refs, ref_pieces(t), T.feed_extent(t.calendar, t.calendar_dates))
 
 
 @query
@@ -437,7 +430,7 @@ def ref_metadata(t):
 
 @query
 def sources_sinks(t):
-    return R.sources_sinks(t.ref_segments.where("is_forward = 1 AND ref_id % 5 = 0"))
+    return R.sources_sinks(t.oneways)
 
 
 @query
@@ -452,21 +445,20 @@ def multi_edges(t):
 
 @query
 def graph_components(t):
-    return R.components(t.ref_segments.where("road_class >= 7"))
+    return R.components(t.oneways)
 
 
 @query
 def shortest_paths(t):
-    refs = t.ref_segments.where("is_forward = 1")
-    e = refs.select((F.col("road_class") % 3).alias("grp"), F.col("ref_id").alias("edge_id"), "from_node", "to_node", F.col("length_km").alias("weight"), "road_class")
-    sources = e.select("grp", F.col("from_node").alias("source")).where("source < 3").distinct()
-    return R.shortest_paths(e, sources).select("grp", "source", "node", F.round("dist", 4).alias("dist"))
+    """From the nodes whose id is divisible by 100 to all they reach."""
+    e = t.ref_segments.select(F.lit(0).alias("grp"), F.col("ref_id").alias("edge_id"), "from_node", "to_node", F.col("length_km").alias("weight"), "road_class")
+    sources = t.crossings.where("node_id % 100 = 0").select(F.lit(0).alias("grp"), F.col("node_id").alias("source"))
+    return R.shortest_paths(e, sources).select("source", "node", F.round("dist", 4).alias("dist"))
 
 
 @query
 def intersection_layer(t):
-    nodes = t.ref_segments.select(F.col("from_node").alias("node")).distinct()
-    return K.intersection_layer(nodes, t.ref_segments.where("road_class > 1"))
+    return K.intersection_layer(t.crossings.withColumnRenamed("node_id", "node"), t.oneways)
 
 
 def edge_ends(t: Tables) -> DataFrame:
@@ -490,7 +482,7 @@ def reversed_paths(t):
 
 @query
 def paths_through(t):
-    return R.paths_through(t.path_edges, t.edges.where("is_primary = 0 AND edge_id % 7 = 0"))
+    return R.paths_through(t.path_edges, t.edges.where("is_primary = 0"))
 
 
 @query
@@ -505,7 +497,7 @@ def bearings(t):
 
 @query
 def split_by_bearing(t):
-    return G.split_by_bearing(t.curves).groupBy("line_id").agg((F.max("piece") + 1).alias("n_pieces"))
+    return G.split_by_bearing(t.curves).select("line_id", "pt_idx", "piece")
 
 
 @query
@@ -544,8 +536,7 @@ def curve_similarity(t):
 @query
 def nearest_nodes(t):
     n = t.nodes.select(F.col("node_id").alias("target_id"), F.col("lon").alias("x"), F.col("lat").alias("y"))
-    p = t.nodes.where("node_id % 20 = 0").select(F.col("node_id").alias("point_id"), (F.col("lon") + 0.0003).alias("x"), (F.col("lat") + 0.0002).alias("y"))
-    return X.knn_points(p, n, 4).select("point_id", "target_id", "rank", F.round(F.col("dist_km") + 1e-9, 5).alias("dist_km"))
+    return X.knn_points(t.stations, n, 4).select("point_id", "target_id", "rank", F.round(F.col("dist_km") + 1e-9, 5).alias("dist_km"))
 
 
 @query
@@ -555,5 +546,125 @@ def compact_layers(t):
 
 @query
 def component_sizes(t):
-    c = components.connected_components(t.way_nodes.where("node_idx = 0").select(F.col("way_id").alias("src"), (F.col("node_id") + 100_000_000).alias("dst")))
+    c = components.connected_components(t.way_nodes.select(F.col("way_id").alias("src"), (F.col("node_id") + (1 << 40)).alias("dst")))
     return c.groupBy("component").agg(F.count("*").alias("n"))
+
+
+def agency_matches(t: Tables) -> DataFrame:
+    return X.match_edges(t.agency_points, t.ref_points)
+
+
+@query
+def match_edges(t):
+    m = agency_matches(t)
+    return m.select("edge_id", "ref_id", *[F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("section_start", "section_end", "score_km")])
+
+
+@query
+def match_centerlines(t):
+    return X.match_edges(t.agency_points, t.ref_points, centerline=True).select("edge_id", "ref_id", "is_forward")
+
+
+@query
+def unmatched_by_line(t):
+    """Still unmatched after the first round, by the edges' own lengths."""
+    km = G.line_lengths(t.agency_points).select(F.col("line_id").alias("edge_id"), F.col("length_km").alias("edge_length_km"))
+    return X.unmatched(km, agency_matches(t).where("section_end - section_start < 0.9"))
+
+
+@query
+def merged_matches(t):
+    """MAT-4: line directions first, then centerlines."""
+    cols = ["edge_id", "ref_id", "section_start", "section_end"]
+    snap = lambda df: df.select("edge_id", "ref_id", *[F.round(F.col(c) + 1e-9, 3).alias(c) for c in cols[2:]])
+    both = X.match_edges(t.agency_points, t.ref_points, centerline=True)
+    return X.merge_matches([snap(both.where("is_forward = 1")), snap(both)]).select("edge_id", "ref_id", "round")
+
+
+@query
+def redundant_matches(t):
+    """MAT-3 on ways as matches: the vertices of a way within another's of the same edge and reference."""
+    m = t.way_nodes.groupBy("way_id").agg(F.array_sort(F.collect_set("node_id")).alias("vertices"))
+    return X.drop_redundant(m.select((F.floor(F.col("way_id") / 4)).alias("edge_id"), F.lit(1).alias("ref_id"), F.col("way_id").alias("match_id"), "vertices")).select("match_id")
+
+
+def agency_paths(t: Tables) -> DataFrame:
+    return R.merge_path(t.agency_edges, t.agency_points.withColumnRenamed("line_id", "edge_id"))
+
+
+def own_refs(t: Tables) -> DataFrame:
+    return t.agency_edges.join(agency_matches(t), "edge_id").select("path_id", "ref_id").distinct()
+
+
+def vicinity_of(t: Tables, own: DataFrame) -> DataFrame:
+    return X.path_vicinity(agency_paths(t), t.ref_points, t.ref_segments, own)
+
+
+def weights_of(t: Tables) -> DataFrame:
+    own = cut(own_refs(t), "own")
+    vicinity = cut(vicinity_of(t, own), "vicinity")
+    return X.edge_weights(X.mean_distances(vicinity, agency_paths(t), t.ref_points), X.preferred_refs(vicinity, own, t.ref_segments), t.ref_segments)
+
+
+@query
+def merged_paths(t):
+    return agency_paths(t)
+
+
+@query
+def path_vicinity(t):
+    return vicinity_of(t, own_refs(t))
+
+
+@query
+def preferred_refs(t):
+    own = cut(own_refs(t), "own")
+    return X.preferred_refs(vicinity_of(t, own), own, t.ref_segments)
+
+
+@query
+def edge_weights(t):
+    return weights_of(t).select("path_id", "ref_id", F.round(F.col("weight") + 1e-9, 4).alias("weight"))
+
+
+@query
+def od_candidates(t):
+    return X.od_candidates(agency_paths(t), weights_of(t), t.crossings, 2)
+
+
+@query
+def shortest_chains(t):
+    """Lengths of the chains; which of several equal ones is taken is no matter of SQL."""
+    w = cut(weights_of(t).withColumn("weight", F.round(F.col("weight") + 1e-9, 4)), "weights")
+    chains = X.shortest_chains(w, X.od_candidates(agency_paths(t), w, t.crossings, 2))
+    steps = X.chain_refs(chains, w).join(w.select("path_id", "ref_id", "weight"), ["path_id", "ref_id"])
+    return steps.groupBy("path_id", "chain_id").agg(F.round(F.sum("weight") + 1e-9, 3).alias("weight"))
+
+
+@query
+def choose_matches(t):
+    """The whole chain of matching and choice: each edge's longest section lies on the reference it was drawn beside."""
+    found = X.choose_matches(t.agency_edges.select("path_id", "path_edge_idx", "edge_id"), t.agency_points, cut(agency_matches(t), "matches"), t.ref_segments, t.ref_points, t.crossings, k=2, vehicles=False)
+    longest = found.groupBy("path_id", "path_edge_idx").agg(F.max_by(F.struct("ref_id", "is_forward", "section_start", "section_end"), F.col("section_end") - F.col("section_start")).alias("m"))
+    return longest.select("path_id", "path_edge_idx", "m.ref_id", "m.is_forward")
+
+
+@query
+def choose_centerline_matches(t):
+    """The same both ways: the backward chain takes the references of the other direction."""
+    both = cut(X.match_edges(t.agency_points, t.ref_points, centerline=True), "matches")
+    found = X.choose_matches(t.agency_edges.select("path_id", "path_edge_idx", "edge_id"), t.agency_points, both, t.ref_segments, t.ref_points, t.crossings, k=2, centerline=True, vehicles=False)
+    longest = found.groupBy("path_id", "path_edge_idx", "is_forward").agg(F.max_by("ref_id", F.col("section_end") - F.col("section_start")).alias("ref_id"))
+    return longest.select("path_id", "path_edge_idx", "ref_id", "is_forward")
+
+
+@query
+def avg_deviance(t):
+    d = X.avg_deviance(agency_matches(t), t.agency_points, t.ref_points)
+    return d.select("edge_id", "ref_id", F.round(F.col("avg_deviance_km") + 1e-9, 5).alias("avg_deviance_km"))
+
+
+@query
+def spatial_overlap(t):
+    o = X.spatial_overlap(t.agency_points, t.ref_points, 0.02)
+    return o.select("a_id", "b_id", F.round(F.col("dist_km") + 1e-9, 5).alias("dist_km"))

@@ -137,8 +137,8 @@ def conflation_rows(segments: DataFrame, refs: DataFrame, directions: DataFrame,
     return out.join(directions, "target_map_id", "left").join(tags, "way_id", "left")
 
 
-def conflation_mappings(segments: DataFrame, map_name: str) -> DataFrame:
-    """JN-14. (segment_id, edge_id) of one map."""
-    return segments.where(F.col(f"{map_name}.edge_id").isNotNull()).select("segment_id", F.col(f"{map_name}.edge_id").alias("edge_id"))
+def conflation_mappings(segments: DataFrame, map_name: str, keys: list[str] | None = None) -> DataFrame:
+    """JN-14. (segment_id, edge_id) of one map; ``keys`` are other columns that name a segment."""
+    return segments.where(F.col(f"{map_name}.edge_id").isNotNull()).select(*(keys or ["segment_id"]), F.col(f"{map_name}.edge_id").alias("edge_id"))
 
 
