@@ -11,7 +11,7 @@ Targets are shares by value. Where they are given, ``budget`` (the share of all
 what the scarcest value allows. Where not, a marginal's targets are its observed shares to the power ``temper``,
 which damps what is large, but no value is asked for more than (3 + budget) / 4 of what it has.
 
-A topic is the seed word that a text holds most often (the first in order on ties), or ``other``. Seed words are
+A topic is the seed word (as it is spelt) that a text holds most often (the first in order on ties), or ``other``. Seed words are
 taken from the corpus: the ``topics`` words of at least ``SEED_LENGTH`` characters that stand in the most
 documents but in at most ``SEED_SHARE`` of them.
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strandweave.llm.common import let, lower_ascii, whole_text, words
+from strandweave.llm.common import SPACE, let, whole_text, words
 from strandweave.plans.cut import cut, release
 
 MARGINALS = ("source", "lang", "topic")
@@ -35,14 +35,14 @@ FULL = 1 - 1e-12
 
 def seed_words(texts: DataFrame, topics: int) -> list[str]:
     """At most ``topics`` words of (text): a list whose length is a parameter."""
-    long = F.filter(words(lower_ascii(F.col("text"))), lambda w: F.length(w) >= SEED_LENGTH)
+    long = F.filter(F.split("text", SPACE), lambda w: F.length(w) >= SEED_LENGTH)
     seen = texts.select(F.explode(F.array_distinct(long)).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     return [r["word"] for r in seen.where(F.col("n") <= SEED_SHARE * texts.count()).orderBy(F.desc("n"), "word").limit(topics).collect()]
 
 
 def _celled(rows: DataFrame, seeds: list[str]) -> DataFrame:
     """``rows`` (text, source, lang and others) with topic and tokens."""
-    found = words(lower_ascii(F.col("text")))
+    found = words(F.col("text"))
 
     def topic(hits: Column) -> Column:
         counts = F.array(*[F.struct((F.size(F.array_remove(hits, s)) - F.size(hits)).alias("n"), F.lit(s).alias("word")) for s in seeds])

@@ -26,7 +26,7 @@ def op5(rounds: int = 16, fills: int = 8, budget: float = 0.8, temper: float = 0
     marginals = ("source", "lang", "topic")
     full, most = 1 - 1e-12, (3 + budget) / 4
     ctes = [
-        r"""w AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, COALESCE(source, '') AS source, COALESCE(lang, '') AS lang, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents)""",
+        r"""w AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, COALESCE(source, '') AS source, COALESCE(lang, '') AS lang, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents)""",
         f"seeds AS MATERIALIZED (SELECT x AS word FROM (SELECT unnest(list_distinct(ws)) AS x FROM w) WHERE length(x) >= 5 GROUP BY x HAVING COUNT(*) <= 0.05 * (SELECT COUNT(*) FROM w) ORDER BY COUNT(*) DESC, x LIMIT {topics})",
         "told AS (SELECT rid, word, row_number() OVER (PARTITION BY rid ORDER BY COUNT(*) DESC, word) AS place FROM (SELECT rid, unnest(ws) AS word FROM w) JOIN seeds USING (word) GROUP BY rid, word)",
         "d AS MATERIALIZED (SELECT doc_id, source, lang, len(ws) AS tokens, COALESCE(word, 'other') AS topic FROM w LEFT JOIN (SELECT rid, word FROM told WHERE place = 1) USING (rid))",
