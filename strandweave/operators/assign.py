@@ -12,7 +12,8 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from strandweave.operators.sections import consolidate_sections, overlap_anti, reverse_section_join
+from strandweave.operators.geometry import line_slice
+from strandweave.operators.sections import consolidate_sections, overlap_anti, overlapping, reverse_section_join
 from strandweave.plans.cut import cut, release
 
 CLAIM = ["path_id", "path_edge_idx", "edge_id", "is_forward", "match_idx", "ref_id", "section_start", "section_end"]
@@ -32,8 +33,7 @@ def _touching(a: str, b: str) -> Column:
 def find_disputes(chosen: DataFrame) -> DataFrame:
     """ASG-1. The claims that overlap a claim of another path on the same reference."""
     claims = rounded(chosen)
-    a, b = claims.alias("a"), claims.select("path_id", "ref_id", "section_start", "section_end").distinct().alias("b")
-    return a.join(b, (F.col("a.ref_id") == F.col("b.ref_id")) & (F.col("a.path_id") != F.col("b.path_id")) & _touching("a", "b"), "left_semi").distinct()
+    return overlapping(claims, claims, differs="path_id")
 
 
 def dispute_extents(claims: DataFrame) -> DataFrame:
@@ -112,19 +112,18 @@ def settle_once(claims: DataFrame) -> DataFrame:
     """One step of ASG-5: the claims with ``won``: the dispute has one party, or no other edge overlaps the claim."""
     parties = dispute_party_counts(claims)
     sections = claims.select("ref_id", "edge_id", "section_start", "section_end").distinct()
-    a, b = sections.alias("a"), sections.alias("b")
-    contested = a.join(b, (F.col("a.ref_id") == F.col("b.ref_id")) & (F.col("a.edge_id") != F.col("b.edge_id")) & _touching("a", "b"), "left_semi").withColumn("contested", F.lit(True))
+    contested = overlapping(sections, sections, differs="edge_id").withColumn("contested", F.lit(True))
     marked = claims.join(contested, ["ref_id", "edge_id", "section_start", "section_end"], "left").join(parties, "ref_id")
     return marked.select(*CLAIM, (F.col("contested").isNull() | (F.col("n_parties") == 1)).alias("won"))
 
 
-def settle(state: State, most: int = 50) -> State:
+def settle(state: State) -> State:
     """ASG-5. Award disputes with one party and claims that no other edge overlaps, until none is left to award.
 
     Each step writes one table, its claims with their outcome; the awards are made once, in the order of steps.
     """
-    claims, won, tables = state.claims, None, []
-    for step in range(most):
+    claims, won, tables, step = state.claims, None, [], 0
+    while True:  # each step but the last takes claims away
         judged = cut(settle_once(claims), "judged")
         tables.append(judged)
         gained = judged.where("won").count()
@@ -132,9 +131,7 @@ def settle(state: State, most: int = 50) -> State:
             break
         part = judged.where("won").select(*CLAIM, F.lit(step).alias("step"))
         won = part if won is None else won.unionByName(part)
-        claims = judged.where("NOT won").select(*CLAIM)
-    else:
-        raise RuntimeError(f"disputes did not settle in {most} steps")
+        claims, step = judged.where("NOT won").select(*CLAIM), step + 1
     if won is None:
         return state
     settled = replace(state, awards=cut(award(state.awards, won), "awards"), claims=cut(claims, "claims"))
@@ -217,17 +214,15 @@ def rule_trimmable(claims: DataFrame, trim: DataFrame, compat: bool = False) ->
     """ASG-10. A single path with untrimmable claims wins its dispute; then untrimmable claims beat the fully
     trimmable ones they overlap. ``compat``: every path with untrimmable claims in one direction drives out all
     others, as the original statement reads, so that two such paths empty the dispute."""
-    keys = ["path_id", "path_edge_idx", "is_forward", "match_idx"]
-    marked = claims.join(trim, keys)
-    fixed = marked.where("start_trimmable = 0 AND end_trimmable = 0")
-    sole = fixed.groupBy("ref_id", "path_id").agg(F.count_distinct("is_forward").alias("ways")).where("ways = 1")
+    marked = claims.join(trim, ["path_id", "path_edge_idx", "is_forward", "match_idx"], "left")
+    fixed = (F.col("start_trimmable") == 0) & (F.col("end_trimmable") == 0)
+    sole = marked.where(fixed).groupBy("ref_id", "path_id").agg(F.count_distinct("is_forward").alias("ways")).where("ways = 1")
+    winners = sole.groupBy("ref_id").agg(F.count("*").alias("n"), F.min("path_id").alias("winner"))
     if not compat:
-        sole = sole.join(sole.groupBy("ref_id").count().where("count = 1").select("ref_id"), "ref_id")
-    lost = claims.join(sole.select("ref_id", F.col("path_id").alias("winner")), "ref_id").where("path_id <> winner").select("ref_id", "path_id").distinct()
-    left = claims.join(lost, ["ref_id", "path_id"], "left_anti").select(*CLAIM)
-    again = left.join(trim, keys)
-    loose, firm = again.where("start_trimmable = 1 AND end_trimmable = 1").alias("a"), again.where("start_trimmable = 0 AND end_trimmable = 0").alias("b")
-    beaten = loose.join(firm, (F.col("a.ref_id") == F.col("b.ref_id")) & _touching("a", "b"), "left_semi").select("ref_id", "path_id", "path_edge_idx", "edge_id").distinct()
+        winners = winners.where("n = 1")
+    left = marked.join(winners, "ref_id", "left").where("n IS NULL OR (n = 1 AND path_id = winner)")
+    loose, firm = left.where((F.col("start_trimmable") == 1) & (F.col("end_trimmable") == 1)), left.where(fixed)
+    beaten = overlapping(loose.select(*CLAIM), firm).select("ref_id", "path_id", "path_edge_idx", "edge_id").distinct()
     return left.join(beaten, ["ref_id", "path_id", "path_edge_idx", "edge_id"], "left_anti").select(*CLAIM)
 
 
@@ -285,7 +280,7 @@ def assigned_matches(undisputed: DataFrame, awards: DataFrame, knaves: DataFrame
     return consolidate_sections(a.join(b, test, "left_anti"), strict)
 
 
-def resolve(chosen: DataFrame, path_edges: DataFrame, candidates: DataFrame, preferred: DataFrame, refs: DataFrame, meta: DataFrame, coincident: DataFrame | None = None, centerline: bool = False, most: int = 20) -> State:
+def resolve(chosen: DataFrame, path_edges: DataFrame, candidates: DataFrame, preferred: DataFrame, refs: DataFrame, meta: DataFrame, coincident: DataFrame | None = None, centerline: bool = False) -> State:
     """ASG-14. The rules in fixed order, settling after each, until a round leaves the number of claims unchanged."""
     last = path_last_edge(path_edges)
     trim = cut(trimmability(chosen, last), "trim")
@@ -303,7 +298,7 @@ def resolve(chosen: DataFrame, path_edges: DataFrame, candidates: DataFrame, pre
     if coincident is not None and not centerline:
         state = step(rule_is_primary(state, coincident))
     before = claims.count()
-    for _ in range(most):
+    while True:  # each round but the last takes claims away
         if not centerline:
             state = step(rule_multi_path(state, chosen, path_edges, candidates))
         state = step(rule_same_edge(state.claims))
@@ -318,7 +313,6 @@ def resolve(chosen: DataFrame, path_edges: DataFrame, candidates: DataFrame, pre
             state = step(rule_reverse_assigned(state.claims, meta, state.awards))
         shares = path_class_share(path_edges, assigned_matches(undisputed, state.awards, state.knaves), refs)
         state = step(rule_road_class(state, chosen, shares, refs, trim))
-    raise RuntimeError(f"rules still removed claims after {most} rounds")
 
 
 def backfill_candidates(candidates: DataFrame, chosen: DataFrame, undisputed: DataFrame, awards: DataFrame, claims: DataFrame, least_km: float = 0.003) -> DataFrame:
@@ -329,6 +323,29 @@ def backfill_candidates(candidates: DataFrame, chosen: DataFrame, undisputed: Da
     return rest
 
 
+def sliced(sections: DataFrame, ref_points: DataFrame, keys: list[str]) -> DataFrame:
+    """AGG-18, ASG-17, SNP-3. Sections with ``coords``, their part of the reference's line. ``keys`` name a section; ones
+    of no length on the line have none."""
+    want = sections.select(F.col("ref_id").alias("line_id"), F.concat_ws(":", *keys).alias("section_id"), F.col("section_start").alias("from_km"), F.col("section_end").alias("to_km"))
+    part = line_slice(ref_points, want).groupBy("section_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pt_idx", "x", "y"))), lambda p: F.struct(p["x"].alias("lon"), p["y"].alias("lat"))).alias("coords"))
+    return sections.withColumn("section_id", F.concat_ws(":", *keys)).join(part, "section_id", "left").drop("section_id")
+
+
+def list_assigned(assigned: DataFrame, edges: DataFrame, ref_points: DataFrame) -> DataFrame:
+    """ASG-17. Assigned sections with their map id and line."""
+    return sliced(assigned.join(edges.select("edge_id", "target_map_id"), "edge_id"), ref_points, ["ref_id", "edge_id", "is_forward", "section_start"])
+
+
+def list_disputed(claims: DataFrame, edges: DataFrame, ref_points: DataFrame) -> DataFrame:
+    """ASG-17. Disputed claims with their map id and line."""
+    return sliced(claims.join(edges.select("edge_id", "target_map_id"), "edge_id"), ref_points, CLAIM)
+
+
+def list_undisputed(undisputed: DataFrame, edges: DataFrame, ref_points: DataFrame) -> DataFrame:
+    """ASG-17. Claims that are in no dispute, likewise."""
+    return list_disputed(undisputed, edges, ref_points)
+
+
 def list_unmatched(edges: DataFrame, assigned: DataFrame) -> DataFrame:
     """ASG-17. Edges without any assigned section."""
     return edges.join(assigned.select("edge_id").distinct(), "edge_id", "left_anti")

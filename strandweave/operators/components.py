@@ -35,7 +35,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """(node, component) for every node with an edge to another; component is its smallest reachable node.
 
     Edges are undirected, may repeat or be loops; rows with a null end are no edges. Empty input gives no
@@ -49,7 +49,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         "edges",
     )
     seen = None
-    for _ in range(max_rounds):
+    while True:
         mark = tuple(state.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first())
         if mark == seen or not mark[0]:
             return state.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
@@ -60,4 +60,3 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         narrow = cut(_small_star(wide), "small")
         release(state, wide)
         state = narrow
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -97,6 +97,12 @@ def grouped(df: DataFrame, keys: list[str], members: list[str], name: str = "mem
     return df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*members))).alias(name))
 
 
+def match_metadata(matches: DataFrame, edges: DataFrame, refs: DataFrame, members: list[str]) -> DataFrame:
+    """REP-1. Candidate or chosen matches by map id, with their reference's metadata."""
+    met = matches.join(edges.select("edge_id", "target_map_id"), "edge_id").join(refs.select("ref_id", "geometry_id", "road_class", "form_of_way"), "ref_id", "left")
+    return grouped(met, ["target_map_id"], [*members, "geometry_id", "road_class", "form_of_way"], "matches")
+
+
 def match_acceptance(edges: DataFrame, chosen: DataFrame, tolerance: float = 0.2) -> DataFrame:
     """DQ-16. Per direction: edges with matches, and the share whose matched length is within ``tolerance`` of their own."""
     sums = chosen.groupBy("path_id", "edge_id", "is_forward").agg(_near(F.sum(_km()), 4).alias("km"))

@@ -47,9 +47,11 @@ def components(refs: DataFrame) -> DataFrame:
 
 
 def source_sink_pairs(refs: DataFrame) -> DataFrame:
-    """GRF-3. Sources with the sinks of their component."""
-    ends = sources_sinks(refs).join(components(refs), "node")
-    return ends.where("is_source").select("component", F.col("node").alias("source")).join(ends.where("is_sink").select("component", F.col("node").alias("sink")), "component").where("source <> sink").select("source", "sink").distinct()
+    """GRF-3. Sources with the sinks that they reach: the search from a source meets no other part of its component."""
+    ends = cut(sources_sinks(refs), "ends")
+    edges = refs.select(F.lit(0).alias("grp"), F.col("ref_id").alias("edge_id"), "from_node", "to_node", F.lit(1.0).alias("weight"), F.lit(0).alias("road_class"))
+    reached = shortest_paths(edges, ends.where("is_source").select(F.lit(0).alias("grp"), F.col("node").alias("source")))
+    return reached.join(ends.where("is_sink").select("node"), "node", "left_semi").where("source <> node").select("source", F.col("node").alias("sink"))
 
 
 def best_parallel(edges: DataFrame) -> DataFrame:
@@ -58,18 +60,18 @@ def best_parallel(edges: DataFrame) -> DataFrame:
     return edges.groupBy("grp", "from_node", "to_node").agg(keep.alias("k")).select("grp", "from_node", "to_node", "k.*")
 
 
-def shortest_paths(edges: DataFrame, sources: DataFrame, most: int = 200) -> DataFrame:
+def shortest_paths(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """GRF-4, CHO-5. (grp, source, node, dist, pred, hops) for all sources of all groups at once.
 
     Frontier relaxation: a step joins the rows that improved last with the edges that leave them, keeps the
-    best arrival of each (group, source, node), and ends when nothing improves. Weights are rounded to 1e-9 so
-    that equal sums are equal. ``edges``: grp, edge_id, from_node, to_node, weight, road_class; ``sources``:
+    best arrival of each (group, source, node), and ends when nothing improves, after as many steps as the longest
+    path has edges. Weights are not negative, and rounded to 1e-9 so that equal sums are equal. ``edges``: grp, edge_id, from_node, to_node, weight, road_class; ``sources``:
     grp, source.
     """
     e = cut(best_parallel(edges), "edges")
     best = cut(sources.select("grp", "source", F.col("source").alias("node"), F.lit(0.0).alias("dist"), F.lit(None).cast("long").alias("pred"), F.lit(0).alias("hops")).distinct(), "paths")
     frontier = best
-    for _ in range(most):
+    while True:
         step = frontier.join(e, (frontier["grp"] == e["grp"]) & (frontier["node"] == e["from_node"])).select(frontier["grp"], "source", F.col("to_node").alias("node"), F.round(F.col("dist") + F.col("weight"), 9).alias("dist"), F.col("from_node").cast("long").alias("pred"), (F.col("hops") + 1).alias("hops"))
         arrival = F.struct("dist", "hops", "pred")
         better = step.groupBy("grp", "source", "node").agg(F.min(arrival).alias("a")).select("grp", "source", "node", "a.dist", "a.pred", "a.hops")
@@ -82,20 +84,18 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, most: int = 200) -> Dat
             release(frontier)
         release(best)
         best, frontier = following, improved
-    raise RuntimeError(f"paths still improved after {most} steps")
 
 
-def path_nodes(paths: DataFrame, targets: DataFrame, most: int = 500) -> DataFrame:
+def path_nodes(paths: DataFrame, targets: DataFrame) -> DataFrame:
     """GRF-4. (grp, source, sink, idx, node): the nodes of the shortest paths to (grp, source, sink), by walking predecessors."""
     at = cut(targets.join(paths.withColumnRenamed("node", "sink"), ["grp", "source", "sink"]).select("grp", "source", "sink", F.col("sink").alias("node"), "pred", F.col("hops").alias("idx")), "walk")
     walked = at
-    for _ in range(most):
+    while True:
         on = at.where("pred IS NOT NULL").select("grp", "source", "sink", F.col("pred").alias("node"))
         if on.isEmpty():
             return walked.select("grp", "source", "sink", "idx", "node")
         at = cut(on.join(paths, ["grp", "source", "node"]).select("grp", "source", "sink", "node", "pred", F.col("hops").alias("idx")), "walk")
         walked = walked.unionByName(at)
-    raise RuntimeError(f"paths are longer than {most} edges")
 
 
 def route_paths_milepost(edges: DataFrame, gap_km: float = 0.003) -> DataFrame:

@@ -33,10 +33,10 @@ def canonical_ways(way_nodes: DataFrame, canonical: DataFrame) -> DataFrame:
 
 
 def equivalent_ways(canonical: DataFrame) -> DataFrame:
-    """JN-16. Pairs (way_id, other_way_id) with the same canonical nodes; joined by hash, then compared."""
-    a, b = canonical.alias("a"), canonical.alias("b")
-    same = (F.col("a.array_id") == F.col("b.array_id")) & (F.col("a.canonical_nodes") == F.col("b.canonical_nodes")) & (F.col("a.way_id") < F.col("b.way_id"))
-    return a.join(b, same).select(F.col("a.way_id").alias("way_id"), F.col("b.way_id").alias("other_way_id"))
+    """JN-16. (way_id, first_way_id): ways that share their canonical nodes with others, by the smallest id of their
+    class; a class of n ways is n rows and not their pairs."""
+    classes = canonical.groupBy("array_id", "canonical_nodes").agg(F.min("way_id").alias("first_way_id"), F.count("*").alias("n")).where("n > 1")
+    return canonical.join(classes, ["array_id", "canonical_nodes"]).select("way_id", "first_way_id")
 
 
 def canonical_violations(canonical: DataFrame) -> DataFrame:

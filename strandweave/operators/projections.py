@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from strandweave.operators.geometry import haversine
+
 
 def raw_segments(attrs: DataFrame, shapes: DataFrame) -> DataFrame:
     """PRJ-1. Attributes with shapes; non-primary rows go; the route is the first known code with its county, else the segment."""
@@ -111,3 +116,102 @@ def stop_points(stops: DataFrame) -> DataFrame:
 def latest_rows(df: DataFrame, key: str, by: str) -> DataFrame:
     """WIN-3. Rows of each key's greatest ``by``, ties kept."""
     return df.withColumn("__rank", F.rank().over(Window.partitionBy(key).orderBy(F.desc(by)))).where("__rank = 1").drop("__rank")
+
+
+def filter_raw(df: DataFrame, key: str, value) -> DataFrame:
+    """PRJ-6. Rows whose property has a value."""
+    return df.where(F.col(key) == F.lit(value))
+
+
+def semi_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """JN-3. ``(a, b, ...) IN``: rows whose keys are in the other table; null keys never are."""
+    return df.join(keys.select(*on).distinct(), on, "left_semi")
+
+
+def anti_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """JN-3. ``(a, b, ...) NOT IN`` as SQL has it: a row stays only if its keys surely differ from all others, so a null
+    on either side leaves it out wherever the columns that are not null agree. An empty table leaves all rows.
+
+    Rows and keys are taken apart by which of their columns are null (2 to the number of columns, at most); each
+    part meets each by equality in the columns that neither lacks.
+    """
+
+    def lacking(rows: DataFrame, nulls: tuple[str, ...]) -> DataFrame:
+        return rows.where(reduce(lambda x, y: x & y, [F.col(c).isNull() if c in nulls else F.col(c).isNotNull() for c in on]))
+
+    patterns = [n for k in range(len(on) + 1) for n in combinations(on, k)]
+    out = None
+    for left in patterns:
+        rows = lacking(df, left)
+        for right in patterns:
+            rest = [c for c in on if c not in left and c not in right]
+            other = lacking(keys.select(*on), right)
+            rows = rows.join(other.select(*rest).distinct(), rest, "left_anti") if rest else rows.join(F.broadcast(other.limit(1).select(F.lit(1).alias("__any"))), F.lit(True), "left_anti")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def ordered(df: DataFrame, keys: list[str], local: bool = False) -> DataFrame:
+    """SRT-1. Rows in order; ``local``: near keys together in sorted partitions, without one order of all."""
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys) if local else df.orderBy(*keys)
+
+
+def sort_nested(col: Column, key: str) -> Column:
+    """SRT-3. An array of structs by one of their fields, in full order on ties."""
+    return F.transform(F.array_sort(F.transform(col, lambda x: F.struct(x[key].alias("k"), x.alias("v")))), lambda s: s["v"])
+
+
+def sorted_ints(col: Column) -> Column:
+    """UDF-2. A JSON array of integers in ascending order."""
+    return F.to_json(F.array_sort(F.from_json(col, "array<bigint>")))
+
+
+def raw_properties(raw: DataFrame, lengths: DataFrame, key: str, kind: str) -> DataFrame:
+    """REP-3. Raw features with length_km and their direction flag."""
+    return raw.join(lengths.select(F.col("line_id").alias(key), "length_km"), key).withColumn("is_unidirectional", is_unidirectional(kind).cast("int"))
+
+
+def reference_metadata(ids: DataFrame, refs: DataFrame) -> DataFrame:
+    """REP-4. For (list_id, ids array): metadata of the known references, class Other (8) left out, in the order asked."""
+    return lookup_in_order(ids, ref_roadway_metadata(refs), "ref_id").where("road_class <> 8")
+
+
+def assemble_references(refs: DataFrame, points: DataFrame, locations: DataFrame, sections: DataFrame, section_nodes: DataFrame) -> DataFrame:
+    """AGG-19. Base references from their parts, one row each.
+
+    ``refs``: ref_id, geometry_id, is_forward, form_of_way; ``points``: geometry_id, pt_idx, x, y of the forward line;
+    ``locations``: ref_id, seq, node; ``sections``: geometry_id, section_idx, way_id, road_class, highway, which may
+    repeat; ``section_nodes``: geometry_id, section_idx, node_idx, node_id. Locations, sections and nodes are put in
+    order; classes and highway types are summed up; a reference against its geometry has the line reversed.
+    """
+    line = points.groupBy("geometry_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pt_idx", "x", "y"))), lambda p: F.struct(p["x"].alias("lon"), p["y"].alias("lat"))).alias("coords"))
+    placed = locations.groupBy("ref_id").agg(F.sort_array(F.collect_list(F.struct("seq", "node"))).alias("locations"))
+    nodes = section_nodes.groupBy("geometry_id", "section_idx").agg(F.transform(F.sort_array(F.collect_list(F.struct("node_idx", "node_id"))), lambda n: n["node_id"]).alias("node_ids"))
+    each = sections.select("geometry_id", "section_idx", "way_id", "road_class", "highway").distinct().join(nodes, ["geometry_id", "section_idx"], "left")
+    ways = each.groupBy("geometry_id").agg(
+        F.sort_array(F.collect_list(F.struct("section_idx", "way_id", "road_class", "highway", "node_ids"))).alias("way_sections"),
+        F.min("road_class").alias("min_road_class"),
+        F.max("road_class").alias("max_road_class"),
+        F.array_sort(F.collect_set("road_class")).alias("road_classes"),
+        F.array_sort(F.collect_set("highway")).alias("highways"),
+    )
+    lone = refs.groupBy("geometry_id").agg((F.count("*") == 1).alias("is_unidirectional"))
+    met = refs.join(line, "geometry_id").join(placed, "ref_id").join(ways, "geometry_id").join(lone, "geometry_id")
+    steps = F.transform(F.sequence(F.lit(1), F.size("coords") - 1), lambda i: haversine(F.element_at("coords", i)["lon"], F.element_at("coords", i)["lat"], F.element_at("coords", i + 1)["lon"], F.element_at("coords", i + 1)["lat"]))
+    return met.select(
+        "ref_id",
+        "geometry_id",
+        "is_forward",
+        "form_of_way",
+        F.element_at("locations", 1)["node"].alias("from_node"),
+        F.element_at("locations", -1)["node"].alias("to_node"),
+        "locations",
+        "way_sections",
+        "min_road_class",
+        "max_road_class",
+        "road_classes",
+        "highways",
+        F.aggregate(steps, F.lit(0.0), lambda a, x: a + x).alias("length_km"),
+        "is_unidirectional",
+        F.when(F.col("is_forward") == 1, F.col("coords")).otherwise(F.reverse("coords")).alias("coords"),
+    )

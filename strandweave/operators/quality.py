@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from strandweave.operators.sections import overlapping
 from strandweave.operators.snapshots import union_rules
 
 SECTION = ["ref_id", "edge_id", "is_forward", "section_start", "section_end"]
@@ -11,8 +12,7 @@ SECTION = ["ref_id", "edge_id", "is_forward", "section_start", "section_end"]
 
 def rule_violations(assigned: DataFrame) -> DataFrame:
     """DQ-1. Assignments that overlap another edge's on their reference, have no length, or repeat a key."""
-    a, b = assigned.alias("a"), assigned.select("ref_id", "edge_id", "section_start", "section_end").alias("b")
-    over = a.join(b, (F.col("a.ref_id") == F.col("b.ref_id")) & (F.col("a.edge_id") != F.col("b.edge_id")) & (F.col("a.section_start") < F.col("b.section_end")) & (F.col("b.section_start") < F.col("a.section_end")), "left_semi")
+    over = overlapping(assigned, assigned, differs="edge_id")
     flat = assigned.where("section_start >= section_end")
     twice = assigned.join(assigned.groupBy("ref_id", "edge_id").count().where("count > 1").drop("count"), ["ref_id", "edge_id"], "left_semi")
     return union_rules({"overlap": over, "no_length": flat, "repeated_key": twice}, SECTION)

@@ -1,17 +1,21 @@
 """Linear-referenced sections: half-open intervals [section_start, section_end) in km on a reference.
 
-Interval joins are equi-joins on the reference with the interval test as a residual; :func:`binned_overlap_join`
-adds interval bins to the key, which spreads a reference that holds very many sections over many tasks.
+Interval joins are equi-joins on the reference and on interval bins with the interval test as a residual, which
+spreads a reference that holds very many sections over many tasks and lets a section meet only those near it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Cut points nearer than this to the one before are dropped (km).
 CUT_KM = 0.0001
 #: One-sided tolerance within which pieces count as contiguous (km).
 TOUCH_KM = 1e-5
+#: Width of the bins that overlap joins deal sections to (km).
+BIN_KM = 0.25
 
 
 def overlaps(a: DataFrame, b: DataFrame) -> Column:
@@ -26,18 +30,35 @@ def overlap_join(a: DataFrame, b: DataFrame, on: str = "ref_id", how: str = "inn
     return a.join(b, test, how)
 
 
+def binned(df: DataFrame, width: float, start: str = "section_start", end: str = "section_end") -> DataFrame:
+    """Rows dealt to ``__bin``, the stretches of ``width`` km that they touch."""
+    return df.withColumn("__bin", F.explode(F.sequence(F.floor(F.col(start) / width), F.floor(F.col(end) / width))))
+
+
+def overlapping(a: DataFrame, b: DataFrame, on: str = "ref_id", differs: str | None = None, width: float = BIN_KM) -> DataFrame:
+    """JN-1 as a semi-join: the distinct rows of ``a`` that overlap a row of ``b``. Both sides are dealt to bins, so a
+    reference with very many sections is many keys and its rows meet only those near them."""
+    columns = ["section_start", "section_end", *([differs] if differs else [])]
+    left, right = binned(a, width).alias("a"), binned(b.select(on, *columns).distinct(), width).alias("b")
+    test = (F.col(f"a.{on}") == F.col(f"b.{on}")) & (F.col("a.__bin") == F.col("b.__bin")) & (F.col("a.section_start") < F.col("b.section_end")) & (F.col("b.section_start") < F.col("a.section_end"))
+    if differs:
+        test = test & (F.col(f"a.{differs}") != F.col(f"b.{differs}"))
+    return left.join(right, test, "left_semi").drop("__bin").distinct()
+
+
 def overlap_anti(a: DataFrame, b: DataFrame, on: str = "ref_id", differs: str | None = None) -> DataFrame:
     """JN-2. Sections without an overlapping partner."""
-    return overlap_join(a, b, on, "left_anti", differs)
+    met = overlapping(a, b, on, differs)
+    held = met.select([F.col(c).alias(f"__{c}") for c in a.columns])
+    same = [a[c].eqNullSafe(held[f"__{c}"]) for c in a.columns]
+    return a.join(held, reduce(lambda x, y: x & y, same), "left_anti")
 
 
 def binned_overlap_join(a: DataFrame, b: DataFrame, width: float, on: str = "ref_id") -> DataFrame:
     """JN-1 for hot references: both sides are dealt to bins of ``width`` km and a pair is made only in the
     bin where the later of its starts lies, so no pair comes twice. Columns of ``b`` get the prefix ``b_``."""
-    binned = lambda df: df.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("section_start") / width), F.floor(F.col("section_end") / width))))
-    right = b.select([F.col(c).alias(f"b_{c}") for c in b.columns])
-    right = right.withColumn("__bin", F.explode(F.sequence(F.floor(F.col("b_section_start") / width), F.floor(F.col("b_section_end") / width))))
-    left = binned(a)
+    right = binned(b.select([F.col(c).alias(f"b_{c}") for c in b.columns]), width, "b_section_start", "b_section_end")
+    left = binned(a, width)
     met = left.join(right, (left[on] == right[f"b_{on}"]) & (left["__bin"] == right["__bin"]) & (left["section_start"] < right["b_section_end"]) & (right["b_section_start"] < left["section_end"]))
     return met.where(left["__bin"] == F.floor(F.greatest("section_start", "b_section_start") / width)).drop("__bin")
 
@@ -115,11 +136,11 @@ def attach_assignments(parts: DataFrame, assigned: DataFrame, maps: list[str]) -
 
     ``assigned``: ref_id, map, edge_id, is_forward, section_start, section_end.
     """
-    a = assigned.withColumnRenamed("ref_id", "__ref")
-    met = parts.join(a, (parts["ref_id"] == a["__ref"]) & (a["section_start"] < parts["part_end"]) & (parts["part_start"] < a["section_end"]), "left")
-    held = F.struct("edge_id", "is_forward", "section_start", "section_end")
-    order = F.struct("section_start", "section_end", "edge_id", "is_forward")
-    return met.groupBy("ref_id", "part_idx", "part_start", "part_end").agg(*[F.max_by(F.when(F.col("map") == m, held), F.when(F.col("map") == m, order)).alias(m) for m in maps])
+    near = binned_overlap_join(parts.withColumnsRenamed({"part_start": "section_start", "part_end": "section_end"}), assigned, BIN_KM)
+    held = F.struct(*[F.col(f"b_{c}").alias(c) for c in ("edge_id", "is_forward", "section_start", "section_end")])
+    order = F.struct("b_section_start", "b_section_end", "b_edge_id", "b_is_forward")
+    best = near.groupBy("ref_id", "part_idx").agg(*[F.max_by(F.when(F.col("b_map") == m, held), F.when(F.col("b_map") == m, order)).alias(m) for m in maps])
+    return parts.join(best, ["ref_id", "part_idx"], "left").select("ref_id", "part_idx", "part_start", "part_end", *maps)
 
 
 def conflation_segments(refs: DataFrame, assigned: DataFrame, maps: list[str]) -> DataFrame:

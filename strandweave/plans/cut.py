@@ -15,10 +15,14 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names; one of our own only where none is set (local tests)."""
+    """The folder the cluster names. Where none is set, one of our own, but only if all tasks run in this process: on
+    a cluster executors would not see it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="spark-strandweave-")

@@ -59,6 +59,8 @@ SQL = {
   GROUP BY user_id % 7, concat('202401', lpad(CAST(day(ts) AS STRING), 2, '0'))""",
     "way_nodes": """SELECT l_orderkey AS way_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS node_idx, l_partkey AS node_id
   FROM {lineitem}""",
+    "section_ways": """SELECT geometry_id, row_number() OVER (PARTITION BY geometry_id ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS section_idx, l_orderkey AS way_id, l_suppkey AS node_id, l_linenumber % 9 AS road_class, CASE WHEN l_linenumber % 3 = 0 THEN 'primary' WHEN l_linenumber % 3 = 1 THEN 'residential' ELSE 'service' END AS highway
+  FROM (SELECT l.*, CAST(floor(l_partkey / 2) AS BIGINT) AS geometry_id FROM {lineitem} l WHERE l_quantity > 45) t""",
     "osm_nodes": """SELECT * FROM {way_nodes} WHERE way_id % 2 = 0""",
     "section_nodes": """SELECT way_id AS ref_id, node_idx, node_id FROM {way_nodes} WHERE way_id % 2 = 1""",
     "nodes": """SELECT p_partkey AS node_id, ROUND(-74e0 - (CAST(floor(p_partkey / 3) AS BIGINT) % 100) / 1e3, 6) AS lon, ROUND(42e0 + CAST(floor(p_partkey / 300) AS BIGINT) / 1e3, 6) AS lat

@@ -225,7 +225,7 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "osm_road_class": (("road_class",), "SELECT * FROM road_class"),
     "canonical_nodes": (("canonical",), "SELECT * FROM canonical"),
     "canonical_ways": (("canonical_seq",), "SELECT way_id, len(ids) AS n_nodes, ids[1] AS first_node, ids[-1] AS last_node, array_to_string(ids, ',') AS node_list FROM canonical_seq"),
-    "equivalent_ways": (("canonical_seq",), "SELECT a.way_id, b.way_id AS other_way_id FROM canonical_seq a JOIN canonical_seq b ON a.ids = b.ids AND a.way_id < b.way_id"),
+    "equivalent_ways": (("canonical_seq",), "SELECT way_id, MIN(way_id) OVER (PARTITION BY ids) AS first_way_id FROM canonical_seq QUALIFY COUNT(*) OVER (PARTITION BY ids) > 1"),
     "way_sections": (("osm_nodes", "section_nodes"), """, met AS (SELECT a.way_id, b.ref_id, a.node_idx, b.node_idx AS ref_idx FROM osm_nodes a JOIN section_nodes b ON a.node_id = b.node_id),
       lanes AS (SELECT *, ref_idx - node_idx AS lane, 1 AS is_forward FROM met UNION ALL SELECT *, ref_idx + node_idx, 0 FROM met),
       numbered AS (SELECT *, node_idx - row_number() OVER (PARTITION BY way_id, ref_id, is_forward, lane ORDER BY node_idx) AS run FROM lanes),
@@ -270,6 +270,11 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
       f"SELECT point_id, line_id, ROUND(MIN({km('px', 'py', '(x1 + t * (x2 - x1))', '(y1 + t * (y2 - y1))')}) + 1e-9, 5) AS dist_km FROM t GROUP BY ALL"),
     "sequentiality": (("ends", "lens"), f", e AS (SELECT * FROM ends JOIN lens USING (line_id)), j AS (SELECT a.line_id AS a_id, b.line_id AS b_id, a.length_km AS ak, b.length_km AS bk, {deg('b.x1', 'b.y1', 'b.x2', 'b.y2')} - {deg('a.x1', 'a.y1', 'a.x2', 'a.y2')} AS t, {km('a.x2', 'a.y2', 'b.x1', 'b.y1')} AS g, {deg('a.x2', 'a.y2', 'b.x1', 'b.y1')} AS gb FROM e a JOIN e b ON b.line_id = a.line_id + 1) "
       "SELECT a_id, b_id, ROUND(ak + 1e-9, 4) AS a_km, ROUND(bk + 1e-9, 4) AS b_km, ROUND(CASE WHEN t > 180 THEN t - 360 WHEN t < -180 THEN t + 360 ELSE t END + 1e-9, 4) AS turn, ROUND(g + 1e-9, 4) AS gap_km, ROUND(gb + 1e-9, 4) AS gap_bearing FROM j"),
+    "curve_similarity": (("steps", "lens"), ", " + at_distance("SELECT line_id, i, length_km * i / 11 AS d_km FROM lens CROSS JOIN (SELECT unnest(range(12)) AS i)", "steps", "i, ")
+      + ", home AS MATERIALIZED (SELECT f.line_id, i, (x - first_value(x) OVER w) * cos(radians(first_value(y) OVER w)) * radians(1) * 6371.0088 AS x, (y - first_value(y) OVER w) * radians(1) * 6371.0088 AS y FROM found f WINDOW w AS (PARTITION BY f.line_id ORDER BY i)), "
+      + "far AS MATERIALIZED (SELECT a.line_id AS a_id, a.i, b.i AS j, sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) AS d FROM home a JOIN home b ON b.line_id = a.line_id + 1), "
+      + ", ".join(f"v{k} AS MATERIALIZED (SELECT f.a_id, f.i, f.j, " + ("d" if k == 0 else f"greatest(d, least(COALESCE(u.v, 1e18), COALESCE(l.v, 1e18)" + (", COALESCE(g.v, 1e18)" if k > 1 else "") + "))") + " AS v FROM far f" + ("" if k == 0 else f" LEFT JOIN v{k - 1} u ON u.a_id = f.a_id AND u.i = f.i - 1 LEFT JOIN v{k - 1} l ON l.a_id = f.a_id AND l.i = f.i" + (f" LEFT JOIN v{k - 2} g ON g.a_id = f.a_id AND g.i = f.i - 1" if k > 1 else "")) + f" WHERE f.i + f.j = {k})" for k in range(23))
+      + " SELECT a_id, a_id + 1 AS b_id, ROUND(v + 1e-9, 3) AS frechet_km, ROUND(greatest(a.length_km, b.length_km) + 1e-9, 3) AS km, ROUND(greatest(0, 1 - v / NULLIF(greatest(a.length_km, b.length_km), 0)) + 1e-9, 5) AS similarity FROM v22 JOIN lens a ON a.line_id = a_id JOIN lens b ON b.line_id = a_id + 1"),
     "nearest_nodes": (("nodes", "stations"), f"SELECT point_id, target_id, rank, ROUND(d + 1e-9, 5) AS dist_km FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY ROUND(d, 9), target_id) AS rank FROM (SELECT point_id, b.node_id AS target_id, {km('x', 'y', 'b.lon', 'b.lat')} AS d FROM stations CROSS JOIN nodes b)) WHERE rank <= 4"),
     "compact_layers": (("ref_segments", "edges"), "SELECT 'base' AS layer, CAST(COALESCE(road_class, 6) AS VARCHAR) AS code, COUNT(*) AS n FROM ref_segments GROUP BY ALL UNION ALL SELECT 'segments', target_map_id, COUNT(*) FROM edges GROUP BY ALL"),
     "component_sizes": (("way_nodes",), labels("SELECT DISTINCT way_id AS u, node_id + 1099511627776 AS v FROM way_nodes", 12) + " SELECT c AS component, COUNT(*) AS n FROM l12 GROUP BY c"),
@@ -294,8 +299,10 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 def oracle_sql() -> dict[str, str]:
+    from strandweave.plans import exchange_sql
+
     out = {}
-    for name, (reads, statement) in SQL.items():
+    for name, (reads, statement) in (SQL | exchange_sql.SQL).items():
         head = ctes(*reads, more=LIB)
-        out[name] = f"{head}{statement}" if statement.startswith(",") else f"{head}\n{statement}"
+        out[name] = f"{head}{statement}" if statement.startswith(",") else f"{head}\n{statement}".strip()
     return out

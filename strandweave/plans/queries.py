@@ -20,6 +20,8 @@ def query(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from strandweave.plans import exchange  # noqa: F401  it registers its queries
+
     return {name: (lambda spark, sf_dir, f=f: f(Tables(spark, sf_dir))) for name, f in FOUND.items()}
 
 
@@ -530,7 +532,8 @@ def sequentiality(t):
 def curve_similarity(t):
     lines = t.curves.select("line_id").distinct()
     pairs = lines.select(F.col("line_id").alias("a_id"), (F.col("line_id") + 1).alias("b_id"))
-    return G.curve_similarity(pairs, t.curves, 12)
+    c = G.curve_similarity(pairs, t.curves, 12)
+    return c.select("a_id", "b_id", F.round(F.col("frechet_km") + 1e-9, 3).alias("frechet_km"), F.round(F.col("km") + 1e-9, 3).alias("km"), F.round(F.col("similarity") + 1e-9, 5).alias("similarity"))
 
 
 @query

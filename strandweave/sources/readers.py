@@ -5,10 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """SRC-1. CSV (gzip too) with a header: trimmed values, lower-case names, the schema's columns; '' and what
-    cannot be cast, or is not finite, is null."""
-    raw = spark.read.csv(path, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+def typed(raw: DataFrame, schema: T.StructType, *others: Column) -> DataFrame:
+    """Text columns as the schema's: trimmed, by lower-case name; '' and what cannot be cast, or is not finite, is null."""
     have = {c.strip().lower(): c for c in raw.columns}
 
     def value(field: T.StructField) -> Column:
@@ -20,7 +18,17 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> Data
             cast = F.when(F.isnan(cast) | (F.abs(cast) == float("inf")), None).otherwise(cast)
         return cast
 
-    return raw.select(*[value(f).alias(f.name) for f in schema])
+    return raw.select(*others, *[value(f).alias(f.name) for f in schema])
+
+
+def _csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.csv(paths, header=True, multiLine=True, escape='"', ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+
+
+def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """SRC-1. CSV (gzip too) with a header: trimmed values, lower-case names, the schema's columns; '' and what
+    cannot be cast, or is not finite, is null. Quoted line breaks stay in their field."""
+    return typed(_csv(spark, path), schema)
 
 
 #: Columns of the schedule tables that the operators use; others are read as they are.
@@ -52,21 +60,33 @@ def read_gtfs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_csv_typed(spark, f"{folder}/{name}.txt", T.StructType.fromDDL(ddl)) for name, ddl in GTFS.items() if _exists(spark, f"{folder}/{name}.txt")}
 
 
+def _by_header(spark: SparkSession, pattern: str) -> dict[str, list[str]]:
+    """The files that match, or the parts below them, by their first line: a line of each file is read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    top = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = top.getFileSystem(conf)
+    files: list = []
+    for found in fs.globStatus(top):
+        files += [s.getPath() for s in fs.listStatus(found.getPath()) if not s.getPath().getName().startswith(("_", "."))] if found.isDirectory() else [found.getPath()]
+    out: dict[str, list[str]] = {}
+    for path in files:
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(path), "UTF-8"))
+        out.setdefault((lines.readLine() or "").lstrip("\ufeff").strip(), []).append(path.toString())
+        lines.close()
+    return out
+
+
 def read_gtfs_feeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """SRC-3. All feeds below ``root`` in one read a table, with the agency's folder name. Files of one table may
-    differ in their columns: each is read by its own header."""
+    """SRC-3. All feeds below ``root``, with the agency's folder name. Files of one table may differ in their columns:
+    those with one header are one read, and headers are few however many feeds there are."""
     out = {}
     for name, ddl in GTFS.items():
         if not _exists(spark, f"{root}/*/{name}.txt"):
             continue
-        lines = spark.read.text(f"{root}/*/{name}.txt", wholetext=False).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
-        agency = F.regexp_extract("file", r"/([^/]+)/[^/]+$", 1)
-        heads = lines.where("block = 0").groupBy("file").agg(F.first("value").alias("head"))
-        schema = T.StructType.fromDDL(ddl)
-        cells = F.from_csv("value", T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(64)]).simpleString()[7:-1].replace(":", " "))
-        names = F.transform(F.split(F.regexp_replace("head", "[\\r\\uFEFF]", ""), ","), lambda x: F.lower(F.trim(F.regexp_replace(x, '"', ""))))
-        rows = lines.join(F.broadcast(heads), "file").where(F.col("value") != F.col("head")).select(agency.alias("agency"), F.map_from_arrays(names, F.slice(F.array(*[cells[f"c{i}"] for i in range(64)]), 1, F.size(names))).alias("m"))
-        out[name] = rows.select("agency", *[F.nullif(F.trim(F.element_at("m", f.name)), F.lit("")).try_cast(f.dataType).alias(f.name) for f in schema])
+        agency = F.regexp_extract("_metadata.file_path", rf"/([^/]+)/{name}\.txt(/[^/]*)?$", 1).alias("agency")
+        for paths in _by_header(spark, f"{root}/*/{name}.txt").values():
+            part = typed(_csv(spark, paths), T.StructType.fromDDL(ddl), agency)
+            out[name] = out[name].unionByName(part) if name in out else part
     return out
 
 
