@@ -18,7 +18,10 @@ m AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word
   FROM d JOIN w USING (rid) JOIN l USING (rid) LEFT JOIN r USING (rid) LEFT JOIN s USING (rid)),
 b AS (SELECT *, CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN word_chars < 2 * n_words OR word_chars > 14 * n_words THEN 8 ELSE 0 END
     + CASE WHEN 2 * n_capitals > word_chars THEN 16 ELSE 0 END + CASE WHEN 10 * n_exclamations > 3 * n_words THEN 32 ELSE 0 END + CASE WHEN 10 * n_dup_lines > 5 * n_lines THEN 64 ELSE 0 END + CASE WHEN 10 * n_stutters > 3 * n_words THEN 128 ELSE 0 END AS bits FROM m)
-SELECT *, bits & 3 <> 0 AS base_failed, bits = 0 AS kept FROM b"""
+"""
+RULES = "(VALUES (1, 'few_words'), (2, 'repeated_words'), (4, 'symbols'), (8, 'word_length'), (16, 'capitals'), (32, 'exclamations'), (64, 'repeated_lines'), (128, 'stutter')) AS r(bit, rule)"
+VERDICTS = OP3 + f"SELECT b.*, bits & 3 <> 0 AS base_failed, bits = 0 AS kept, rule AS sole_rule FROM b LEFT JOIN {RULES} ON bits = bit"
+ABLATIONS = OP3 + f"SELECT rule, COUNT(*) FILTER (bits & bit <> 0) AS n_failed, COUNT(*) FILTER (bits = bit) AS n_only, COUNT(*) AS n_rows FROM b CROSS JOIN {RULES} GROUP BY rule"
 
 
 def op5(rounds: int = 16, fills: int = 8, budget: float = 0.8, temper: float = 0.85, topics: int = 12, seed: int = 3) -> str:
@@ -118,4 +121,4 @@ base AS (SELECT rid, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY ord,
 SELECT d.doc_id, {", ".join(f"COALESCE(n_{k[0]}, 0) AS n_{k[0]}" for k in kinds)}, sha256(COALESCE(base.spelt, '')) AS base_sha256, concat_ws(',', base.spelt, secrets, terms.spelt) AS spans, COALESCE(n_term, 0) AS n_term, COALESCE(n_spans, 0) + COALESCE(n_term, 0) AS n_spans FROM d LEFT JOIN base USING (rid) LEFT JOIN terms USING (rid)"""
 
 
-SQL = {"op3_quality_rules": OP3, "op5_mixing": op5(), "op6_pii": op6(), "op7_license_scan": op7()}
+SQL = {"op3_quality_rules": VERDICTS, "quality_ablations": ABLATIONS, "op5_mixing": op5(), "op6_pii": op6(), "op7_license_scan": op7()}

@@ -217,9 +217,10 @@ def digest(found: DataFrame) -> DataFrame:
 def sanitised(docs: DataFrame, found: DataFrame, mode: str = "generalise", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with entities and disclosing terms replaced by ``<kind>`` or, with mode ``remove``, cut out."""
     every = F.transform(F.concat("base", "extra"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    cuts = found.where(F.size("base") + F.size("extra") > 0).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.sort_array(every).alias("__cuts")).distinct()
-    text = docs[f"`{text_col}`"]
-    joined = docs.join(cuts, docs[f"`{id_col}`"].eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("__mark")), "left")
+    cuts = found.where(F.size("base") + F.size("extra") > 0).select(F.col("doc_id").alias("cut_id"), F.col("mark").alias("cut_mark"), F.sort_array(every).alias("cuts")).distinct()
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[f"`{id_col}`"].alias("id"), docs[f"`{text_col}`"].alias("text"))
+    joined = rows.join(cuts, F.col("id").eqNullSafe(F.col("cut_id")) & (F.xxhash64(whole_text("text")) == F.col("cut_mark")), "left")
+    text = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
         word = F.concat(F.lit("<"), s["kind"], F.lit(">")) if mode == "generalise" else F.lit("")
@@ -227,5 +228,6 @@ def sanitised(docs: DataFrame, found: DataFrame, mode: str = "generalise", id_co
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], piece).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("__cuts", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return joined.withColumn(text_col, F.when(F.col("__cuts").isNull(), text).otherwise(clean)).drop("__id", "__mark", "__cuts")
+    clean = F.aggregate("cuts", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    kept = {text_col: F.when(F.col("cuts").isNull(), text).otherwise(clean)}
+    return joined.select(*[kept.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

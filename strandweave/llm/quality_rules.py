@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strandweave.llm.common import NOT_SPACE, SPACE, let, whole_text, words
+from strandweave.plans.cut import cut
 
 WINDOW = 8
 
@@ -141,9 +142,22 @@ def ablations(rows: DataFrame, policy: str | tuple[str, ...]) -> DataFrame:
     return one.select(F.explode(each).alias("r")).select("r.*")
 
 
+def stored_ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The ledger written to the shared folder: policies and ablations read it and no text again."""
+    return cut(ledger(docs, id_col, text_col), "ledger")
+
+
+def verdicts(rows: DataFrame, policy: str = "v2") -> DataFrame:
+    """Ledger rows with ``base_failed`` (the base policy's verdict), ``kept`` (not rejected by ``policy`` or base) and
+    ``sole_rule``, the rule of the policy that alone rejects the document, if one does."""
+    held = F.col("bits").bitwiseAND(F.lit(mask(policy)).cast("long"))
+    sole = F.coalesce(*[F.when(held == BIT[name], F.lit(name)) for name in POLICIES[policy]])
+    return rows.withColumns({"base_failed": rejected("base"), "kept": ~rejected("base") & ~rejected(policy), "sole_rule": sole})
+
+
 def quality_rules(docs: DataFrame, policy: str = "v2", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The ledger with ``base_failed`` (the base policy's verdict) and ``kept`` (not rejected by ``policy`` or base)."""
-    return ledger(docs, id_col, text_col).withColumns({"base_failed": rejected("base"), "kept": ~rejected("base") & ~rejected(policy)})
+    """The verdicts on all documents by one evaluation of the rules."""
+    return verdicts(ledger(docs, id_col, text_col), policy)
 
 
 def kept_documents(docs: DataFrame, policy: str = "v2", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
