@@ -191,48 +191,83 @@ def similarity_stats(pairs: DataFrame, v: DataFrame) -> DataFrame:
     return n.groupBy("a_id", "b_id").agg(*stats("dist_km", "snap"), *stats("off_km", "along"))
 
 
-def snap_sequence(points: DataFrame, v: DataFrame, most: int = 4000) -> DataFrame:
+def _monotone(pts, segs):
+    """The snaps of ordered points to ordered segments with the least squared distance that never go back.
+
+    A row of costs holds the best assignment that ends on each segment. Rows are kept every so many points, and the
+    choices between two of them are worked out again on the way back, so memory is segments x the root of points.
+    """
+    import numpy as np
+    import pandas as pd
+
+    pts, segs = pts.sort_values("pt_no"), segs.sort_values("seg_idx")
+    px, py = pts["px"].to_numpy(), pts["py"].to_numpy()
+    x1, y1, x2, y2, from_km, to_km = (segs[c].to_numpy() for c in ("x1", "y1", "x2", "y2", "from_km", "to_km"))
+    n, m = len(px), len(x1)
+    if not m:
+        return pd.DataFrame({c: [] for c in ("seq_id", "pt_no", "line_id", "seg_idx", "dist_km", "along_km")})
+
+    def row(i: int):
+        k = np.cos(py[i] * RAD)
+        dx, dy, ax, ay = (x2 - x1) * k, y2 - y1, (px[i] - x1) * k, py[i] - y1
+        size = dx * dx + dy * dy
+        t = np.clip(np.divide(ax * dx + ay * dy, size, out=np.zeros(m), where=size > 0), 0, 1)
+        qx, qy = x1 + t * (x2 - x1), y1 + t * (y2 - y1)
+        h = np.sin((qy - py[i]) * RAD / 2) ** 2 + np.cos(py[i] * RAD) * np.cos(qy * RAD) * np.sin((qx - px[i]) * RAD / 2) ** 2
+        return 2 * EARTH_KM * np.arcsin(np.minimum(1.0, np.sqrt(h))), from_km + t * (to_km - from_km)
+
+    def step(cost, before, i: int):
+        """Costs of point i and the segment of the point before: an earlier one, or the same if it does not go back."""
+        dist, along = row(i)
+        own = np.where(before <= along + 1e-12, cost, np.inf)
+        least, at = np.full(m, np.inf), np.zeros(m, np.int64)
+        if m > 1:
+            run = np.minimum.accumulate(cost[:-1])
+            fresh = np.concatenate(([True], cost[1:-1] < run[:-1]))
+            least[1:], at[1:] = run, np.maximum.accumulate(np.where(fresh, np.arange(m - 1), 0))
+        stays = own < least
+        return np.where(stays, own, least) + dist**2, np.where(stays, np.arange(m), at), along
+
+    every = max(1, int(np.sqrt(n)))
+    dist, along = row(0)
+    cost, kept = dist**2, {}
+    kept[0] = (cost, along)
+    for i in range(1, n):
+        cost, _, along = step(cost, along, i)
+        if i % every == 0:
+            kept[i] = (cost, along)
+    j, chosen = int(np.argmin(cost)), [0] * n
+    for first in sorted(kept, reverse=True):
+        cost, along = kept[first]
+        backs = {}
+        for i in range(first + 1, min(n, first + every + 1)):
+            cost, backs[i], along = step(cost, along, i)
+        for i in sorted(backs, reverse=True):
+            if i == n - 1 or i % every or first + every == i:
+                chosen[i] = j
+                j = int(backs[i][j])
+    chosen[0] = j
+    found = [(d[c], a[c]) for c, (d, a) in zip(chosen, map(row, range(n)), strict=True)]
+    return pd.DataFrame({"seq_id": pts["seq_id"].to_numpy(), "pt_no": pts["pt_no"].to_numpy(), "line_id": pts["line_id"].to_numpy(), "seg_idx": segs["seg_idx"].to_numpy()[chosen], "dist_km": [d for d, _ in found], "along_km": [a for _, a in found]})
+
+
+def snap_sequence(points: DataFrame, v: DataFrame) -> DataFrame:
     """GEO-14. Snaps of an ordered point sequence (seq_id, pt_no, line_id, px, py) that never go back along the line.
 
-    Where the nearest snaps are already in order they stay. The rest take, over all their candidate segments,
-    the assignment of least squared distance without going back, by dynamic programming per sequence in an
-    Arrow batch; a sequence's table is points x segments, at most ``most`` of each.
+    Where the nearest snaps are already in order they stay. The rest take, over all segments of their line, the
+    assignment of least squared distance without going back, by dynamic programming per sequence in an Arrow
+    batch, which holds the points, the segments and rows of the table, not all of it.
     """
     keyed = points.withColumn("point_id", F.struct("seq_id", "pt_no"))
-    every = snaps(keyed.select("point_id", "line_id", "px", "py"), v).select("point_id.*", "line_id", "seg_idx", "dist_km", "along_km")
-    nearest = every.groupBy("seq_id", "pt_no", "line_id").agg(F.min_by(F.struct("seg_idx", "dist_km", "along_km"), F.struct(F.round("dist_km", 9), "along_km")).alias("b")).select("seq_id", "pt_no", "line_id", "b.*")
+    nearest = nearest_on_line(keyed.select("point_id", "line_id", "px", "py"), v).select("point_id.*", "line_id", "seg_idx", "dist_km", "along_km")
     order = Window.partitionBy("seq_id").orderBy("pt_no")
     back = nearest.withColumn("back", F.coalesce(F.col("along_km") < F.lag("along_km").over(order), F.lit(False))).groupBy("seq_id").agg(F.bool_or("back").alias("unordered"))
-    good = nearest.join(back.where("NOT unordered").select("seq_id"), "seq_id", "left_semi")
-
-    def solve(pdf):
-        import numpy as np
-
-        cols = sorted(set(pdf["seg_idx"]))
-        rows = sorted(set(pdf["pt_no"]))
-        if len(cols) > most or len(rows) > most:
-            raise ValueError("a sequence is larger than the bound of its table")
-        dist = pdf.pivot(index="pt_no", columns="seg_idx", values="dist_km").loc[rows, cols].to_numpy()
-        along = pdf.pivot(index="pt_no", columns="seg_idx", values="along_km").loc[rows, cols].to_numpy()
-        cost, back = dist[0] ** 2, np.zeros(dist.shape, int)
-        for i in range(1, len(rows)):
-            total = np.full(len(cols), np.inf)
-            for j in range(len(cols)):
-                fits = along[i - 1, : j + 1] <= along[i, j] + 1e-12
-                options = np.where(fits, cost[: j + 1], np.inf)
-                back[i, j] = int(np.argmin(options))
-                total[j] = options[back[i, j]] + dist[i, j] ** 2
-            cost = total
-        j, out = int(np.argmin(cost)), []
-        for i in range(len(rows) - 1, -1, -1):
-            out.append((pdf["seq_id"].iloc[0], rows[i], pdf["line_id"].iloc[0], cols[j], dist[i, j], along[i, j]))
-            j = back[i, j]
-        import pandas as pd
-
-        return pd.DataFrame(out, columns=["seq_id", "pt_no", "line_id", "seg_idx", "dist_km", "along_km"])
-
-    rest = every.join(back.where("unordered").select("seq_id"), "seq_id", "left_semi").select(*nearest.columns)
-    return good.select(*nearest.columns).unionByName(rest.groupBy("seq_id").applyInPandas(solve, nearest.schema))
+    good = nearest.join(back.where("NOT unordered").select("seq_id"), "seq_id", "left_semi").select(*nearest.columns)
+    rest = points.join(back.where("unordered").select("seq_id"), "seq_id", "left_semi")
+    asked = rest.select(F.col("seq_id").alias("of_seq"), F.col("line_id").alias("on_line")).distinct()
+    lines = asked.join(line_segments(v), F.col("on_line") == F.col("line_id")).drop("line_id", "on_line")
+    solved = rest.groupBy("seq_id").cogroup(lines.groupBy("of_seq")).applyInPandas(_monotone, nearest.schema)
+    return good.unionByName(solved)
 
 
 def split_by_bearing(v: DataFrame, degrees: float = 67.5) -> DataFrame:

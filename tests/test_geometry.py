@@ -53,6 +53,38 @@ def test_snapping_never_goes_back(spark, lines):
     assert [r.seg_idx for r in geometry.snap_sequence(ordered, lines).orderBy("pt_no").collect()] == [0, 1, 1]
 
 
+def test_monotone_snaps_are_the_least_of_all_orders():
+    """Random points and segments against every assignment that never goes back; then long ones against a full table."""
+    from itertools import product
+
+    import numpy as np
+    import pandas as pd
+
+    r = np.random.default_rng(0)
+
+    def case(n, m, way=np.array):
+        xs, ys = np.cumsum(r.uniform(-0.01, 0.02, m + 1)), r.uniform(0, 0.02, m + 1)
+        km = np.hypot(np.diff(xs), np.diff(ys)) * 111.2
+        segs = pd.DataFrame({"seg_idx": range(m), "x1": xs[:-1], "y1": ys[:-1], "x2": xs[1:], "y2": ys[1:], "from_km": km.cumsum() - km, "to_km": km.cumsum()})
+        pts = pd.DataFrame({"seq_id": 1, "pt_no": range(n), "line_id": 1, "px": way(r.uniform(-0.01, 0.05, n)), "py": r.uniform(0, 0.02, n)})
+        each = [[geometry._monotone(pts.iloc[[i]], segs.iloc[[j]]).iloc[0] for j in range(m)] for i in range(n)]
+        return pts, segs, np.array([[e.dist_km for e in row] for row in each]), np.array([[e.along_km for e in row] for row in each])
+
+    fits = lambda a, i, j, k: j < k or (j == k and a[i, j] <= a[i + 1, k] + 1e-12)
+    for _ in range(60):
+        pts, segs, d, a = case(int(r.integers(1, 5)), int(r.integers(1, 4)))
+        n, m = d.shape
+        sums = [sum(d[i, c] ** 2 for i, c in enumerate(cs)) for cs in product(range(m), repeat=n) if all(fits(a, i, *cs[i : i + 2]) for i in range(n - 1))]
+        if sums:
+            out = geometry._monotone(pts, segs)
+            assert (out.dist_km**2).sum() == pytest.approx(min(sums)) and (out.along_km.diff().dropna() >= -1e-9).all()
+    pts, segs, d, a = case(23, 40, np.sort)
+    cost = d[0] ** 2
+    for i in range(1, 23):
+        cost = np.array([min((cost[j] for j in range(k + 1) if fits(a, i - 1, j, k)), default=np.inf) for k in range(40)]) + d[i] ** 2
+    assert cost.min() < np.inf and (geometry._monotone(pts, segs).dist_km ** 2).sum() == pytest.approx(cost.min())
+
+
 def test_units_and_shapes(spark, lines):
     feet = geometry.measured(lines.where("line_id = 1")).withColumn("dist", F.col("at_km") / 0.0003048)
     assert geometry.infer_distance_unit(feet.drop("at_km")).first().unit == "ft"
@@ -82,7 +114,7 @@ def test_nearest_points(spark):
     t = spark.createDataFrame([(i, i * 0.013, 0.0) for i in range(30)], "target_id int, x double, y double")
     p = spark.createDataFrame([(1, 0.0, 0.0), (2, 3.0, 0.0)], "point_id int, x double, y double")
     got = {}
-    for r in spatial.knn_points(p, t, 3, km=0.5, rings=10).collect():
+    for r in spatial.knn_points(p, t, 3, km=0.5).collect():
         got.setdefault(r.point_id, []).append((r.rank, r.target_id))
     assert sorted(got[1]) == [(1, 0), (2, 1), (3, 2)] and sorted(got[2]) == [(1, 29), (2, 28), (3, 27)]
 

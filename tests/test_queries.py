@@ -29,12 +29,12 @@ def plain(v):
     return v.isoformat() if hasattr(v, "isoformat") else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(oracles.SQL))
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     df = queries.queries()[name](spark, DATA)
     columns = sorted(df.columns)
-    found = duck.sql(oracles.oracle_sql()[name])
-    names = list(found.columns)
+    found = duck.execute(oracles.oracle_sql()[name])
+    names = [d[0] for d in found.description]
     assert sorted(names) == columns
     order = [names.index(c) for c in columns]
     want = sorted(tuple(plain(row[i]) for i in order) for row in found.fetchall())
