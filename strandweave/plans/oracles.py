@@ -141,8 +141,7 @@ MAPS = ", ".join(f"{m}.{c} AS {m}_{c}" for m in ("tmc", "ris") for c in ("edge_i
 
 LIB["merged"] = """SELECT path_id AS line_id, row_number() OVER (PARTITION BY path_id ORDER BY path_edge_idx, pt_idx) - 1 AS pt_idx, x, y FROM (SELECT path_id, path_edge_idx, pt_idx, x, y, lag(x) OVER w AS bx, lag(y) OVER w AS before_y FROM {agency_edges} JOIN {agency_points} ON edge_id = line_id WINDOW w AS (PARTITION BY path_id ORDER BY path_edge_idx, pt_idx)) WHERE bx IS NULL OR bx <> x OR before_y <> y"""
 LIB["samples"] = f"""SELECT line_id, i, x1 + f * (x2 - x1) AS px, y1 + f * (y2 - y1) AS py FROM (SELECT line_id, i, x1, y1, x2, y2, COALESCE((d - from_km) / NULLIF(km, 0), 0) AS f FROM (SELECT s.*, i, total * i / 10 AS d, total FROM {{agency_segments}} s JOIN (SELECT line_id, SUM(km) AS total FROM {{agency_segments}} GROUP BY line_id) USING (line_id) CROSS JOIN (SELECT unnest(range(11)) AS i)) WHERE d >= from_km AND d <= from_km + km + 1e-12 QUALIFY row_number() OVER (PARTITION BY line_id, i ORDER BY pt_idx DESC) = 1)"""
-LIB["hits"] = f"""SELECT edge_id, ref_id, i, d, spot FROM (SELECT p.line_id AS edge_id, s.line_id AS ref_id, i, from_km, km, {ALONG} AS t, px, py, x1, y1, x2, y2, {NEAREST.replace("t *", ALONG + " *")} AS d, from_km + {ALONG} * km AS spot FROM {{samples}} p JOIN {{ref_segments_km}} s ON ABS(px - (x1 + x2) / 2) < 0.02 AND ABS(py - (y1 + y2) / 2) < 0.02) QUALIFY row_number() OVER (PARTITION BY edge_id, ref_id, i ORDER BY ROUND(d, 9), ROUND(spot, 9)) = 1"""
-LIB["ref_segments_km"] = "SELECT * FROM {ref_segments_lines}"
+LIB["hits"] = f"""SELECT edge_id, ref_id, i, d, spot FROM (SELECT p.line_id AS edge_id, s.line_id AS ref_id, i, from_km, km, {ALONG} AS t, px, py, x1, y1, x2, y2, {NEAREST.replace("t *", ALONG + " *")} AS d, from_km + {ALONG} * km AS spot FROM {{samples}} p JOIN {{ref_segments_lines}} s ON ABS(px - (x1 + x2) / 2) < 0.02 AND ABS(py - (y1 + y2) / 2) < 0.02) QUALIFY row_number() OVER (PARTITION BY edge_id, ref_id, i ORDER BY ROUND(d, 9), ROUND(spot, 9)) = 1"""
 LIB["ref_segments_lines"] = LIB.pop("ref_segments")
 LIB["matched"] = """SELECT edge_id, ref_id, CASE WHEN arg_min(spot, i) <= arg_max(spot, i) THEN 1 ELSE 0 END AS is_forward, MIN(spot) AS section_start, MAX(spot) AS section_end, AVG(d) AS score_km FROM {hits} WHERE d <= 0.03 GROUP BY edge_id, ref_id HAVING COUNT(*) >= 5.5 AND MAX(spot) > MIN(spot)"""
 LIB["path_refs"] = "SELECT DISTINCT path_id, ref_id FROM {agency_edges} JOIN {matched} USING (edge_id) WHERE is_forward = 1"
