@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import compression_quality, embedding_dedup, license_scan, line_dedup, mixing, oracles, packing, pii, quality_rules, sentencepiece, simhash, url_filter
+from strandweave.llm import alignment, compression_quality, embedding_dedup, license_scan, line_dedup, mixing, oracles, packing, pii, quality_rules, sentencepiece, simhash, url_filter
 from strandweave.llm.common import table
 
 
@@ -62,8 +62,12 @@ def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op2_url_filter, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op8_sentencepiece, op9_line_dedup, op10_compression_quality, op12_packing, quality_ablations)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_url_filter, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op8_sentencepiece, op9_line_dedup, op10_compression_quality, op12_packing, op13_alignment, quality_ablations)}
 
 
 def oracle_sql() -> dict[str, str]:
