@@ -121,4 +121,17 @@ base AS (SELECT rid, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY ord,
 SELECT d.doc_id, {", ".join(f"COALESCE(n_{k[0]}, 0) AS n_{k[0]}" for k in kinds)}, sha256(COALESCE(base.spelt, '')) AS base_sha256, concat_ws(',', base.spelt, secrets, terms.spelt) AS spans, COALESCE(n_term, 0) AS n_term, COALESCE(n_spans, 0) + COALESCE(n_term, 0) AS n_spans FROM d LEFT JOIN base USING (rid) LEFT JOIN terms USING (rid)"""
 
 
-SQL = {"op3_quality_rules": VERDICTS, "quality_ablations": ABLATIONS, "op5_mixing": op5(), "op6_pii": op6(), "op7_license_scan": op7()}
+def op11(top: int = 50) -> str:
+    """Every document scored for every item."""
+    found = lambda source, row, key: rf"""SELECT row_number() OVER () AS {row}, {key}, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM {source}"""
+    return f"""WITH d AS MATERIALIZED ({found("documents", "did", "doc_id")}), i AS MATERIALIZED ({found("benchmark", "iid", "item_id")}),
+tf AS MATERIALIZED (SELECT did, t, COUNT(*) AS tf FROM (SELECT did, unnest(ts) AS t FROM d) GROUP BY ALL),
+c AS (SELECT COUNT(*) AS n, SUM(len(ts))::BIGINT AS total FROM d WHERE len(ts) > 0),
+df AS (SELECT t, floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * COUNT(*) + 1)))::BIGINT AS w FROM tf CROSS JOIN c GROUP BY t, n),
+m AS (SELECT did, doc_id, 100 - 50 + (50 * len(ts) * n) // total AS m FROM d CROSS JOIN c),
+s AS (SELECT iid, did, SUM(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score FROM (SELECT iid, unnest(list_distinct(ts)) AS t FROM i) JOIN df USING (t) JOIN tf USING (t) JOIN m USING (did) GROUP BY iid, did),
+r AS (SELECT iid, doc_id, score, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s JOIN m USING (did) WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM r JOIN i USING (iid) WHERE rank <= {top}"""
+
+
+SQL = {"op3_quality_rules": VERDICTS, "quality_ablations": ABLATIONS, "op5_mixing": op5(), "op6_pii": op6(), "op7_license_scan": op7(), "op11_lexical_search": op11()}

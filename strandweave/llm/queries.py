@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from strandweave.llm import alignment, compression_quality, embedding_dedup, license_scan, line_dedup, mixing, oracles, packing, pii, quality_rules, sentencepiece, simhash, url_filter
+from strandweave.llm import alignment, compression_quality, embedding_dedup, lexical_search, license_scan, line_dedup, mixing, oracles, packing, pii, quality_rules, sentencepiece, simhash, url_filter
 from strandweave.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op10_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compression_quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.best_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -67,7 +71,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_dedup, op2_url_filter, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op8_sentencepiece, op9_line_dedup, op10_compression_quality, op12_packing, op13_alignment, quality_ablations)}
+    return {f.__name__: f for f in (op1_embedding_dedup, op2_url_filter, op3_quality_rules, op4_simhash, op5_mixing, op6_pii, op7_license_scan, op8_sentencepiece, op9_line_dedup, op10_compression_quality, op11_lexical_search, op12_packing, op13_alignment, quality_ablations)}
 
 
 def oracle_sql() -> dict[str, str]:
