@@ -14,7 +14,8 @@ the fewer documents a term is in, the less it is believed. A term is disclosing
 All native. Only documents with entities are exploded to the few terms around them; the corpus counts of terms
 are summed map-side before they meet the candidates, so frequent terms stay one row a task; texts meet the
 disclosing terms by an equi-join of their distinct terms. No pattern can backtrack over a run: repeated groups
-are possessive and start only where a run starts.
+are possessive and start only where a run starts. Work within a text grows in proportion to it: places come from
+scans in runs, texts are cut up once.
 
 A null text is empty: no spans. A null id is kept. Repeated rows give repeated rows and count each. Empty
 tables give empty results; columns besides the id and the text are ignored.
@@ -22,6 +23,8 @@ tables give empty results; columns besides the id and the text are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from strandweave.llm.common import TERM, let, lower_ascii, terms, whole_text
@@ -42,6 +45,25 @@ PART = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 NEAR = 5
 #: Bits that each character of a secret holds at least, by the frequencies of its own characters.
 BITS = 3.0
+#: Characters of a text that are cut out at a time, and values of a scan that share an array.
+CHUNK, STEP = 8192, 64
+
+
+def scanned(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """What ``add`` makes of all values (int, from 0) before each. An array that grows is copied each time, so values
+    are folded in runs of ``STEP``, then the runs' results, then each run from where it starts."""
+
+    def folded(part: Column, start: Column) -> Column:
+        return F.aggregate(part, F.array(start), lambda acc, x: F.concat(acc, F.array(add(F.element_at(acc, -1), x))))
+
+    def joined(runs: Column) -> Column:
+        starts = folded(F.transform(runs, lambda r: F.aggregate(r, F.lit(0), add)), F.lit(0))
+        return F.flatten(F.zip_with(runs, F.slice(starts, 1, F.size(runs)), lambda r, start: F.slice(folded(r, start), 1, F.size(r))))
+
+    def cut_up(v: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), (F.greatest(F.size(v) - 1, F.lit(0)) / STEP).cast("int")), lambda c: F.slice(v, c * STEP + 1, F.lit(STEP)))
+
+    return let(values, lambda v: let(cut_up(v), joined))
 
 
 def _digits(match: Column) -> Column:
@@ -82,16 +104,15 @@ def _spans(kind: str, text: Column) -> Column:
 
     def place(found: Column) -> Column:
         gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-        both = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("m")))
-        empty = F.struct(F.lit(0).alias("at"), F.expr("array()").cast("array<struct<kind:string,start:int,end:int>>").alias("out"))
+        return let(F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), _sound(kind, m).alias("sound"))), placed)
 
-        def step(acc: Column, x: Column) -> Column:
-            start = acc["at"] + x["gap"]
-            end = start + F.length(x["m"])
-            span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"))
-            return F.struct(end.alias("at"), F.when(_sound(kind, x["m"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def placed(both: Column) -> Column:
+        def span(x: Column, before: Column) -> Column:
+            start = before + x["gap"]
+            return F.when(x["sound"], F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + x["size"]).alias("end")))
 
-        return F.aggregate(both, empty, step, lambda acc: acc["out"])
+        before = scanned(F.transform(both, lambda x: x["gap"] + x["size"]), lambda n, x: n + x)
+        return F.filter(F.zip_with(both, before, span), lambda s: s.isNotNull())
 
     none = F.expr("array()").cast("array<struct<kind:string,start:int,end:int>>")
     hint = {"email": text.contains("@"), "phone": text.contains("+")}.get(kind, text.rlike("[0-9]"))
@@ -104,49 +125,71 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return rows.select("doc_id", F.xxhash64("text").alias("mark"), "text", F.concat(*[_spans(kind, F.col("text")) for kind in KINDS]).alias("base"), _spans("secret", F.col("text")).alias("secrets"))
 
 
-def _entities() -> Column:
-    """Places of entities in order, overlapping ones as one with all their kinds."""
-    spans = F.array_sort(F.transform(F.concat("base", "secrets"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.array(s["kind"]).alias("kinds"))))
-    none = F.expr("array()").cast("array<struct<start:int,end:int,kinds:array<string>>>")
+def _merged(spans: Column) -> Column:
+    """Places of (kind, start, end) in order, overlapping ones as one with all their kinds, by start."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+
+    def places(own: Column) -> Column:
+        return let(scanned(F.transform(own, lambda s: s["end"]), lambda n, x: F.greatest(n, x)), lambda before: let(heads(own, before), lambda h: F.transform(h, lambda at, i: place(own, before, at, F.coalesce(F.get(h, i + 1), F.size(own))))))
 
-    def step(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), F.concat(last["kinds"], s["kinds"]).alias("kinds"))
-        return F.when((F.size(acc) > 0) & (s["start"] < F.get(acc, F.size(acc) - 1)["end"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(wider))).otherwise(F.concat(acc, F.array(s)))
+    def heads(own: Column, before: Column) -> Column:
+        """Where a span starts at or after the end of all before it."""
+        return F.filter(F.transform(own, lambda s, i: F.when(s["start"] >= F.get(before, i), i)), lambda i: i.isNotNull())
 
-    return F.aggregate(spans, none, lambda acc, s: F.when(F.size(acc) == 0, F.array(s)).otherwise(step(acc, s)))
+    def place(own: Column, before: Column, at: Column, following: Column) -> Column:
+        end = F.when(following < F.size(own), F.get(before, following)).otherwise(F.greatest(F.get(before, following - 1), F.get(own, following - 1)["end"]))
+        return F.struct(F.get(own, at)["start"].alias("start"), end.alias("end"), F.transform(F.slice(own, at + 1, following - at), lambda s: s["kind"]).alias("kinds"))
+
+    return let(ordered, places)
+
+
+def _entities() -> Column:
+    return _merged(F.concat("base", "secrets"))
 
 
 def _pieces(text: Column, places: Column) -> Column:
-    """What stands before, between and after the entities, as (at, text)."""
+    """What stands before, between and after the entities, as (at, text). The text is cut into chunks first, so that
+    no piece is looked for from the text's start."""
+    n = F.length(text)
+
+    def cut_out(chunks: Column, start: Column, end: Column) -> Column:
+        def part(c: Column) -> Column:
+            chunk = F.get(chunks, c)
+            low, high = F.greatest(start - c * CHUNK, F.lit(0)), F.least(end - c * CHUNK, F.lit(CHUNK))
+            return F.when((low == 0) & (high == CHUNK), chunk).otherwise(F.substring(chunk, low + 1, high - low))
 
-    def piece(i: Column) -> Column:
+        every = F.sequence((start / CHUNK).cast("int"), ((end - 1) / CHUNK).cast("int"))
+        return F.when(end > start, F.array_join(F.transform(every, part), "")).otherwise(F.lit(""))
+
+    def piece(chunks: Column, i: Column) -> Column:
         start = F.when(i == 0, F.lit(0)).otherwise(F.get(places, i - 1)["end"])
-        end = F.coalesce(F.get(places, i)["start"], F.length(text))
-        return F.struct(start.alias("at"), F.substring(text, start + 1, end - start).alias("text"))
+        end = F.coalesce(F.get(places, i)["start"], n)
+        return F.struct(start.alias("at"), cut_out(chunks, start, end).alias("text"))
 
-    return F.transform(F.sequence(F.lit(0), F.size(places)), piece)
+    chunked = F.transform(F.sequence(F.lit(0), (F.greatest(n - 1, F.lit(0)) / CHUNK).cast("int")), lambda c: F.substring(text, c * CHUNK + 1, F.lit(CHUNK)))
+    return let(chunked, lambda chunks: F.transform(F.sequence(F.lit(0), F.size(places)), lambda i: piece(chunks, i)))
 
 
 def _own_terms() -> Column:
     """A text's terms in order, those of its entities left out: one array a piece."""
     whole = F.array(terms(lower_ascii(F.col("text"))))
-    parts = lambda places: F.transform(_pieces(lower_ascii(F.col("text")), places), lambda p: terms(p["text"]))
-    return F.when(F.size("base") + F.size("secrets") == 0, whole).otherwise(let(_entities(), parts))
+    parts = lambda low: let(_entities(), lambda places: F.transform(_pieces(low, places), lambda p: terms(p["text"])))
+    return F.when(F.size("base") + F.size("secrets") == 0, whole).otherwise(let(lower_ascii(F.col("text")), parts))
 
 
 def _surroundings(found: DataFrame) -> DataFrame:
     """(kind, term) of the terms near each document's entities, once a document."""
     parts = found.select(_entities().alias("places"), _own_terms().alias("parts"))
-    counted = F.aggregate("parts", F.expr("array(0)"), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.size(p))))
-    flat = parts.select("places", F.flatten("parts").alias("terms"), counted.alias("before"))
+    flat = parts.select("places", F.flatten("parts").alias("terms"), scanned(F.transform("parts", lambda p: F.size(p)), lambda n, x: n + x).alias("before"))
 
     def near(place: Column, i: Column) -> Column:
         n = F.get("before", i + 1)  # terms before the entity
         first = F.greatest(n - NEAR, F.lit(0))
-        return F.flatten(F.transform(F.array_distinct(place["kinds"]), lambda k: F.transform(F.slice("terms", first + 1, n - first + NEAR), lambda t: F.struct(k.alias("kind"), t.alias("term")))))
+        return F.flatten(F.transform(F.array_distinct(place["kinds"]), lambda k: F.transform(F.slice("terms", first + 1, n - first + NEAR), lambda t: F.concat_ws(" ", k, t))))
 
-    return flat.select(F.explode(F.array_distinct(F.flatten(F.transform("places", near)))).alias("e")).select("e.*")
+    # as one string each: equal ones are found by hashing then; neither kinds nor terms hold spaces
+    each = flat.select(F.explode(F.array_distinct(F.flatten(F.transform("places", near)))).alias("e"))
+    return each.select(F.substring_index("e", " ", 1).alias("kind"), F.substring_index("e", " ", -1).alias("term"))
 
 
 def disclosing_terms(found: DataFrame, threshold: float, z: float) -> DataFrame:
@@ -167,24 +210,23 @@ def disclosing_terms(found: DataFrame, threshold: float, z: float) -> DataFrame:
 
 def _placed(hits: Column) -> Column:
     """Where the terms of ``hits`` stand in the text, entities left out."""
-    none = F.expr("array()").cast("array<struct<kind:string,start:int,end:int>>")
 
     def places(piece: Column) -> Column:
         def within(found: Column) -> Column:
             gaps = F.slice(F.split(piece["text"], TERM, -1), 1, F.size(found))
-            both = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("m")))
+            return let(F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"), F.array_contains(hits, m).alias("hit"))), spans)
 
-            def step(acc: Column, x: Column) -> Column:
-                start = acc["at"] + x["gap"]
-                end = start + F.length(x["m"])
-                span = F.struct(F.lit("term").alias("kind"), start.alias("start"), end.alias("end"))
-                return F.struct(end.alias("at"), F.when(F.array_contains(hits, lower_ascii(x["m"])), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+        def spans(both: Column) -> Column:
+            def span(x: Column, before: Column) -> Column:
+                start = piece["at"] + before + x["gap"]
+                return F.when(x["hit"], F.struct(F.lit("term").alias("kind"), start.alias("start"), (start + x["size"]).alias("end")))
 
-            return F.aggregate(both, F.struct(piece["at"].alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+            before = scanned(F.transform(both, lambda x: x["gap"] + x["size"]), lambda n, x: n + x)
+            return F.filter(F.zip_with(both, before, span), lambda s: s.isNotNull())
 
         return let(F.regexp_extract_all(piece["text"], F.lit(TERM), F.lit(0)), within)
 
-    return F.flatten(F.transform(let(_entities(), lambda e: _pieces(F.col("text"), e)), places))
+    return let(lower_ascii(F.col("text")), lambda low: F.flatten(F.transform(let(_entities(), lambda e: _pieces(low, e)), places)))
 
 
 def personal_data(docs: DataFrame, threshold: float = 0.8, z: float = 3.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -216,18 +258,11 @@ def digest(found: DataFrame) -> DataFrame:
 
 def sanitised(docs: DataFrame, found: DataFrame, mode: str = "generalise", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with entities and disclosing terms replaced by ``<kind>`` or, with mode ``remove``, cut out."""
-    every = F.transform(F.concat("base", "extra"), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    cuts = found.where(F.size("base") + F.size("extra") > 0).select(F.col("doc_id").alias("cut_id"), F.col("mark").alias("cut_mark"), F.sort_array(every).alias("cuts")).distinct()
+    cuts = found.where(F.size("base") + F.size("extra") > 0).select(F.col("doc_id").alias("cut_id"), F.col("mark").alias("cut_mark"), _merged(F.concat("base", "extra")).alias("cuts")).distinct()
     rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), docs[f"`{id_col}`"].alias("id"), docs[f"`{text_col}`"].alias("text"))
     joined = rows.join(cuts, F.col("id").eqNullSafe(F.col("cut_id")) & (F.xxhash64(whole_text("text")) == F.col("cut_mark")), "left")
-    text = F.col("text")
-
-    def step(acc: Column, s: Column) -> Column:
-        word = F.concat(F.lit("<"), s["kind"], F.lit(">")) if mode == "generalise" else F.lit("")
-        piece = F.when(s["start"] >= acc["at"], F.concat(F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), word)).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], piece).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate("cuts", start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    kept = {text_col: F.when(F.col("cuts").isNull(), text).otherwise(clean)}
+    # of entities that overlap the first names the place
+    word = lambda place: F.concat(F.lit("<"), F.get(place["kinds"], F.lit(0)), F.lit(">")) if mode == "generalise" else F.lit("")
+    spelt = F.zip_with(_pieces(F.col("text"), F.col("cuts")), F.col("cuts"), lambda p, c: F.concat(p["text"], F.when(c.isNull(), F.lit("")).otherwise(word(c))))
+    kept = {text_col: F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.array_join(spelt, ""))}
     return joined.select(*[kept.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

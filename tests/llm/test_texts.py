@@ -149,13 +149,33 @@ def test_disclosing_terms_equal_brute_force(spark):
 
 
 def test_personal_data_of_odd_tables(spark):
-    long = "word " * 200_000 + "a@b.cd" + " 1.2.3.4 x" * 100
+    long = "word " * 200_000 + "a@b.cd" + " 1.2.3.4 x" * 500
     docs = spark.createDataFrame([(1, long, 0), (1, "a@b.cd", 0), (1, "a@b.cd", 0), (None, "a@b.cd", 0), (2, None, 0)], "doc_id long, text string, base int")
     got = sorted((r.doc_id or 0, r.n_email, r.n_ip) for r in pii.digest(pii.personal_data(docs)).collect())
-    assert got == [(0, 1, 0), (1, 1, 0), (1, 1, 0), (1, 1, 100), (2, 0, 0)]
+    assert got == [(0, 1, 0), (1, 1, 0), (1, 1, 0), (1, 1, 500), (2, 0, 0)]
     assert pii.digest(pii.personal_data(docs.limit(0))).isEmpty()
 
 
+def test_twenty_thousand_entities_in_a_text(spark):
+    """Places, surroundings and clean text of a long text beside short ones with the same term; overlapping entities in between."""
+    draw = random.Random(6)
+    parts = [draw.choice([f"mailbox é{i} a{i}@b{i}.com", f"mailbox 1.2.3.{i % 256}.9.8.7.6.x@y.z", f"ü 10.0.{i % 300}.1"]) for i in range(20_000)]
+    long = "\n".join(parts)
+    docs = spark.createDataFrame([(0, long)] + [(i, f"mailbox p{i}@q.r") for i in range(1, 40)] + [(40 + i, f"plain text {i}") for i in range(80)], "doc_id long, text string")
+    found = pii.personal_data(docs)
+    row = next(r for r in found.collect() if r.doc_id == 0)
+    for kind, pattern in PLAIN.items():
+        assert [(s["start"], s["end"]) for s in row.base if s["kind"] == kind] == [m.span() for m in re.finditer(pattern, long) if sound(kind, m.group())]
+    terms = [(s["start"], s["end"]) for s in row.extra if s["kind"] == "term"]
+    assert terms == [m.span() for m in re.finditer("mailbox", long)]
+    clean, at, out = next(r.text for r in pii.sanitised(docs, found).collect() if r.doc_id == 0), 0, []
+    for start, end, kind in sorted((s["start"], s["end"], s["kind"]) for s in [*row.base, *row.extra]):
+        if start >= at:
+            out.append(long[at:start] + f"<{kind}>")
+        at = max(at, end)
+    assert clean == "".join(out) + long[at:]
+
+
 def test_licences(spark):
     filler = [(100 + i, f"plain text number {i} about nothing") for i in range(60)]
     rows = [(1, "Licensed under CC BY-NC 4.0."), (2, "This work is licensed under the GNU General Public License, version 3."), (3, "All rights reserved. ALL RIGHTS RESERVED"), (4, None), (5, ""), (6, "the Licensed under the Apache License, Version 2.0 x"), (7, "general public mention of a license")]
