@@ -34,8 +34,8 @@ from strandweave.plans.cut import cut, release
 
 A_MODEL, B_MODEL = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Windows that a worker remembers; the memory is cleared when it holds so many.
-REMEMBER = 100_000
-CHARS = 1 << 21
+REMEMBER = 250_000
+CHARS = 1 << 20
 BLOCK = "block long, doc_ids array<bigint>, n_a array<bigint>, n_b array<bigint>, n_groups array<bigint>, hashes array<string>, doc_ends binary, windows binary, links binary, link_ends binary, pairs array<bigint>, counts array<bigint>"
 
 
@@ -46,6 +46,8 @@ class Aligner:
         self.models = a, b
         self.sizes = [np.array([len(x) for x in m.bytes_of], np.int64) for m in self.models]
         self.spaced = [np.array([x[:1] == b" " for x in m.bytes_of]) for m in self.models]
+        #: Each id as it is spelt inside and at the end of its side of a group.
+        self.spelt = [np.array([[f"{i}," for i in range(len(m.bytes_of))], [f"{i}{end}" for i in range(len(m.bytes_of))]], object) for m, end in zip(self.models, "|;", strict=True)]
         self.known: dict[tuple[bytes, bytes], tuple[str, bytes]] = {}
 
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
@@ -55,7 +57,7 @@ class Aligner:
         raw, out = (" " + text).encode(), []
         for m in self.models:
             ids = m.encode(text if m.adds_space else " " + text)
-            if b"".join(map(m.bytes_of.__getitem__, ids.tolist())) != raw:
+            if not m.lossless and b"".join(map(m.bytes_of.__getitem__, ids.tolist())) != raw:
                 return None
             out.append(ids)
         return out[0], out[1]
@@ -78,16 +80,23 @@ class Aligner:
         return list(zip(*slices, strict=True)), np.append(np.searchsorted(anchors, heads[1:-1]), len(anchors))
 
     def align(self, windows: list[tuple[bytes, bytes]]) -> list[tuple[str, bytes]]:
-        """Of each window its groups, spelt, and its links as packed pairs (A's id in the upper 32 bits)."""
-        sides = [np.frombuffer(b"".join(w[side] for w in windows), np.uint32) for side in (0, 1)]
+        """Of each window its groups, spelt with ``;`` after each, and its links as packed pairs (A's id in the upper 32 bits)."""
+        sides = [np.frombuffer(b"".join([w[side] for w in windows]), np.uint32) for side in (0, 1)]
         ends = [np.cumsum(sizes[x]) for x, sizes in zip(sides, self.sizes, strict=True)]
-        _, at_a, at_b = np.intersect1d(*ends, assume_unique=True, return_indices=True)
-        pairs = (sides[0][at_a].astype(np.int64) << 32 | sides[1][at_b]).tobytes()
-        spelt_a, spelt_b = ([str(i) for i in x.tolist()] for x in sides)
-        cuts_a, cuts_b = [0, *(at_a + 1).tolist()], [0, *(at_b + 1).tolist()]
-        groups = [f"{','.join(spelt_a[i:j])}|{','.join(spelt_b[k:n])}" for i, j, k, n in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:])]
-        last = np.searchsorted(at_a, np.cumsum([len(w[0]) // 4 for w in windows]), side="left").tolist()
-        return [(";".join(groups[i:j]), pairs[8 * i : 8 * j]) for i, j in zip([0, *last], last)]
+        _, *last = np.intersect1d(*ends, assume_unique=True, return_indices=True)
+        pairs = (sides[0][last[0]].astype(np.int64) << 32 | sides[1][last[1]]).tobytes()
+        # a group's tokens of A, then those of B: each stands after the other side's of the groups before it
+        parts = np.empty(len(sides[0]) + len(sides[1]), object)
+        for side, x in enumerate(sides):
+            ending = np.zeros(len(x), np.int64)
+            ending[last[side]] = 1
+            group = np.cumsum(ending) - ending
+            before = np.append(0, last[1 - side] + 1)[group + side]
+            parts[np.arange(len(x)) + before] = self.spelt[side][ending, x]
+        parts = parts.tolist()
+        through = np.cumsum([[len(a), len(b)] for a, b in windows], axis=0) // 4
+        cuts, links = through.sum(axis=1).tolist(), (8 * np.searchsorted(last[0], through[:, 0])).tolist()
+        return [("".join(parts[i:j]), pairs[k:n]) for i, j, k, n in zip([0, *cuts], cuts, [0, *links], links)]
 
     def alignments(self, windows: list[tuple[bytes, bytes]]) -> list[tuple[str, bytes]]:
         """As :meth:`align`, of distinct windows; known ones are looked up."""
@@ -104,8 +113,8 @@ class Aligner:
         """The row of a block of texts."""
         some = [d for d in docs if d is not None]
         keys, ends = self.windows(some) if some else ([], np.empty(0, np.int64))
-        local: dict[tuple[bytes, bytes], int] = {}
-        order = np.fromiter((local.setdefault(k, len(local)) for k in keys), np.int64, len(keys))
+        local = {k: i for i, k in enumerate(dict.fromkeys(keys))}
+        order = np.fromiter(map(local.__getitem__, keys), np.int64, len(keys))
         aligned = self.alignments(list(local))
         texts, codes = [t for t, _ in aligned], np.frombuffer(b"".join(p for _, p in aligned), np.int64)
         n_links = np.array([len(p) // 8 for _, p in aligned], np.int64)
@@ -118,14 +127,22 @@ class Aligner:
             end = int(ends[i]) if d is not None else at
             i += d is not None
             n_groups.append(int(before[end] - before[at]))
-            hashes.append(hashlib.sha256(";".join(map(texts.__getitem__, order[at:end].tolist())).encode()).hexdigest() if d is not None else "")
+            hashes.append(hashlib.sha256("".join(map(texts.__getitem__, order[at:end].tolist()))[:-1].encode()).hexdigest() if d is not None else "")
             doc_ends.append(end)
             at = end
         n_a, n_b = ([0 if d is None else len(d[side]) for d in docs] for side in (0, 1))
-        columns = [number, doc_ids, n_a, n_b, n_groups, hashes, np.array(doc_ends, np.int64).tobytes(), order.astype(np.uint32).tobytes(), links.astype(np.uint32).tobytes(), np.cumsum(n_links).tobytes(), pairs, counts]
+        columns = [number, doc_ids, n_a, n_b, n_groups, hashes, np.array(doc_ends, np.int64).tobytes(), _narrow(order, len(local)), _narrow(links, len(pairs)), np.cumsum(n_links).tobytes(), pairs, counts]
         return pa.RecordBatch.from_pylist([dict(zip(ROW.names, columns, strict=True))], schema=ROW)
 
 
+def _narrow(numbers: np.ndarray, below: int) -> bytes:
+    return numbers.astype(np.uint16 if below <= 1 << 16 else np.uint32).tobytes()
+
+
+def _wide(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint16 if len(raw) == 2 * n else np.uint32)
+
+
 _LONGS = pa.list_(pa.int64())
 ROW = pa.schema([("block", pa.int64()), ("doc_ids", _LONGS), ("n_a", _LONGS), ("n_b", _LONGS), ("n_groups", _LONGS), ("hashes", pa.list_(pa.string())), ("doc_ends", pa.binary()), ("windows", pa.binary()), ("links", pa.binary()), ("link_ends", pa.binary()), ("pairs", _LONGS), ("counts", _LONGS)])
 
@@ -172,7 +189,8 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             best, count = np.zeros(len(doc_ids), np.int64), np.zeros(len(doc_ids), np.int64)
             if said is not None and len(said):
                 by_pair = np.argsort(said.field("pair").to_numpy(zero_copy_only=False))
-                links, link_ends, windows, doc_ends = raw("links", np.uint32), raw("link_ends", np.int64), raw("windows", np.uint32), raw("doc_ends", np.int64)
+                link_ends, doc_ends = raw("link_ends", np.int64), raw("doc_ends", np.int64)
+                links, windows = _wide(one["links"].as_py(), link_ends[-1]), _wide(one["windows"].as_py(), doc_ends[-1])
                 for out, name in ((best, "best"), (count, "n")):
                     values = said.field(name).to_numpy(zero_copy_only=False).astype(np.int64)[by_pair]
                     a_window = np.diff(np.append(0, np.cumsum(values[links]))[np.append(0, link_ends)])

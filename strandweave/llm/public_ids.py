@@ -32,6 +32,8 @@ class PublicIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the unit of parallel work
         #: Whether the library puts a space before a text by itself.
         self.adds_space = not path.endswith(".json")
+        #: Whether ids always stand for the text's own bytes, as plain byte-level merges do.
+        self.lossless = False
         if self.adds_space:
             import sentencepiece
 
@@ -44,7 +46,8 @@ class PublicIds:
             own = Tokenizer.from_file(path)
             own.encode_special_tokens = True
             self.bytes_of = _byte_level(own)
-            self.run = _merger(own, self.bytes_of) or (lambda text: own.encode(text, add_special_tokens=False).ids)
+            merger = _merger(own, self.bytes_of)
+            self.run, self.lossless = merger or (lambda text: own.encode(text, add_special_tokens=False).ids), merger is not None
 
     def encode(self, text: str) -> np.ndarray:
         """The ids of a text, as uint32."""
