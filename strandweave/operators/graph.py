@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strandweave.operators.components import connected_components
@@ -60,30 +62,79 @@ def best_parallel(edges: DataFrame) -> DataFrame:
     return edges.groupBy("grp", "from_node", "to_node").agg(keep.alias("k")).select("grp", "from_node", "to_node", "k.*")
 
 
-def shortest_paths(edges: DataFrame, sources: DataFrame) -> DataFrame:
-    """GRF-4, CHO-5. (grp, source, node, dist, pred, hops) for all sources of all groups at once.
+class _Log:
+    """Settled rows (``done``, of tables that may hold others too), only ever added to: of eight tables of one level one
+    of the next is made, so a row is written again as often as the number of tables has digits."""
+
+    COLUMNS = ("grp", "source", "node", "dist", "pred", "hops", "first")
+
+    def __init__(self, first: DataFrame):
+        self.levels: list[list[DataFrame]] = [[first]]
+
+    def of(self, table: DataFrame) -> DataFrame:
+        return (table.where("done") if "done" in table.columns else table).select(*self.COLUMNS)
+
+    def rows(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, [self.of(t) for level in self.levels for t in level])
 
-    Frontier relaxation: a step joins the rows that improved last with the edges that leave them, keeps the
-    best arrival of each (group, source, node), and ends when nothing improves, after as many steps as the longest
-    path has edges. Weights are not negative, and rounded to 1e-9 so that equal sums are equal. ``edges``: grp, edge_id, from_node, to_node, weight, road_class; ``sources``:
-    grp, source.
+    def add(self, table: DataFrame) -> None:
+        """What was added before may be moved now; ``table`` itself stays until the next call."""
+        for i, level in enumerate(self.levels):
+            if len(level) < 8:
+                break
+            if i + 1 == len(self.levels):
+                self.levels.append([])
+            self.levels[i + 1].append(cut(reduce(DataFrame.unionByName, map(self.of, level)), "settled"))
+            release(*level)
+            self.levels[i] = []
+        self.levels[0].append(table)
+
+
+def shortest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """GRF-4, CHO-5. (grp, source, node, dist, pred, hops, first) for all sources of all groups at once; ``first`` is the
+    path's node after the source. With ``targets`` (grp, source, sink) a search ends with its last target, and nodes
+    farther than all its open targets are dropped.
+
+    Label setting: a step settles every open node that no later arrival can reach as early, which is so if it is
+    nearer than each open node with the lightest edge that leaves that one, or if, less the lightest edge that enters it,
+    it is nearer than all of them. A settled node goes to a log that is only added to, and its edges are followed
+    once; a step rewrites the open nodes alone. Of equal distances the path with fewer edges, then the smaller
+    predecessor wins, so that a part of a path is the path between its ends. Weights are not negative, and rounded to
+    1e-9 so that equal sums are equal. ``edges``: grp, edge_id, from_node, to_node, weight, road_class; ``sources``: grp,
+    source.
     """
-    e = cut(best_parallel(edges), "edges")
-    best = cut(sources.select("grp", "source", F.col("source").alias("node"), F.lit(0.0).alias("dist"), F.lit(None).cast("long").alias("pred"), F.lit(0).alias("hops")).distinct(), "paths")
-    frontier = best
+    search, at = ["grp", "source"], ["grp", "source", "node"]
+    best = cut(best_parallel(edges).drop("edge_id"), "edges")
+    leaving = best.groupBy("grp", F.col("from_node").alias("to_node")).agg(F.min("weight").alias("away"))
+    entering = best.groupBy("grp", "to_node").agg(F.min("weight").alias("near"))
+    e = cut(best.join(entering, ["grp", "to_node"]).join(leaving, ["grp", "to_node"], "left").withColumn("away", F.coalesce("away", F.lit(float("inf")))), "edges")
+    asked = cut(targets.select(*search, "sink").distinct(), "targets") if targets is not None else None
+    fresh = cut(sources.select("grp", "source", F.col("source").alias("node"), F.lit(0.0).alias("dist"), F.lit(None).cast("long").alias("pred"), F.lit(0).alias("hops"), F.lit(None).cast("long").alias("first")).distinct(), "settled")
+    settled, open_ = _Log(fresh), None
     while True:
-        step = frontier.join(e, (frontier["grp"] == e["grp"]) & (frontier["node"] == e["from_node"])).select(frontier["grp"], "source", F.col("to_node").alias("node"), F.round(F.col("dist") + F.col("weight"), 9).alias("dist"), F.col("from_node").cast("long").alias("pred"), (F.col("hops") + 1).alias("hops"))
-        arrival = F.struct("dist", "hops", "pred")
-        better = step.groupBy("grp", "source", "node").agg(F.min(arrival).alias("a")).select("grp", "source", "node", "a.dist", "a.pred", "a.hops")
-        old = best.select("grp", "source", "node", F.col("dist").alias("had"))
-        improved = cut(better.join(old, ["grp", "source", "node"], "left").where("had IS NULL OR dist < had").drop("had").select(*best.columns), "improved")
-        if improved.isEmpty():
-            return best
-        following = cut(best.join(improved.select("grp", "source", "node"), ["grp", "source", "node"], "left_anti").select(*best.columns).unionByName(improved), "paths")
-        if frontier is not best:
-            release(frontier)
-        release(best)
-        best, frontier = following, improved
+        on = fresh.join(e, (fresh["grp"] == e["grp"]) & (fresh["node"] == e["from_node"]))
+        arrivals = on.select(fresh["grp"], "source", F.col("to_node").alias("node"), F.round(F.col("dist") + F.col("weight"), 9).alias("dist"), F.col("from_node").cast("long").alias("pred"), (F.col("hops") + 1).alias("hops"), F.coalesce("first", "to_node").cast("long").alias("first"), "near", "away")
+        each = arrivals if open_ is None else arrivals.unionByName(open_)
+        least = each.groupBy(*at).agg(F.min(F.struct("dist", "hops", "pred", "first")).alias("a"), F.any_value("near").alias("near"), F.any_value("away").alias("away"))
+        had = settled.rows().select(*at)
+        reached = least.select(*at, "a.*", "near", "away").join(had, at, "left_anti")
+        limits = [F.min("dist").alias("lo"), F.min(F.round(F.col("dist") + F.col("away"), 9)).alias("ahead")]
+        if asked is None:
+            bounded = reached.join(reached.groupBy(*search).agg(*limits), search)
+        else:
+            # where every target still open has been reached, none lies beyond the farthest of those arrivals
+            left = asked.join(had.withColumnRenamed("node", "sink"), [*search, "sink"], "left_anti")
+            wanted = left.groupBy(*search).agg(F.count("*").alias("n_left"))
+            reached = reached.join(left.withColumnRenamed("sink", "node").withColumn("goal", F.lit(True)), at, "left")
+            limits += [F.count("goal").alias("n_met"), F.max(F.when(F.col("goal"), F.col("dist"))).alias("bound")]
+            bounded = reached.join(reached.groupBy(*search).agg(*limits).join(wanted, search), search).where("n_met < n_left OR dist <= bound").drop("goal", "n_met", "n_left", "bound")
+        done = (F.col("dist") == F.col("lo")) | (F.col("dist") < F.col("ahead")) | (F.round(F.col("dist") - F.col("near"), 9) < F.col("lo"))
+        judged = cut(bounded.withColumn("done", done).drop("lo", "ahead"), "judged")
+        if judged.isEmpty():
+            release(best, e, judged, *([asked] if asked is not None else []))
+            return settled.rows()
+        settled.add(judged)
+        fresh, open_ = settled.of(judged), judged.where("NOT done").drop("done")
 
 
 def path_nodes(paths: DataFrame, targets: DataFrame) -> DataFrame:
@@ -108,20 +159,31 @@ def route_paths_milepost(edges: DataFrame, gap_km: float = 0.003) -> DataFrame:
 
 
 def route_paths_topological(edges: DataFrame) -> DataFrame:
-    """GRF-6. (route_id, source, sink, path_edge_idx, node): a route's shortest paths from its sources to its sinks
-    that are part of no longer one, tested as contiguous runs of nodes."""
-    g = edges.withColumn("geometry_id", F.col("edge_id"))
-    d = g.select("route_id", F.explode(F.array(F.struct(F.col("from_node").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i")), F.struct(F.col("to_node").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i")))).alias("e")).groupBy("route_id", "e.node").agg(F.sum("e.o").alias("n_out"), F.sum("e.i").alias("n_in"))
-    starts = d.where("n_in = 0").select(F.col("route_id").alias("grp"), F.col("node").alias("source"))
-    ends = d.where("n_out = 0").select(F.col("route_id").alias("grp"), F.col("node").alias("sink"))
-    paths = shortest_paths(edges.withColumnRenamed("route_id", "grp"), starts)
-    whole = path_nodes(paths, starts.join(ends, "grp"))
-    spelt = whole.groupBy("grp", "source", "sink").agg(F.transform(F.sort_array(F.collect_list(F.struct("idx", "node"))), lambda x: x["node"]).alias("nodes"))
-    text = F.concat(F.lit(","), F.array_join(F.col("nodes").cast("array<string>"), ","), F.lit(","))
-    each = spelt.withColumn("text", text)
-    a, b = each.alias("a"), each.alias("b")
-    inside = a.join(b, (F.col("a.grp") == F.col("b.grp")) & (F.size("a.nodes") < F.size("b.nodes")) & F.col("b.text").contains(F.col("a.text")), "left_anti")
-    return inside.select(F.col("grp").alias("route_id"), "source", "sink", F.posexplode("nodes").alias("path_edge_idx", "node"))
+    """GRF-6. (route_id, source, sink, splice, path_edge_idx, edge_id): a route's shortest paths (by number of edges)
+    that are part of no longer one, from all of its nodes, so that two-way streets and rings have theirs.
+
+    A path to a node that precedes another on the way from its source is part of a longer one, and so is a path that the
+    path from a node before its source to the same end runs through: since parts of the chosen paths are
+    chosen paths, both are looked up by end nodes, without a comparison of sequences. Of parallel edges the
+    first is on the path; for each of the others there is a splice, named by its edge: the path's edge
+    before, the parallel one and the path's edge after. A ring of n edges has n paths, each without one of
+    them. ``edges``: route_id, edge_id, from_node, to_node, weight, road_class.
+    """
+    e = edges.where("from_node <> to_node").select(F.col("route_id").alias("grp"), "edge_id", "from_node", "to_node", "weight", "road_class")
+    trees = cut(shortest_paths(e.withColumn("weight", F.lit(1.0)), e.select("grp", F.col("from_node").alias("source")).distinct()), "trees")
+    leaves = trees.where("pred IS NOT NULL").join(trees.select("grp", "source", F.col("pred").alias("node")), ["grp", "source", "node"], "left_anti")
+    longest = leaves.join(trees.where("first <> node").select("grp", F.col("first").alias("source"), "node"), ["grp", "source", "node"], "left_anti")
+    whole = cut(path_nodes(trees, longest.select("grp", "source", F.col("node").alias("sink"))), "nodes")
+    path = ["grp", "source", "sink"]
+    steps = whole.withColumn("to_node", F.lead("node").over(Window.partitionBy(*path).orderBy("idx"))).where("to_node IS NOT NULL").withColumnRenamed("node", "from_node")
+    place = F.row_number().over(Window.partitionBy("grp", "from_node", "to_node").orderBy("weight", "road_class", "edge_id"))
+    met = cut(steps.join(e.withColumn("place", place).select("grp", "from_node", "to_node", "edge_id", "place"), ["grp", "from_node", "to_node"]).select(*path, "idx", "edge_id", "place"), "steps")
+    main = met.where("place = 1").select(*path, "idx", "edge_id")
+    others = met.where("place > 1").select(*path, F.col("edge_id").alias("splice"), F.explode(F.array(*[F.struct(F.lit(k).alias("k"), (F.col("idx") + k).alias("idx")) for k in (-1, 0, 1)])).alias("at")).select(*path, "splice", "at.*")
+    spliced = others.join(main, [*path, "idx"]).select(*path, "splice", F.when(F.col("k") == 0, F.col("splice")).otherwise(F.col("edge_id")).alias("edge_id"), "idx")
+    own = Window.partitionBy(*path, "splice").orderBy("idx")
+    both = main.select(*path, F.lit(None).cast(e.schema["edge_id"].dataType).alias("splice"), "idx", "edge_id").unionByName(spliced.withColumn("idx", F.row_number().over(own) - 1))
+    return both.select(F.col("grp").alias("route_id"), "source", "sink", "splice", F.col("idx").alias("path_edge_idx"), "edge_id")
 
 
 def clean_route(route: Column) -> Column:

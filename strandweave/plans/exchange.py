@@ -561,9 +561,8 @@ def built_graph(t):
 
 @query
 def route_paths_topological(t):
-    """A street's edges as a route: its one longest path."""
-    e = t.agency_edges.join(t.ref_segments.where("is_forward = 1").select(F.col("geometry_id").alias("edge_id"), "from_node", "to_node", F.col("length_km").alias("weight"), "road_class"), "edge_id").select(F.col("path_id").alias("route_id"), "edge_id", "from_node", "to_node", "weight", "road_class")
-    return R.route_paths_topological(e).select("route_id", "path_edge_idx", "node")
+    """Longest paths of routes that are one-way lines, two-way lines, rings, or lines with a branch and parallel edges."""
+    return R.route_paths_topological(t.route_edges)
 
 
 @query

@@ -21,6 +21,20 @@ CUT = """, total AS (SELECT line_id, SUM(km) AS km FROM ref_steps GROUP BY line_
   sliced AS (SELECT c.*, 2 + (SELECT COUNT(*) FROM spots WHERE line_id = c.ref_id AND at_km > section_start AND at_km < section_end) AS n_points, a.x AS lon_first, b.x AS lon_last, a.y AS lat_first, b.y AS lat_last FROM cuts c JOIN tips a ON a.ref_id = c.ref_id AND a.d_km = section_start JOIN tips b ON b.ref_id = c.ref_id AND b.d_km = section_end)"""
 POINTS = "n_points, " + ", ".join(f"ROUND({c}_{e} + 1e-9, 5) AS {c}_{e}" for c in ("lon", "lat") for e in ("first", "last"))
 
+#: All shortest paths spelt out, those that go on or stand inside a longer one left out by comparing texts.
+ROUTES = (
+    ", " + relaxed("SELECT route_id AS grp, from_node, to_node, 1 AS w FROM route_edges", "SELECT DISTINCT route_id AS grp, from_node AS source FROM route_edges", 10)
+    + ", tree AS MATERIALIZED (SELECT r.grp, r.source, r.node, MIN(p.node) AS pred FROM r10 r JOIN g ON g.grp = r.grp AND g.to_node = r.node JOIN r10 p ON p.grp = r.grp AND p.source = r.source AND p.node = g.from_node AND p.dist + 1 = r.dist GROUP BY ALL)"
+    + ", q0 AS (SELECT DISTINCT grp, source, source AS node, [source] AS nodes FROM tree)"
+    + "".join(f", q{k + 1} AS (SELECT q.grp, q.source, t.node, list_append(nodes, t.node) AS nodes FROM q{k} q JOIN tree t ON t.grp = q.grp AND t.source = q.source AND t.pred = q.node)" for k in range(10))
+    + ", leaf AS MATERIALIZED (SELECT *, ',' || array_to_string(nodes, ',') || ',' AS spelt FROM (" + " UNION ALL ".join(f"FROM q{k}" for k in range(1, 11)) + ") x WHERE NOT EXISTS (SELECT 1 FROM tree t WHERE t.grp = x.grp AND t.source = x.source AND t.pred = x.node))"
+    + ", top AS MATERIALIZED (SELECT * FROM leaf a WHERE NOT EXISTS (SELECT 1 FROM leaf b WHERE b.grp = a.grp AND len(b.nodes) > len(a.nodes) AND contains(b.spelt, a.spelt)))"
+    + ", ranked AS (SELECT *, row_number() OVER (PARTITION BY route_id, from_node, to_node ORDER BY weight, road_class, edge_id) AS place FROM route_edges)"
+    + ", met AS MATERIALIZED (SELECT s.*, edge_id, place FROM (SELECT grp, source, node AS sink, nodes, unnest(range(len(nodes) - 1)) AS i FROM top) s JOIN ranked r ON r.route_id = grp AND r.from_node = nodes[i + 1] AND r.to_node = nodes[i + 2])"
+    + " SELECT grp AS route_id, source, sink, NULL AS splice, i AS path_edge_idx, edge_id FROM met WHERE place = 1"
+    + " UNION ALL SELECT x.grp, x.source, x.sink, x.edge_id, row_number() OVER (PARTITION BY x.grp, x.source, x.sink, x.edge_id ORDER BY m.i) - 1, CASE WHEN m.i = x.i THEN x.edge_id ELSE m.edge_id END FROM met x JOIN met m ON m.grp = x.grp AND m.source = x.source AND m.sink = x.sink AND m.place = 1 AND abs(m.i - x.i) <= 1 WHERE x.place > 1"
+)
+
 SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "read_csv_typed": ((), "SELECT s_suppkey, CASE WHEN s_suppkey % 3 > 0 THEN s_name || chr(10) || '\"two\" lines' END AS s_name, CASE WHEN s_suppkey % 5 > 0 THEN s_acctbal END AS s_acctbal, NULL::VARCHAR AS absent FROM supplier"),
     "gtfs_feed": (("trips", "calendar", "calendar_dates", "stop_times"), "SELECT 'trips' AS \"table\", COUNT(*) AS n FROM trips WHERE shape_id % 2 = 0 UNION ALL SELECT 'calendar', COUNT(*) FROM calendar UNION ALL SELECT 'calendar_dates', COUNT(*) FROM calendar_dates UNION ALL SELECT 'stop_times', COUNT(*) FROM stop_times"),
@@ -100,7 +114,7 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "infer_directions": (("osm_nodes", "section_nodes"), ", p AS (SELECT way_id, node_id AS a, lead(node_id) OVER (PARTITION BY way_id ORDER BY node_idx) AS b FROM osm_nodes), q AS (SELECT ref_id, node_id AS a, lead(node_id) OVER (PARTITION BY ref_id ORDER BY node_idx) AS b FROM section_nodes), s AS (SELECT way_id, ref_id, 1 AS f FROM p JOIN q ON p.a = q.a AND p.b = q.b UNION SELECT way_id, ref_id, 0 FROM p JOIN q ON p.a = q.b AND p.b = q.a) SELECT way_id AS seq_id, 2 * ref_id + 1 - f AS ref_id, strategy FROM s CROSS JOIN (VALUES ('nodes'), ('steps')) AS t(strategy)"),
     "ways_with_refs": (("way_nodes", "ref_segments"), "SELECT way_id, array_to_string(list_sort(list(DISTINCT node_id)), ',') AS ref_ids FROM way_nodes JOIN ref_segments ON ref_id = node_id WHERE road_class < 8 GROUP BY way_id"),
     "built_graph": (("ref_points",), f"SELECT line_id AS edge_id, x1 AS fx, y1 AS fy, x2 AS tx, y2 AS ty FROM ({ENDS.format('ref_points')})"),
-    "route_paths_topological": (("agency_edges", "ref_segments"), ", e AS (SELECT path_id, geometry_id % 9 AS k, from_node, to_node, MAX(geometry_id % 9) OVER (PARTITION BY path_id) AS last FROM agency_edges JOIN ref_segments ON geometry_id = edge_id AND is_forward = 1) SELECT path_id AS route_id, k AS path_edge_idx, from_node AS node FROM e UNION ALL SELECT path_id, k + 1, to_node FROM e WHERE k = last"),
+    "route_paths_topological": (("route_edges",), ROUTES),
     "loaded_paths": (("agency_edges", "agency_points"), f", e AS (SELECT path_id, path_edge_idx, edge_id, x1, y1, x2, y2 FROM agency_edges JOIN ({ENDS.format('agency_points')}) ON line_id = edge_id), g AS (SELECT path_id, arg_min(x1, path_edge_idx) AS x1, arg_min(y1, path_edge_idx) AS y1, arg_max(x2, path_edge_idx) AS x2, arg_max(y2, path_edge_idx) AS y2, string_agg(edge_id, ',' ORDER BY path_edge_idx) AS edges FROM e GROUP BY path_id) SELECT path_id || ':0' AS path_name, ROUND({deg('x1', 'y1', 'x2', 'y2')} + 1e-9, 3) AS bearing, edges FROM g"),
     "merged_lines": (("agency_edges",), "SELECT path_id AS feature_id, path_edge_idx - MIN(path_edge_idx) OVER (PARTITION BY path_id) AS seq, 8 - path_edge_idx AS part_idx FROM agency_edges WHERE along = 1"),
     "line_slices": (("ref_segments", "ref_steps", "ref_segments_lines"), f", cuts AS (SELECT ref_id, 0.1::DOUBLE AS section_start, 0.6::DOUBLE AS section_end FROM ref_segments) {CUT} SELECT section_id, row_number() OVER (PARTITION BY section_id ORDER BY at_km) - 1 AS pt_idx, ROUND(x + 1e-9, 5) AS x, ROUND(y + 1e-9, 5) AS y FROM (SELECT line_id AS section_id, at_km, x, y FROM spots WHERE at_km > 0.1 AND at_km < 0.6 UNION ALL SELECT ref_id, d_km, x, y FROM tips)"),

@@ -16,6 +16,11 @@ SQL = {
     FROM (SELECT p_partkey, CAST(floor(p_partkey / 2) AS BIGINT) AS g, 1 - (p_partkey % 2) AS is_forward, p_size % 9 AS road_class, p_size % 8 AS form_of_way FROM {part}) i) j""",
     "ref_segments": """SELECT ref_id, geometry_id, is_forward, road_class, form_of_way, length_km, CASE WHEN is_forward = 1 THEN a ELSE z END AS from_node, CASE WHEN is_forward = 1 THEN z ELSE a END AS to_node
   FROM {blocks}""",
+    # streets as routes, by number: a one-way line, a two-way line, a ring, a line with a branch and parallel edges
+    "route_edges": """SELECT route_id, geometry_id * 4 AS edge_id, CASE WHEN kind = 3 AND place = 6 THEN a - 3 * step ELSE a END AS from_node, CASE WHEN kind = 2 AND place = 8 THEN a - 8 * step ELSE z END AS to_node, length_km AS weight, road_class
+  FROM (SELECT b.*, CAST(floor(geometry_id / 9) AS BIGINT) AS route_id, CAST(floor(geometry_id / 9) AS BIGINT) % 4 AS kind, geometry_id % 9 AS place, z - a AS step FROM {blocks} b WHERE is_forward = 1) r
+  UNION ALL SELECT CAST(floor(geometry_id / 9) AS BIGINT), geometry_id * 4 + 1, z, a, length_km, road_class FROM {blocks} WHERE is_forward = 1 AND CAST(floor(geometry_id / 9) AS BIGINT) % 4 = 1
+  UNION ALL SELECT CAST(floor(geometry_id / 9) AS BIGINT), geometry_id * 4 + 2 + k, a, z, length_km + k - 5e-1, road_class FROM {blocks} CROSS JOIN (VALUES (0), (1)) AS n(k) WHERE is_forward = 1 AND CAST(floor(geometry_id / 9) AS BIGINT) % 4 = 3 AND geometry_id % 9 % 4 = 0""",
     "oneways": """SELECT * FROM {ref_segments} WHERE is_forward = 1 AND geometry_id % 5 <> 0""",
     "crossings": """SELECT node_id, ROUND(-74e0 + (CAST(floor(node_id / 100) AS BIGINT) % 10) * 2e-1 + (node_id % 10) * 1e-2, 6) AS x, ROUND(40e0 + floor(node_id / 1000) * 2e-1 + floor((node_id % 100) / 10) * 1e-2, 6) AS y
   FROM (SELECT DISTINCT from_node AS node_id FROM {ref_segments} UNION SELECT DISTINCT to_node FROM {ref_segments}) n""",

@@ -253,7 +253,7 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "sources_sinks": (("oneways",), """, e AS (SELECT * FROM oneways), t AS (SELECT node, COUNT(*) FILTER (o = 0) AS n_in, COUNT(*) FILTER (o = 1) AS n_out, COUNT(DISTINCT geometry_id) AS g FROM (SELECT from_node AS node, 1 AS o, geometry_id FROM e UNION ALL SELECT to_node, 0, geometry_id FROM e) GROUP BY node),
       f AS (SELECT node, n_in = 0 OR (n_in > 0 AND n_out > 0 AND g = 1) AS is_source, n_out = 0 OR (n_in > 0 AND n_out > 0 AND g = 1) AS is_sink FROM t) SELECT * FROM f WHERE is_source OR is_sink"""),
     "forks": (("touching",), "SELECT node, n_geometries, n_in, n_out FROM touching WHERE n_geometries > 2 OR (n_geometries = 2 AND n_in <> n_out)"),
-    "multi_edges": (("ref_segments",), "SELECT from_node, to_node, COUNT(*) AS n_edges FROM ref_segments GROUP BY ALL HAVING COUNT(*) > 1"),
+    "multi_edges": (("route_edges",), "SELECT from_node, to_node, COUNT(*) AS n_edges FROM route_edges GROUP BY ALL HAVING COUNT(*) > 1"),
     "intersection_layer": (("crossings", "oneways"), "SELECT node, c AS road_class, CASE WHEN c <= 4 THEN 'major' WHEN c <= 7 THEN 'local' ELSE 'paths' END AS layer, CASE WHEN c = 0 THEN NULL WHEN c <= 4 THEN 5 WHEN c <= 7 THEN 11 ELSE 14 END AS minzoom FROM (SELECT node, COALESCE(MIN(road_class), 6) AS c FROM (SELECT node_id AS node FROM crossings) LEFT JOIN (SELECT unnest([from_node, to_node]) AS node, road_class FROM oneways) USING (node) GROUP BY node)"),
     "route_paths_milepost": (("path_edges", "way_nodes", "nodes"), ", p AS (SELECT way_id, node_idx, lon, lat FROM way_nodes JOIN nodes USING (node_id) WHERE node_idx <= 1), e AS (SELECT path_id AS route_id, edge_id, path_edge_idx AS mp, a.lon AS x1, a.lat AS y1, b.lon AS x2, b.lat AS y2 FROM path_edges JOIN p a ON edge_id = a.way_id AND a.node_idx = 0 JOIN p b ON edge_id = b.way_id AND b.node_idx = 1), "
       "g AS (SELECT *, lag(x2) OVER w AS px, lag(y2) OVER w AS py FROM e WINDOW w AS (PARTITION BY route_id ORDER BY mp, edge_id)), "

@@ -442,7 +442,7 @@ def forks(t):
 
 @query
 def multi_edges(t):
-    return R.multi_edges(t.ref_segments)
+    return R.multi_edges(t.route_edges)
 
 
 @query

@@ -131,7 +131,7 @@ def test_chains(spark):
 
 def test_paths(spark, lines):
     e = spark.createDataFrame([(1, 1, 1, 2, 1.0, 0), (1, 2, 2, 3, 1.0, 0), (1, 3, 3, 4, 1.0, 0)], "route_id int, edge_id long, from_node long, to_node long, weight double, road_class int")
-    assert [r.node for r in graph.route_paths_topological(e).orderBy("path_edge_idx").collect()] == [1, 2, 3, 4]
+    assert [r.edge_id for r in graph.route_paths_topological(e).orderBy("path_edge_idx").collect()] == [1, 2, 3]
     path = spark.createDataFrame([(9, 0, 1), (9, 1, 3)], "path_id int, path_edge_idx int, edge_id int")
     merged = graph.merge_path(path, lines.withColumnRenamed("line_id", "edge_id"))
     assert [r.x for r in merged.orderBy("pt_idx").collect()] == [0.0, 0.01, 0.02, 0.03]
