@@ -202,7 +202,7 @@ def shortest_chains(weights: DataFrame, od: DataFrame) -> DataFrame:
     """CHO-5. (path_id, source, sink, idx, node): the cheapest chain of each pair, all paths at once."""
     edges = weights.select(F.col("path_id").alias("grp"), F.col("ref_id").alias("edge_id"), "from_node", "to_node", "weight", "road_class")
     asked = od.select(F.col("path_id").alias("grp"), "source", "sink")
-    found = shortest_paths(edges, asked.select("grp", "source").distinct())
+    found = cut(shortest_paths(edges, asked.select("grp", "source").distinct(), asked), "chains")
     return path_nodes(found, asked).withColumnRenamed("grp", "path_id")
 
 
@@ -306,7 +306,7 @@ def first_chain_matches(scored: DataFrame, snapped: DataFrame, chain: DataFrame,
     return met.join(first, ["path_id", "place"]).drop("place")
 
 
-def choose_matches(path_edges: DataFrame, edge_points: DataFrame, matches: DataFrame, refs: DataFrame, ref_points: DataFrame, nodes: DataFrame, k: int = 3, centerline: bool = False, vehicles: bool = True) -> DataFrame:
+def choose_matches(path_edges: DataFrame, edge_points: DataFrame, matches: DataFrame, refs: DataFrame, ref_points: DataFrame, nodes: DataFrame, k: int = 10, centerline: bool = False, vehicles: bool = True) -> DataFrame:
     """CHO-7. (path_id, path_edge_idx, ref_id, is_forward, match_idx, section and along-edge distances): vicinity, weights,
     chains, scores and division of the best chain among the path's edges; backward too for centerline maps.
 

@@ -162,7 +162,7 @@ LIB["far"] = f"SELECT path_id, ref_id, AVG(d) AS avg_km FROM (SELECT path_id, re
 LIB["weights"] = "SELECT path_id, ref_id, from_node, to_node, road_class, ROUND(ROUND(CASE WHEN (path_id, geometry_id) IN (SELECT (path_id, geometry_id) FROM {path_refs} JOIN {ref_segments} USING (ref_id)) THEN length_km * 0.1::DOUBLE WHEN avg_km > 0.2 THEN length_km * 2 ELSE length_km * (1 + avg_km / 0.4::DOUBLE) END, 9) + 1e-9, 4) AS weight FROM {vicinity} JOIN {far} USING (path_id, ref_id) JOIN {ref_segments} r USING (ref_id)"
 LIB["path_ends"] = LIB["ends"].replace("{curves}", "{merged}")
 LIB["near_ends"] = f"SELECT path_id, node, row_number() OVER (PARTITION BY path_id ORDER BY ROUND({km('x', 'y', 'x1', 'y1')}, 9), node) AS s, row_number() OVER (PARTITION BY path_id ORDER BY ROUND({km('x', 'y', 'x2', 'y2')}, 9), node) AS e FROM (SELECT DISTINCT path_id, unnest([from_node, to_node]) AS node FROM {{weights}}) JOIN {{crossings}} ON node = node_id JOIN {{path_ends}} ON line_id = path_id"
-LIB["od"] = "SELECT DISTINCT a.path_id, a.node AS source, b.node AS sink FROM {near_ends} a JOIN {near_ends} b ON a.path_id = b.path_id WHERE a.s <= 2 AND b.e <= 2 AND a.node <> b.node"
+LIB["od"] = "SELECT DISTINCT a.path_id, a.node AS source, b.node AS sink FROM {near_ends} a JOIN {near_ends} b ON a.path_id = b.path_id WHERE a.s <= 10 AND b.e <= 10 AND a.node <> b.node"
 
 #: name: (tables and definitions it reads, statement)
 SQL: dict[str, tuple[tuple[str, ...], str]] = {

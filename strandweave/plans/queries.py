@@ -632,14 +632,14 @@ def edge_weights(t):
 
 @query
 def od_candidates(t):
-    return X.od_candidates(agency_paths(t), weights_of(t), t.crossings, 2)
+    return X.od_candidates(agency_paths(t), weights_of(t), t.crossings)
 
 
 @query
 def shortest_chains(t):
     """Lengths of the chains; which of several equal ones is taken is no matter of SQL."""
     w = cut(weights_of(t).withColumn("weight", F.round(F.col("weight") + 1e-9, 4)), "weights")
-    chains = X.shortest_chains(w, X.od_candidates(agency_paths(t), w, t.crossings, 2))
+    chains = X.shortest_chains(w, X.od_candidates(agency_paths(t), w, t.crossings))
     steps = X.chain_refs(chains, w).join(w.select("path_id", "ref_id", "weight"), ["path_id", "ref_id"])
     return steps.groupBy("path_id", "chain_id").agg(F.round(F.sum("weight") + 1e-9, 3).alias("weight"))
 
@@ -647,7 +647,7 @@ def shortest_chains(t):
 @query
 def choose_matches(t):
     """The whole chain of matching and choice: each edge's longest section lies on the reference it was drawn beside."""
-    found = X.choose_matches(t.agency_edges.select("path_id", "path_edge_idx", "edge_id"), t.agency_points, cut(agency_matches(t), "matches"), t.ref_segments, t.ref_points, t.crossings, k=2, vehicles=False)
+    found = X.choose_matches(t.agency_edges.select("path_id", "path_edge_idx", "edge_id"), t.agency_points, cut(agency_matches(t), "matches"), t.ref_segments, t.ref_points, t.crossings, vehicles=False)
     longest = found.groupBy("path_id", "path_edge_idx").agg(F.max_by(F.struct("ref_id", "is_forward", "section_start", "section_end"), F.col("section_end") - F.col("section_start")).alias("m"))
     return longest.select("path_id", "path_edge_idx", "m.ref_id", "m.is_forward")
 
@@ -656,7 +656,7 @@ def choose_matches(t):
 def choose_centerline_matches(t):
     """The same both ways: the backward chain takes the references of the other direction."""
     both = cut(X.match_edges(t.agency_points, t.ref_points, centerline=True), "matches")
-    found = X.choose_matches(t.agency_edges.select("path_id", "path_edge_idx", "edge_id"), t.agency_points, both, t.ref_segments, t.ref_points, t.crossings, k=2, centerline=True, vehicles=False)
+    found = X.choose_matches(t.agency_edges.select("path_id", "path_edge_idx", "edge_id"), t.agency_points, both, t.ref_segments, t.ref_points, t.crossings, centerline=True, vehicles=False)
     longest = found.groupBy("path_id", "path_edge_idx", "is_forward").agg(F.max_by("ref_id", F.col("section_end") - F.col("section_start")).alias("ref_id"))
     return longest.select("path_id", "path_edge_idx", "ref_id", "is_forward")
 
