@@ -2,6 +2,9 @@
 
 Interval joins are equi-joins on the reference and on interval bins with the interval test as a residual, which
 spreads a reference that holds very many sections over many tasks and lets a section meet only those near it.
+Sweeps along a reference work in the same bins: each is ordered by itself, and what a bin needs from the others
+(their last point, how far they reach, how many they hold) is carried over one row a bin, so that no task
+orders more than a bin, and none sees more rows of a reference than it has bins.
 """
 
 from __future__ import annotations
@@ -63,6 +66,36 @@ def binned_overlap_join(a: DataFrame, b: DataFrame, width: float, on: str = "ref
     return met.where(left["__bin"] == F.floor(F.greatest("section_start", "b_section_start") / width)).drop("__bin")
 
 
+def _carried(bins: DataFrame, keys: list[str], **columns: Column) -> DataFrame:
+    """What each bin gets from the bins before or after it. ``columns`` are windows over ``bins``, a row a bin."""
+    return bins.select(*keys, "__bin", *[c.alias(name) for name, c in columns.items()])
+
+
+def sweep(df: DataFrame, keys: list[str], at: str, width: float = BIN_KM) -> DataFrame:
+    """``df`` with __prev and __next, the neighbours in the order of ``at`` (distinct within ``keys``), __number from 0 and
+    __total."""
+    b = df.withColumn("__bin", F.floor(F.col(at) / width))
+    inner, outer = Window.partitionBy(*keys, "__bin").orderBy(at), Window.partitionBy(*keys).orderBy("__bin")
+    bins = b.groupBy(*keys, "__bin").agg(F.min(at).alias("first"), F.max(at).alias("last"), F.count("*").alias("n"))
+    ahead = F.coalesce(F.sum("n").over(outer.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    carry = _carried(bins, keys, __before=F.lag("last").over(outer), __after=F.lead("first").over(outer), __ahead=ahead, __total=F.sum("n").over(Window.partitionBy(*keys)))
+    own = b.withColumns({"__p": F.lag(at).over(inner), "__n": F.lead(at).over(inner), "__i": F.row_number().over(inner) - 1}).join(carry, [*keys, "__bin"])
+    return own.select(*df.columns, F.coalesce("__p", "__before").alias("__prev"), F.coalesce("__n", "__after").alias("__next"), (F.col("__i") + F.col("__ahead")).alias("__number"), "__total")
+
+
+def _islands(df: DataFrame, keys: list[str], touch: float, width: float = BIN_KM) -> DataFrame:
+    """(keys, section_start, section_end): unions of sections that touch within ``touch``."""
+    b = df.select(*keys, "section_start", "section_end").distinct().withColumn("__bin", F.floor(F.col("section_start") / width))
+    inner, outer = Window.partitionBy(*keys, "__bin").orderBy("section_start", "section_end"), Window.partitionBy(*keys).orderBy("__bin")
+    before = lambda c: F.max(c).over(outer.rowsBetween(Window.unboundedPreceding, -1))
+    reaches = _carried(b.groupBy(*keys, "__bin").agg(F.max("section_end").alias("reach")), keys, __reach=before("reach"))
+    reach = F.greatest(F.max("section_end").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.col("__reach"))
+    heads = b.join(reaches, [*keys, "__bin"]).withColumn("__head", F.when(F.coalesce(F.col("section_start") - reach > touch, F.lit(True)), F.col("section_start")))
+    starts = _carried(heads.groupBy(*keys, "__bin").agg(F.max("__head").alias("head")), keys, __start=before("head"))
+    island = F.greatest(F.max("__head").over(inner.rowsBetween(Window.unboundedPreceding, 0)), F.col("__start"))
+    return heads.join(starts, [*keys, "__bin"]).withColumn("__island", island).groupBy(*keys, "__island").agg(F.min("section_start").alias("section_start"), F.max("section_end").alias("section_end")).drop("__island")
+
+
 def reverse_section_join(claims: DataFrame, meta: DataFrame, assigned: DataFrame) -> DataFrame:
     """JN-4. Claims with the assigned section of their edge on the opposite reference that mirrors them.
 
@@ -83,11 +116,7 @@ def consolidate_sections(df: DataFrame, strict: bool = False) -> DataFrame:
     """
     keys = ["ref_id", "edge_id", "is_forward"]
     if strict:
-        order = Window.partitionBy(*keys).orderBy("section_start", "section_end")
-        reach = F.max("section_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-        fresh = F.coalesce(F.col("section_start") - reach > TOUCH_KM, F.lit(True)).cast("int")
-        islands = df.select(*keys, "section_start", "section_end").distinct().withColumn("__new", fresh).withColumn("__island", F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        merged = islands.groupBy(*keys, "__island").agg(F.min("section_start").alias("section_start"), F.max("section_end").alias("section_end")).drop("__island")
+        merged = _islands(df, keys, TOUCH_KM)
     else:
         merged = df.groupBy(*keys).agg(F.min("section_start").alias("section_start"), F.max("section_end").alias("section_end"))
     a, b = merged.alias("a"), merged.alias("b")
@@ -101,7 +130,11 @@ def consolidate_sections(df: DataFrame, strict: bool = False) -> DataFrame:
         same_bounds = ~differs & (F.col("b.is_forward") > F.col("a.is_forward"))
         beaten = (differs & (length("a") <= length("b"))) | same_bounds
     met = (F.col("a.ref_id") == F.col("b.ref_id")) & (F.col("a.edge_id") == F.col("b.edge_id")) & (F.col("a.section_start") < F.col("b.section_end")) & (F.col("b.section_start") < F.col("a.section_end"))
-    return a.join(b, met & other & beaten, "left_anti").select(*keys, "section_start", "section_end")
+    if not strict:  # two hulls an edge at most
+        return a.join(b, met & other & beaten, "left_anti").select(*keys, "section_start", "section_end")
+    columns = [*keys, "section_start", "section_end"]
+    beaten_rows = binned(merged, BIN_KM).alias("a").join(binned(merged, BIN_KM).alias("b"), met & (F.col("a.__bin") == F.col("b.__bin")) & other & beaten, "left_semi").select(*columns)
+    return merged.join(beaten_rows, columns, "left_anti").select(*columns)
 
 
 def clamp_sections(df: DataFrame, refs: DataFrame) -> DataFrame:
@@ -121,14 +154,11 @@ def partition_sections(refs: DataFrame, assigned: DataFrame) -> DataFrame:
     inner = assigned.join(refs.select("ref_id", "length_km"), "ref_id").select("ref_id", "length_km", F.explode(bounds).alias("b")).select("ref_id", "length_km", "b.at")
     ends = refs.select("ref_id", "length_km", F.explode(F.array(F.lit(0.0), F.col("length_km"))).alias("at"))
     points = inner.unionByName(ends).where("at >= 0 AND at <= length_km").distinct()
-    order = Window.partitionBy("ref_id").orderBy("at")
-    far = F.coalesce(F.round(F.col("at") - F.lag("at").over(order), 9) > CUT_KM, F.lit(True))
-    kept = points.withColumn("far", far).where("far")
-    last = F.lead("at").over(order).isNull()
-    snapped = kept.withColumn("at", F.when(last, F.col("length_km")).otherwise(F.col("at")))
-    # a reference of almost no length keeps a single point and so has no piece
-    pieces = snapped.withColumn("part_end", F.lead("at").over(order)).withColumn("part_idx", F.row_number().over(order) - 1).where("part_end IS NOT NULL")
-    return pieces.select("ref_id", "part_idx", F.col("at").alias("part_start"), "part_end")
+    kept = sweep(points, ["ref_id"], "at").where(F.coalesce(F.round(F.col("at") - F.col("__prev"), 9) > CUT_KM, F.lit(True))).select(*points.columns)
+    # the last point is no start, and a reference of almost no length keeps a single point and so has no piece
+    pieces = sweep(kept, ["ref_id"], "at").where("__next IS NOT NULL")
+    end = F.when(F.col("__number") == F.col("__total") - 2, F.col("length_km")).otherwise(F.col("__next"))
+    return pieces.select("ref_id", F.col("__number").cast("int").alias("part_idx"), F.col("at").alias("part_start"), end.alias("part_end"))
 
 
 def attach_assignments(parts: DataFrame, assigned: DataFrame, maps: list[str]) -> DataFrame:
@@ -151,9 +181,12 @@ def conflation_segments(refs: DataFrame, assigned: DataFrame, maps: list[str]) -
 
 
 def split_epsilon_overlaps(claims: DataFrame, epsilon_km: float = 0.005) -> DataFrame:
-    """SEC-11. Claims of different edges that overlap by at most ``epsilon_km`` meet at the overlap's middle."""
-    a, b = claims.alias("a"), claims.alias("b")
-    met = a.join(b, (F.col("a.ref_id") == F.col("b.ref_id")) & (F.col("a.edge_id") != F.col("b.edge_id")) & (F.col("a.section_start") < F.col("b.section_start")) & (F.col("b.section_start") < F.col("a.section_end")) & (F.col("a.section_end") < F.col("b.section_end")))
+    """SEC-11. Claims of different edges that overlap by at most ``epsilon_km`` meet at the overlap's middle. A claim meets
+    those that begin in the bins, of twice that width, just before its end."""
+    bin_ = lambda c: F.floor(F.col(c) / (2 * epsilon_km))
+    a = claims.withColumn("__bin", F.explode(F.array(bin_("section_end"), bin_("section_end") - 1))).alias("a")
+    b = claims.withColumn("__bin", bin_("section_start")).alias("b")
+    met = a.join(b, (F.col("a.ref_id") == F.col("b.ref_id")) & (F.col("a.__bin") == F.col("b.__bin")) & (F.col("a.edge_id") != F.col("b.edge_id")) & (F.col("a.section_start") < F.col("b.section_start")) & (F.col("b.section_start") < F.col("a.section_end")) & (F.col("a.section_end") < F.col("b.section_end")))
     close = met.where(F.round(F.col("a.section_end") - F.col("b.section_start"), 9) <= epsilon_km)
     middle = F.round((F.col("a.section_end") + F.col("b.section_start")) / 2, 5)
     keys = ["ref_id", "edge_id", "is_forward", "section_start", "section_end"]
