@@ -62,8 +62,9 @@ class Aligner:
             out.append(ids)
         return out[0], out[1]
 
-    def windows(self, docs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[tuple[bytes, bytes]], np.ndarray]:
-        """The windows of texts that follow each other, as packed ids, and the number of windows up to each text's end."""
+    def windows(self, docs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[tuple[bytes, bytes]], np.ndarray, np.ndarray]:
+        """The distinct windows of texts that follow each other, as packed ids; the number of each window in order; and the
+        windows up to each text's end."""
         ids = [np.concatenate([d[side] for d in docs]) for side in (0, 1)]
         starts = []
         for x, sizes in zip(ids, self.sizes, strict=True):
@@ -72,12 +73,12 @@ class Aligner:
         heads = np.cumsum([0, *[int(self.sizes[0][d[0]].sum()) for d in docs]])
         anchors = np.intersect1d(*[s[m[x]] for s, m, x in zip(starts, self.spaced, ids, strict=True)], assume_unique=True)
         anchors = np.union1d(anchors, heads[:-1])
-        slices = []
-        for x, s in zip(ids, starts, strict=True):
-            cuts = (4 * np.append(np.searchsorted(s, anchors), len(x))).tolist()
-            packed = x.tobytes()
-            slices.append(map(packed.__getitem__, map(slice, cuts, cuts[1:])))
-        return list(zip(*slices, strict=True)), np.append(np.searchsorted(anchors, heads[1:-1]), len(anchors))
+        cuts = [np.append(np.searchsorted(s, anchors), len(x)) for x, s in zip(ids, starts, strict=True)]
+        first, order = _distinct(ids, cuts)
+        packed = [x.tobytes() for x in ids]
+        spans = [[(4 * c[at]).tolist() for at in (first, first + 1)] for c in cuts]
+        found = [[p[i:j] for i, j in zip(*s, strict=True)] for p, s in zip(packed, spans, strict=True)]
+        return list(zip(*found, strict=True)), order, np.append(np.searchsorted(anchors, heads[1:-1]), len(anchors))
 
     def align(self, windows: list[tuple[bytes, bytes]]) -> list[tuple[str, bytes]]:
         """Of each window its groups, spelt with ``;`` after each, and its links as packed pairs (A's id in the upper 32 bits)."""
@@ -112,10 +113,8 @@ class Aligner:
     def block(self, number: int, doc_ids: list[int | None], docs: list[tuple[np.ndarray, np.ndarray] | None]) -> pa.RecordBatch:
         """The row of a block of texts."""
         some = [d for d in docs if d is not None]
-        keys, ends = self.windows(some) if some else ([], np.empty(0, np.int64))
-        local = {k: i for i, k in enumerate(dict.fromkeys(keys))}
-        order = np.fromiter(map(local.__getitem__, keys), np.int64, len(keys))
-        aligned = self.alignments(list(local))
+        local, order, ends = self.windows(some) if some else ([], *(np.empty(0, np.int64),) * 2)
+        aligned = self.alignments(local)
         texts, codes = [t for t, _ in aligned], np.frombuffer(b"".join(p for _, p in aligned), np.int64)
         n_links = np.array([len(p) // 8 for _, p in aligned], np.int64)
         pairs, links = np.unique(codes, return_inverse=True)
@@ -135,6 +134,29 @@ class Aligner:
         return pa.RecordBatch.from_pylist([dict(zip(ROW.names, columns, strict=True))], schema=ROW)
 
 
+def _distinct(ids: list[np.ndarray], cuts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The first of each kind of window, and each window's kind: by a hash of its ids, compared with the first id by id."""
+    n = len(cuts[0]) - 1
+    hashes, inside = np.zeros(n, np.uint64), []
+    for x, c in zip(ids, cuts, strict=True):
+        sizes = np.diff(c)
+        place = np.arange(len(x)) - np.repeat(c[:-1], sizes)
+        inside.append((sizes, place))
+        power = np.cumprod(np.full(int(sizes.max(initial=0)) + 1, 0x9E3779B97F4A7C15, np.uint64))
+        mixed = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
+        mixed ^= mixed >> np.uint64(32)
+        hashes = hashes * np.uint64(0xC2B2AE3D27D4EB4F) + np.add.reduceat(mixed * power[place], c[:-1]) + sizes.astype(np.uint64)
+    _, first, order = np.unique(hashes, return_index=True, return_inverse=True)
+    alike = first[order]
+    for x, c, (sizes, place) in zip(ids, cuts, inside, strict=True):
+        same = np.array_equal(sizes, sizes[alike]) and np.array_equal(x, x[np.repeat(c[:-1][alike], sizes) + place])
+        if not same:  # two windows of one hash: told apart one by one
+            kinds: dict[tuple, int] = {}
+            order = np.array([kinds.setdefault(tuple(bytes(y[d[i] : d[i + 1]]) for y, d in zip(ids, cuts, strict=True)), len(kinds)) for i in range(n)])
+            return np.unique(order, return_index=True)[1], order
+    return first, order
+
+
 def _narrow(numbers: np.ndarray, below: int) -> bytes:
     return numbers.astype(np.uint16 if below <= 1 << 16 else np.uint32).tobytes()
 

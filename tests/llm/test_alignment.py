@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from strandweave.llm import alignment
@@ -108,12 +109,28 @@ def test_windows_are_cut_at_shared_anchors_only():
     from strandweave.llm.public_ids import PublicIds
 
     own = alignment.Aligner(PublicIds(alignment.A_MODEL), PublicIds(alignment.B_MODEL))
-    docs = [own.tokens("one two  three\nfour don't"), own.tokens("five")]
-    windows, ends = own.windows(docs)
-    assert ends.tolist()[-1] == len(windows)
+    docs = [own.tokens("one two  three\nfour don't"), own.tokens("one five")]
+    kinds, order, ends = own.windows(docs)
+    assert ends.tolist()[-1] == len(order) and len(set(kinds)) == len(kinds)
     spelt = []
-    for a, b in windows:
-        sides = [b"".join(m.bytes_of[i] for i in alignment.np.frombuffer(x, alignment.np.uint32)) for m, x in zip(own.models, (a, b), strict=True)]
+    for a, b in (kinds[i] for i in order):
+        sides = [b"".join(m.bytes_of[i] for i in np.frombuffer(x, np.uint32)) for m, x in zip(own.models, (a, b), strict=True)]
         assert sides[0] == sides[1] and sides[0][:1] == b" "
         spelt.append(sides[0])
-    assert b"".join(spelt) == b" one two  three\nfour don't five" and len(spelt) >= 4
+    assert b"".join(spelt) == b" one two  three\nfour don't one five" and len(spelt) >= 5
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids = [rng.integers(0, 3, 400).astype(np.uint32) for _ in range(2)]
+    cuts = [np.arange(0, 401, 2), np.arange(0, 401, 2)]
+    kind = lambda i: (bytes(ids[0][2 * i : 2 * i + 2]), bytes(ids[1][2 * i : 2 * i + 2]))
+    for reduced in (False, True):
+        if reduced:
+            class Colliding:
+                reduceat = staticmethod(lambda x, at: np.zeros(len(at), np.uint64))
+
+            monkeypatch.setattr(alignment.np, "add", Colliding)
+        first, order = alignment._distinct(ids, cuts)
+        assert [kind(i) for i in range(200)] == [kind(first[k]) for k in order]
+        assert len({kind(i) for i in first}) == len(first)
