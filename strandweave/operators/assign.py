@@ -1,20 +1,21 @@
 """Assignment of reference sections to edges: disputes, resolution rules and the loop that applies them.
 
 The state is three DataFrames: open claims (claims of a disputed reference), awards and knaves (sections that
-lost). Every rule maps claims to fewer claims, and the loop writes the state to the shared folder each step.
+lost). Every rule maps claims to fewer claims; the loop logs what goes, and judges again only what that changed.
 A claim has path_id, path_edge_idx, edge_id, is_forward, match_idx, ref_id, section_start, section_end; a
 dispute is named by its reference.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strandweave.operators.geometry import line_slice
 from strandweave.operators.sections import consolidate_sections, overlap_anti, overlapping, reverse_section_join
-from strandweave.plans.cut import cut, release
+from strandweave.plans.cut import Log, cut, release
 
 CLAIM = ["path_id", "path_edge_idx", "edge_id", "is_forward", "match_idx", "ref_id", "section_start", "section_end"]
 KEY = ["ref_id", "path_id", "path_edge_idx", "is_forward"]
@@ -97,15 +98,15 @@ def first_wins(existing: DataFrame | None, new: DataFrame, keys: list[str], orde
     return ranked if existing is None else existing.unionByName(ranked.join(existing, keys, "left_anti"))
 
 
-def award(awards: DataFrame, new: DataFrame) -> DataFrame:
-    """Awards held first, then new ones by step; a reference gives an edge, a start and an end only once each."""
+def new_awards(awards: DataFrame | None, new: DataFrame) -> DataFrame:
+    """What ``new`` adds to awards held, by step; a reference gives an edge, a start and an end only once each."""
     order = ["step", "path_id", "path_edge_idx", "is_forward", "match_idx", "section_start", "section_end"]
     chosen = first_wins(None, new, ["ref_id", "edge_id"], order)
     chosen = first_wins(None, chosen, ["ref_id", "section_start"], order)
     chosen = first_wins(None, chosen, ["ref_id", "section_end"], order).select(*SECTION)
-    for keys in (["ref_id", "edge_id"], ["ref_id", "section_start"], ["ref_id", "section_end"]):
+    for keys in (["ref_id", "edge_id"], ["ref_id", "section_start"], ["ref_id", "section_end"]) if awards is not None else ():
         chosen = chosen.join(awards.select(*keys), keys, "left_anti")
-    return awards.unionByName(chosen)
+    return chosen
 
 
 def settle_once(claims: DataFrame) -> DataFrame:
@@ -117,26 +118,68 @@ def settle_once(claims: DataFrame) -> DataFrame:
     return marked.select(*CLAIM, (F.col("contested").isNull() | (F.col("n_parties") == 1)).alias("won"))
 
 
-def settle(state: State) -> State:
-    """ASG-5. Award disputes with one party and claims that no other edge overlaps, until none is left to award.
-
-    Each step writes one table, its claims with their outcome; the awards are made once, in the order of steps.
-    """
-    claims, won, tables, step = state.claims, None, [], 0
-    while True:  # each step but the last takes claims away
-        judged = cut(settle_once(claims), "judged")
-        tables.append(judged)
-        gained = judged.where("won").count()
-        if not gained:
-            break
-        part = judged.where("won").select(*CLAIM, F.lit(step).alias("step"))
-        won = part if won is None else won.unionByName(part)
-        claims, step = judged.where("NOT won").select(*CLAIM), step + 1
-    if won is None:
-        return state
-    settled = replace(state, awards=cut(award(state.awards, won), "awards"), claims=cut(claims, "claims"))
-    release(*tables, state.awards, state.claims)
-    return settled
+class Disputes:
+    """ASG-5, ASG-14. The open claims of all disputes, as the first claims and a log of those that went. A rule is judged
+    again only for the disputes that lost a claim since it last ran; awards and knaves are logs too."""
+
+    def __init__(self, claims: DataFrame):
+        self.first, self.n, self.seq = claims, claims.count(), 0
+        self.gone, self.awards, self.knaves = Log(), Log(), Log()
+        self.seen: dict[str, int] = {}
+
+    def claims(self) -> DataFrame:
+        gone = self.gone.rows()
+        return self.first if gone is None else self.first.join(gone.select(*CLAIM), CLAIM, "left_anti")
+
+    def state(self) -> State:
+        none = self.first.select(*SECTION).limit(0)
+        held = [t.rows() for t in (self.awards, self.knaves)]
+        return State(self.claims(), *[none if t is None else t.distinct() for t in held])
+
+    def changed(self, name: str | None) -> DataFrame | None:
+        """The open claims of the disputes that changed since rule ``name`` asked last, all for a rule without a name; None if
+        none did."""
+        if name is None:
+            return self.claims()
+        since, self.seen[name] = self.seen.get(name), self.seq
+        if since is None:
+            return self.claims()
+        if since == self.seq:
+            return None
+        return self.claims().join(self.gone.rows().where(F.col("seq") >= since).select("ref_id").distinct(), "ref_id", "left_semi").select(*CLAIM)
+
+    def remove(self, rows: DataFrame) -> DataFrame | None:
+        """Log that these claims went; the table if there are any."""
+        table = cut(rows.select(*CLAIM, F.lit(self.seq).alias("seq")), "gone")
+        n = table.count()
+        if not n:
+            release(table)
+            return None
+        self.gone.add(table)
+        self.n, self.seq = self.n - n, self.seq + 1
+        return table
+
+    def judge(self, name: str | None, rule: Callable[[DataFrame], DataFrame]) -> None:
+        """What ``rule`` does not keep of the changed disputes goes; then disputes are settled."""
+        rows = self.changed(name)
+        if rows is not None:
+            rows = cut(rows, "frontier")
+            self.remove(rows.join(rule(rows).select(*CLAIM), CLAIM, "left_anti"))
+            release(rows)
+        self.settle()
+
+    def settle(self) -> None:
+        """Award disputes with one party and claims that no other edge overlaps, until none is left to award; the awards
+        are made in the order of steps."""
+        won, step = None, 0
+        while (rows := self.changed("settle")) is not None:
+            table = self.remove(settle_once(rows).where("won"))
+            if table is None:
+                break
+            part = cut(table.select(*CLAIM, F.lit(step).alias("step")), "won")
+            won, step = part if won is None else won.unionByName(part), step + 1
+        if won is not None:
+            self.awards.add(cut(new_awards(self.awards.rows(), won), "awards"))
 
 
 def coordinate_containment(points: DataFrame, edges: DataFrame) -> DataFrame:
@@ -154,10 +197,11 @@ def coordinate_containment(points: DataFrame, edges: DataFrame) -> DataFrame:
     return sized.where(F.col("matched") == F.least("n", "m")).select("edge_id", "within").distinct()
 
 
-def rule_is_primary(state: State, coincident: DataFrame) -> State:
-    """ASG-6. Claims of non-primary edges that coincide with a primary edge lose and become knaves."""
-    losers = state.claims.join(coincident.select("edge_id").distinct(), "edge_id", "left_semi")
-    return replace(state, claims=state.claims.join(losers.select(*CLAIM), CLAIM, "left_anti"), knaves=add_knaves(state.knaves, losers))
+def rule_is_primary(state: State, chosen: DataFrame, coincident: DataFrame) -> State:
+    """ASG-6. Claims of non-primary edges that coincide with a primary edge lose, and all sections chosen for such edges
+    are knaves, disputed or not."""
+    edges = coincident.select("edge_id").distinct()
+    return replace(state, claims=state.claims.join(edges, "edge_id", "left_anti").select(*CLAIM), knaves=add_knaves(state.knaves, rounded(chosen).join(edges, "edge_id", "left_semi")))
 
 
 def boundary_only_refs(chosen: DataFrame, last: DataFrame) -> DataFrame:
@@ -281,38 +325,42 @@ def assigned_matches(undisputed: DataFrame, awards: DataFrame, knaves: DataFrame
 
 
 def resolve(chosen: DataFrame, path_edges: DataFrame, candidates: DataFrame, preferred: DataFrame, refs: DataFrame, meta: DataFrame, coincident: DataFrame | None = None, centerline: bool = False) -> State:
-    """ASG-14. The rules in fixed order, settling after each, until a round leaves the number of claims unchanged."""
+    """ASG-14. The rules in fixed order, settling after each, until a round leaves the number of claims unchanged.
+
+    ``coincident`` (edge_id) are the edges of :func:`rule_is_primary`. Claims only ever go, so the rules that look at a
+    claim alone (primary, shared edges, direction) act in the first round and the others where a dispute changed.
+    """
     last = path_last_edge(path_edges)
-    trim = cut(trimmability(chosen, last), "trim")
+    trim = cut(trimmability(chosen, last).distinct(), "trim")
     claims = cut(find_disputes(chosen), "claims")
-    none = claims.select(*SECTION).limit(0)
-    state = State(claims, none, none)
-    undisputed = cut(undisputed_claims(chosen, claims), "undisputed")
+    run, undisputed = Disputes(claims), cut(undisputed_claims(chosen, claims), "undisputed")
 
-    def step(new: State | DataFrame) -> State:
-        new = new if isinstance(new, State) else replace(state, claims=new)
-        written = replace(new, claims=cut(new.claims, "claims"), knaves=new.knaves if new.knaves is state.knaves else cut(new.knaves, "knaves"))
-        # a rule that removes no claim leaves nothing new to settle
-        return written if written.claims.count() == state.claims.count() else settle(written)
+    def once(rule: Callable[[State], State]) -> None:
+        """A rule that looks at all claims and names knaves."""
+        state = run.state()
+        new = rule(state)
+        run.knaves.add(cut(new.knaves.join(state.knaves, SECTION, "left_anti"), "knaves"))
+        run.judge(None, lambda rows: rows.join(new.claims.select(*CLAIM), CLAIM, "left_semi"))
 
     if coincident is not None and not centerline:
-        state = step(rule_is_primary(state, coincident))
-    before = claims.count()
+        once(lambda s: rule_is_primary(s, chosen, coincident))
+    before, first = claims.count(), True
     while True:  # each round but the last takes claims away
-        if not centerline:
-            state = step(rule_multi_path(state, chosen, path_edges, candidates))
-        state = step(rule_same_edge(state.claims))
-        state = step(rule_unidirectional(state, preferred))
-        state = step(rule_trimmable(state.claims, trim))
-        state = step(rule_epsilon(state.claims))
-        now = state.claims.count()
-        if now == before:
-            return state
-        before = now
+        if first and not centerline:
+            once(lambda s: rule_multi_path(s, chosen, path_edges, candidates))
+        run.judge("same_edge", rule_same_edge)
+        if first:
+            once(lambda s: rule_unidirectional(s, preferred))
+        run.judge("trimmable", lambda rows: rule_trimmable(rows, trim))
+        run.judge("epsilon", rule_epsilon)
+        if run.n == before:
+            return run.state()
+        before, first = run.n, False
         if centerline:
-            state = step(rule_reverse_assigned(state.claims, meta, state.awards))
-        shares = path_class_share(path_edges, assigned_matches(undisputed, state.awards, state.knaves), refs)
-        state = step(rule_road_class(state, chosen, shares, refs, trim))
+            awards = run.state().awards
+            run.judge(None, lambda rows: rule_reverse_assigned(rows, meta, awards))
+        shares = cut(path_class_share(path_edges, assigned_matches(undisputed, run.state().awards, run.state().knaves), refs), "shares")
+        once(lambda s: rule_road_class(s, chosen, shares, refs, trim))
 
 
 def backfill_candidates(candidates: DataFrame, chosen: DataFrame, undisputed: DataFrame, awards: DataFrame, claims: DataFrame, least_km: float = 0.003) -> DataFrame:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from strandweave.operators.components import connected_components
 from strandweave.operators.geometry import bearing, haversine
-from strandweave.plans.cut import cut, release
+from strandweave.plans.cut import Log, cut, release
 
 
 def build_graph(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -62,34 +60,6 @@ def best_parallel(edges: DataFrame) -> DataFrame:
     return edges.groupBy("grp", "from_node", "to_node").agg(keep.alias("k")).select("grp", "from_node", "to_node", "k.*")
 
 
-class _Log:
-    """Settled rows (``done``, of tables that may hold others too), only ever added to: of eight tables of one level one
-    of the next is made, so a row is written again as often as the number of tables has digits."""
-
-    COLUMNS = ("grp", "source", "node", "dist", "pred", "hops", "first")
-
-    def __init__(self, first: DataFrame):
-        self.levels: list[list[DataFrame]] = [[first]]
-
-    def of(self, table: DataFrame) -> DataFrame:
-        return (table.where("done") if "done" in table.columns else table).select(*self.COLUMNS)
-
-    def rows(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, [self.of(t) for level in self.levels for t in level])
-
-    def add(self, table: DataFrame) -> None:
-        """What was added before may be moved now; ``table`` itself stays until the next call."""
-        for i, level in enumerate(self.levels):
-            if len(level) < 8:
-                break
-            if i + 1 == len(self.levels):
-                self.levels.append([])
-            self.levels[i + 1].append(cut(reduce(DataFrame.unionByName, map(self.of, level)), "settled"))
-            release(*level)
-            self.levels[i] = []
-        self.levels[0].append(table)
-
-
 def shortest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """GRF-4, CHO-5. (grp, source, node, dist, pred, hops, first) for all sources of all groups at once; ``first`` is the
     path's node after the source. With ``targets`` (grp, source, sink) a search ends with its last target, and nodes
@@ -110,7 +80,8 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame | No
     e = cut(best.join(entering, ["grp", "to_node"]).join(leaving, ["grp", "to_node"], "left").withColumn("away", F.coalesce("away", F.lit(float("inf")))), "edges")
     asked = cut(targets.select(*search, "sink").distinct(), "targets") if targets is not None else None
     fresh = cut(sources.select("grp", "source", F.col("source").alias("node"), F.lit(0.0).alias("dist"), F.lit(None).cast("long").alias("pred"), F.lit(0).alias("hops"), F.lit(None).cast("long").alias("first")).distinct(), "settled")
-    settled, open_ = _Log(fresh), None
+    own = lambda t: (t.where("done") if "done" in t.columns else t).select(*at, "dist", "pred", "hops", "first")
+    settled, open_ = Log(fresh, view=own), None
     while True:
         on = fresh.join(e, (fresh["grp"] == e["grp"]) & (fresh["node"] == e["from_node"]))
         arrivals = on.select(fresh["grp"], "source", F.col("to_node").alias("node"), F.round(F.col("dist") + F.col("weight"), 9).alias("dist"), F.col("from_node").cast("long").alias("pred"), (F.col("hops") + 1).alias("hops"), F.coalesce("first", "to_node").cast("long").alias("first"), "near", "away")
@@ -134,7 +105,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame | No
             release(best, e, judged, *([asked] if asked is not None else []))
             return settled.rows()
         settled.add(judged)
-        fresh, open_ = settled.of(judged), judged.where("NOT done").drop("done")
+        fresh, open_ = own(judged), judged.where("NOT done").drop("done")
 
 
 def path_nodes(paths: DataFrame, targets: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +49,28 @@ def release(*frames: DataFrame) -> None:
             jvm, jsc = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc
             p = jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Log:
+    """Tables that rows are only added to. Of eight tables of one level one of the next is made, so a row is written again as
+    often as the number of tables has digits. ``view``: which of a table's rows and columns are the log's."""
+
+    def __init__(self, *tables: DataFrame, view: Callable[[DataFrame], DataFrame] = lambda t: t):
+        self.levels: list[list[DataFrame]] = [list(tables)]
+        self.view = view
+
+    def rows(self) -> DataFrame | None:
+        every = [self.view(t) for level in self.levels for t in level]
+        return reduce(DataFrame.unionByName, every) if every else None
+
+    def add(self, table: DataFrame) -> None:
+        """What was added before may be moved now; ``table`` itself stays until the next call."""
+        for i, level in enumerate(self.levels):
+            if len(level) < 8:
+                break
+            if i + 1 == len(self.levels):
+                self.levels.append([])
+            self.levels[i + 1].append(cut(reduce(DataFrame.unionByName, map(self.view, level)), "log"))
+            release(*level)
+            self.levels[i] = []
+        self.levels[0].append(table)

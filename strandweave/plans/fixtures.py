@@ -44,6 +44,14 @@ SQL = {
   FROM {path_edges} p
   JOIN {lineitem} l ON p.edge_id = l.l_orderkey
   GROUP BY p.path_id, p.path_edge_idx, p.edge_id, l.l_linenumber % 2, l.l_partkey) t""",
+    # paths that share edges but not all their choices
+    "shared_matches": """SELECT c.* FROM {chosen_matches} c LEFT JOIN (SELECT DISTINCT edge_id AS known_edge, ref_id AS known_ref FROM {edge_candidates}) k ON c.edge_id = known_edge AND c.ref_id = known_ref
+  WHERE path_id < 1000000 OR (c.ref_id % 3 <> 0 AND (c.edge_id % 2 = 1 OR known_ref IS NOT NULL))""",
+    # edges that also chose the other direction of their reference, where they lie
+    "mirrored_matches": """SELECT * FROM {chosen_matches}
+  UNION ALL SELECT path_id, path_edge_idx, edge_id, 1 - c.is_forward, match_idx + 100, o.ref_id, ROUND(r.length_km - section_end, 4), ROUND(r.length_km - section_start, 4), avg_deviance_km
+  FROM {chosen_matches} c JOIN {ref_segments} r ON c.ref_id = r.ref_id JOIN {ref_segments} o ON o.geometry_id = r.geometry_id AND o.ref_id <> r.ref_id WHERE c.edge_id % 3 = 0 AND section_end <= r.length_km""",
+    "coincident": """SELECT edge_id FROM {edges} WHERE is_primary = 0 AND edge_id % 4 < 2""",
     "first_round": """SELECT * FROM {chosen_matches} WHERE edge_id % 4 <> 0""",
     "later_round": """SELECT * FROM {chosen_matches} WHERE match_idx >= 1""",
     "edge_candidates": """SELECT l_orderkey AS edge_id, ref_id, MIN(ROUND(l_discount * 5, 4)) AS section_start, MAX(ROUND(least(l_discount * 5 + 0.05 + l_quantity / 100, 0.9), 4)) AS section_end

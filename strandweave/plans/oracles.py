@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from strandweave.plans import loop_sql
 from strandweave.plans.fixtures import ctes
 
 LIB = {
@@ -297,6 +298,20 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "spatial_overlap": (("overlaps_20m",), "SELECT a_id, b_id, ROUND(d + 1e-9, 5) AS dist_km FROM overlaps_20m"),
 }
 
+for _prefix, _matches in (("shared_", "shared_matches"), ("mirrored_", "mirrored_matches")):
+    LIB |= loop_sql.own_definitions(LIB, _prefix, _matches)
+_OWN = lambda p, *names: tuple(p + n for n in names)
+_STRICT = SQL["consolidated_sections_strict"][1]
+SQL |= {
+    "assigned_matches": ((*_OWN("shared_", "claims", "disputed", "undisputed", "trim", "preferred", "suspects", "losers"), "coincident", "path_edges", "ref_segments"), loop_sql.loop(LIB, "shared_", _STRICT, False, 4, 6)),
+    "assigned_centerline": ((*_OWN("mirrored_", "claims", "disputed", "undisputed", "trim", "preferred"), "meta", "path_edges", "ref_segments"), loop_sql.loop(LIB, "mirrored_", _STRICT, True, 4, 6)),
+    "rule_is_primary": (("claims", "disputed", "coincident"), loop_sql.rule(LIB, "is_primary")),
+    "rule_road_class": (("claims", "disputed", "undisputed", "trim", "path_edges", "ref_segments"), loop_sql.rule(LIB, "road_class")),
+    "knaves_multi_path": (_OWN("shared_", "claims", "suspects", "losers"), SQL["knaves_multi_path"][1].replace("FROM claims", "FROM shared_claims").replace("FROM suspects", "FROM shared_suspects").replace("FROM losers", "FROM shared_losers")),
+    "reverse_sections": (("mirrored_claims", "meta", "consolidated"), LIB["reverse"].replace("{claims}", "mirrored_claims").replace("{meta}", "meta").replace("{consolidated}", "consolidated")),
+}
+
+
 def oracle_sql() -> dict[str, str]:
     from strandweave.plans import exchange_sql
 

@@ -124,7 +124,7 @@ def epsilon_overlaps(t):
 
 @query
 def reverse_sections(t):
-    return A.reverse_dir_candidates(A.rounded(t.chosen_matches), P.ref_metadata(t.ref_segments), consolidated(t))
+    return A.reverse_dir_candidates(A.rounded(t.mirrored_matches), P.ref_metadata(t.ref_segments), consolidated(t))
 
 
 @query
@@ -164,7 +164,7 @@ def rule_multi_path(t):
 
 @query
 def knaves_multi_path(t):
-    return A.rule_multi_path(state(t), t.chosen_matches, t.path_edges, t.edge_candidates).knaves
+    return A.rule_multi_path(state(t), t.shared_matches, t.path_edges, t.edge_candidates).knaves
 
 
 @query
@@ -197,13 +197,38 @@ def path_class_share(t):
     return A.path_class_share(t.path_edges, consolidated(t), t.ref_segments)
 
 
+def loop(t: Tables, chosen: DataFrame, **options) -> DataFrame:
+    """The whole resolution loop over ``chosen``, and what it leaves assigned."""
+    chosen = cut(chosen, "chosen")
+    found = cut(C.preferred_direction(C.path_edge_ratios(C.path_edge_stats(t.edges, t.path_edges, chosen, last(t)))), "preferred")
+    final = A.resolve(chosen, t.path_edges, t.edge_candidates, found, t.ref_segments, P.ref_metadata(t.ref_segments), **options)
+    return A.assigned_matches(A.undisputed_claims(chosen, A.find_disputes(chosen)), final.awards, final.knaves, strict=True)
+
+
 @query
 def assigned_matches(t):
-    """The whole resolution loop: no rule order or fixpoint in SQL; its invariants are tested."""
-    refs, meta = t.ref_segments, P.ref_metadata(t.ref_segments)
-    chosen = cut(t.chosen_matches, "chosen")
-    final = A.resolve(chosen, t.path_edges, t.edge_candidates, cut(preferred(t), "preferred"), refs, meta)
-    return A.assigned_matches(A.undisputed_claims(chosen, A.find_disputes(chosen)), final.awards, final.knaves, strict=True)
+    """The loop with every rule of maps whose edges lie on several paths, non-primary edges first."""
+    return loop(t, t.shared_matches, coincident=t.coincident)
+
+
+@query
+def assigned_centerline(t):
+    """The loop of centerline maps, both directions of whose references are chosen."""
+    return loop(t, t.mirrored_matches, centerline=True)
+
+
+@query
+def rule_is_primary(t):
+    new = A.rule_is_primary(state(t), t.chosen_matches, t.coincident)
+    return new.claims.select(F.lit("open").alias("outcome"), *A.SECTION).distinct().unionByName(new.knaves.select(F.lit("knave").alias("outcome"), *A.SECTION))
+
+
+@query
+def rule_road_class(t):
+    """Judged against what is assigned before any dispute is settled."""
+    shares = cut(A.path_class_share(t.path_edges, A.assigned_matches(A.undisputed_claims(t.chosen_matches, A.find_disputes(t.chosen_matches)), *[state(t).claims.select(*A.SECTION).limit(0)] * 2), t.ref_segments), "shares")
+    new = A.rule_road_class(state(t), t.chosen_matches, shares, t.ref_segments, cut(trim(t).distinct(), "trim"))
+    return new.claims.select(F.lit("open").alias("outcome"), *A.SECTION).distinct().unionByName(new.knaves.select(F.lit("knave").alias("outcome"), *A.SECTION))
 
 
 @query
