@@ -151,16 +151,38 @@ def merge_if_adjacent(pairs: DataFrame, v: DataFrame, km: float = 0.002) -> Data
     return ab.join(ba, ["a_id", "b_id"]).select("a_id", "b_id", F.when(gap <= km, F.when(F.col("ab") <= F.col("ba"), "ab").otherwise("ba")).alias("order"), gap.alias("gap_km"), (gap > 0).alias("has_gap"))
 
 
-def curve_similarity(pairs: DataFrame, v: DataFrame, samples: int = 20) -> DataFrame:
-    """GEO-12. Discrete Frechet distance of two curves, resampled to equal parts and moved to a common start, over
-    the longer length; 1 minus it, at least 0. The table of the recurrence is one row of ``samples`` at a time."""
-    lens = line_lengths(v).select("line_id", "length_km")
-    d = lens.select("line_id", "length_km", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("i")).withColumn("d_km", F.col("length_km") * F.col("i") / (samples - 1))
-    p = points_along(v, d.select("line_id", "d_km").distinct()).join(d, ["line_id", "d_km"])
-    curve = p.groupBy("line_id").agg(F.sort_array(F.collect_list(F.struct("i", "x", "y"))).alias("c"), F.max("length_km").alias("km"))
-    home = curve.select("line_id", "km", F.transform("c", lambda q: F.struct(((q["x"] - F.element_at("c", 1)["x"]) * F.cos(F.element_at("c", 1)["y"] * RAD) * RAD * EARTH_KM).alias("x"), ((q["y"] - F.element_at("c", 1)["y"]) * RAD * EARTH_KM).alias("y"))).alias("c"))
-    met = pairs.join(home.select(F.col("line_id").alias("a_id"), F.col("c").alias("ca"), F.col("km").alias("a_km")), "a_id").join(home.select(F.col("line_id").alias("b_id"), F.col("c").alias("cb"), F.col("km").alias("b_km")), "b_id")
+def curve_similarity(pairs: DataFrame, v: DataFrame, per_km: int = 50, most_turn: float = 0.1 * math.pi) -> DataFrame:
+    """GEO-12. (a_id, b_id, n_points, turn, frechet, similarity) of two curves.
+
+    Both are resampled to equal parts, with as many points as the one with more vertices has, but at most ``per_km`` points
+    a km of the longer; moved to their centres and scaled to a root mean square distance of one from there. Curve a is
+    then turned by the angle that fits it best to b (Procrustes), at most ``most_turn`` radians either way, or not at
+    all if that is nearer. ``frechet`` is their discrete Frechet distance, ``similarity`` one minus it over the
+    geometric mean of the scaled lengths by the root of two, at least 0. The table of the recurrence is one row at a time.
+    """
+    lens = line_lengths(v).select("line_id", "length_km", "n_points")
+    side = lambda name: lens.select(F.col("line_id").alias(f"{name}_id"), F.col("length_km").alias(f"{name}_km"), F.col("n_points").alias(f"{name}_n"))
+    wanted = F.least(F.greatest("a_n", "b_n").cast("long"), F.ceil(F.greatest("a_km", "b_km") * per_km))
+    asked = pairs.select("a_id", "b_id").distinct().join(side("a"), "a_id").join(side("b"), "b_id").select("a_id", "b_id", F.greatest(wanted, F.lit(2).cast("long")).alias("n"))
+    drawn = asked.select(F.explode(F.array(F.struct(F.col("a_id").alias("line_id"), "n"), F.struct(F.col("b_id").alias("line_id"), "n"))).alias("l")).select("l.*").distinct()
+    d = drawn.join(lens, "line_id").select("line_id", "n", F.posexplode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.col("length_km") * i / (F.col("n") - 1))).alias("i", "d_km"))
+    p = d.join(points_along(v, d.select("line_id", "d_km").distinct()), ["line_id", "d_km"])
+    curve = p.groupBy("line_id", "n").agg(F.sort_array(F.collect_list(F.struct("i", "x", "y"))).alias("c"))
+    flat = curve.select("line_id", "n", F.transform("c", lambda q: F.struct((q["x"] * F.cos(F.element_at("c", 1)["y"] * RAD) * RAD * EARTH_KM).alias("x"), (q["y"] * RAD * EARTH_KM).alias("y"))).alias("c"))
+    total = lambda c, f: F.aggregate(c, F.lit(0.0), lambda acc, q: acc + f(q))
+    middle = flat.withColumns({"mx": total("c", lambda q: q["x"]) / F.col("n"), "my": total("c", lambda q: q["y"]) / F.col("n")})
+    centred = middle.select("line_id", "n", F.transform("c", lambda q: F.struct((q["x"] - F.col("mx")).alias("x"), (q["y"] - F.col("my")).alias("y"))).alias("c"))
+    sized = centred.withColumn("size", F.sqrt(total("c", lambda q: q["x"] * q["x"] + q["y"] * q["y"]) / F.col("n")))
+    one = lambda value: F.coalesce(F.try_divide(value, F.col("size")), F.lit(0.0))
+    scaled = sized.select("line_id", "n", F.transform("c", lambda q: F.struct(one(q["x"]).alias("x"), one(q["y"]).alias("y"))).alias("c"))
     far = lambda p, q: F.sqrt(F.pow(p["x"] - q["x"], 2) + F.pow(p["y"] - q["y"], 2))
+    way = F.aggregate(F.zip_with(F.slice("c", 2, F.size("c") - 1), F.slice("c", 1, F.size("c") - 1), far), F.lit(0.0), lambda acc, x: acc + x)
+    home = scaled.withColumn("way", way)
+    met = asked.join(home.select(F.col("line_id").alias("a_id"), "n", F.col("c").alias("ca"), F.col("way").alias("way_a")), ["a_id", "n"]).join(home.select(F.col("line_id").alias("b_id"), "n", F.col("c").alias("cb"), F.col("way").alias("way_b")), ["b_id", "n"])
+    both = F.zip_with("ca", "cb", lambda p, q: F.struct((p["x"] * q["y"] - p["y"] * q["x"]).alias("cross"), (p["x"] * q["x"] + p["y"] * q["y"]).alias("dot")))
+    fit = F.atan2(total(both, lambda z: z["cross"]), total(both, lambda z: z["dot"]))
+    turned = met.withColumn("turn", F.explode(F.array_distinct(F.array(F.lit(0.0), F.greatest(F.lit(-most_turn), F.least(F.lit(most_turn), fit))))))
+    spun = turned.withColumn("ca", F.transform("ca", lambda p: F.struct((p["x"] * F.cos("turn") - p["y"] * F.sin("turn")).alias("x"), (p["x"] * F.sin("turn") + p["y"] * F.cos("turn")).alias("y"))))
     huge = 1e18
 
     def row(prev: Column, p: Column) -> Column:
@@ -177,7 +199,9 @@ def curve_similarity(pairs: DataFrame, v: DataFrame, samples: int = 20) -> DataF
         return F.aggregate("cb", start, cell, lambda acc: acc["out"])
 
     table = F.aggregate("ca", F.array().cast("array<double>"), row)
-    return met.select("a_id", "b_id", F.element_at(table, -1).alias("frechet_km"), F.greatest("a_km", "b_km").alias("km")).withColumn("similarity", F.greatest(F.lit(0.0), 1 - F.try_divide("frechet_km", "km")))
+    judged = spun.select("a_id", "b_id", "n", "turn", "way_a", "way_b", F.element_at(table, -1).alias("frechet"))
+    best = judged.groupBy("a_id", "b_id").agg(F.min_by(F.struct("n", "turn", "way_a", "way_b", "frechet"), F.struct("frechet", "turn")).alias("m")).select("a_id", "b_id", "m.*")
+    return best.select("a_id", "b_id", F.col("n").cast("int").alias("n_points"), "turn", "frechet", F.greatest(F.lit(0.0), 1 - F.coalesce(F.try_divide(F.col("frechet") * math.sqrt(2), F.sqrt(F.col("way_a") * F.col("way_b"))), F.lit(0.0))).alias("similarity"))
 
 
 def similarity_stats(pairs: DataFrame, v: DataFrame) -> DataFrame:

@@ -220,7 +220,7 @@ def chain_lines(chain: DataFrame, ref_points: DataFrame) -> DataFrame:
     return merge_path(chain.select(F.col("chain_id").alias("path_id"), F.col("chain_idx").alias("path_edge_idx"), F.col("ref_id").alias("edge_id")), ref_points.withColumnRenamed("line_id", "edge_id"))
 
 
-def measure_chains(chain: DataFrame, lines: DataFrame, paths: DataFrame, reach_km: float = 0.5, samples: int = 20) -> DataFrame:
+def measure_chains(chain: DataFrame, lines: DataFrame, paths: DataFrame, reach_km: float = 0.5) -> DataFrame:
     """CHO-6. What :func:`score_chains` needs: how alike the first and last ``reach_km`` of chain and path are, how far
     the path's ends lie from the chain and where along it, and both lengths. ``lines`` are :func:`chain_lines`."""
     pairs = chain.select("path_id", "chain_id").distinct()
@@ -238,7 +238,7 @@ def measure_chains(chain: DataFrame, lines: DataFrame, paths: DataFrame, reach_k
 
     cut_lines = pieces(lines, "c").unionByName(pieces(paths, "p"))
     asked = pairs.select(F.explode(F.array(*[F.struct(F.concat(F.lit("c"), F.col("chain_id"), F.lit(e)).alias("a_id"), F.concat(F.lit("p"), F.col("path_id").cast("string"), F.lit(e)).alias("b_id")) for e in (":start", ":end")])).alias("q")).select("q.*")
-    alike = curve_similarity(asked, cut_lines, samples).select(F.regexp_extract("a_id", "^c(.*):(start|end)$", 1).alias("chain_id"), F.regexp_extract("a_id", ":(start|end)$", 1).alias("end"), "similarity")
+    alike = curve_similarity(asked, cut_lines).select(F.regexp_extract("a_id", "^c(.*):(start|end)$", 1).alias("chain_id"), F.regexp_extract("a_id", ":(start|end)$", 1).alias("end"), "similarity")
     both = alike.groupBy("chain_id").agg(F.max(F.when(F.col("end") == "start", F.col("similarity"))).alias("start_similarity"), F.max(F.when(F.col("end") == "end", F.col("similarity"))).alias("end_similarity"))
     return pairs.join(chain_km, "chain_id").join(path_km, "path_id").join(snap("x1", "y1", "start"), ["path_id", "chain_id"]).join(snap("x2", "y2", "end"), ["path_id", "chain_id"]).join(both, "chain_id")
 

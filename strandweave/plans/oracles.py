@@ -138,7 +138,6 @@ TURN = deg("px", "py", "x", "y"), deg("x", "y", "nx", "ny")
 DIRECTION = """CASE WHEN len(list_filter(d, lambda x: x NOT IN (1, 3, 5, 7))) > 0 THEN NULL WHEN len(d) = 1 THEN d[1]
   WHEN len(d) > 2 OR len(d) = 0 THEN CASE WHEN w BETWEEN -45 AND 45 THEN 1 WHEN w > 45 AND w < 135 THEN 3 WHEN w <= -135 OR w >= 135 THEN 5 ELSE 7 END
   WHEN d = [1, 5] THEN CASE WHEN ABS(b) <= 90 THEN 1 ELSE 5 END WHEN d = [3, 7] THEN CASE WHEN b >= 0 THEN 3 ELSE 7 END END"""
-MAPS = ", ".join(f"{m}.{c} AS {m}_{c}" for m in ("tmc", "ris") for c in ("edge_id", "is_forward", "section_start", "section_end"))
 
 LIB["merged"] = """SELECT path_id AS line_id, row_number() OVER (PARTITION BY path_id ORDER BY path_edge_idx, pt_idx) - 1 AS pt_idx, x, y FROM (SELECT path_id, path_edge_idx, pt_idx, x, y, lag(x) OVER w AS bx, lag(y) OVER w AS before_y FROM {agency_edges} JOIN {agency_points} ON edge_id = line_id WINDOW w AS (PARTITION BY path_id ORDER BY path_edge_idx, pt_idx)) WHERE bx IS NULL OR bx <> x OR before_y <> y"""
 LIB["samples"] = f"""SELECT line_id, i, x1 + f * (x2 - x1) AS px, y1 + f * (y2 - y1) AS py FROM (SELECT line_id, i, x1, y1, x2, y2, COALESCE((d - from_km) / NULLIF(km, 0), 0) AS f FROM (SELECT s.*, i, total * i / 10 AS d, total FROM {{agency_segments}} s JOIN (SELECT line_id, SUM(km) AS total FROM {{agency_segments}} GROUP BY line_id) USING (line_id) CROSS JOIN (SELECT unnest(range(11)) AS i)) WHERE d >= from_km AND d <= from_km + km + 1e-12 QUALIFY row_number() OVER (PARTITION BY line_id, i ORDER BY pt_idx DESC) = 1)"""
@@ -166,6 +165,9 @@ LIB["near_ends"] = f"SELECT path_id, node, row_number() OVER (PARTITION BY path_
 LIB["od"] = "SELECT DISTINCT a.path_id, a.node AS source, b.node AS sink FROM {near_ends} a JOIN {near_ends} b ON a.path_id = b.path_id WHERE a.s <= 10 AND b.e <= 10 AND a.node <> b.node"
 
 #: name: (tables and definitions it reads, statement)
+#: The pieces with each map's attached claim, found once a piece before the join.
+ATTACHED = "SELECT * FROM map_parts LEFT JOIN (SELECT ref_id, part_idx, " + ", ".join(f"MAX(CASE WHEN map = '{m}' THEN {c} END) AS {m}_{c}" for m in ("tmc", "ris") for c in ("edge_id", "is_forward", "section_start", "section_end")) + " FROM attached WHERE rn = 1 GROUP BY ref_id, part_idx) USING (ref_id, part_idx)"
+
 SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "dispute_claimants": (("disputed",), "SELECT * FROM disputed"),
     "dispute_extents": (("disputed",), "SELECT ref_id, MIN(section_start) AS disputed_start, MAX(section_end) AS disputed_end, COUNT(*) AS n_claims FROM disputed GROUP BY ref_id"),
@@ -175,8 +177,9 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
       AND (-ROUND(b.section_end - b.section_start, 9), b.section_start, b.section_end, -b.is_forward) < (-ROUND(a.section_end - a.section_start, 9), a.section_start, a.section_end, -a.is_forward))"""),
     "clamped_sections": (("edge_candidates", "ref_segments"), "SELECT edge_id, ref_id, ROUND(greatest(section_start - 0.1::DOUBLE, 0), 4) AS section_start, ROUND(least(section_end + 0.1::DOUBLE, length_km), 4) AS section_end FROM edge_candidates JOIN ref_segments USING (ref_id) WHERE ROUND(least(section_end + 0.1::DOUBLE, length_km) - greatest(section_start - 0.1::DOUBLE, 0), 9) > 0.0001"),
     "section_partitions": (("parts",), "SELECT ref_id, part_idx, part_start, part_end FROM parts"),
-    "conflation_segments": (("attached",), f"SELECT p.ref_id, p.part_idx, p.part_start, p.part_end, {MAPS} FROM map_parts p LEFT JOIN (SELECT * FROM attached WHERE rn = 1 AND map = 'tmc') tmc ON p.ref_id = tmc.ref_id AND p.part_idx = tmc.part_idx LEFT JOIN (SELECT * FROM attached WHERE rn = 1 AND map = 'ris') ris ON p.ref_id = ris.ref_id AND p.part_idx = ris.part_idx"),
-    "conflation_checks": (("map_parts", "ref_segments"), "SELECT failed, COUNT(*) AS n FROM (SELECT 'order' AS failed FROM map_parts WHERE part_start >= part_end UNION ALL SELECT 'within' FROM map_parts JOIN ref_segments USING (ref_id) WHERE part_start < 0 OR part_end > length_km) GROUP BY failed"),
+    "conflation_segments": (("attached",), ATTACHED),
+    "conflation_checks": (("attached", "ref_segments"), "SELECT failed, COUNT(*) AS n FROM (SELECT unnest([CASE WHEN NOT (s < e) THEN 'order' END, CASE WHEN NOT (s >= 0 AND e <= length_km) THEN 'within' END, CASE WHEN NOT (tmc_section_start < e AND s < tmc_section_end) THEN 'tmc' END, CASE WHEN NOT (ris_section_start < e AND s < ris_section_end) THEN 'ris' END]) AS failed FROM "
+      f"(SELECT *, CASE WHEN ref_id % 50 < 2 THEN part_start + 2 ELSE part_start END AS s, CASE WHEN ref_id % 50 IN (1, 2) THEN part_end + 2 ELSE part_end END AS e FROM ({ATTACHED}) JOIN ref_segments USING (ref_id))) WHERE failed IS NOT NULL GROUP BY failed"),
     "conflation_mapping": (("attached",), "SELECT ref_id, part_idx, edge_id FROM attached WHERE rn = 1 AND map = 'tmc'"),
     "overlap_pairs": (("consolidated",), ", s AS (SELECT DISTINCT ref_id, edge_id, section_start, section_end FROM consolidated) SELECT a.*, b.edge_id AS b_edge_id, b.section_start AS b_section_start, b.section_end AS b_section_end FROM s a JOIN s b ON a.ref_id = b.ref_id AND a.section_start < b.section_end AND b.section_start < a.section_end WHERE a.edge_id < b.edge_id"),
     "candidates_without_claim": (("edge_candidates", "consolidated"), "SELECT * FROM edge_candidates a WHERE NOT EXISTS (SELECT 1 FROM consolidated b WHERE a.ref_id = b.ref_id AND a.section_start < b.section_end AND b.section_start < a.section_end)"),
@@ -270,11 +273,17 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
       f"SELECT point_id, line_id, ROUND(MIN({km('px', 'py', '(x1 + t * (x2 - x1))', '(y1 + t * (y2 - y1))')}) + 1e-9, 5) AS dist_km FROM t GROUP BY ALL"),
     "sequentiality": (("ends", "lens"), f", e AS (SELECT * FROM ends JOIN lens USING (line_id)), j AS (SELECT a.line_id AS a_id, b.line_id AS b_id, a.length_km AS ak, b.length_km AS bk, {deg('b.x1', 'b.y1', 'b.x2', 'b.y2')} - {deg('a.x1', 'a.y1', 'a.x2', 'a.y2')} AS t, {km('a.x2', 'a.y2', 'b.x1', 'b.y1')} AS g, {deg('a.x2', 'a.y2', 'b.x1', 'b.y1')} AS gb FROM e a JOIN e b ON b.line_id = a.line_id + 1) "
       "SELECT a_id, b_id, ROUND(ak + 1e-9, 4) AS a_km, ROUND(bk + 1e-9, 4) AS b_km, ROUND(CASE WHEN t > 180 THEN t - 360 WHEN t < -180 THEN t + 360 ELSE t END + 1e-9, 4) AS turn, ROUND(g + 1e-9, 4) AS gap_km, ROUND(gb + 1e-9, 4) AS gap_bearing FROM j"),
-    "curve_similarity": (("steps", "lens"), ", " + at_distance("SELECT line_id, i, length_km * i / 11 AS d_km FROM lens CROSS JOIN (SELECT unnest(range(12)) AS i)", "steps", "i, ")
-      + ", home AS MATERIALIZED (SELECT f.line_id, i, (x - first_value(x) OVER w) * cos(radians(first_value(y) OVER w)) * radians(1) * 6371.0088 AS x, (y - first_value(y) OVER w) * radians(1) * 6371.0088 AS y FROM found f WINDOW w AS (PARTITION BY f.line_id ORDER BY i)), "
-      + "far AS MATERIALIZED (SELECT a.line_id AS a_id, a.i, b.i AS j, sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) AS d FROM home a JOIN home b ON b.line_id = a.line_id + 1), "
-      + ", ".join(f"v{k} AS MATERIALIZED (SELECT f.a_id, f.i, f.j, " + ("d" if k == 0 else f"greatest(d, least(COALESCE(u.v, 1e18), COALESCE(l.v, 1e18)" + (", COALESCE(g.v, 1e18)" if k > 1 else "") + "))") + " AS v FROM far f" + ("" if k == 0 else f" LEFT JOIN v{k - 1} u ON u.a_id = f.a_id AND u.i = f.i - 1 LEFT JOIN v{k - 1} l ON l.a_id = f.a_id AND l.i = f.i" + (f" LEFT JOIN v{k - 2} g ON g.a_id = f.a_id AND g.i = f.i - 1" if k > 1 else "")) + f" WHERE f.i + f.j = {k})" for k in range(23))
-      + " SELECT a_id, a_id + 1 AS b_id, ROUND(v + 1e-9, 3) AS frechet_km, ROUND(greatest(a.length_km, b.length_km) + 1e-9, 3) AS km, ROUND(greatest(0, 1 - v / NULLIF(greatest(a.length_km, b.length_km), 0)) + 1e-9, 5) AS similarity FROM v22 JOIN lens a ON a.line_id = a_id JOIN lens b ON b.line_id = a_id + 1"),
+    "curve_similarity": (("steps", "lens"), ", " + at_distance("SELECT line_id, i, length_km * i / 31 AS d_km FROM lens CROSS JOIN (SELECT unnest(range(32)) AS i)", "steps", "i, ")
+      + ", flat AS (SELECT line_id, i, x * cos(radians(first_value(y) OVER w)) * radians(1) * 6371.0088 AS x, y * radians(1) * 6371.0088 AS y FROM found WINDOW w AS (PARTITION BY line_id ORDER BY i)), "
+      + "mid AS (SELECT line_id, i, x - AVG(x) OVER w AS x, y - AVG(y) OVER w AS y FROM flat WINDOW w AS (PARTITION BY line_id)), "
+      + "home AS MATERIALIZED (SELECT line_id, i, x / size AS x, y / size AS y FROM (SELECT *, sqrt(AVG(x * x + y * y) OVER (PARTITION BY line_id)) AS size FROM mid)), "
+      + "way AS MATERIALIZED (SELECT line_id, SUM(sqrt(pow(x - bx, 2) + pow(y - before_y, 2))) AS way FROM (SELECT line_id, x, y, lag(x) OVER w AS bx, lag(y) OVER w AS before_y FROM home WINDOW w AS (PARTITION BY line_id ORDER BY i)) GROUP BY line_id), "
+      + "fit AS (SELECT a.line_id AS a_id, greatest(-0.1 * pi(), least(0.1 * pi(), atan2(SUM(a.x * b.y - a.y * b.x), SUM(a.x * b.x + a.y * b.y)))) AS turn FROM home a JOIN home b ON b.line_id = a.line_id + 1 AND b.i = a.i GROUP BY a.line_id), "
+      + "turns AS MATERIALIZED (SELECT a_id, 1 AS k, turn FROM fit UNION ALL SELECT a_id, 0, 0 FROM fit), "
+      + "far AS MATERIALIZED (SELECT a_id * 2 + k AS a_id, a.i, b.i AS j, sqrt(pow(a.x * cos(turn) - a.y * sin(turn) - b.x, 2) + pow(a.x * sin(turn) + a.y * cos(turn) - b.y, 2)) AS d FROM turns JOIN home a ON a.line_id = a_id JOIN home b ON b.line_id = a_id + 1), "
+      + ", ".join(f"v{k} AS MATERIALIZED (SELECT f.a_id, f.i, f.j, " + ("d" if k == 0 else f"greatest(d, least(COALESCE(u.v, 1e18), COALESCE(l.v, 1e18)" + (", COALESCE(g.v, 1e18)" if k > 1 else "") + "))") + " AS v FROM far f" + ("" if k == 0 else f" LEFT JOIN v{k - 1} u ON u.a_id = f.a_id AND u.i = f.i - 1 AND u.j = f.j LEFT JOIN v{k - 1} l ON l.a_id = f.a_id AND l.i = f.i AND l.j = f.j - 1" + (f" LEFT JOIN v{k - 2} g ON g.a_id = f.a_id AND g.i = f.i - 1 AND g.j = f.j - 1" if k > 1 else "")) + f" WHERE f.i + f.j = {k})" for k in range(63))
+      + ", best AS (SELECT t.a_id, v, t.turn FROM v62 JOIN turns t ON v62.a_id = t.a_id * 2 + t.k QUALIFY row_number() OVER (PARTITION BY t.a_id ORDER BY v, t.turn) = 1)"
+      + " SELECT best.a_id, best.a_id + 1 AS b_id, 32 AS n_points, ROUND(turn + 1e-9, 5) AS turn, ROUND(v + 1e-9, 5) AS frechet, ROUND(greatest(0, 1 - v * sqrt(2) / sqrt(a.way * b.way)) + 1e-9, 5) AS similarity FROM best JOIN way a ON a.line_id = best.a_id JOIN way b ON b.line_id = best.a_id + 1"),
     "nearest_nodes": (("nodes", "stations"), f"SELECT point_id, target_id, rank, ROUND(d + 1e-9, 5) AS dist_km FROM (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY ROUND(d, 9), target_id) AS rank FROM (SELECT point_id, b.node_id AS target_id, {km('x', 'y', 'b.lon', 'b.lat')} AS d FROM stations CROSS JOIN nodes b)) WHERE rank <= 4"),
     "compact_layers": (("ref_segments", "edges"), "SELECT 'base' AS layer, CAST(COALESCE(road_class, 6) AS VARCHAR) AS code, COUNT(*) AS n FROM ref_segments GROUP BY ALL UNION ALL SELECT 'segments', target_map_id, COUNT(*) FROM edges GROUP BY ALL"),
     "component_sizes": (("way_nodes",), labels("SELECT DISTINCT way_id AS u, node_id + 1099511627776 AS v FROM way_nodes", 12) + " SELECT c AS component, COUNT(*) AS n FROM l12 GROUP BY c"),

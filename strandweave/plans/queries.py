@@ -96,7 +96,10 @@ def conflation_segments(t):
 
 @query
 def conflation_checks(t):
+    """The map as it is made passes; pieces of some references are moved before the checks."""
     out = S.conflation_segments(t.ref_segments, two_maps(t), ["tmc", "ris"]).join(t.ref_segments.select("ref_id", "length_km"), "ref_id")
+    kind = F.col("ref_id") % 50
+    out = out.withColumns({"part_start": F.when(kind < 2, F.col("part_start") + 2).otherwise(F.col("part_start")), "part_end": F.when((kind > 0) & (kind < 3), F.col("part_end") + 2).otherwise(F.col("part_end"))})
     return Q.check_conflation(out, ["tmc", "ris"]).groupBy("failed").count().withColumnRenamed("count", "n")
 
 
@@ -557,8 +560,8 @@ def sequentiality(t):
 def curve_similarity(t):
     lines = t.curves.select("line_id").distinct()
     pairs = lines.select(F.col("line_id").alias("a_id"), (F.col("line_id") + 1).alias("b_id"))
-    c = G.curve_similarity(pairs, t.curves, 12)
-    return c.select("a_id", "b_id", F.round(F.col("frechet_km") + 1e-9, 3).alias("frechet_km"), F.round(F.col("km") + 1e-9, 3).alias("km"), F.round(F.col("similarity") + 1e-9, 5).alias("similarity"))
+    c = G.curve_similarity(pairs, t.curves)
+    return c.select("a_id", "b_id", "n_points", *[F.round(F.col(x) + 1e-9, 5).alias(x) for x in ("turn", "frechet", "similarity")])
 
 
 @query

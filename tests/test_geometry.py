@@ -37,14 +37,28 @@ def test_adjacent_lines(spark, lines):
 
 
 def test_similarity(spark, lines):
-    same = geometry.curve_similarity(pairs(spark, (1, 1), (1, 5)), lines, 9).orderBy("b_id").collect()
-    assert same[0].frechet_km == pytest.approx(0, abs=1e-9) and same[0].similarity == pytest.approx(1)
-    assert same[1].frechet_km == pytest.approx(KM * 2**0.5, rel=1e-2)
+    same = geometry.curve_similarity(pairs(spark, (1, 1), (1, 5)), lines).orderBy("b_id").collect()
+    assert same[0].frechet == pytest.approx(0, abs=1e-9) and same[0].similarity == pytest.approx(1)
+    assert same[1].similarity < same[0].similarity and abs(same[1].turn) <= 0.1 * 3.1416
     stats = geometry.similarity_stats(pairs(spark, (1, 2)), lines).first()
     assert stats.snap_mean == pytest.approx(0.0002 * 111.195, rel=1e-3) and len(stats.along_quantiles) == 9
     assert geometry.line_dissimilarity(pairs(spark, (3, 1)), lines).first().dissimilarity == pytest.approx(0, abs=1e-6)
 
 
+def test_small_turns_do_not_count(spark):
+    """A wave turned by less than a tenth of pi is alike, turned by more it is not; points follow the length."""
+    import math
+
+    wave = [(0.002 * i, 0.0005 * math.sin(i)) for i in range(12)]
+    turned = lambda a: [(x * math.cos(a) - y * math.sin(a), x * math.sin(a) + y * math.cos(a)) for x, y in wave]
+    rows = [(k, i, x, y) for k, line in enumerate([wave, turned(0.2), turned(0.31), turned(0.9), [(0.0, 0.0), (0.0001, 0.0)]]) for i, (x, y) in enumerate(line)]
+    v = spark.createDataFrame(rows, "line_id int, pt_idx int, x double, y double")
+    got = {r.b_id: r for r in geometry.curve_similarity(pairs(spark, (0, 0), (0, 1), (0, 2), (0, 3), (4, 4)), v).where("a_id = 0 OR b_id = 4").collect()}
+    assert got[0].similarity == pytest.approx(1) and got[1].similarity > 0.99 and got[1].turn == pytest.approx(0.2, abs=0.01)
+    assert got[2].similarity > 0.98 > 0.9 > got[3].similarity and got[3].turn == pytest.approx(0.1 * math.pi)
+    assert got[0].n_points == 12 and got[4].n_points == 2
+
+
 def test_snapping_never_goes_back(spark, lines):
     points = spark.createDataFrame([(1, 0, 5, 0.002, 0.001), (1, 1, 5, 0.0095, 0.0062), (1, 2, 5, 0.006, 0.0005), (1, 3, 5, 0.0101, 0.009)], "seq_id int, pt_no int, line_id int, px double, py double")
     along = [r.along_km for r in geometry.snap_sequence(points, lines).orderBy("pt_no").collect()]
