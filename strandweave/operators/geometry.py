@@ -9,6 +9,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from strandweave.plans.cut import cut
+
 EARTH_KM = 6371.0088
 RAD = math.pi / 180
 
@@ -110,26 +112,67 @@ def line_slice(v: DataFrame, sections: DataFrame) -> DataFrame:
     return inner.unionByName(tips).withColumn("pt_idx", F.row_number().over(Window.partitionBy("section_id").orderBy("at")) - 1).select("section_id", "pt_idx", "x", "y")
 
 
-def overlap_within(pairs: DataFrame, a: DataFrame, b: DataFrame, km: float, step_km: float = 0.01, least_km: float = 0.002) -> DataFrame:
-    """GEO-8. (a_id, b_id, from_km, to_km): stretches of line a within ``km`` of line b, found on points every ``step_km``."""
-    ends = line_lengths(a).select(F.col("line_id").alias("a_id"), "length_km")
-    points = pairs.join(ends, "a_id").select("a_id", "b_id", F.explode(F.concat(F.transform(F.sequence(F.lit(0), F.floor(F.col("length_km") / step_km).cast("int")), lambda i: i * step_km), F.array("length_km"))).alias("d_km"))
-    at = points_along(a, points.select(F.col("a_id").alias("line_id"), "d_km").distinct()).withColumnRenamed("line_id", "a_id")
-    tested = points.distinct().join(at, ["a_id", "d_km"]).withColumn("point_id", F.struct("a_id", "b_id", "d_km"))
-    near = nearest_on_line(tested.select("point_id", F.col("b_id").alias("line_id"), F.col("x").alias("px"), F.col("y").alias("py")), b).select(F.col("point_id.a_id").alias("a_id"), F.col("point_id.b_id").alias("b_id"), F.col("point_id.d_km").alias("d_km"), (F.col("dist_km") <= km).alias("inside"))
-    order = Window.partitionBy("a_id", "b_id").orderBy("d_km")
-    run = near.withColumn("run", F.sum((~F.col("inside")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0))).where("inside")
-    return run.groupBy("a_id", "b_id", "run").agg(F.min("d_km").alias("from_km"), F.max("d_km").alias("to_km")).where(F.col("to_km") - F.col("from_km") >= least_km).drop("run")
-
-
-def cospatiality(pairs: DataFrame, a: DataFrame, b: DataFrame, km: float) -> DataFrame:
-    """GEO-9. The shared stretch of two lines on each of them, and what lies before and after it."""
-    there = overlap_within(pairs, a, b, km).groupBy("a_id", "b_id").agg(F.min("from_km").alias("a_from"), F.max("to_km").alias("a_to"))
-    swapped = pairs.select(F.col("b_id").alias("a_id"), F.col("a_id").alias("b_id"))
-    back = overlap_within(swapped, b, a, km).groupBy(F.col("b_id").alias("a_id"), F.col("a_id").alias("b_id")).agg(F.min("from_km").alias("b_from"), F.max("to_km").alias("b_to"))
-    la, lb = line_lengths(a).select(F.col("line_id").alias("a_id"), F.col("length_km").alias("a_km")), line_lengths(b).select(F.col("line_id").alias("b_id"), F.col("length_km").alias("b_km"))
-    both = there.join(back, ["a_id", "b_id"]).join(la, "a_id").join(lb, "b_id")
-    return both.withColumns({"a_before": F.col("a_from"), "a_after": F.col("a_km") - F.col("a_to"), "b_before": F.col("b_from"), "b_after": F.col("b_km") - F.col("b_to")})
+def _within(met: DataFrame, km: float) -> DataFrame:
+    """``met`` with lo and hi: where, as shares of a's segment (x1, y1)-(x2, y2), it lies within ``km`` of b's segment (bx1,
+    by1)-(bx2, by2); rows that do nowhere are left out.
+
+    What lies within a distance of a segment is convex: a strip beside it and a disc at each end. So the shares are
+    one interval, from the least to the largest that the three meet, each in closed form, in km on the plane at a's start.
+    """
+    c, ky = F.col, RAD * EARTH_KM
+    plane = met.withColumn("kx", F.cos(c("y1") * RAD) * ky).withColumns({"dx": (c("x2") - c("x1")) * c("kx"), "dy": (c("y2") - c("y1")) * ky, "px": (c("bx1") - c("x1")) * c("kx"), "py": (c("by1") - c("y1")) * ky, "qx": (c("bx2") - c("x1")) * c("kx"), "qy": (c("by2") - c("y1")) * ky})
+    sized = plane.withColumns({"ex": c("qx") - c("px"), "ey": c("qy") - c("py"), "length2": c("dx") * c("dx") + c("dy") * c("dy")}).where("length2 > 0").withColumn("far", F.sqrt(c("ex") * c("ex") + c("ey") * c("ey")))
+    along = {f"{p}a": c("dx") * c(f"{p}x") + c("dy") * c(f"{p}y") for p in "pq"}
+    beside = {"u": -(c("px") * c("ex") + c("py") * c("ey")) / c("far") / c("far"), "du": (c("dx") * c("ex") + c("dy") * c("ey")) / c("far") / c("far"), "w": -(c("px") * c("ey") - c("py") * c("ex")) / c("far"), "dw": (c("dx") * c("ey") - c("dy") * c("ex")) / c("far")}
+    ready = sized.withColumns(along | {k: F.when(c("far") > 0, v) for k, v in beside.items()})
+    roots = ready.withColumns({f"{p}r": c(f"{p}a") * c(f"{p}a") - c("length2") * (c(f"{p}x") * c(f"{p}x") + c(f"{p}y") * c(f"{p}y") - km * km) for p in "pq"})
+    # written, as one expression of all this would be too large to compile
+    roots = cut(roots.drop("ex", "ey", "px", "py", "qx", "qy", "dx", "dy", "kx"), "segments")
+    limits = {}
+    for name, low, high in (("u", 0.0, 1.0), ("w", -km, km)):
+        one, two, still = (low - c(name)) / c(f"d{name}"), (high - c(name)) / c(f"d{name}"), F.abs(c(f"d{name}")) < 1e-12
+        limits |= {f"{name}lo": F.when(still, F.when(c(name).between(low, high), -1e18)).otherwise(F.least(one, two)), f"{name}hi": F.when(still, F.when(c(name).between(low, high), 1e18)).otherwise(F.greatest(one, two))}
+    both = cut(roots.withColumns(limits), "limits").withColumns({"slo": F.when(c("ulo").isNotNull() & c("wlo").isNotNull(), F.greatest("ulo", "wlo")), "shi": F.when(c("ulo").isNotNull() & c("wlo").isNotNull(), F.least("uhi", "whi"))})
+    strip = c("slo") <= c("shi")
+    at = lambda p, sign: F.when(c(f"{p}r") >= 0, (c(f"{p}a") + sign * F.sqrt(f"{p}r")) / c("length2"))
+    found = both.withColumns({"lo": F.least(at("p", -1), at("q", -1), F.when(strip, c("slo"))), "hi": F.greatest(at("p", 1), at("q", 1), F.when(strip, c("shi")))})
+    # greatest and least pass over nulls
+    return found.where("lo IS NOT NULL").withColumns({"lo": F.greatest("lo", F.lit(0.0)), "hi": F.least("hi", F.lit(1.0))}).where("lo <= hi").select(*met.columns, "lo", "hi")
+
+
+def overlap_within(pairs: DataFrame, a: DataFrame, b: DataFrame, km: float, least_km: float = 0.002) -> DataFrame:
+    """GEO-8. (a_id, b_id, from_km, to_km): the stretches of line a within ``km`` of line b, exact on the plane at each of
+    a's segments; shorter ones than ``least_km`` are left out. Segments whose boxes lie apart are not compared."""
+    own = line_segments(a).withColumnRenamed("line_id", "a_id")
+    other = line_segments(b).select(F.col("line_id").alias("b_id"), *[F.col(c).alias(f"b{c}") for c in ("x1", "y1", "x2", "y2")])
+    up, side = km / (EARTH_KM * RAD) * 1.01, km / (EARTH_KM * RAD) * 1.01 / F.cos(F.col("y1") * RAD)
+    apart = lambda c, m: (F.least(f"{c}1", f"{c}2") - m > F.greatest(f"b{c}1", f"b{c}2")) | (F.least(f"b{c}1", f"b{c}2") - m > F.greatest(f"{c}1", f"{c}2"))
+    met = pairs.select("a_id", "b_id").distinct().join(own, "a_id").join(other, "b_id").where(~apart("y", F.lit(up)) & ~apart("x", side))
+    at = lambda share: F.col("from_km") + (F.col("to_km") - F.col("from_km")) * F.col(share)
+    placed = _within(met, km).select("a_id", "b_id", at("lo").alias("lo"), at("hi").alias("hi"))
+    order = Window.partitionBy("a_id", "b_id").orderBy("lo", "hi")
+    reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = F.coalesce(F.col("lo") - reach > 1e-7, F.lit(True)).cast("int")
+    runs = placed.withColumn("fresh", fresh).withColumn("run", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("a_id", "b_id", "run").agg(F.min("lo").alias("from_km"), F.max("hi").alias("to_km")).where(F.col("to_km") - F.col("from_km") >= least_km).drop("run")
+
+
+def cospatiality(pairs: DataFrame, a: DataFrame, b: DataFrame, km: float, least_km: float = 0.002) -> DataFrame:
+    """GEO-9. (a_id, b_id, side, kind, from_km, to_km): on each of the two lines the stretches shared with the other and the
+    rest between, before and after them. A stretch that begins or ends within ``km`` of the line's end reaches it."""
+
+    def sided(side: str, asked: DataFrame, line: DataFrame, other: DataFrame) -> DataFrame:
+        found = overlap_within(asked, line, other, km, least_km).join(line_lengths(line).select(F.col("line_id").alias("a_id"), "length_km"), "a_id")
+        shared = found.select("a_id", "b_id", "length_km", F.when(F.col("from_km") < km, 0.0).otherwise(F.col("from_km")).alias("from_km"), F.when(F.col("length_km") - F.col("to_km") < km, F.col("length_km")).otherwise(F.col("to_km")).alias("to_km"))
+        order = Window.partitionBy("a_id", "b_id").orderBy("from_km")
+        beside = shared.withColumns({"before": F.coalesce(F.lag("to_km").over(order), F.lit(0.0)), "last": F.lead("to_km").over(order).isNull()})
+        gaps = F.array(F.struct(F.col("before").alias("from_km"), F.col("from_km").alias("to_km")), F.when(F.col("last"), F.struct(F.col("to_km").alias("from_km"), F.col("length_km").alias("to_km"))))
+        rest = beside.select("a_id", "b_id", F.explode(gaps).alias("g")).where("g IS NOT NULL").select("a_id", "b_id", F.lit("rest").alias("kind"), "g.from_km", "g.to_km").where(F.col("to_km") - F.col("from_km") >= least_km)
+        return shared.select("a_id", "b_id", F.lit("shared").alias("kind"), "from_km", "to_km").unionByName(rest).withColumn("side", F.lit(side))
+
+    back = sided("b", pairs.select(F.col("b_id").alias("a_id"), F.col("a_id").alias("b_id")), b, a)
+    swapped = back.withColumnsRenamed({"a_id": "x_id", "b_id": "a_id"}).withColumnRenamed("x_id", "b_id")
+    return sided("a", pairs, a, b).unionByName(swapped).select("a_id", "b_id", "side", "kind", "from_km", "to_km")
 
 
 def sequentiality(pairs: DataFrame, v: DataFrame) -> DataFrame:

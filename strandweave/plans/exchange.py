@@ -656,11 +656,23 @@ def snap_sequence(t):
     return s.select("seq_id", "pt_no", F.round(F.col("dist_km") + 1e-9, 4).alias("dist_km"))
 
 
+def _stretches(c: DataFrame) -> DataFrame:
+    return c.select("a_id", "b_id", "side", "kind", *[F.round(F.col(x) + 1e-9, 5).alias(x) for x in ("from_km", "to_km")])
+
+
 @query
 def cospatial_lines(t):
+    """Agency lines and the references they match, on both."""
     pairs = agency_matches(t).select(F.col("edge_id").alias("a_id"), F.col("ref_id").alias("b_id"))
-    c = G.cospatiality(pairs, t.agency_points, t.ref_points, 0.02)
-    return c.select("a_id", "b_id", F.round(F.col("a_km") + 1e-9, 4).alias("a_km"), F.round(F.col("b_km") + 1e-9, 4).alias("b_km"), (F.round(F.col("a_to") - F.col("a_from"), 1)).alias("shared_km"))
+    return _stretches(G.cospatiality(pairs, t.agency_points, t.ref_points, 0.02))
+
+
+@query
+def cospatial_chords(t):
+    """References and the straight lines between their ends, which many leave in the middle: two shared stretches with a rest."""
+    chords = t.ref_points.where("pt_idx <> 1")
+    pairs = t.ref_segments.select(F.col("ref_id").alias("a_id"), F.col("ref_id").alias("b_id"))
+    return _stretches(G.cospatiality(pairs, t.ref_points, chords, 0.006))
 
 
 @query

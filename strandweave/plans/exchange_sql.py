@@ -21,6 +21,32 @@ CUT = """, total AS (SELECT line_id, SUM(km) AS km FROM ref_steps GROUP BY line_
   sliced AS (SELECT c.*, 2 + (SELECT COUNT(*) FROM spots WHERE line_id = c.ref_id AND at_km > section_start AND at_km < section_end) AS n_points, a.x AS lon_first, b.x AS lon_last, a.y AS lat_first, b.y AS lat_last FROM cuts c JOIN tips a ON a.ref_id = c.ref_id AND a.d_km = section_start JOIN tips b ON b.ref_id = c.ref_id AND b.d_km = section_end)"""
 POINTS = "n_points, " + ", ".join(f"ROUND({c}_{e} + 1e-9, 5) AS {c}_{e}" for c in ("lon", "lat") for e in ("first", "last"))
 
+
+
+def cospatial(asked: str, a: str, b: str, k: float) -> str:
+    """Stretches of segments within ``k`` km of segments: the discs at b's ends and the strip between them, met by a's line."""
+    scale = "radians(1) * 6371.0088"
+
+    def side(name: str, one: str, two: str, own: str, other: str) -> str:
+        return f"""
+m_{name} AS (SELECT {one} AS own_id, {two} AS other_id, a.from_km AS at_km, a.km, (a.x2 - a.x1) * kx AS dx, (a.y2 - a.y1) * {scale} AS dy, (b.x1 - a.x1) * kx AS px, (b.y1 - a.y1) * {scale} AS py, (b.x2 - a.x1) * kx AS qx, (b.y2 - a.y1) * {scale} AS qy
+  FROM ({asked}) JOIN (SELECT *, cos(radians(y1)) * {scale} AS kx FROM {own}) a ON a.line_id = {one} JOIN {other} b ON b.line_id = {two}),
+n_{name} AS (SELECT *, dx * dx + dy * dy AS l, sqrt(pow(qx - px, 2) + pow(qy - py, 2)) AS e, dx * px + dy * py AS p, dx * qx + dy * qy AS q FROM m_{name}),
+o_{name} AS (SELECT *, p * p - l * (px * px + py * py - {k * k!r}) AS rp, q * q - l * (qx * qx + qy * qy - {k * k!r}) AS rq,
+  -(px * (qx - px) + py * (qy - py)) / (e * e) AS u, (dx * (qx - px) + dy * (qy - py)) / (e * e) AS du, -(px * (qy - py) - py * (qx - px)) / e AS w, (dx * (qy - py) - dy * (qx - px)) / e AS dw FROM n_{name} WHERE l > 0),
+s_{name} AS (SELECT *, CASE WHEN abs(du) < 1e-12 THEN CASE WHEN u BETWEEN 0 AND 1 THEN -1e18 END ELSE least(-u / du, (1 - u) / du) END AS ulo, CASE WHEN abs(du) < 1e-12 THEN CASE WHEN u BETWEEN 0 AND 1 THEN 1e18 END ELSE greatest(-u / du, (1 - u) / du) END AS uhi,
+  CASE WHEN abs(dw) < 1e-12 THEN CASE WHEN abs(w) <= {k!r} THEN -1e18 END ELSE least((-{k!r} - w) / dw, ({k!r} - w) / dw) END AS wlo, CASE WHEN abs(dw) < 1e-12 THEN CASE WHEN abs(w) <= {k!r} THEN 1e18 END ELSE greatest((-{k!r} - w) / dw, ({k!r} - w) / dw) END AS whi FROM o_{name}),
+t_{name} AS (SELECT *, ulo IS NOT NULL AND wlo IS NOT NULL AND greatest(ulo, wlo) <= least(uhi, whi) AS strip FROM s_{name}),
+v_{name} AS (SELECT own_id, other_id, at_km, km, greatest(0, least(CASE WHEN rp >= 0 THEN (p - sqrt(rp)) / l END, CASE WHEN rq >= 0 THEN (q - sqrt(rq)) / l END, CASE WHEN strip THEN greatest(ulo, wlo) END)) AS lo, least(1, greatest(CASE WHEN rp >= 0 THEN (p + sqrt(rp)) / l END, CASE WHEN rq >= 0 THEN (q + sqrt(rq)) / l END, CASE WHEN strip THEN least(uhi, whi) END)) AS hi FROM t_{name} WHERE rp >= 0 OR rq >= 0 OR strip),
+z_{name} AS (SELECT own_id, other_id, at_km + km * lo AS lo, at_km + km * hi AS hi FROM v_{name} WHERE lo <= hi),
+r_{name} AS (SELECT *, SUM(CASE WHEN lo - reach <= 1e-7 THEN 0 ELSE 1 END) OVER (PARTITION BY own_id, other_id ORDER BY lo, hi ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, MAX(hi) OVER (PARTITION BY own_id, other_id ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM z_{name})),
+f_{name} AS MATERIALIZED (SELECT own_id, other_id, length_km, CASE WHEN lo < {k!r} THEN 0 ELSE lo END AS lo, CASE WHEN length_km - hi < {k!r} THEN length_km ELSE hi END AS hi FROM (SELECT own_id, other_id, MIN(lo) AS lo, MAX(hi) AS hi FROM r_{name} GROUP BY own_id, other_id, run HAVING MAX(hi) - MIN(lo) >= 0.002) JOIN (SELECT line_id AS own_id, SUM(km) AS length_km FROM {own} GROUP BY line_id) USING (own_id)),
+g_{name} AS (SELECT own_id, other_id, 'shared' AS kind, lo, hi FROM f_{name} UNION ALL SELECT own_id, other_id, 'rest', COALESCE(lag(hi) OVER (PARTITION BY own_id, other_id ORDER BY lo), 0), lo FROM f_{name} UNION ALL SELECT own_id, other_id, 'rest', MAX(hi), any_value(length_km) FROM f_{name} GROUP BY own_id, other_id)"""
+
+    rounded = "ROUND(lo + 1e-9, 5) AS from_km, ROUND(hi + 1e-9, 5) AS to_km"
+    return "," + side("a", "a_id", "b_id", a, b) + "," + side("b", "b_id", "a_id", b, a) + f" SELECT own_id AS a_id, other_id AS b_id, 'a' AS side, kind, {rounded} FROM g_a WHERE hi - lo >= 0.002 UNION ALL SELECT other_id, own_id, 'b', kind, {rounded} FROM g_b WHERE hi - lo >= 0.002"
+
+
 #: All shortest paths spelt out, those that go on or stand inside a longer one left out by comparing texts.
 ROUTES = (
     ", " + relaxed("SELECT route_id AS grp, from_node, to_node, 1 AS w FROM route_edges", "SELECT DISTINCT route_id AS grp, from_node AS source FROM route_edges", 10)
@@ -125,6 +151,8 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "split_lines": (("ref_steps",), ", n AS (SELECT line_id, km, greatest(ceil(km / 0.4::DOUBLE), 1)::BIGINT AS n FROM (SELECT line_id, SUM(km) AS km FROM ref_steps GROUP BY line_id)), i AS (SELECT *, unnest(range(n)) AS i FROM n) SELECT line_id, line_id || ':' || i AS section_id, ROUND(km * i / n + 1e-9, 4) AS from_km, ROUND(km * (i + 1) / n + 1e-9, 4) AS to_km FROM i"),
     "densified": (("ref_vertices",), "SELECT line_id, 2 * pt_idx AS pt_idx, x, y FROM ref_vertices UNION ALL SELECT line_id, 2 * pt_idx + 1, ROUND((x + nx) / 2, 7), ROUND((y + ny) / 2, 7) FROM ref_vertices WHERE nx IS NOT NULL"),
     "sequence_relations": (("canonical_seq",), "SELECT way_id AS a_id, way_id AS b_id, TRUE AS is_subset, TRUE AS is_subsequence, TRUE AS is_substring FROM canonical_seq WHERE len(ids) > 1"),
+    "cospatial_lines": (("matched", "agency_segments", "ref_segments_lines"), cospatial("SELECT edge_id AS a_id, ref_id AS b_id FROM matched WHERE is_forward = 1", "agency_segments", "ref_segments_lines", 0.02)),
+    "cospatial_chords": (("ref_segments_lines", "chord_segments"), cospatial("SELECT DISTINCT line_id AS a_id, line_id AS b_id FROM chord_segments", "ref_segments_lines", "chord_segments", 0.006)),
     "coincident_edges": (("agency_edges",), "SELECT edge_id + 1099511627776 AS edge_id, edge_id AS within FROM agency_edges WHERE edge_id % 3 = 0"),
     "infer_units": (("ref_segments",), "SELECT ref_id AS line_id, ['m', 'mi', 'km'][ref_id % 3 + 1] AS unit FROM ref_segments"),
     "snap_sequence": (("agency_edges", "agency_points", "path_segments"), f", e AS (SELECT path_id, path_edge_idx, x1 + 1e-4 AS px, y1 + 1e-4 AS py FROM agency_edges JOIN ({ENDS.format('agency_points')}) ON line_id = edge_id) SELECT path_id AS seq_id, path_edge_idx AS pt_no, ROUND(MIN({NEAREST}) + 1e-9, 4) AS dist_km FROM (SELECT *, {ALONG} AS t FROM e JOIN path_segments s ON s.line_id = path_id) GROUP BY ALL"),

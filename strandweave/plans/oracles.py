@@ -90,7 +90,8 @@ LIB = {
     "lens": """SELECT line_id, COUNT(*) AS n_points, SUM(km) AS length_km FROM {steps} GROUP BY line_id""",
     "ends": """SELECT line_id, arg_min(x, pt_idx) AS x1, arg_min(y, pt_idx) AS y1, arg_max(x, pt_idx) AS x2, arg_max(y, pt_idx) AS y2 FROM {curves} GROUP BY line_id""",
 }
-for _name, _points in (("ref", "ref_points"), ("agency", "agency_points"), ("path", "merged")):
+LIB["chord_points"] = "SELECT * FROM {ref_points} WHERE pt_idx <> 1"
+for _name, _points in (("ref", "ref_points"), ("agency", "agency_points"), ("path", "merged"), ("chord", "chord_points")):
     LIB[f"{_name}_vertices"] = LIB["vertices"].replace("{curves}", "{" + _points + "}")
     LIB[f"{_name}_steps"] = LIB["steps"].replace("{vertices}", "{" + _name + "_vertices}")
     LIB[f"{_name}_segments"] = "SELECT line_id, pt_idx, px AS x1, py AS y1, x AS x2, y AS y2, SUM(km) OVER o - km AS from_km, km FROM {" + _name + "_steps} WINDOW o AS (PARTITION BY line_id ORDER BY pt_idx) QUALIFY px IS NOT NULL"

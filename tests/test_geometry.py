@@ -26,11 +26,52 @@ def test_slice_and_points(spark, lines):
 
 
 def test_overlap_and_cospatiality(spark, lines):
-    row = geometry.cospatiality(pairs(spark, (1, 2)), lines.where("line_id = 1"), lines.where("line_id = 2"), 0.05).first()
-    assert row.a_from == pytest.approx(0, abs=1e-6) and row.a_to == pytest.approx(2 * KM, abs=1e-3) and row.b_after == pytest.approx(0, abs=1e-3)
+    rows = geometry.cospatiality(pairs(spark, (1, 2)), lines.where("line_id = 1"), lines.where("line_id = 2"), 0.05).collect()
+    assert {r.kind for r in rows} == {"shared"} and {r.side for r in rows} == {"a", "b"}
+    assert all(r.from_km == 0 and r.to_km == pytest.approx(2 * KM, abs=1e-3) for r in rows)
     assert geometry.overlap_within(pairs(spark, (4, 1)), lines, lines, 0.05).isEmpty()
 
 
+def test_shared_stretches_with_gaps_equal_samples(spark):
+    """Lines that part and meet again, cross, touch in a point or stand still, against points every metre."""
+    import math
+    import random
+
+    draw = random.Random(3)
+    step = 1 / 111_195  # a metre
+    lines = {k: [(x * step, y * step) for x, y in points] for k, points in {
+        0: [(0, 0), (1000, 0)], 1: [(0, 5), (300, 5), (400, 80), (600, 80), (700, 5), (1000, 5)], 2: [(500, -300), (500, 300)], 3: [(0, 0), (0, 0), (1000, 0)],
+        4: [(100, 9), (100, 9)], **{k: [(draw.uniform(0, 400), draw.uniform(0, 400)) for _ in range(5)] for k in range(5, 9)},
+    }.items()}
+    asked = [(0, 1), (1, 0), (0, 2), (3, 1), (0, 4), *[(a, b) for a in range(5, 9) for b in range(5, 9)]]
+    v = spark.createDataFrame([(k, i, x, y) for k, points in lines.items() for i, (x, y) in enumerate(points)], "line_id int, pt_idx int, x double, y double")
+    km = 0.01
+    found = {}
+    for r in geometry.overlap_within(pairs(spark, *asked), v, v, km, 0.0).collect():
+        found.setdefault((r.a_id, r.b_id), []).append((r.from_km, r.to_km))
+
+    def gap(p, s, e):
+        (x, y), (a, b), (c, d) = p, s, e
+        n = (c - a) ** 2 + (d - b) ** 2
+        t = max(0, min(1, ((x - a) * (c - a) + (y - b) * (d - b)) / n)) if n else 0
+        return math.dist(p, (a + t * (c - a), b + t * (d - b))) / step / 1000
+
+    for a, b in asked:
+        at = 0.0
+        for s, e in zip(lines[a], lines[a][1:]):
+            length = math.dist(s, e) / step / 1000
+            for i in range(int(length * 1000)):
+                f = (i + 0.5) / 1000 / length
+                p = s[0] + f * (e[0] - s[0]), s[1] + f * (e[1] - s[1])
+                far = min(gap(p, *other) for other in zip(lines[b], lines[b][1:]))
+                if abs(far - km) > 1e-4:
+                    assert any(x <= at + f * length <= y for x, y in found.get((a, b), [])) == (far < km), (a, b, at + f * length)
+            at += length
+    assert len(found[0, 1]) == 2
+    both = geometry.cospatiality(pairs(spark, (0, 1)), v, v, km).where("side = 'a'").orderBy("from_km").collect()
+    assert [r.kind for r in both] == ["shared", "rest", "shared"] and both[0].from_km == 0
+
+
 def test_adjacent_lines(spark, lines):
     got = {(r.a_id, r.b_id): (r.order, r.has_gap) for r in geometry.merge_if_adjacent(pairs(spark, (1, 3), (3, 1), (1, 4)), lines).collect()}
     assert got == {(1, 3): ("ab", False), (3, 1): ("ba", False), (1, 4): (None, True)}
