@@ -67,12 +67,62 @@ def test_settle_is_idempotent_and_only_removes(spark):
         a = round(draw.random(), 3)
         rows.append((i % 12, 0, i % 15, 1, i, draw.randrange(6), a, round(a + 0.1, 3)))
     claims = spark.createDataFrame(rows, CLAIM)
-    none = claims.select(*assign.SECTION).limit(0)
-    once = assign.settle(assign.State(claims, none, none))
-    left = {tuple(r) for r in once.claims.collect()}
-    assert left <= {tuple(r) for r in claims.select(*once.claims.columns).collect()}
-    twice = assign.settle(once)
-    assert {tuple(r) for r in twice.claims.collect()} == left
-    assert twice.awards.count() == once.awards.count()
-    keys = [(r.ref_id, r.section_start) for r in once.awards.collect()]
+    run = assign.Disputes(claims)
+    run.settle()
+    once = run.state()
+    left, awards = {tuple(r) for r in once.claims.collect()}, [tuple(r) for r in once.awards.collect()]
+    assert left <= {tuple(r) for r in claims.select(*once.claims.columns).collect()} and len(left) == run.n
+    run.settle()
+    twice = run.state()
+    assert {tuple(r) for r in twice.claims.collect()} == left and sorted(map(tuple, twice.awards.collect())) == sorted(awards)
+    keys = [(r[0], r[3]) for r in awards]
     assert len(keys) == len(set(keys))
+
+
+def test_rules_judge_only_disputes_that_changed(spark):
+    rows = [(p, 0, p, 1, 0, ref, 0.0, 0.5) for ref in range(4) for p in (10 * ref, 10 * ref + 1)]
+    run, met = assign.Disputes(spark.createDataFrame(rows, CLAIM)), []
+
+    def drop(*paths):
+        def rule(claims):
+            met.append(sorted({r.ref_id for r in claims.collect()}))
+            return claims.where(~claims.path_id.isin(list(paths)))
+
+        return rule
+
+    run.judge("a", drop(1, 11))  # two disputes are left with one party, and settled
+    run.judge("a", drop(99))
+    run.judge("a", drop(99))
+    run.judge("b", drop(20))
+    run.judge("a", drop(99))
+    assert met == [[0, 1, 2, 3], [], [2, 3], []] and run.n == 2
+    assert sorted(r.ref_id for r in run.state().awards.collect()) == [0, 1, 2]
+
+
+def test_sweep_over_a_hot_reference_equals_plain_order(spark):
+    """A third of all points on one reference: neighbours and numbers as in one order, no task with more than a bin."""
+    draw = random.Random(7)
+    points = sorted({(1 if i % 3 == 0 else draw.randrange(2, 40), round(draw.random() * 30, 4)) for i in range(3000)})
+    df = spark.createDataFrame(points, "ref_id long, at double")
+    got = {(r.ref_id, r.at): (r["__prev"], r["__next"], r["__number"], r["__total"]) for r in sections.sweep(df, ["ref_id"], "at").collect()}
+    for ref in {r for r, _ in points}:
+        own = [at for r, at in points if r == ref]
+        for i, at in enumerate(own):
+            assert got[ref, at] == (own[i - 1] if i else None, own[i + 1] if i + 1 < len(own) else None, i, len(own))
+    assert df.withColumn("bin", sections.F.floor(df.at / sections.BIN_KM)).groupBy("ref_id", "bin").count().agg({"count": "max"}).first()[0] < 40
+
+
+def test_strict_consolidation_equals_plain_unions(spark):
+    draw = random.Random(11)
+    rows = [(1, i % 4, 1, a, a + draw.choice([0.02, 0.3, 1.5])) for i in range(300) for a in [round(draw.random() * 40, 4)]]
+    got = sorted((r.edge_id, round(r.section_start, 6), round(r.section_end, 6)) for r in sections._islands(spark.createDataFrame(rows, SECTION), ["ref_id", "edge_id", "is_forward"], 1e-5).collect())
+    want = []
+    for edge in range(4):
+        union = []
+        for _, _, _, a, b in sorted(r for r in rows if r[1] == edge):
+            if union and a - union[-1][1] <= 1e-5:
+                union[-1][1] = max(union[-1][1], b)
+            else:
+                union.append([a, b])
+        want += [(edge, round(a, 6), round(b, 6)) for a, b in union]
+    assert got == sorted(want)
