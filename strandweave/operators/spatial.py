@@ -50,29 +50,61 @@ def spatial_overlap(a: DataFrame, b: DataFrame, km: float) -> DataFrame:
     return dist.groupBy("a_id", "b_id").agg(F.min("dist_km").alias("dist_km")).where(F.col("dist_km") <= km)
 
 
-def knn_points(points: DataFrame, targets: DataFrame, k: int = 10, km: float = 1.0) -> DataFrame:
-    """JN-8. (point_id, target_id, dist_km, rank): the ``k`` nearest targets of each point, by growing rings of cells.
+#: Levels of the tree of cells: cells of level n are 180 / 2^n degrees wide; the last are about four metres.
+LAST_LEVEL, LEVELS_A_STEP = 22, 2
 
-    A ring of cells of width w proves every target within w; points whose k-th neighbour is not proved go on to a
-    ring twice as wide, until all are proved or a cell is as wide as the earth, where all targets have been met.
+
+def _tree_cell(x: Column, y: Column, level: int) -> list[Column]:
+    size = 180 / 2**level
+    return [F.floor((x + 180) / size).alias("cx"), F.floor((y + 90) / size).alias("cy")]
+
+
+def knn_points(points: DataFrame, targets: DataFrame, k: int = 10) -> DataFrame:
+    """JN-8. (point_id, target_id, dist_km, rank): the ``k`` nearest targets of each point, by descent in a tree of cells.
+
+    Targets are counted by cell at every level. A step puts the cells below in the place of each point's open cells, takes as
+    the point's reach the least distance within which cells that hold ``k`` targets lie whole, and drops the cells that begin
+    beyond it. Cells of at most ``k`` targets are not opened any more, so where targets are dense cells are small:
+    a point keeps about as many rows whatever the densest cell holds. What is left is compared exactly. Of targets
+    in one place the ``k`` smallest ids stand for all.
     """
-    rest, done, width = points, None, km
-    targets = cut(targets.select("target_id", F.col("x").alias("tx"), F.col("y").alias("ty")), "targets")
-    order = Window.partitionBy("point_id").orderBy(F.round("dist_km", 9), "target_id")
-    while True:
-        last = width > 2 * EARTH_KM
-        t = targets.withColumn("c", _cell(F.col("tx"), F.col("ty"), width))
-        offs = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-        p = rest.select("point_id", "x", "y", _cell(F.col("x"), F.col("y"), width).alias("c"), F.explode(offs).alias("o"))
-        met = p.join(t, (p["c.cx"] + p["o.dx"] == t["c.cx"]) & (p["c.cy"] + p["o.dy"] == t["c.cy"])).select("point_id", "target_id", haversine(F.col("x"), F.col("y"), F.col("tx"), F.col("ty")).alias("dist_km"))
-        ranked = cut(met.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "ranked")
-        sure = ranked.where((F.col("rank") == k) & (F.lit(last) | (F.col("dist_km") <= width))).select("point_id")
-        part = ranked if last else ranked.join(sure, "point_id", "left_semi")
-        done = part if done is None else done.unionByName(part)
-        rest = cut(rest.select("point_id", "x", "y").join(sure, "point_id", "left_anti"), "unproved")
-        if last or rest.isEmpty():
-            return done
-        width *= 4
+    at = ["cx", "cy"]
+    place = F.row_number().over(Window.partitionBy("x", "y").orderBy("target_id"))
+    own = cut(targets.select("target_id", "x", "y").withColumn("place", place).where(F.col("place") <= k).drop("place"), "targets")
+    steps = list(range(0, LAST_LEVEL + 1, LEVELS_A_STEP))
+    cells = [cut(own.groupBy(*_tree_cell(F.col("x"), F.col("y"), n)).agg(F.count("*").alias("n")), "cells") for n in steps]
+    open_ = points.select("point_id", F.col("x").alias("px"), F.col("y").alias("py")).crossJoin(F.broadcast(cells[0]))  # two at most
+    held, km = None, KM_PER_DEGREE
+
+    def pruned(rows: DataFrame, level: Column) -> DataFrame:
+        """``rows`` (point_id, px, py, level, cx, cy, n) that begin within their point's reach."""
+        size = F.lit(180.0) / F.pow(F.lit(2.0), level)
+        x0, y0 = F.col("cx") * size - 180, F.col("cy") * size - 90
+        gap = lambda p, low: F.greatest(low - p, p - low - size, F.lit(0.0))
+        wide = lambda p, low: F.greatest(F.abs(p - low), F.abs(p - low - size))
+        # no way is shorter than along the meridian or square onto it, and none need be longer than both in turn
+        east = F.asin(F.cos(F.col("py") * RAD) * F.sin(F.least(gap(F.col("px"), x0), F.lit(90.0)) * RAD)) * EARTH_KM
+        bounds = rows.withColumns({"least": F.greatest(gap(F.col("py"), y0) * km, east), "most": (wide(F.col("px"), x0) + wide(F.col("py"), y0)) * km})
+        order = Window.partitionBy("point_id").orderBy("most", "level", *at).rowsBetween(Window.unboundedPreceding, 0)
+        met = bounds.withColumn("met", F.sum("n").over(order))
+        reach = F.min(F.when(F.col("met") >= k, F.col("most"))).over(Window.partitionBy("point_id"))
+        return met.withColumn("reach", F.coalesce(reach, F.lit(float("inf")))).where(F.col("least") <= F.col("reach") + 1e-6).select("point_id", "px", "py", "level", *at, "n")
+
+    state = cut(open_.withColumn("level", F.lit(0)), "open")
+    for number, level in enumerate(steps[1:], 1):
+        full = state.where((F.col("n") > k) & (F.col("level") == steps[number - 1]))
+        below = cells[number].select((F.col("cx") / 2**LEVELS_A_STEP).cast("long").alias("ux"), (F.col("cy") / 2**LEVELS_A_STEP).cast("long").alias("uy"), F.col("cx").alias("dx"), F.col("cy").alias("dy"), F.col("n").alias("m"))
+        opened = full.join(below, (F.col("cx") == F.col("ux")) & (F.col("cy") == F.col("uy"))).select("point_id", "px", "py", F.lit(level).alias("level"), F.col("dx").alias("cx"), F.col("dy").alias("cy"), F.col("m").alias("n"))
+        rest = state.where(~((F.col("n") > k) & (F.col("level") == steps[number - 1])))
+        following = cut(pruned(opened.unionByName(rest), F.col("level")), "open")
+        release(state)
+        state = following
+    for number, level in enumerate(steps):
+        inside = own.select("target_id", "x", "y", *_tree_cell(F.col("x"), F.col("y"), level))
+        part = state.where(F.col("level") == level).join(inside, at).select("point_id", "target_id", haversine(F.col("px"), F.col("py"), F.col("x"), F.col("y")).alias("dist_km"))
+        held = part if held is None else held.unionByName(part)
+    rank = F.row_number().over(Window.partitionBy("point_id").orderBy(F.round("dist_km", 9), "target_id"))
+    return held.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def od_pairs(sources: DataFrame, sinks: DataFrame) -> DataFrame:

@@ -169,7 +169,7 @@ def test_nearest_points(spark):
     t = spark.createDataFrame([(i, i * 0.013, 0.0) for i in range(30)], "target_id int, x double, y double")
     p = spark.createDataFrame([(1, 0.0, 0.0), (2, 3.0, 0.0)], "point_id int, x double, y double")
     got = {}
-    for r in spatial.knn_points(p, t, 3, km=0.5).collect():
+    for r in spatial.knn_points(p, t, 3).collect():
         got.setdefault(r.point_id, []).append((r.rank, r.target_id))
     assert sorted(got[1]) == [(1, 0), (2, 1), (3, 2)] and sorted(got[2]) == [(1, 29), (2, 28), (3, 27)]
 
@@ -184,6 +184,28 @@ def test_chains(spark):
     assert [r.node for r in nodes.orderBy("idx").collect()] == [1, 2, 3]
 
 
+def test_nearest_targets_where_a_third_lie_in_one_cell(spark):
+    """Against brute force: dense, sparse and repeated targets, points far off, fewer targets than asked for; few rows a point."""
+    import math
+    import random
+
+    draw = random.Random(12)
+    targets = [(i, -73.7 + draw.uniform(0, 0.001), 42.6 + draw.uniform(0, 0.001)) for i in range(300)] + [(i, draw.uniform(-80, -70), draw.uniform(35, 45)) for i in range(300, 600)] + [(i, -75.0, 41.0) for i in range(600, 640)]
+    points = [(0, -73.6995, 42.6005), (1, -73.71, 42.61), (2, -75.0, 41.0), (3, -60.0, 10.0), (4, 170.0, -80.0), *[(i, draw.uniform(-80, -70), draw.uniform(35, 45)) for i in range(5, 20)]]
+    df = lambda rows, name: spark.createDataFrame(rows, f"{name} long, x double, y double")
+
+    def km(x1, y1, x2, y2):
+        x1, y1, x2, y2 = map(math.radians, (x1, y1, x2, y2))
+        return 2 * 6371.0088 * math.asin(min(1, math.sqrt(math.sin((y2 - y1) / 2) ** 2 + math.cos(y1) * math.cos(y2) * math.sin((x2 - x1) / 2) ** 2)))
+
+    got = {(r.point_id, r["rank"]): r.target_id for r in spatial.knn_points(df(points, "point_id"), df(targets, "target_id"), 5).collect()}
+    for p, x, y in points:
+        want = sorted((round(km(x, y, tx, ty), 9), t) for t, tx, ty in targets)[:5]
+        assert [got[p, i + 1] for i in range(5)] == [t for _, t in want], p
+    few = spatial.knn_points(df(points[:2], "point_id"), df(targets[:3], "target_id"), 5)
+    assert few.count() == 6
+
+
 def test_paths(spark, lines):
     e = spark.createDataFrame([(1, 1, 1, 2, 1.0, 0), (1, 2, 2, 3, 1.0, 0), (1, 3, 3, 4, 1.0, 0)], "route_id int, edge_id long, from_node long, to_node long, weight double, road_class int")
     assert [r.edge_id for r in graph.route_paths_topological(e).orderBy("path_edge_idx").collect()] == [1, 2, 3]
