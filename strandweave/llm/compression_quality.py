@@ -101,13 +101,13 @@ def fit_texts(good: list[str], bad: list[str]) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 3000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """A model from at most ``per_class`` rows of each class that are not held out."""
-    known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label")).where(~held_out("__id") & F.col("__label").isin(0, 1))
+    """A model from at most ``per_class`` ids of each class that are not held out; repeated label rows count once."""
+    known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).alias("__label")).where(~held_out("__id") & F.col("__label").isin(0, 1)).distinct()
     chosen = None
     for label in (0, 1):
         part = known.where(F.col("__label") == label).orderBy(F.xxhash64("__id"), "__id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen.distinct()), "__id")  # at most 2 x per_class ids
+    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).join(F.broadcast(chosen), "__id")  # at most 2 x per_class ids
     sample = texts.groupBy("__label", "__id").agg(F.min(F.substring("__text", 1, SAMPLE)).alias("__text"))
     rows = sample.select("__label", "__text", F.xxhash64("__id").alias("__order")).collect()
     rows.sort(key=lambda r: (r["__order"], r["__text"] or ""))

@@ -523,3 +523,11 @@ def test_long_words_and_slices_keep_the_best_pieces(pieces, monkeypatch):
         unknown = len(b"".join(pieces.text_of[i] for i in ids if i not in score).decode("utf-8"))
         assert sum(score.get(i, 0.0) for i in ids) + unknown * pieces.unknown == pytest.approx(best_sum(pieces, text))
         assert pieces.decode(ids) == text
+
+
+def test_repeated_label_rows_do_not_use_up_the_sample(spark):
+    """One id that holds most label rows leaves the model as it is without the repeats."""
+    docs = spark.createDataFrame([(i, ("good prose about things " if i % 2 else "BUY !!! now $$$ ") * (3 + i % 5) + str(i)) for i in range(60)], "doc_id long, text string")
+    once = [(i, i % 2) for i in range(60)]
+    fits = [compression_quality.fit(docs, spark.createDataFrame(rows, "doc_id long, quality int"), per_class=20) for rows in (once, once + [(1, 1)] * 500 + [(2, 0)] * 500)]
+    assert (fits[0].slope, fits[0].intercept) == (fits[1].slope, fits[1].intercept) and fits[0].good == fits[1].good
