@@ -73,10 +73,9 @@ def line_segments(v: DataFrame) -> DataFrame:
     return m.select("line_id", F.col("pt_idx").alias("seg_idx"), F.col("x").alias("x1"), F.col("y").alias("y1"), nxt("x").alias("x2"), nxt("y").alias("y2"), F.col("at_km").alias("from_km"), nxt("at_km").alias("to_km")).where("x2 IS NOT NULL")
 
 
-def snaps(pairs: DataFrame, v: DataFrame) -> DataFrame:
-    """Every (point, segment) of a pair's line: pairs (point_id, line_id, px, py) x segments, with t along the
-    segment, the distance, and the distance along the line. Planar around the point."""
-    s = pairs.join(line_segments(v), "line_id")
+def snapped(s: DataFrame) -> DataFrame:
+    """Rows of a point (px, py) and a segment with t along the segment, the distance, and the distance along the line. Planar
+    around the point."""
     k = F.cos(F.col("py") * RAD)
     dx, dy = (F.col("x2") - F.col("x1")) * k, F.col("y2") - F.col("y1")
     px, py = (F.col("px") - F.col("x1")) * k, F.col("py") - F.col("y1")
@@ -86,10 +85,20 @@ def snaps(pairs: DataFrame, v: DataFrame) -> DataFrame:
     return s.withColumns({"dist_km": near, "along_km": F.col("from_km") + F.col("t") * (F.col("to_km") - F.col("from_km"))})
 
 
+def snaps(pairs: DataFrame, v: DataFrame) -> DataFrame:
+    """Every (point, segment) of a pair's line: pairs (point_id, line_id, px, py) x segments, as :func:`snapped` has them."""
+    return snapped(pairs.join(line_segments(v), "line_id"))
+
+
+def nearest_snaps(met: DataFrame) -> DataFrame:
+    """The nearest of the snaps of each point and line, earlier along the line on ties."""
+    best = F.min_by(F.struct("dist_km", "along_km", "seg_idx"), F.struct(F.round("dist_km", 9), F.round("along_km", 9), "seg_idx"))
+    return met.groupBy("point_id", "line_id").agg(best.alias("b")).select("point_id", "line_id", "b.*")
+
+
 def nearest_on_line(pairs: DataFrame, v: DataFrame) -> DataFrame:
     """GEO-4, SRT-4. The nearest snap of each point, earlier along the line on ties."""
-    best = F.min_by(F.struct("dist_km", "along_km", "seg_idx"), F.struct(F.round("dist_km", 9), F.round("along_km", 9), "seg_idx"))
-    return snaps(pairs, v).groupBy("point_id", "line_id").agg(best.alias("b")).select("point_id", "line_id", "b.*")
+    return nearest_snaps(snaps(pairs, v))
 
 
 def points_along(v: DataFrame, distances: DataFrame) -> DataFrame:

@@ -1,57 +1,86 @@
-"""Spatial joins on a grid, candidate matching and choice of reference chains.
+"""Spatial joins on a tree of cells, candidate matching and choice of reference chains.
 
-A line occupies the grid cells of its densified vertices; lines that come within ``km`` of each other share a
-cell if one side also takes the neighbouring cells, so the join is an equi-join on cells, refined by exact
-distances. Cells are at least ``km`` wide.
+Segments are covered by cells whose level follows their length; a point has one cell a level, so what comes within ``km``
+of each other meets in an equi-join on cells, refined by exact distances. Lines across the 180th meridian are two.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from strandweave.operators.geometry import EARTH_KM, RAD, curve_similarity, haversine, line_ends, line_lengths, line_segments, line_slice, nearest_on_line, points_along, reverse_lines
+from strandweave.operators.geometry import EARTH_KM, RAD, curve_similarity, haversine, line_ends, line_lengths, line_segments, line_slice, nearest_on_line, nearest_snaps, points_along, reverse_lines, snapped
 from strandweave.operators.graph import best_parallel, merge_path, path_nodes, reverse_path, shortest_paths
 from strandweave.plans.cut import cut, release
 
 KM_PER_DEGREE = EARTH_KM * RAD
 
 
-def _cell(x: Column, y: Column, km: float) -> Column:
-    """Cells of a fixed width in degrees of latitude; twice as wide in longitude, wide enough to 60 degrees."""
-    size = km / KM_PER_DEGREE
-    return F.struct(F.floor(x / (2 * size)).alias("cx"), F.floor(y / size).alias("cy"))
+#: Cells of level n are 180 / 2^n degrees wide; the finest are about four metres.
+FINEST_LEVEL = 22
 
 
-def line_cells(v: DataFrame, km: float, ring: int = 0) -> DataFrame:
-    """GEO-7. (line_id, cx, cy): cells a line passes, and those ``ring`` around them."""
+def segment_covers(v: DataFrame, km: float, most: int = 4) -> DataFrame:
+    """GEO-7. Segments of lines with ``n``, ``level``, ``east`` and ``north``: how many pieces a segment is covered in, the level
+    of its cells and the margin of ``km`` in degrees.
+
+    A segment is cut into ``most`` equal pieces, or fewer where they would be shorter than twice ``km``. The level is the
+    finest whose cells are as wide as a piece with its margins, so long segments take coarse cells.
+    """
     s = line_segments(v)
-    parts = F.greatest(F.ceil((F.col("to_km") - F.col("from_km")) / (km / 2)).cast("int"), F.lit(1))
-    steps = s.withColumn("n", parts).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n"))))
-    f = F.col("i") / F.col("n")
-    c = _cell(F.col("x1") + f * (F.col("x2") - F.col("x1")), F.col("y1") + f * (F.col("y2") - F.col("y1")), km)
-    own = steps.select("line_id", c.alias("c")).distinct()
-    if not ring:
-        return own.select("line_id", "c.cx", "c.cy")
-    offs = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in range(-ring, ring + 1) for j in range(-ring, ring + 1)])
-    return own.select("line_id", "c", F.explode(offs).alias("o")).select("line_id", (F.col("c.cx") + F.col("o.dx")).alias("cx"), (F.col("c.cy") + F.col("o.dy")).alias("cy")).distinct()
+    n = F.greatest(F.lit(1), F.least(F.lit(most), F.ceil((F.col("to_km") - F.col("from_km")) / (2 * km)))).cast("int")
+    north = km / KM_PER_DEGREE * 1.001
+    widest = F.least(F.lit(90.0), F.greatest(F.abs("y1"), F.abs("y2")) + north)
+    east = F.least(F.lit(360.0), F.lit(north) / F.greatest(F.cos(widest * RAD), F.lit(1e-6)))
+    s = s.withColumns({"n": n, "east": east, "north": F.lit(north)})
+    width = F.greatest(F.abs(F.col("x2") - F.col("x1")) / F.col("n") + 2 * F.col("east"), F.abs(F.col("y2") - F.col("y1")) / F.col("n") + 2 * F.col("north"))
+    return s.withColumn("level", F.greatest(F.lit(0), F.least(F.lit(FINEST_LEVEL), F.floor(F.log2(180 / width)))).cast("int"))
+
+
+def cover_cells(covers: DataFrame) -> DataFrame:
+    """GEO-7. :func:`segment_covers` with cx, cy: the cells of each, four a piece at most, each once."""
+    f = lambda i: i / F.col("n")
+    first = lambda a, z, i, margin, zero: F.floor((F.least(a + f(i) * (z - a), a + f(i + 1) * (z - a)) - margin + zero) / F.col("size"))
+    last = lambda a, z, i, margin, zero: F.floor((F.greatest(a + f(i) * (z - a), a + f(i + 1) * (z - a)) + margin + zero) / F.col("size"))
+    x, y = (F.col("x1"), F.col("x2")), (F.col("y1"), F.col("y2"))
+    of = lambda i: F.struct(*[edge(*c, i, F.col(m), zero).alias(name) for name, edge, c, m, zero in (("x0", first, x, "east", 180), ("xn", last, x, "east", 180), ("y0", first, y, "north", 90), ("yn", last, y, "north", 90))])
+    grid = lambda b: F.flatten(F.transform(F.sequence(b["x0"], b["xn"]), lambda cx: F.transform(F.sequence(b["y0"], b["yn"]), lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))))
+    boxes = covers.withColumn("size", F.lit(180.0) / F.pow(F.lit(2.0), F.col("level"))).withColumn("boxes", F.transform(F.sequence(F.lit(0), F.col("n") - 1), of))
+    cells = F.array_distinct(F.flatten(F.transform(F.array_distinct("boxes"), grid)))
+    return boxes.withColumn("c", F.explode(cells)).select(*covers.columns, "c.cx", "c.cy")
+
+
+def near_places(points: DataFrame, v: DataFrame, km: float) -> DataFrame:
+    """JN-7. (point_id, line_id, dist_km, along_km, seg_idx): the nearest place within ``km`` of each point (point_id, px, py)
+    on every line that has one; earlier along the line on ties.
+
+    A point meets only segments with a cell of its own and in whose widened box it lies; the distance is tested after the
+    nearest is found, since as a condition of the join it would be computed many times over. A point has one cell at each
+    level that segments are covered at, which are 23 at most; they are counted among the written segments.
+    """
+    covers = cut(segment_covers(v, km), "covers")
+    levels = sorted(r.level for r in covers.select("level").distinct().collect()) or [0]
+    size = F.lit(180.0) / F.pow(F.lit(2.0), F.col("level"))
+    placed = points.select("point_id", "px", "py", F.explode(F.array(*map(F.lit, levels))).alias("level"))
+    placed = placed.withColumns({"cx": F.floor((F.col("px") + 180) / size), "cy": F.floor((F.col("py") + 90) / size)})
+    inside = [F.col(p).between(F.least(a, z) - F.col(m), F.greatest(a, z) + F.col(m)) for p, a, z, m in (("px", "x1", "x2", "east"), ("py", "y1", "y2", "north"))]
+    met = placed.join(cover_cells(covers), ["level", "cx", "cy"]).where(inside[0] & inside[1])
+    return nearest_snaps(snapped(met)).where(F.col("dist_km") <= km)
 
 
-def near_pairs(a: DataFrame, b: DataFrame, km: float) -> DataFrame:
-    """JN-7, candidates: (a_id, b_id) of lines that share a cell of width ``km`` or adjoin one."""
-    return line_cells(a, km, 1).withColumnRenamed("line_id", "a_id").join(line_cells(b, km).withColumnRenamed("line_id", "b_id"), ["cx", "cy"]).select("a_id", "b_id").distinct()
+def vertices(v: DataFrame) -> DataFrame:
+    """Points of a vertex table for :func:`near_places`, named by line and index."""
+    return v.select(F.struct("line_id", "pt_idx").alias("point_id"), F.col("x").alias("px"), F.col("y").alias("py"))
 
 
 def spatial_overlap(a: DataFrame, b: DataFrame, km: float) -> DataFrame:
     """JN-7. (a_id, b_id, dist_km): lines within ``km``, by the least distance between vertices of either and the other line."""
-    pairs = near_pairs(a, b, km)
-    one = pairs.join(a.withColumnRenamed("line_id", "a_id"), "a_id").select(F.struct("a_id", "b_id", "pt_idx").alias("point_id"), F.col("b_id").alias("line_id"), F.col("x").alias("px"), F.col("y").alias("py"))
-    two = pairs.join(b.withColumnRenamed("line_id", "b_id"), "b_id").select(F.struct("a_id", "b_id", "pt_idx").alias("point_id"), F.col("a_id").alias("line_id"), F.col("x").alias("px"), F.col("y").alias("py"))
-    dist = nearest_on_line(one, b).select("point_id.*", "dist_km").unionByName(nearest_on_line(two, a).select("point_id.*", "dist_km"))
-    return dist.groupBy("a_id", "b_id").agg(F.min("dist_km").alias("dist_km")).where(F.col("dist_km") <= km)
+    one = near_places(vertices(a), b, km).select(F.col("point_id.line_id").alias("a_id"), F.col("line_id").alias("b_id"), "dist_km")
+    two = near_places(vertices(b), a, km).select(F.col("line_id").alias("a_id"), F.col("point_id.line_id").alias("b_id"), "dist_km")
+    return one.unionByName(two).groupBy("a_id", "b_id").agg(F.min("dist_km").alias("dist_km"))
 
 
-#: Levels of the tree of cells: cells of level n are 180 / 2^n degrees wide; the last are about four metres.
-LAST_LEVEL, LEVELS_A_STEP = 22, 2
+#: Levels of the tree that one step of the descent goes down.
+LEVELS_A_STEP = 2
 
 
 def _tree_cell(x: Column, y: Column, level: int) -> list[Column]:
@@ -71,7 +100,7 @@ def knn_points(points: DataFrame, targets: DataFrame, k: int = 10) -> DataFrame:
     at = ["cx", "cy"]
     place = F.row_number().over(Window.partitionBy("x", "y").orderBy("target_id"))
     own = cut(targets.select("target_id", "x", "y").withColumn("place", place).where(F.col("place") <= k).drop("place"), "targets")
-    steps = list(range(0, LAST_LEVEL + 1, LEVELS_A_STEP))
+    steps = list(range(0, FINEST_LEVEL + 1, LEVELS_A_STEP))
     cells = [cut(own.groupBy(*_tree_cell(F.col("x"), F.col("y"), n)).agg(F.count("*").alias("n")), "cells") for n in steps]
     open_ = points.select("point_id", F.col("x").alias("px"), F.col("y").alias("py")).crossJoin(F.broadcast(cells[0]))  # two at most
     held, km = None, KM_PER_DEGREE
@@ -115,29 +144,24 @@ def od_pairs(sources: DataFrame, sinks: DataFrame) -> DataFrame:
 def match_edges(edges: DataFrame, refs: DataFrame, km: float = 0.03, samples: int = 11, share: float = 0.5, centerline: bool = False) -> DataFrame:
     """MAT-1. (edge_id, ref_id, is_forward, section_start, section_end, score_km): reference sections along which an edge runs.
 
-    Candidates share grid cells; the edge is sampled at equal distances, and a reference matches if ``share``
-    of the samples lie within ``km`` of it. The section reaches from the least to the greatest distance along
+    The edge is sampled at equal distances; each sample meets the segments whose cells it lies in, and a reference matches
+    if ``share`` of the samples lie within ``km`` of it. The section reaches from the least to the greatest distance along
     the reference; the score is the samples' mean distance. The edge must run the reference's way, from its first
     close sample to the last; centerlines match the opposite way too, with ``is_forward`` 0.
     """
-    near = near_pairs(edges, refs, km)
-    lens = line_lengths(edges).select(F.col("line_id").alias("a_id"), "length_km")
-    at = lens.select("a_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: F.col("length_km") * i / (samples - 1))).alias("d_km")).distinct()
-    where = points_along(edges, at.withColumnRenamed("a_id", "line_id")).withColumnRenamed("line_id", "a_id")
-    asked = near.join(where, "a_id").select(F.struct("a_id", "b_id", "d_km").alias("point_id"), F.col("b_id").alias("line_id"), F.col("x").alias("px"), F.col("y").alias("py"))
-    hit = nearest_on_line(asked, refs).select("point_id.*", "dist_km", "along_km")
-    close = F.col("dist_km") <= km
-    if_close = lambda c: F.when(close, F.col(c))
+    lens = line_lengths(edges).select("line_id", "length_km")
+    at = lens.select("line_id", F.explode(F.transform(F.sequence(F.lit(0), F.lit(samples - 1)), lambda i: F.col("length_km") * i / (samples - 1))).alias("d_km")).distinct()
+    asked = points_along(edges, at).select(F.struct("line_id", "d_km").alias("point_id"), F.col("x").alias("px"), F.col("y").alias("py"))
+    hit = near_places(asked, refs, km).select(F.col("point_id.line_id").alias("a_id"), F.col("line_id").alias("b_id"), "point_id.d_km", "dist_km", "along_km")
     found = hit.groupBy("a_id", "b_id").agg(
-        F.count("*").alias("n"),
-        F.count_if(close).alias("n_close"),
-        F.min(if_close("along_km")).alias("section_start"),
-        F.max(if_close("along_km")).alias("section_end"),
-        F.avg(if_close("dist_km")).alias("score_km"),
-        F.min_by(if_close("along_km"), if_close("d_km")).alias("first"),
-        F.max_by(if_close("along_km"), if_close("d_km")).alias("last"),
+        F.count("*").alias("n_close"),
+        F.min("along_km").alias("section_start"),
+        F.max("along_km").alias("section_end"),
+        F.avg("dist_km").alias("score_km"),
+        F.min_by("along_km", "d_km").alias("first"),
+        F.max_by("along_km", "d_km").alias("last"),
     )
-    kept = found.where((F.col("n_close") >= F.col("n") * share) & (F.col("section_end") > F.col("section_start"))).withColumn("is_forward", (F.col("first") <= F.col("last")).cast("int"))
+    kept = found.where((F.col("n_close") >= samples * share) & (F.col("section_end") > F.col("section_start"))).withColumn("is_forward", (F.col("first") <= F.col("last")).cast("int"))
     if not centerline:
         kept = kept.where("is_forward = 1")
     return kept.select(F.col("a_id").alias("edge_id"), F.col("b_id").alias("ref_id"), "is_forward", "section_start", "section_end", "score_km")
@@ -381,8 +405,7 @@ def avg_deviance(matches: DataFrame, edges: DataFrame, refs: DataFrame, samples:
 def shape_matches(shapes: DataFrame, refs: DataFrame, km: float = 0.05) -> DataFrame:
     """GEO-18. (shape_id, ref_id): references all of whose vertices lie within ``km`` of the shape and which run along it
     the same way."""
-    pairs = near_pairs(shapes, refs, km)
-    asked = pairs.join(refs.withColumnRenamed("line_id", "b_id"), "b_id").select(F.struct("a_id", "b_id", "pt_idx").alias("point_id"), F.col("a_id").alias("line_id"), F.col("x").alias("px"), F.col("y").alias("py"))
-    hit = nearest_on_line(asked, shapes).select("point_id.*", "dist_km", "along_km")
-    ends = hit.groupBy("a_id", "b_id").agg(F.max("dist_km").alias("far"), F.min_by("along_km", "pt_idx").alias("first"), F.max_by("along_km", "pt_idx").alias("last"))
-    return ends.where((F.col("far") <= km) & (F.col("first") <= F.col("last"))).select(F.col("a_id").alias("shape_id"), F.col("b_id").alias("ref_id"))
+    hit = near_places(vertices(refs), shapes, km).select(F.col("line_id").alias("shape_id"), F.col("point_id.line_id").alias("ref_id"), "point_id.pt_idx", "along_km")
+    ends = hit.groupBy("shape_id", "ref_id").agg(F.count("*").alias("n"), F.min_by("along_km", "pt_idx").alias("first"), F.max_by("along_km", "pt_idx").alias("last"))
+    every = refs.groupBy(F.col("line_id").alias("ref_id")).agg(F.count("*").alias("n"))
+    return ends.join(every, ["ref_id", "n"]).where(F.col("first") <= F.col("last")).select("shape_id", "ref_id")

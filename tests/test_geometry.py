@@ -206,6 +206,35 @@ def test_nearest_targets_where_a_third_lie_in_one_cell(spark):
     assert few.count() == 6
 
 
+def test_places_near_long_and_short_segments(spark):
+    """Every point against every line: segments from a metre to 300 km, near the equator and far north, points beside them and
+    far off, a segment without length; few cells a line whatever its length."""
+    import random
+
+    draw = random.Random(5)
+    lines, points = [], []
+    for i in range(60):
+        x, y, step = draw.uniform(-10, -9), draw.choice([0.0, 42.0, 69.5, -55.0]) + draw.uniform(-0.5, 0.5), 10 ** draw.uniform(-5, 0.4)
+        for j in range(draw.randint(2, 4)):
+            lines.append((i, j, x, y))
+            x, y = x + draw.uniform(-1, 1) * step, y + draw.uniform(-1, 1) * step
+    lines += [(60, 0, -9.5, 42.0), (60, 1, -9.5, 42.0)]
+    for i, j, x, y in lines:
+        points.append((x + draw.gauss(0, 3e-4), y + draw.gauss(0, 3e-4)))
+    for (i, _, x1, y1), (k, _, x2, y2) in zip(lines, lines[1:]):
+        f = draw.random()
+        points.append((x1 + f * (x2 - x1) + 2e-4, y1 + f * (y2 - y1)))
+    v = spark.createDataFrame(lines, "line_id int, pt_idx int, x double, y double")
+    p = spark.createDataFrame([(i, *xy) for i, xy in enumerate(points)], "point_id int, px double, py double").coalesce(1)
+    every = geometry.nearest_on_line(p.crossJoin(v.select("line_id").distinct()), v).where("dist_km <= 0.05")
+    row = lambda r: (r.point_id, r.line_id, r.seg_idx, round(r.dist_km, 9), round(r.along_km, 9))
+    want, got = sorted(map(row, every.collect())), sorted(map(row, spatial.near_places(p, v, 0.05).collect()))
+    assert got == want and len(want) > 150
+    cells = spatial.cover_cells(spatial.segment_covers(v, 0.05)).groupBy("line_id", "seg_idx").count()
+    assert cells.where("count > 16").count() == 0
+    assert spatial.near_places(p, v.limit(0), 0.05).count() == 0 and spatial.near_places(p.limit(0), v, 0.05).count() == 0
+
+
 def test_paths(spark, lines):
     e = spark.createDataFrame([(1, 1, 1, 2, 1.0, 0), (1, 2, 2, 3, 1.0, 0), (1, 3, 3, 4, 1.0, 0)], "route_id int, edge_id long, from_node long, to_node long, weight double, road_class int")
     assert [r.edge_id for r in graph.route_paths_topological(e).orderBy("path_edge_idx").collect()] == [1, 2, 3]
