@@ -93,7 +93,7 @@ def snaps(pairs: DataFrame, v: DataFrame) -> DataFrame:
 def nearest_snaps(met: DataFrame) -> DataFrame:
     """The nearest of the snaps of each point and line, earlier along the line on ties."""
     best = F.min_by(F.struct("dist_km", "along_km", "seg_idx"), F.struct(F.round("dist_km", 9), F.round("along_km", 9), "seg_idx"))
-    return met.groupBy("point_id", "line_id").agg(best.alias("b")).select("point_id", "line_id", "b.*")
+    return met.groupBy("point_id", "line_id").agg(best.alias("__b")).select("point_id", "line_id", "__b.*")
 
 
 def nearest_on_line(pairs: DataFrame, v: DataFrame) -> DataFrame:
@@ -109,7 +109,7 @@ def points_along(v: DataFrame, distances: DataFrame) -> DataFrame:
     met = want.join(s, "line_id").where("at >= from_km AND (at < to_km OR (at = to_km AND to_km = length_km))")
     f = F.coalesce(F.try_divide(F.col("at") - F.col("from_km"), F.col("to_km") - F.col("from_km")), F.lit(0.0))
     placed = met.select("line_id", "d_km", "seg_idx", (F.col("x1") + f * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + f * (F.col("y2") - F.col("y1"))).alias("y"))
-    return placed.groupBy("line_id", "d_km").agg(F.min_by(F.struct("x", "y"), "seg_idx").alias("p")).select("line_id", "d_km", "p.*")
+    return placed.groupBy("line_id", "d_km").agg(F.min_by(F.struct("x", "y"), "seg_idx").alias("__p")).select("line_id", "d_km", "__p.*")
 
 
 def line_slice(v: DataFrame, sections: DataFrame) -> DataFrame:

@@ -211,12 +211,52 @@ def index_matches(matches: DataFrame) -> DataFrame:
     return matches.withColumn("match_idx", F.row_number().over(Window.partitionBy("edge_id").orderBy("section_start", "ref_id", "section_end")) - 1)
 
 
-def path_vicinity(paths: DataFrame, ref_points: DataFrame, refs: DataFrame, matches: DataFrame, km: float = 0.05) -> DataFrame:
+def oneway_refs(refs: DataFrame) -> DataFrame:
+    """(ref_id): references on one of several carriageways (form of way 2) or alone on their geometry."""
+    alone = F.count("*").over(Window.partitionBy("geometry_id")) == 1
+    return refs.withColumn("__alone", alone).where((F.col("form_of_way") == 2) | F.col("__alone")).select("ref_id")
+
+
+def oneway_pairs(oneways: DataFrame, km: float = 0.25) -> DataFrame:
+    """CHO-1. (ref_id, pair_id): one-way references and those that run the other way on their left, half of the first within
+    ``km`` of the second. ``oneways``: vertices of one-way references. Left is where the middle between the pair's
+    ends lies, as seen from end to end; where traffic keeps left, swap the columns."""
+    other = match_edges(oneways, oneways, km, centerline=True).where("is_forward = 0 AND edge_id <> ref_id").select("edge_id", "ref_id")
+    ends = line_ends(oneways)
+    met = other.join(ends.withColumnRenamed("line_id", "edge_id"), "edge_id").join(ends.select(F.col("line_id").alias("ref_id"), ((F.col("x1") + F.col("x2")) / 2).alias("mx"), ((F.col("y1") + F.col("y2")) / 2).alias("my")), "ref_id")
+    left = (F.col("x2") - F.col("x1")) * (F.col("my") - F.col("y1")) - (F.col("y2") - F.col("y1")) * (F.col("mx") - F.col("x1")) > 0
+    return met.where(left).select(F.col("edge_id").alias("ref_id"), F.col("ref_id").alias("pair_id"))
+
+
+def path_vicinity(paths: DataFrame, ref_points: DataFrame, refs: DataFrame, matches: DataFrame, km: float = 0.05, pairs: DataFrame | None = None, two_way: DataFrame | None = None) -> DataFrame:
     """CHO-1, REP-5. (path_id, ref_id, is_vehicle): references within ``km`` of a path's merged line, those its edges
-    match (path_id, ref_id), and those on the same geometries. ``refs``: ref_id, geometry_id, road_class."""
+    match (path_id, ref_id), and those on the same geometries. ``refs``: ref_id, geometry_id, road_class. With ``pairs``
+    (:func:`oneway_pairs`) the paths of ``two_way`` (path_id) get the pairs of these references too."""
     near = spatial_overlap(paths, ref_points, km).select(F.col("a_id").alias("path_id"), F.col("b_id").alias("ref_id"))
     own = near.unionByName(matches.select("path_id", "ref_id")).join(refs.select("ref_id", "geometry_id"), "ref_id").select("path_id", "geometry_id").distinct()
-    return own.join(refs.select("geometry_id", "ref_id", "road_class"), "geometry_id").select("path_id", "ref_id", (F.col("road_class") < 8).alias("is_vehicle")).distinct()
+    all_ = own.join(refs.select("geometry_id", "ref_id", "road_class"), "geometry_id").select("path_id", "ref_id", "road_class")
+    if pairs is not None:
+        if two_way is None:
+            raise ValueError("pairs are those of two_way paths")
+        far = all_.join(two_way.select("path_id").distinct(), "path_id", "left_semi").join(pairs, "ref_id").select("path_id", F.col("pair_id").alias("ref_id"))
+        all_ = all_.unionByName(far.join(refs.select("ref_id", "road_class"), "ref_id"))
+    return all_.select("path_id", "ref_id", (F.col("road_class") < 8).alias("is_vehicle")).distinct()
+
+
+def nearby_edges(paths: DataFrame, path_edges: DataFrame, edge_points: DataFrame, ref_points: DataFrame, matches: DataFrame, km: float = 0.05) -> DataFrame:
+    """CHO-1. (path_id, edge_id, ref_id, section_start, section_end): edges of other paths within ``km`` of a path's line or of
+    a reference that its edges match, one row a match of theirs, or one with nulls where they have none.
+
+    ``path_edges``: path_id, edge_id; ``matches``: edge_id, ref_id, section_start, section_end. A reference's surroundings
+    are found once, however many paths match it.
+    """
+    own = path_edges.select("path_id", "edge_id").distinct()
+    by_line = spatial_overlap(paths, edge_points, km).select(F.col("a_id").alias("path_id"), F.col("b_id").alias("edge_id"))
+    matched = own.join(matches.select("edge_id", "ref_id"), "edge_id").select("path_id", "ref_id").distinct()
+    used = ref_points.join(matched.select(F.col("ref_id").alias("line_id")).distinct(), "line_id", "left_semi")
+    by_ref = matched.join(spatial_overlap(used, edge_points, km).select(F.col("a_id").alias("ref_id"), F.col("b_id").alias("edge_id")), "ref_id").select("path_id", "edge_id")
+    found = by_line.unionByName(by_ref).distinct().join(own, ["path_id", "edge_id"], "left_anti")
+    return found.join(matches.select("edge_id", "ref_id", "section_start", "section_end"), "edge_id", "left").select("path_id", "edge_id", "ref_id", "section_start", "section_end")
 
 
 def mean_distances(vicinity: DataFrame, paths: DataFrame, ref_points: DataFrame, samples: int = 11) -> DataFrame:

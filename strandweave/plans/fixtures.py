@@ -27,6 +27,13 @@ SQL = {
     "street_points": """SELECT ref_id, geometry_id, pt_idx, CASE WHEN pt_idx = 0 THEN a.x WHEN pt_idx = 2 THEN z.x ELSE ROUND((a.x + z.x) / 2 + (geometry_id % 3 - 1) / 1e4, 6) END AS x, CASE WHEN pt_idx = 0 THEN a.y WHEN pt_idx = 2 THEN z.y ELSE ROUND((a.y + z.y) / 2 + (geometry_id % 5 - 2) / 1e4, 6) END AS y
   FROM {ref_segments} r JOIN {crossings} a ON r.from_node = a.node_id JOIN {crossings} z ON r.to_node = z.node_id CROSS JOIN (VALUES (0), (1), (2)) AS k(pt_idx)""",
     "ref_points": """SELECT ref_id AS line_id, pt_idx, x, y FROM {street_points}""",
+    # base lines where every fifth geometry is two carriageways, a hundred metres apart
+    "carriageways": """SELECT ref_id, CASE WHEN geometry_id % 5 = 0 AND is_forward = 0 THEN geometry_id + 1000000000 ELSE geometry_id END AS geometry_id, CASE WHEN geometry_id % 5 = 0 THEN 2 ELSE 3 END AS form_of_way, road_class
+  FROM {ref_segments}""",
+    "carriageway_points": """SELECT ref_id AS line_id, pt_idx, ROUND(CASE WHEN geometry_id % 5 = 0 AND ref_id % 2 = 1 THEN x - 1e-3 ELSE x END, 6) AS x, ROUND(CASE WHEN geometry_id % 5 = 0 AND ref_id % 2 = 1 THEN y + 1e-3 ELSE y END, 6) AS y
+  FROM {street_points}""",
+    "oneway_points": """SELECT p.* FROM {carriageway_points} p JOIN {carriageways} c ON p.line_id = c.ref_id WHERE form_of_way = 2""",
+    "two_way_paths": """SELECT DISTINCT path_id FROM {agency_edges} WHERE path_id % 2 = 0""",
     # an agency's edges: the middle of each block beside the base line; every other street drawn backwards
     "agency_edges": """SELECT geometry_id AS edge_id, CAST(floor(geometry_id / 9) AS BIGINT) AS path_id, CASE WHEN floor(geometry_id / 9) % 2 = 0 THEN geometry_id % 9 ELSE 8 - geometry_id % 9 END AS path_edge_idx, CASE WHEN floor(geometry_id / 9) % 2 = 0 THEN 1 ELSE 0 END AS along
   FROM {ref_segments} WHERE is_forward = 1""",

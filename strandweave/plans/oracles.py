@@ -91,7 +91,7 @@ LIB = {
     "ends": """SELECT line_id, arg_min(x, pt_idx) AS x1, arg_min(y, pt_idx) AS y1, arg_max(x, pt_idx) AS x2, arg_max(y, pt_idx) AS y2 FROM {curves} GROUP BY line_id""",
 }
 LIB["chord_points"] = "SELECT * FROM {ref_points} WHERE pt_idx <> 1"
-for _name, _points in (("ref", "ref_points"), ("agency", "agency_points"), ("path", "merged"), ("chord", "chord_points")):
+for _name, _points in (("ref", "ref_points"), ("agency", "agency_points"), ("path", "merged"), ("chord", "chord_points"), ("carriageway", "carriageway_points"), ("oneway", "oneway_points")):
     LIB[f"{_name}_vertices"] = LIB["vertices"].replace("{curves}", "{" + _points + "}")
     LIB[f"{_name}_steps"] = LIB["steps"].replace("{vertices}", "{" + _name + "_vertices}")
     LIB[f"{_name}_segments"] = "SELECT line_id, pt_idx, px AS x1, py AS y1, x AS x2, y AS y2, SUM(km) OVER o - km AS from_km, km FROM {" + _name + "_steps} WINDOW o AS (PARTITION BY line_id ORDER BY pt_idx) QUALIFY px IS NOT NULL"
@@ -158,6 +158,17 @@ def close_lines(a: str, b: str, limit: float) -> str:
 LIB["overlaps_20m"] = close_lines(("agency_points", "agency_segments"), ("ref_points", "ref_segments_lines"), 0.02)
 LIB["around"] = close_lines(("merged", "path_segments"), ("ref_points", "ref_segments_lines"), 0.05)
 LIB["vicinity"] = "SELECT DISTINCT path_id, ref_id, road_class < 8 AS is_vehicle FROM (SELECT path_id, geometry_id FROM (SELECT a_id AS path_id, b_id AS ref_id FROM {around} UNION SELECT path_id, ref_id FROM {path_refs}) JOIN {ref_segments} USING (ref_id)) JOIN {ref_segments} USING (geometry_id)"
+LIB["oneway_samples"] = LIB["samples"].replace("{agency_segments}", "{oneway_segments}")
+LIB["oneway_hits"] = LIB["hits"].replace("{samples}", "{oneway_samples}").replace("{ref_segments_lines}", "{oneway_segments}")
+LIB["oneway_tips"] = "SELECT line_id, arg_min(x, pt_idx) AS x1, arg_min(y, pt_idx) AS y1, arg_max(x, pt_idx) AS x2, arg_max(y, pt_idx) AS y2 FROM {oneway_points} GROUP BY line_id"
+LIB["pairs"] = """SELECT edge_id AS ref_id, ref_id AS pair_id FROM (SELECT edge_id, ref_id FROM {oneway_hits} WHERE d <= 0.25 AND edge_id <> ref_id GROUP BY edge_id, ref_id HAVING COUNT(*) >= 5.5 AND MAX(spot) > MIN(spot) AND arg_min(spot, i) > arg_max(spot, i)) JOIN {oneway_tips} a ON a.line_id = edge_id JOIN {oneway_tips} b ON b.line_id = ref_id
+  WHERE (a.x2 - a.x1) * ((b.y1 + b.y2) / 2 - a.y1) - (a.y2 - a.y1) * ((b.x1 + b.x2) / 2 - a.x1) > 0"""
+LIB["around_ways"] = close_lines(("merged", "path_segments"), ("carriageway_points", "carriageway_segments"), 0.05)
+LIB["way_vicinity"] = LIB["vicinity"].replace("{around}", "{around_ways}").replace("{ref_segments}", "{carriageways}")
+LIB["paired_vicinity"] = "SELECT path_id, ref_id, is_vehicle FROM {way_vicinity} UNION SELECT path_id, pair_id, c.road_class < 8 FROM {way_vicinity} v JOIN {pairs} USING (ref_id) JOIN {carriageways} c ON c.ref_id = pair_id WHERE path_id IN (SELECT path_id FROM {two_way_paths})"
+LIB["beside_paths"] = close_lines(("merged", "path_segments"), ("agency_points", "agency_segments"), 0.05)
+LIB["beside_refs"] = close_lines(("ref_points", "ref_segments_lines"), ("agency_points", "agency_segments"), 0.05)
+LIB["nearby"] = "SELECT path_id, edge_id FROM (SELECT a_id AS path_id, b_id AS edge_id FROM {beside_paths} UNION SELECT path_id, b_id FROM {path_refs} JOIN {beside_refs} ON ref_id = a_id) ANTI JOIN {agency_edges} USING (path_id, edge_id)"
 LIB["far_points"] = "SELECT path_id, ref_id, i, x1 + f * (x2 - x1) AS px, y1 + f * (y2 - y1) AS py FROM (SELECT path_id, ref_id, i, x1, y1, x2, y2, COALESCE((d - from_km) / NULLIF(km, 0), 0) AS f FROM (SELECT path_id, ref_id, i, s.*, total * i / 10 AS d FROM {vicinity} JOIN {ref_segments_lines} s ON s.line_id = ref_id JOIN (SELECT line_id, SUM(km) AS total FROM {ref_segments_lines} GROUP BY line_id) USING (line_id) CROSS JOIN (SELECT unnest(range(11)) AS i)) WHERE d >= from_km AND d <= from_km + km + 1e-12 QUALIFY row_number() OVER (PARTITION BY path_id, ref_id, i ORDER BY pt_idx DESC) = 1)"
 LIB["far"] = f"SELECT path_id, ref_id, AVG(d) AS avg_km FROM (SELECT path_id, ref_id, i, MIN({NEAREST}) AS d FROM (SELECT p.*, x1, y1, x2, y2, {ALONG} AS t FROM {{far_points}} p JOIN {{path_segments}} s ON s.line_id = path_id) GROUP BY ALL) GROUP BY ALL"
 LIB["weights"] = "SELECT path_id, ref_id, from_node, to_node, road_class, ROUND(ROUND(CASE WHEN (path_id, geometry_id) IN (SELECT (path_id, geometry_id) FROM {path_refs} JOIN {ref_segments} USING (ref_id)) THEN length_km * 0.1::DOUBLE WHEN avg_km > 0.2 THEN length_km * 2 ELSE length_km * (1 + avg_km / 0.4::DOUBLE) END, 9) + 1e-9, 4) AS weight FROM {vicinity} JOIN {far} USING (path_id, ref_id) JOIN {ref_segments} r USING (ref_id)"
@@ -298,6 +309,9 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "merged_matches": (("matched",), "SELECT edge_id, ref_id, 1 - MAX(is_forward) AS round FROM matched GROUP BY edge_id, ref_id, ROUND(section_start + 1e-9, 3), ROUND(section_end + 1e-9, 3)"),
     "redundant_matches": (("way_nodes",), ", m AS (SELECT way_id, way_id // 4 AS e, list_sort(list(DISTINCT node_id)) AS v FROM way_nodes GROUP BY way_id), r AS (SELECT *, row_number() OVER (PARTITION BY e ORDER BY len(v) DESC, way_id) AS k FROM m) SELECT way_id AS match_id FROM r a WHERE NOT EXISTS (SELECT 1 FROM r b WHERE a.e = b.e AND b.k < a.k AND list_has_all(b.v, a.v))"),
     "path_vicinity": (("vicinity",), "SELECT path_id, ref_id, is_vehicle FROM vicinity"),
+    "oneway_pairs": (("pairs",), "SELECT ref_id, pair_id FROM pairs"),
+    "paired_vicinity": (("paired_vicinity",), "SELECT path_id, ref_id, is_vehicle FROM paired_vicinity"),
+    "nearby_edges": (("nearby", "matched"), "SELECT path_id, edge_id, ref_id, ROUND(section_start + 1e-9, 4) AS section_start, ROUND(section_end + 1e-9, 4) AS section_end FROM nearby LEFT JOIN (SELECT * FROM matched WHERE is_forward = 1) USING (edge_id)"),
     "preferred_refs": (("vicinity", "path_refs", "ref_segments"), "SELECT DISTINCT v.path_id, v.ref_id FROM vicinity v JOIN ref_segments r USING (ref_id) WHERE (v.path_id, r.geometry_id) IN (SELECT (path_id, geometry_id) FROM path_refs JOIN ref_segments USING (ref_id))"),
     "edge_weights": (("weights",), "SELECT path_id, ref_id, weight FROM weights"),
     "od_candidates": (("od",), "SELECT path_id, source, sink FROM od"),

@@ -647,6 +647,25 @@ def path_vicinity(t):
     return vicinity_of(t, own_refs(t))
 
 
+@query
+def oneway_pairs(t):
+    return X.oneway_pairs(t.oneway_points)
+
+
+@query
+def paired_vicinity(t):
+    """Vicinities over two carriageways, with the other one for paths that run both ways."""
+    ways = X.oneway_refs(t.carriageways).withColumnRenamed("ref_id", "line_id")
+    pairs = X.oneway_pairs(t.carriageway_points.join(ways, "line_id", "left_semi"))
+    return X.path_vicinity(agency_paths(t), t.carriageway_points, t.carriageways, own_refs(t), pairs=pairs, two_way=t.two_way_paths)
+
+
+@query
+def nearby_edges(t):
+    found = X.nearby_edges(agency_paths(t), t.agency_edges, t.agency_points, t.ref_points, cut(agency_matches(t), "matches"))
+    return found.select("path_id", "edge_id", "ref_id", *[F.round(F.col(c) + 1e-9, 4).alias(c) for c in ("section_start", "section_end")])
+
+
 @query
 def preferred_refs(t):
     own = cut(own_refs(t), "own")
