@@ -8,6 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from strandweave.operators.geometry import haversine
+from strandweave.plans.cut import cut
 
 
 def raw_segments(attrs: DataFrame, shapes: DataFrame) -> DataFrame:
@@ -156,6 +157,19 @@ def ordered(df: DataFrame, keys: list[str], local: bool = False) -> DataFrame:
     return df.repartitionByRange(*keys).sortWithinPartitions(*keys) if local else df.orderBy(*keys)
 
 
+def numbered(df: DataFrame, keys: list[str]) -> DataFrame:
+    """SRT-1. ``df`` with ``place``, a row's number from 1 in the order of ``keys`` (rows equal in them in no stated order).
+
+    Rows are dealt out by ranges of the keys and numbered within each; one row a range is summed up for the ranges
+    before it, so no task holds all rows.
+    """
+    dealt = cut(df.repartitionByRange(*keys).withColumn("__range", F.spark_partition_id()), "ranges")
+    counts = dealt.groupBy("__range").agg(F.count("*").alias("__n"))
+    before = counts.select("__range", (F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).alias("__before"))
+    own = F.row_number().over(Window.partitionBy("__range").orderBy(*keys))
+    return dealt.withColumn("place", own.cast("long")).join(before, "__range").withColumn("place", F.col("place") + F.col("__before")).drop("__range", "__before")
+
+
 def sort_nested(col: Column, key: str) -> Column:
     """SRT-3. An array of structs by one of their fields, in full order on ties."""
     return F.transform(F.array_sort(F.transform(col, lambda x: F.struct(x[key].alias("k"), x.alias("v")))), lambda s: s["v"])

@@ -10,7 +10,7 @@ from strandweave.operators import assign as A, coverage as C, directions as D, g
 from strandweave.plans.cut import cut, shared_dir
 from strandweave.plans.fixtures import Tables
 from strandweave.plans.queries import agency_matches, agency_paths, canon_ways, consolidated, query, services, state, two_maps
-from strandweave.sources import readers, sinks as K
+from strandweave.sources import layout, readers, sinks as K
 
 
 def folder(t: Tables, name: str) -> str:
@@ -321,6 +321,24 @@ def ordered_refs(t):
     return P.ordered(t.ref_segments.select("road_class", "geometry_id", "ref_id"), ["road_class", "geometry_id", "ref_id"], local=True)
 
 
+@query
+def numbered_refs(t):
+    """Each reference's place in the order."""
+    return P.numbered(t.ref_segments.select("road_class", "geometry_id", "ref_id"), ["road_class", "geometry_id", "ref_id"]).select("ref_id", "place")
+
+
+#: The towns of four columns of ten, whatever their number.
+BOX = (-73.805, 39.0, -73.015, 89.0)
+
+
+@query
+def refs_in_box(t):
+    """Base lines stored by place, then those that meet a box."""
+    path = folder(t, "by-place")
+    layout.write_by_place(layout.line_boxes(t.ref_points), path, "line_id", rows_a_file=2000)
+    return layout.read_box(t._spark, path, BOX).select("line_id", "place_key", *layout.BOX)
+
+
 @query
 def ref_roadway_metadata(t):
     return P.ref_roadway_metadata(t.ref_segments.unionByName(t.ref_segments))

@@ -98,6 +98,8 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "reference_metadata": (("way_nodes", "ref_segments"), "SELECT way_id AS list_id, node_idx AS pos, ref_id, geometry_id, road_class FROM way_nodes JOIN ref_segments ON ref_id = node_id + CASE WHEN node_idx = 2 THEN 1000000 ELSE 0 END WHERE road_class <> 8"),
     "translate_sequence": (("path_edges", "edges"), "SELECT path_id, string_agg(target_map_id, ',' ORDER BY path_edge_idx, edge_id) AS ids FROM path_edges JOIN edges USING (edge_id) GROUP BY path_id"),
     "edge_features": (("edges",), "SELECT edge_id AS id, target_map_id, 1.5::DOUBLE AS y FROM edges"),
+    "numbered_refs": (("ref_segments",), "SELECT ref_id, row_number() OVER (ORDER BY road_class, geometry_id, ref_id) AS place FROM ref_segments"),
+    "refs_in_box": (("ref_points",), ", k AS (SELECT line_id, pt_idx, x, y, list_sum(list_transform(range(26), lambda i: ((a >> i) & 1) * (1::BIGINT << (2 * i + 1)) + ((b >> i) & 1) * (1::BIGINT << (2 * i))))::BIGINT AS key FROM (SELECT *, ABS(ROUND(x * 1e5))::BIGINT AS a, ABS(ROUND(y * 1e5))::BIGINT AS b FROM ref_points)) SELECT line_id, least(arg_min(key, pt_idx), arg_max(key, pt_idx)) AS place_key, MIN(x) AS min_x, MIN(y) AS min_y, MAX(x) AS max_x, MAX(y) AS max_y FROM k GROUP BY line_id HAVING MIN(x) <= -73.015 AND MAX(x) >= -73.805 AND MIN(y) <= 89 AND MAX(y) >= 39"),
     "geoprox_keys": (("crossings",), "SELECT node_id, list_sum(list_transform(range(26), lambda i: ((a >> i) & 1) * (1::BIGINT << (2 * i + 1)) + ((b >> i) & 1) * (1::BIGINT << (2 * i))))::BIGINT AS key FROM (SELECT node_id, ABS(ROUND(x * 1e5))::BIGINT AS a, ABS(ROUND(y * 1e5))::BIGINT AS b FROM crossings)"),
     "ordered_refs": (("ref_segments",), "SELECT road_class, geometry_id, ref_id FROM ref_segments"),
     "ref_roadway_metadata": (("ref_segments",), "SELECT ref_id, geometry_id, is_forward, road_class, form_of_way, length_km FROM ref_segments"),
