@@ -39,6 +39,10 @@ SQL = {
   FROM {ref_segments} WHERE is_forward = 1""",
     "agency_points": """SELECT e.edge_id AS line_id, CASE WHEN along = 1 THEN pt_idx ELSE 2 - pt_idx END AS pt_idx, ROUND(x + 4e-5, 6) AS x, ROUND(y + 4e-5, 6) AS y
   FROM {agency_edges} e JOIN {street_points} p ON p.ref_id = 2 * e.edge_id""",
+    # candidate chains of an agency's street: the base references it was drawn beside, those against it, a street beside it
+    "street_chains": """SELECT path_id, concat(CAST(path_id AS STRING), '-a') AS chain_id, path_edge_idx AS chain_idx, 2 * edge_id + 1 - along AS ref_id FROM {agency_edges}
+  UNION ALL SELECT path_id, concat(CAST(path_id AS STRING), '-b'), 8 - path_edge_idx, 2 * edge_id + along FROM {agency_edges}
+  UNION ALL SELECT path_id - 2, concat(CAST(path_id - 2 AS STRING), '-c'), path_edge_idx, 2 * edge_id + 1 - along FROM {agency_edges} WHERE path_id >= 2""",
     "edges": """SELECT o_orderkey AS edge_id, concat('T', CAST(o_orderkey AS STRING)) AS target_map_id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_unidirectional, (2000 + CAST(floor(o_totalprice / 25) AS BIGINT)) / 1e4 AS edge_length_km, CASE WHEN o_orderpriority = '5-LOW' THEN 0 ELSE 1 END AS is_primary
   FROM {orders}""",
     "path_edges": """SELECT o_custkey AS path_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS path_edge_idx, o_orderkey AS edge_id

@@ -91,7 +91,7 @@ LIB = {
     "ends": """SELECT line_id, arg_min(x, pt_idx) AS x1, arg_min(y, pt_idx) AS y1, arg_max(x, pt_idx) AS x2, arg_max(y, pt_idx) AS y2 FROM {curves} GROUP BY line_id""",
 }
 LIB["chord_points"] = "SELECT * FROM {ref_points} WHERE pt_idx <> 1"
-for _name, _points in (("ref", "ref_points"), ("agency", "agency_points"), ("path", "merged"), ("chord", "chord_points"), ("carriageway", "carriageway_points"), ("oneway", "oneway_points")):
+for _name, _points in (("ref", "ref_points"), ("agency", "agency_points"), ("path", "merged"), ("chord", "chord_points"), ("carriageway", "carriageway_points"), ("oneway", "oneway_points"), ("chain", "chain_merged")):
     LIB[f"{_name}_vertices"] = LIB["vertices"].replace("{curves}", "{" + _points + "}")
     LIB[f"{_name}_steps"] = LIB["steps"].replace("{vertices}", "{" + _name + "_vertices}")
     LIB[f"{_name}_segments"] = "SELECT line_id, pt_idx, px AS x1, py AS y1, x AS x2, y AS y2, SUM(km) OVER o - km AS from_km, km FROM {" + _name + "_steps} WINDOW o AS (PARTITION BY line_id ORDER BY pt_idx) QUALIFY px IS NOT NULL"
@@ -169,6 +169,21 @@ LIB["paired_vicinity"] = "SELECT path_id, ref_id, is_vehicle FROM {way_vicinity}
 LIB["beside_paths"] = close_lines(("merged", "path_segments"), ("agency_points", "agency_segments"), 0.05)
 LIB["beside_refs"] = close_lines(("ref_points", "ref_segments_lines"), ("agency_points", "agency_segments"), 0.05)
 LIB["nearby"] = "SELECT path_id, edge_id FROM (SELECT a_id AS path_id, b_id AS edge_id FROM {beside_paths} UNION SELECT path_id, b_id FROM {path_refs} JOIN {beside_refs} ON ref_id = a_id) ANTI JOIN {agency_edges} USING (path_id, edge_id)"
+LIB["beside_chain"] = "SELECT c.* FROM {street_chains} c JOIN {ref_segments} USING (ref_id) WHERE chain_id LIKE '%-a'"
+LIB["chain_merged"] = "SELECT chain_id AS line_id, row_number() OVER (PARTITION BY chain_id ORDER BY chain_idx, pt_idx) - 1 AS pt_idx, x, y FROM (SELECT chain_id, chain_idx, pt_idx, x, y, lag(x) OVER w AS bx, lag(y) OVER w AS before_y FROM {beside_chain} JOIN {ref_points} ON ref_id = line_id WINDOW w AS (PARTITION BY chain_id ORDER BY chain_idx, pt_idx)) WHERE bx IS NULL OR bx <> x OR before_y <> y"
+
+
+def on_chain(points: str, keys: str) -> str:
+    """({keys}, chain_id, d, spot): where points (chain_id, px, py) snap to their chain's line."""
+    return f"SELECT * EXCLUDE (t, from_km, km, x1, y1, x2, y2, px, py), from_km + t * km AS spot, {NEAREST} AS d FROM (SELECT p.*, x1, y1, x2, y2, from_km, km, {ALONG} AS t FROM ({points}) p JOIN {{chain_segments}} s ON s.line_id = chain_id) QUALIFY row_number() OVER (PARTITION BY {keys}, chain_id ORDER BY ROUND(d, 9), ROUND(spot, 9)) = 1"
+
+
+LIB["path_tips"] = "SELECT line_id, line_id || '-a' AS chain_id, e, CASE e WHEN 0 THEN arg_min(x, pt_idx) ELSE arg_max(x, pt_idx) END AS px, CASE e WHEN 0 THEN arg_min(y, pt_idx) ELSE arg_max(y, pt_idx) END AS py FROM {merged} CROSS JOIN (SELECT unnest([0, 1]) AS e) GROUP BY line_id, e"
+LIB["tips_on_chain"] = on_chain("SELECT * FROM {path_tips}", "line_id, e")
+LIB["edges_on_chain"] = on_chain("SELECT path_id, path_edge_idx, path_id || '-a' AS chain_id, pt_idx // 2 AS e, x AS px, y AS py FROM {agency_edges} JOIN {agency_points} ON edge_id = line_id WHERE pt_idx <> 1", "path_id, path_edge_idx, e")
+LIB["chain_places"] = "SELECT chain_id, chain_idx, ref_id, ROUND(to_km, 9) AS ref_to, ROUND(ROUND(to_km, 9) - km, 9) AS ref_from FROM (SELECT *, SUM(km) OVER (PARTITION BY chain_id ORDER BY chain_idx) AS to_km FROM {beside_chain} JOIN (SELECT line_id AS ref_id, SUM(km) AS km FROM {ref_segments_lines} GROUP BY line_id) USING (ref_id))"
+LIB["chain_cuts"] = """SELECT path_id, path_edge_idx, ref_id, MIN(greatest(a, ref_from)) AS since, MIN(ROUND(greatest(a, ref_from) - ref_from, 9)) AS section_start, MAX(ROUND(least(z, ref_to) - ref_from, 9)) AS section_end
+  FROM (SELECT path_id, path_edge_idx, chain_id, MAX(spot) FILTER (e = 0) AS a, MAX(spot) FILTER (e = 1) AS z FROM {edges_on_chain} GROUP BY ALL) JOIN {chain_places} USING (chain_id) WHERE a < z AND a < ref_to AND ref_from < z GROUP BY ALL"""
 LIB["far_points"] = "SELECT path_id, ref_id, i, x1 + f * (x2 - x1) AS px, y1 + f * (y2 - y1) AS py FROM (SELECT path_id, ref_id, i, x1, y1, x2, y2, COALESCE((d - from_km) / NULLIF(km, 0), 0) AS f FROM (SELECT path_id, ref_id, i, s.*, total * i / 10 AS d FROM {vicinity} JOIN {ref_segments_lines} s ON s.line_id = ref_id JOIN (SELECT line_id, SUM(km) AS total FROM {ref_segments_lines} GROUP BY line_id) USING (line_id) CROSS JOIN (SELECT unnest(range(11)) AS i)) WHERE d >= from_km AND d <= from_km + km + 1e-12 QUALIFY row_number() OVER (PARTITION BY path_id, ref_id, i ORDER BY pt_idx DESC) = 1)"
 LIB["far"] = f"SELECT path_id, ref_id, AVG(d) AS avg_km FROM (SELECT path_id, ref_id, i, MIN({NEAREST}) AS d FROM (SELECT p.*, x1, y1, x2, y2, {ALONG} AS t FROM {{far_points}} p JOIN {{path_segments}} s ON s.line_id = path_id) GROUP BY ALL) GROUP BY ALL"
 LIB["weights"] = "SELECT path_id, ref_id, from_node, to_node, road_class, ROUND(ROUND(CASE WHEN (path_id, geometry_id) IN (SELECT (path_id, geometry_id) FROM {path_refs} JOIN {ref_segments} USING (ref_id)) THEN length_km * 0.1::DOUBLE WHEN avg_km > 0.2 THEN length_km * 2 ELSE length_km * (1 + avg_km / 0.4::DOUBLE) END, 9) + 1e-9, 4) AS weight FROM {vicinity} JOIN {far} USING (path_id, ref_id) JOIN {ref_segments} r USING (ref_id)"
@@ -318,6 +333,8 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "shortest_chains": (("weights", "od"), ", " + relaxed("SELECT path_id AS grp, from_node, to_node, weight AS w FROM weights", "SELECT DISTINCT path_id AS grp, source FROM od", 24) + " SELECT path_id, path_id || '-' || od.source || '-' || sink AS chain_id, ROUND(dist + 1e-9, 3) AS weight FROM od JOIN r24 r ON r.grp = path_id AND r.source = od.source AND r.node = sink"),
     "choose_matches": (("agency_edges",), "SELECT path_id, path_edge_idx, 2 * edge_id + 1 - along AS ref_id, 1 AS is_forward FROM agency_edges"),
     "choose_centerline_matches": (("agency_edges",), "SELECT path_id, path_edge_idx, 2 * edge_id + 1 - along AS ref_id, 1 AS is_forward FROM agency_edges UNION ALL SELECT path_id, path_edge_idx, 2 * edge_id + along, 0 FROM agency_edges"),
+    "best_chains": (("tips_on_chain", "chain_segments", "path_segments"), "SELECT line_id AS path_id, chain_id, ROUND(chain_km + 1e-9, 5) AS chain_km, ROUND(path_km + 1e-9, 5) AS path_km, ROUND(MAX(d) FILTER (e = 0) + 1e-9, 5) AS start_dist_km, ROUND(MAX(d) FILTER (e = 1) + 1e-9, 5) AS end_dist_km, ROUND(MAX(spot) FILTER (e = 0) + 1e-9, 5) AS start_along_km, ROUND(MAX(spot) FILTER (e = 1) + 1e-9, 5) AS end_along_km FROM tips_on_chain JOIN (SELECT line_id AS chain_id, SUM(km) AS chain_km FROM chain_segments GROUP BY line_id) USING (chain_id) JOIN (SELECT line_id, SUM(km) AS path_km FROM path_segments GROUP BY line_id) USING (line_id) GROUP BY line_id, chain_id, chain_km, path_km"),
+    "chain_sections": (("chain_cuts",), "SELECT path_id, path_edge_idx, ref_id, row_number() OVER w - 1 AS match_idx, ROUND(section_start + 1e-9, 5) AS section_start, ROUND(section_end + 1e-9, 5) AS section_end, ROUND(SUM(section_end - section_start) OVER w - (section_end - section_start) + 1e-9, 5) AS along_start, ROUND(SUM(section_end - section_start) OVER w + 1e-9, 5) AS along_end FROM chain_cuts WINDOW w AS (PARTITION BY path_id, path_edge_idx ORDER BY since, ref_id ROWS UNBOUNDED PRECEDING)"),
     "avg_deviance": (("matched", "ref_steps", "agency_segments"), ", " + at_distance("SELECT edge_id, ref_id AS line_id, section_start + (section_end - section_start) * i / 10 AS d_km, i FROM matched CROSS JOIN (SELECT unnest(range(11)) AS i) WHERE is_forward = 1", "ref_steps", "edge_id, i, ") + f", t AS (SELECT edge_id, line_id AS ref_id, i, MIN({NEAREST}) AS d FROM (SELECT f.*, s.x1, s.y1, s.x2, s.y2, {ALONG} AS t FROM (SELECT edge_id, line_id, i, x AS px, y AS py FROM found) f JOIN agency_segments s ON s.line_id = f.edge_id) GROUP BY ALL) SELECT edge_id, ref_id, ROUND(AVG(d) + 1e-9, 5) AS avg_deviance_km FROM t GROUP BY ALL"),
     "spatial_overlap": (("overlaps_20m",), "SELECT a_id, b_id, ROUND(d + 1e-9, 5) AS dist_km FROM overlaps_20m"),
 }

@@ -708,6 +708,33 @@ def choose_centerline_matches(t):
     return longest.select("path_id", "path_edge_idx", "ref_id", "is_forward")
 
 
+def scored_chains(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Candidate chains of streets, their lines and :func:`X.score_chains` of them."""
+    known = t.ref_segments.select("ref_id")
+    chain = cut(t.street_chains.join(known, "ref_id", "left_semi"), "chain")
+    lines = cut(X.chain_lines(chain, t.ref_points), "lines")
+    paths = cut(agency_paths(t), "paths")
+    return chain, lines, cut(X.score_chains(X.measure_chains(chain.join(paths.select(F.col("line_id").alias("path_id")).distinct(), "path_id", "left_semi"), lines, paths)), "scored")
+
+
+@query
+def best_chains(t):
+    """SRT-2: of the chains beside, against and apart from a street the one beside, with its measures."""
+    _, _, scored = scored_chains(t)
+    best = X.best_chain(scored).join(scored.drop("path_id", "score"), "chain_id")
+    return best.select("path_id", "chain_id", *[F.round(F.col(c) + 1e-9, 5).alias(c) for c in ("chain_km", "path_km", "start_dist_km", "end_dist_km", "start_along_km", "end_along_km")])
+
+
+@query
+def chain_sections(t):
+    """SEC-7 to SEC-9: every section of the edges' matches along the best chain."""
+    chain, lines, scored = scored_chains(t)
+    km = G.line_lengths(t.ref_points).select(F.col("line_id").alias("ref_id"), "length_km")
+    snapped = X.edge_snaps(t.agency_edges.select("path_id", "path_edge_idx", "edge_id"), t.agency_points, lines, scored.select("path_id", "chain_id"))
+    found = X.first_chain_matches(scored.select("path_id", "chain_id", "score"), snapped, chain.drop("path_id"), km)
+    return found.select("path_id", "path_edge_idx", "ref_id", "match_idx", *[F.round(F.col(c) + 1e-9, 5).alias(c) for c in ("section_start", "section_end", "along_start", "along_end")])
+
+
 @query
 def avg_deviance(t):
     d = X.avg_deviance(agency_matches(t), t.agency_points, t.ref_points)
