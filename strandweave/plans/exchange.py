@@ -612,6 +612,17 @@ def avg_snap_distances(t):
     return s.select("a_id", (-1 - F.col("b_id")).alias("b_id"), F.round(F.col("snap_mean") + 1e-9, 5).alias("snap_mean"))
 
 
+@query
+def snap_statistics(t):
+    """GEO-13 whole: mean, deviation and nine quantiles of both measures."""
+    pairs = agency_matches(t).select(F.col("edge_id").alias("a_id"), F.col("ref_id").alias("b_id"))
+    both = t.agency_points.unionByName(t.ref_points.withColumn("line_id", -1 - F.col("line_id")))
+    s = G.similarity_stats(pairs.withColumn("b_id", -1 - F.col("b_id")), both)
+    numbers = [F.round(F.col(f"{p}_{c}") + 1e-9, 5).alias(f"{p}_{c}") for p in ("snap", "along") for c in ("mean", "stddev")]
+    quantiles = [F.round(F.col(f"{p}_quantiles")[i] + 1e-9, 5).alias(f"{p}_{i + 1}0") for p in ("snap", "along") for i in range(9)]
+    return s.select("a_id", (-1 - F.col("b_id")).alias("b_id"), *numbers, *quantiles)
+
+
 @query
 def trip_shapes(t):
     """Schedule shapes with repeats and gaps as lines."""

@@ -146,6 +146,7 @@ SQL: dict[str, tuple[tuple[str, ...], str]] = {
     "loaded_paths": (("agency_edges", "agency_points"), f", e AS (SELECT path_id, path_edge_idx, edge_id, x1, y1, x2, y2 FROM agency_edges JOIN ({ENDS.format('agency_points')}) ON line_id = edge_id), g AS (SELECT path_id, arg_min(x1, path_edge_idx) AS x1, arg_min(y1, path_edge_idx) AS y1, arg_max(x2, path_edge_idx) AS x2, arg_max(y2, path_edge_idx) AS y2, string_agg(edge_id, ',' ORDER BY path_edge_idx) AS edges FROM e GROUP BY path_id) SELECT path_id || ':0' AS path_name, ROUND({deg('x1', 'y1', 'x2', 'y2')} + 1e-9, 3) AS bearing, edges FROM g"),
     "merged_lines": (("agency_edges",), "SELECT path_id AS feature_id, path_edge_idx - MIN(path_edge_idx) OVER (PARTITION BY path_id) AS seq, 8 - path_edge_idx AS part_idx FROM agency_edges WHERE along = 1"),
     "line_slices": (("ref_segments", "ref_steps", "ref_segments_lines"), f", cuts AS (SELECT ref_id, 0.1::DOUBLE AS section_start, 0.6::DOUBLE AS section_end FROM ref_segments) {CUT} SELECT section_id, row_number() OVER (PARTITION BY section_id ORDER BY at_km) - 1 AS pt_idx, ROUND(x + 1e-9, 5) AS x, ROUND(y + 1e-9, 5) AS y FROM (SELECT line_id AS section_id, at_km, x, y FROM spots WHERE at_km > 0.1 AND at_km < 0.6 UNION ALL SELECT ref_id, d_km, x, y FROM tips)"),
+    "snap_statistics": (("matched", "agency_steps", "ref_segments_lines"), f", n AS (SELECT a_id, b_id, d, ABS(spot - at_km) AS off FROM (SELECT a_id, b_id, pt_idx, at_km, from_km + t * km AS spot, {NEAREST} AS d FROM (SELECT *, {ALONG} AS t FROM (SELECT edge_id AS a_id, ref_id AS b_id, p.pt_idx, p.x AS px, p.y AS py, at_km, x1, y1, x2, y2, from_km, s.km FROM matched JOIN (SELECT *, SUM(km) OVER (PARTITION BY line_id ORDER BY pt_idx) AS at_km FROM agency_steps) p ON p.line_id = edge_id JOIN ref_segments_lines s ON s.line_id = ref_id WHERE is_forward = 1))) QUALIFY row_number() OVER (PARTITION BY a_id, b_id, pt_idx ORDER BY ROUND(d, 9), ROUND(spot, 9)) = 1) SELECT a_id, b_id, " + ", ".join(f"ROUND({f}({c}) + 1e-9, 5) AS {p}_{n}" for p, c in (("snap", "d"), ("along", "off")) for f, n in (("AVG", "mean"), ("stddev_pop", "stddev"))) + ", " + ", ".join(f"ROUND(quantile_cont({c}, {i / 10}) + 1e-9, 5) AS {p}_{i}0" for p, c in (("snap", "d"), ("along", "off")) for i in range(1, 10)) + " FROM n GROUP BY a_id, b_id"),
     "avg_snap_distances": (("matched", "agency_points", "ref_segments_lines"), f"SELECT a_id, b_id, ROUND(AVG(d) + 1e-9, 5) AS snap_mean FROM (SELECT a_id, b_id, pt_idx, MIN({NEAREST}) AS d FROM (SELECT *, {ALONG} AS t FROM (SELECT edge_id AS a_id, ref_id AS b_id, p.pt_idx, p.x AS px, p.y AS py, x1, y1, x2, y2 FROM matched JOIN agency_points p ON p.line_id = edge_id JOIN ref_segments_lines s ON s.line_id = ref_id WHERE is_forward = 1)) GROUP BY ALL) GROUP BY ALL"),
     "trip_shapes": (("agency_points",), "SELECT line_id AS shape_id, row_number() OVER (PARTITION BY line_id ORDER BY pt_idx) - 1 AS pt_idx, x, y FROM agency_points WHERE line_id % 7 > 0 OR pt_idx <> 1"),
     "shape_matches": (("merged", "path_segments", "ref_points"), f", p AS (SELECT a_id, b_id, pt_idx, MIN(d) AS d, arg_min(spot, ROUND(d, 9)) AS spot FROM (SELECT a_id, b_id, pt_idx, {NEAREST} AS d, from_km + t * km AS spot FROM (SELECT s.line_id AS a_id, r.line_id AS b_id, r.pt_idx, r.x AS px, r.y AS py, x1, y1, x2, y2, from_km, km, {ALONG.replace('px', 'r.x').replace('py', 'r.y')} AS t FROM ref_points r JOIN path_segments s ON ABS(r.x - (x1 + x2) / 2) < 0.02 AND ABS(r.y - (y1 + y2) / 2) < 0.02)) GROUP BY ALL) SELECT a_id AS shape_id, b_id AS ref_id FROM p GROUP BY a_id, b_id HAVING COUNT(*) = 3 AND MAX(d) <= 0.05 AND arg_min(spot, pt_idx) <= arg_max(spot, pt_idx)"),
