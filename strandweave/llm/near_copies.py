@@ -1,14 +1,16 @@
-"""Near copies by Jaccard similarity of word shingles: MinHash bands find candidates, exact sets decide.
+"""Near copies by Jaccard similarity of word shingles: SimHash with covering hashes finds candidates, exact sets decide.
 
-A text's set holds the 64-bit hashes of its distinct shingles. Equal sets collapse first. ``BANDS`` keys of
-``ROWS`` minima each are drawn from a set; two sets of similarity J share a key with probability
-1 - (1 - J^ROWS)^BANDS, which is 0.999997 at J = 0.8 and rises with J. Every candidate pair is then decided by
-the exact similarity of the two sets, so no pair below the threshold links.
+A text's set holds the 64-bit hashes of its distinct shingles. Equal sets collapse first. Each set has a wide SimHash
+fingerprint; two sets of similarity J differ in each of its bits with a probability that falls with J (0.1515 at 0.8), and
+coverings of words of those bits bring such pairs together (:mod:`strandweave.llm.simhash`). At J = 0.8 at most three
+pairs in a million meet in no word or differ in more bits than are looked for, fewer above. In small sets majorities tie
+more often: a bit differs with up to 0.161 in sets of 12 to 15 (six in a million at 190,000 texts) and with 0.1875 in
+those of four and five, the smallest that can be similar without being equal (two in ten thousand). Every candidate pair
+is then decided by the exact similarity of the two sets, so no pair below the threshold links.
 
-Not all pairs of a bucket are compared in the first place: each member is compared with the bucket's smallest,
-which joins a large group in as many comparisons as it has members; then all pairs whose members are still in
-different components are compared. Only a bucket of many texts that are alike but below the threshold costs
-more than its size. None is cut.
+Not all pairs of a bucket are decided in the first place: those of a tree over each group of neighbours, which joins a
+large group in as many decisions as it has members; then all pairs whose members are still in different components.
+Only a bucket of many texts that are alike but below the threshold costs more than its size. None is cut.
 
 Nulls, empty texts: a null text is an empty one; texts without words have the empty set and are copies of each
 other. Rows with a null id are left alone. Repeated rows stay repeated. An empty table gives an empty result.
@@ -23,15 +25,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from strandweave.llm.simhash import shingle_chunks
+from strandweave.llm.simhash import LONGS, close_groups, shingle_chunks, similarity_rate, wide_fingerprint, within
 from strandweave.operators.components import connected_components
 from strandweave.plans.cut import cut, release
 
 THRESHOLD = 0.8
-BANDS, ROWS = 32, 5
 SEED = 42
-#: Shingles that meet all minima's multipliers at a time.
-CHUNK = 2048
+#: Sets below this size differ in a bit with up to 0.1875 at the threshold: their whole fingerprints aren't looked at.
+SMALL = 64
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -45,30 +46,16 @@ def set_hash(hashes: np.ndarray) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """One key a band; none for the empty set."""
-    if not len(hashes):
-        return np.empty(0, np.int64)
-    draw = np.random.default_rng(SEED)
-    times, plus = (draw.integers(0, 1 << 64, BANDS * ROWS, np.uint64) for _ in range(2))
-    times |= np.uint64(1)
-    least = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
-    for at in range(0, len(hashes), CHUNK):
-        least = np.minimum(least, (hashes[at : at + CHUNK, None] * times + plus).min(axis=0))
-    bands = [least[b * ROWS : (b + 1) * ROWS].tobytes() for b in range(BANDS)]
-    return np.array([xxhash.xxh64_intdigest(x, b) for b, x in enumerate(bands)], np.uint64).view(np.int64)
-
-
 def sketches(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, fp, n, keys): the hash and size of each whole text's set, and its band keys."""
+    """(doc_id, fp, n, bits): the hash and size of each whole text's set, and its wide fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), shingle) for t in batch.column(1)]
-            columns = [pa.array([set_hash(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "fp", "n", "keys"])
+            columns = [pa.array([set_hash(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([np.frombuffer(wide_fingerprint(s), np.int64) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "fp", "n", "bits"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long, n long, keys array<long>")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, fp long, n long, bits array<long>")
 
 
 def _sets(docs: DataFrame, shingle: int) -> DataFrame:
@@ -84,8 +71,12 @@ def _sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def similar_pairs(pairs: DataFrame, owners: DataFrame, docs: DataFrame, threshold: float, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """Those of ``pairs`` (a, b) of set hashes whose sets reach the threshold."""
-    pairs = cut(pairs, "pairs")
+    """Those of ``pairs`` (a, b) of set hashes whose sets reach the threshold. Sizes and whole fingerprints are looked at first."""
+    proposed = cut(pairs, "proposed")
+    of = lambda name: owners.select(F.col("fp").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
+    sizes = F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-6  # a pair's sizes bound its similarity
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    pairs = cut(proposed.join(of("a"), "a").join(of("b"), "b").where(sizes & ((F.least("n_a", "n_b") < SMALL) | (apart <= within(64 * LONGS, similarity_rate(threshold))))).select("a", "b"), "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
     ids = cut(owners.join(needed, "fp").select(F.col("owner").alias("__owner")).distinct(), "needed")
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text")).join(ids, F.col("__id") == F.col("__owner"), "left_semi").select("__text")
@@ -94,30 +85,28 @@ def similar_pairs(pairs: DataFrame, owners: DataFrame, docs: DataFrame, threshol
     common = F.size(F.array_intersect("set_a", "set_b"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", F.size("set_a").alias("na"), F.size("set_b").alias("nb"), common.alias("both"))
     found = cut(near.where(F.col("both") / (F.col("na") + F.col("nb") - F.col("both")) >= threshold).select("a", "b"), "similar")
-    release(pairs, ids, sets)
+    release(proposed, pairs, ids, sets)
     return found
 
 
 def near_copies(docs: DataFrame, threshold: float = THRESHOLD, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, component_id (smallest doc_id reachable over pairs at ``threshold`` or more)."""
     rows = cut(sketches(docs, shingle, id_col, text_col), "sketches")
-    owners = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("owner"), F.any_value("n").alias("n"), F.any_value("keys").alias("keys")), "owners")
-    dealt = owners.select("fp", "n", F.explode("keys").alias("key"))
-    shared = dealt.groupBy("key").agg(F.min("fp").alias("hub"), F.min_by("n", "fp").alias("hub_n"), F.count("*").alias("members")).where("members > 1").drop("members")
-    met = cut(dealt.join(shared, "key"), "met")
-    sizes = lambda x, y: F.least(x, y) >= threshold * F.greatest(x, y) - 1e-6  # noqa: E731  a pair's sizes bound its similarity
+    owners = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("owner"), F.any_value("n").alias("n"), F.any_value("bits").alias("bits")), "owners")
+    near = cut(close_groups(owners.where("n > 0"), similarity_rate(threshold)), "near")
     check = lambda pairs: similar_pairs(pairs, owners, docs, threshold, shingle, id_col, text_col)
 
-    links = check(met.where((F.col("fp") != F.col("hub")) & sizes(F.col("n"), F.col("hub_n"))).select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct())
+    links = check(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     linked = cut(connected_components(links, "a", "b"), "linked")
-    placed = met.join(linked, met["fp"] == linked["node"], "left").select("key", "hub", "fp", "n", F.coalesce("component", "fp").alias("group"))
-    parts = placed.groupBy("key", "group").agg(F.count("*").alias("members"))
-    # members outside a bucket's largest component meet all that are not in theirs
-    split = parts.groupBy("key").agg(F.max_by("group", F.struct("members", "group")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    open_ = cut(placed.join(split, "key").where("fp <> hub"), "open")
-    small = open_.where("group <> main").select("key", F.col("fp").alias("a"), F.col("group").alias("group_a"), F.col("n").alias("na"))
-    large = open_.select("key", F.col("fp").alias("b"), F.col("group").alias("group_b"), F.col("n").alias("nb"), "main")
-    apart = small.join(large, "key").where((F.col("group_a") != F.col("group_b")) & ((F.col("group_b") == F.col("main")) | (F.col("a") < F.col("b"))) & sizes(F.col("na"), F.col("nb")))
+    members = near.select("grp", F.explode(F.array("a", "b")).alias("fp")).distinct()
+    placed = cut(members.join(linked, members["fp"] == linked["node"], "left").select("grp", "fp", F.coalesce("component", "fp").alias("group")), "placed")
+    parts = placed.groupBy("grp", "group").agg(F.count("*").alias("members"))
+    # members outside the largest component meet all that are not in theirs
+    split = parts.groupBy("grp").agg(F.max_by("group", F.struct("members", "group")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    open_ = cut(placed.join(split, "grp"), "open")
+    small = open_.where("group <> main").select("grp", F.col("fp").alias("a"), F.col("group").alias("group_a"))
+    large = open_.select("grp", F.col("fp").alias("b"), F.col("group").alias("group_b"), "main")
+    apart = small.join(large, "grp").where((F.col("group_a") != F.col("group_b")) & ((F.col("group_b") == F.col("main")) | (F.col("a") < F.col("b"))))
     more = check(apart.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     final = connected_components(links.unionByName(more), "a", "b")

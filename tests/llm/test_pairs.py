@@ -112,3 +112,61 @@ def test_simhash_of_very_long_and_repeated_rows(spark):
     assert len(got) == 4 and {r.component_id for r in got} == {1}
     assert simhash.one_of_each(rows).count() == 3  # both rows of id 1, and the one without an id
     assert simhash.near_duplicates(rows.limit(0)).isEmpty()
+
+
+def test_wide_fingerprints_begin_with_the_fingerprint():
+    from strandweave.llm import near_copies
+
+    for text in ("one", "a b c d e f g h i", " ".join(f"w{i}" for i in range(700))):
+        wide = simhash.wide_fingerprint(near_copies.shingle_set(text, 5))
+        assert len(wide) == 8 * simhash.LONGS and wide[:8] == simhash.text_fingerprint(text, 5)
+
+
+def test_masks_of_a_word_hide_any_two_places():
+    from itertools import combinations
+
+    for width in (14, 20):
+        masks = [set(m) for m in simhash.word_masks(width)]
+        for n in range(5):
+            hidden = [any(not m & set(d) for m in masks) for d in combinations(range(width), n)]
+            assert np.isclose(np.mean(hidden), simhash.met(width, n)) and (n > 2 or all(hidden))
+
+
+@pytest.mark.parametrize("n", [1, 11_000_000])
+def test_sets_at_four_fifths_share_a_word_key(n):
+    rng, pairs = np.random.default_rng(3), []
+    for size in (10, 30, 300):  # 8 of 10 and so on are common
+        for _ in range(400):
+            h = rng.integers(0, 1 << 64, size, np.uint64)
+            a, b = h[: size * 9 // 10], np.concatenate([h[: size * 8 // 10], h[size * 9 // 10 :]])
+            pairs.append([np.frombuffer(simhash.wide_fingerprint(x), np.int64) for x in (a, b)])
+    x, y = np.array(pairs).transpose(1, 0, 2)
+    rate = simhash.similarity_rate(0.8)
+    plan = simhash.word_plan(n, rate)
+    assert (simhash.word_keys(x, *plan) == simhash.word_keys(y, *plan)).any(axis=1).all()
+    for longs in (simhash.CARRIED, simhash.LONGS):
+        assert np.bitwise_count((x ^ y)[:, :longs].view(np.uint64)).sum(axis=1).max() <= simhash.within(64 * longs, rate)
+
+
+@pytest.mark.parametrize("tiled", [8192, 10])
+def test_bucket_groups_hang_together_as_by_brute_force(monkeypatch, tiled):
+    """Runs of equal keys that end inside a batch, at its end and after several, by tiles and without."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(simhash, "TILED", tiled)
+    monkeypatch.setattr(simhash, "TILE", (8, 32))
+    rng, rows = np.random.default_rng(4), []
+    for key, size in enumerate((1, 300, 49, 2, 60, 1)):
+        base = rng.integers(0, 1 << 64, (9, 3), np.uint64)
+        for _ in range(size):
+            flip = np.packbits(rng.random((3, 64)) < 0.14, axis=1).view(np.uint64)[:, 0]
+            rows.append([key, len(rows), *(base[rng.integers(9)] ^ flip).view(np.int64)])
+    table = np.array(rows, np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in table[at : at + 50].T], names=list("abcde")) for at in range(0, len(table), 50)]
+    out = list(simhash._bucket_groups(50)(iter(batches)))
+    got = [(r["a"], r["b"]) for b in out for r in b.to_pylist()]
+    bits = table[:, 2:].view(np.uint64)
+    near = (table[:, :1] == table[:, 0]) & (np.bitwise_count(bits[:, None] ^ bits[None]).sum(axis=2) <= 50)
+    assert got and all(near[a, b] for a, b in got)
+    assert union(len(rows), got) == union(len(rows), np.argwhere(near).tolist())
+    assert len(got) == len(rows) - len(set(union(len(rows), got)))  # a tree
