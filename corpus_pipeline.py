@@ -25,8 +25,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays: sets of five-word shingles at a
-    Jaccard similarity of 0.8 or more, decided on the whole sets. Fingerprints can't find those pairs (README), so
-    MinHash bands propose them."""
+    Jaccard similarity of 0.8 or more, decided on the whole sets. Coverings of words of wide SimHash fingerprints
+    propose the pairs."""
     return near_copies_by_sets.one_of_each(docs, threshold=0.8, shingle=5)
 
 
