@@ -90,26 +90,30 @@ def _targets(cells: DataFrame, marginal: str, given: dict[str, float] | None, te
     return raw.select(marginal, F.least(F.col("raw") * rate, most).alias("target"))
 
 
-def _scaled(cells: DataFrame, marginal: str, target: DataFrame) -> DataFrame:
+def _scaled(cells: DataFrame, marginal: str) -> DataFrame:
     """One marginal raked: down by one factor; up by a factor for the cells that are not full yet."""
-    sums = cells.groupBy(marginal).agg(F.sum("weight").alias("sum"), F.sum(F.when(F.col("weight") >= F.col("tokens") * FULL, F.col("weight")).otherwise(0.0)).alias("full"))
-    scale = sums.join(target, marginal).select(marginal, F.expr("CASE WHEN sum > 0 AND target <= sum THEN target / sum END").alias("down"), F.expr("CASE WHEN target > sum AND sum > full THEN (target - full) / (sum - full) END").alias("up"))
+    target = F.max(f"{marginal}_target").alias("target")  # one a value
+    sums = cells.groupBy(marginal).agg(F.sum("weight").alias("sum"), F.sum(F.when(F.col("weight") >= F.col("tokens") * FULL, F.col("weight")).otherwise(0.0)).alias("full"), target)
+    scale = sums.select(marginal, F.expr("CASE WHEN sum > 0 AND target <= sum THEN target / sum END").alias("down"), F.expr("CASE WHEN target > sum AND sum > full THEN (target - full) / (sum - full) END").alias("up"))
     raised = F.when(F.col("weight") < F.col("tokens") * FULL, F.least(F.col("tokens").cast("double"), F.col("weight") * F.col("up"))).otherwise(F.col("weight"))
     weight = F.when(F.col("down").isNotNull(), F.col("weight") * F.col("down")).when(F.col("up").isNotNull(), raised).otherwise(F.col("weight"))
     return cells.join(scale, marginal, "left").withColumn("weight", weight).drop("down", "up")
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], budget: float, rounds: int = 16) -> DataFrame:
-    """``cells`` (marginals, tokens) with ``weight``: expected tokens, at most the tokens there are."""
-    state = cut(cells.withColumn("weight", F.col("tokens") * F.lit(float(budget))), "cells")
-    for _ in range(rounds):
-        fitted = state
-        for marginal, target in targets.items():
-            fitted = _scaled(fitted, marginal, target)
-        following = cut(fitted, "cells")
+    """``cells`` (marginals, tokens) with ``weight``: expected tokens, at most the tokens there are.
+
+    A cell carries its values' targets, and the state is written after every marginal: a step names the state twice
+    (sums and cells), so steps in one plan would double it each time, and the driver keeps the plans."""
+    aimed = cells
+    for marginal, target in targets.items():
+        aimed = aimed.join(target.select(marginal, F.col("target").alias(f"{marginal}_target")), marginal, "left")
+    state = cut(aimed.withColumn("weight", F.col("tokens") * F.lit(float(budget))), "cells")
+    for marginal in list(targets) * rounds:
+        following = cut(_scaled(state, marginal), "cells")
         release(state)
         state = following
-    return state
+    return state.drop(*[f"{m}_target" for m in targets])
 
 
 def residual(raked: DataFrame, targets: dict[str, DataFrame]) -> float:

@@ -305,6 +305,35 @@ def test_raking_meets_the_marginals_at_the_production_budget(spark):
     assert mixing.mixed_documents(docs, rounds=1).columns == docs.columns
 
 
+def test_plans_of_the_raking_do_not_grow_with_its_steps(spark, monkeypatch):
+    joins, write = [], mixing.cut
+
+    def noted(df, name="cut"):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return write(df, name)
+
+    monkeypatch.setattr(mixing, "cut", noted)
+    cells = {("a", "en", "x"): 100, ("a", "fr", "y"): 50, ("b", "en", "y"): 10, ("b", "fr", "x"): 40, ("c", "en", "x"): 0}
+    aims = {"source": {"a": 60.0, "b": 45.0}, "lang": {"en": 65.0, "fr": 40.0}, "topic": {"x": 70.0, "y": 35.0}}
+    targets = {m: spark.createDataFrame(list(t.items()), f"{m} string, target double") for m, t in aims.items()}
+    table = spark.createDataFrame([(*c, n) for c, n in cells.items()], "source string, lang string, topic string, tokens long")
+    raked = mixing.rake(table, targets, 0.525, rounds=4)
+    assert max(joins) <= len(targets)
+
+    weights = {c: 0.525 * n for c, n in cells.items()}
+    for at, aim in [*enumerate(aims.values())] * 4:
+        for value, target in aim.items():
+            of = [c for c in cells if c[at] == value]
+            whole, full = sum(weights[c] for c in of), sum(weights[c] for c in of if weights[c] >= cells[c] * mixing.FULL)
+            for c in of:
+                if target <= whole:
+                    weights[c] *= target / whole
+                elif weights[c] < cells[c] * mixing.FULL:
+                    weights[c] = min(cells[c], weights[c] * (target - full) / (whole - full))
+    assert sorted(raked.columns) == ["lang", "source", "tokens", "topic", "weight"]
+    assert {(r.source, r.lang, r.topic): r.weight for r in raked.collect()} == pytest.approx(weights)
+
+
 def test_given_targets_lower_the_budget_to_what_the_scarcest_value_allows(spark):
     rows = [(i, "word " * 20, "a" if i % 10 else "b", "en") for i in range(400)] + [(1000, "z " * 500_000, "a", "xx")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
