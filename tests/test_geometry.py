@@ -235,6 +235,27 @@ def test_places_near_long_and_short_segments(spark):
     assert spatial.near_places(p, v.limit(0), 0.05).count() == 0 and spatial.near_places(p.limit(0), v, 0.05).count() == 0
 
 
+def test_places_beyond_a_pole(spark):
+    """Latitudes that run on over a pole: as far beyond it as before it cells are as fine, at it every meridian is near."""
+    import random
+
+    draw, lines, points = random.Random(7), [], []
+    for i, y in enumerate([60.0, 120.0, 100.0, 240.0, 300.0, -130.0, *[draw.uniform(89.98, 90.02) for _ in range(40)]]):
+        x = -74 + draw.uniform(-0.3, 0.3)
+        lines += [(i, 0, x, y), (i, 1, x + 0.004, y + 0.004)]
+        points += [(x + 0.001, y + 0.0012), (x + 0.002, y + 0.0018), (x + draw.uniform(-0.1, 0.1), y)]
+    v = spark.createDataFrame(lines, "line_id int, pt_idx int, x double, y double")
+    p = spark.createDataFrame([(i, *xy) for i, xy in enumerate(points)], "point_id int, px double, py double").coalesce(1)
+    every = geometry.nearest_on_line(p.crossJoin(v.select("line_id").distinct()), v).where("dist_km <= 0.05")
+    # a line is met where latitudes are named alike: 240 is not 120
+    apart = p.join(every, "point_id").join(v.where("pt_idx = 0").select("line_id", "y"), "line_id").where("abs(py - y) < 1")
+    row = lambda r: (r.point_id, r.line_id, r.seg_idx, round(r.dist_km, 9))
+    got = sorted(map(row, spatial.near_places(p, v, 0.05).collect()))
+    assert got == sorted(map(row, apart.collect())) and len(got) > 100
+    levels = {r.line_id: r.level for r in spatial.segment_covers(v, 0.05).where("line_id < 6").collect()}
+    assert levels[0] == levels[1] == levels[3] == levels[4] and min(levels.values()) > 10
+
+
 def test_paths(spark, lines):
     e = spark.createDataFrame([(1, 1, 1, 2, 1.0, 0), (1, 2, 2, 3, 1.0, 0), (1, 3, 3, 4, 1.0, 0)], "route_id int, edge_id long, from_node long, to_node long, weight double, road_class int")
     assert [r.edge_id for r in graph.route_paths_topological(e).orderBy("path_edge_idx").collect()] == [1, 2, 3]
