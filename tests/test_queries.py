@@ -59,3 +59,15 @@ def test_query_equals_sql_beyond_a_pole(spark, far_towns, name):
         names = [d[0] for d in found.description]
         want = sorted(tuple(map(plain, row)) for row in found.fetchall())
     assert sorted(tuple(map(plain, row)) for row in df.select(*names).collect()) == want and want
+
+
+def test_chains_with_plans_made_at_run_time(spark):
+    """Large tables' joins are sorted ones, and their plans change as stages end."""
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    for c, v in zip(before, ("true", "-1", "16")):
+        spark.conf.set(c, v)
+    try:
+        assert queries.queries()["best_chains"](spark, DATA).count() > 0
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
